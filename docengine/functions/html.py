@@ -5,13 +5,17 @@ with unclosed tags elsewhere do no harm, as only the asked-for blocks are read.
 """
 
 from html.entities import name2codepoint
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docengine.functions.text import let, strip
 
+# The standard names, as one text that becomes one map literal.
+_NAMED = "\x02".join(
+    f"{n}\x01{chr(v)}" for n, v in {**name2codepoint, "apos": 39}.items()
+)
+
 
 def _char(code: Column) -> Column:
     """Character of a code point."""
@@ -20,11 +24,7 @@ def _char(code: Column) -> Column:
 
 def unescape(c: Column) -> Column:
     """Decode named and numbered character references in one pass."""
-    named = F.create_map(
-        *chain.from_iterable(
-            (F.lit(n), F.lit(chr(v))) for n, v in [*name2codepoint.items(), ("apos", 39)]
-        )
-    )
+    named = F.str_to_map(F.lit(_NAMED), F.lit(r"\x02"), F.lit(r"\x01"))
 
     def decode(piece: Column) -> Column:
         def replace(name: Column) -> Column:

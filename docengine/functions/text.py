@@ -276,3 +276,20 @@ def without_lines(text: Column, first: Column, last: Column) -> Column:
             "\n",
         ),
     )
+
+
+def text_between(text: Column, start: Column, end: Column) -> Column:
+    """Text from `start` up to the next `end`; null without `start`.
+
+    Without `end`, or when it does not follow, the rest of the text is taken.
+    """
+
+    def cut(at: Column) -> Column:
+        return let(
+            F.when(F.coalesce(end, F.lit("")) != "", F.position(end, text, at)),
+            lambda stop: F.when(stop > 0, F.substr(text, at, stop - at)).otherwise(
+                F.substr(text, at)
+            ),
+        )
+
+    return let(F.position(start, text), lambda at: F.when(at > 0, cut(at)))

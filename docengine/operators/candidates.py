@@ -117,11 +117,17 @@ def pick_best_document(
     best one is found by a hash aggregate with map-side reduction.
     """
     counts = mention_counts(candidate_files(entities, key), documents, key)
+    # More mentions first, then the smaller position; above 0 when mentioned at all.
     score = F.col("n").cast("long") * F.lit(1 << 32) - F.col("pos")
     best = (
-        counts.filter(F.col("n") > 0)
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.max_by("pos", score).alias("_pos"))
+        counts.groupBy(F.col(key).alias("_key"))
+        .agg(F.max(score).alias("_score"))
+        .select(
+            "_key",
+            F.when(F.col("_score") > 0, F.pmod(-F.col("_score"), F.lit(1 << 32)))
+            .cast("int")
+            .alias("_pos"),
+        )
     )
     files = F.col("strategy_file")
     named = F.coalesce(F.col("Estonian Name"), F.lit("")) != ""

@@ -18,6 +18,15 @@ def fill_text(df: DataFrame) -> DataFrame:
     return df.na.fill("")
 
 
+def unfold(df: DataFrame, keep: list, items: Column, by: str) -> DataFrame:
+    """A row per struct in `items`; rows whose field `by` is null are left out.
+
+    A plain explode makes the optimizer derive a filter on the list and push it down,
+    where the list is computed again; here it is computed once.
+    """
+    return df.select(*keep, F.inline_outer(items)).filter(F.col(by).isNotNull())
+
+
 def ragged_union(*frames: DataFrame) -> DataFrame:
     """Append frames with different columns; what a frame lacks is null."""
     out = frames[0]

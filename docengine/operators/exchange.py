@@ -9,10 +9,8 @@ from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import (
     CHUNK_LIMIT,
-    CONTEXT_LINES,
     NOT_AVAILABLE,
     PROMPTS,
-    STEM_CUT,
     SUMMARY_FIELDS,
     SYSTEM_MESSAGES,
     TOPICS,
@@ -20,12 +18,11 @@ from docengine.functions.fixed_values import (
 from docengine.functions.responses import last_value, read_fields, read_topics
 from docengine.functions.text import (
     chunk_words,
-    context_lines,
     join_in_order,
-    name_stem,
     render,
     strip,
 )
+from docengine.operators.columns import unfold
 from docengine.operators.routing import SNIPPETS, TOC_MULTI, TOC_SINGLE
 
 
@@ -37,6 +34,19 @@ def _request(kind: str, prompt: Column, template: str | None = None) -> Column:
     )
 
 
+def _numbered(df: DataFrame, key: str, requests: Column) -> DataFrame:
+    numbered = F.transform(
+        requests,
+        lambda r, i: F.struct(
+            r["kind"].alias("kind"),
+            i.alias("chunk"),
+            r["system"].alias("system"),
+            r["prompt"].alias("prompt"),
+        ),
+    )
+    return unfold(df, [key], numbered, "chunk")
+
+
 def clean_requests(documents: DataFrame) -> DataFrame:
     """Clean-up request for every scanned document."""
     return documents.filter("scanned").select(
@@ -48,9 +58,7 @@ def clean_requests(documents: DataFrame) -> DataFrame:
 def section_requests(
     routed: DataFrame,
     key: str = "species_id",
-    k: int = CONTEXT_LINES,
     limit: int = CHUNK_LIMIT,
-    stem_cut: int = STEM_CUT,
 ) -> DataFrame:
     """Topic and passage requests of routed entities, in one pass over them.
 
@@ -58,9 +66,6 @@ def section_requests(
     per chunk of the text around the name.
     """
     name, toc = F.col("Estonian Name"), F.col("toc_text")
-    context = F.array_join(
-        context_lines(F.col("text"), name_stem(name, stem_cut), k), "\n"
-    )
 
     def topics(template: str) -> Column:
         prompt = render(PROMPTS[template], name=name, toc=toc)
@@ -72,16 +77,14 @@ def section_requests(
         .when(
             F.col("route") == SNIPPETS,
             F.transform(
-                chunk_words(context, limit),
+                chunk_words(F.col("reading"), limit),
                 lambda text: _request(
                     "passages", render(PROMPTS["passages"], name=name, text=text)
                 ),
             ),
         )
     )
-    return routed.select(key, F.posexplode(requests).alias("chunk", "r")).select(
-        key, "r.kind", "chunk", "r.system", "r.prompt"
-    )
+    return _numbered(routed, key, requests)
 
 
 def summary_requests(bundles: DataFrame, key: str = "species_id") -> DataFrame:
@@ -99,9 +102,7 @@ def summary_requests(bundles: DataFrame, key: str = "species_id") -> DataFrame:
         _request("summary", render(PROMPTS["summary"], text=F.col("whole_text")))
     )
     requests = F.when(F.col("by_sections"), per_field).otherwise(whole)
-    return bundles.select(key, F.posexplode(requests).alias("chunk", "r")).select(
-        key, "r.kind", "chunk", "r.system", "r.prompt"
-    )
+    return _numbered(bundles, key, requests)
 
 
 def combine_responses(

@@ -17,7 +17,7 @@ from docengine.functions.fixed_values import (
     PROFILE_KEYS,
 )
 from docengine.functions.text import full_name
-from docengine.operators.columns import col_or
+from docengine.operators.columns import col_or, unfold
 
 
 def lookup_links(
@@ -77,7 +77,7 @@ def page_key_values(
             html.one_line(html.inner_text(r["cells"][1])).alias("value"),
         ),
     )
-    return pages.select(key, F.inline(pairs))
+    return unfold(pages, [key], pairs, "pos")
 
 
 def plan_files(

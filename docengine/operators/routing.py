@@ -3,8 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docengine.functions.fixed_values import FLAG_COLUMN, STEM_CUT
-from docengine.functions.text import document_key, name_stem, strip
+from docengine.functions.fixed_values import CONTEXT_LINES, FLAG_COLUMN, STEM_CUT
+from docengine.functions.text import context_lines, document_key, name_stem, strip
 from docengine.operators.columns import true_or_false
 
 TOC_SINGLE = "TOC_SINGLE"
@@ -45,27 +45,36 @@ def route(
 
 
 def route_documents(
-    entities: DataFrame, documents: DataFrame, stem_cut: int = STEM_CUT
+    entities: DataFrame,
+    documents: DataFrame,
+    stem_cut: int = STEM_CUT,
+    k: int = CONTEXT_LINES,
 ) -> DataFrame:
-    """Add the document's text, its contents list as text, the route and the flag.
+    """Add the route, the flag, the contents list as text and the text to read.
 
-    `documents(doc_key, text, toc)` is unique by key.  An entity without a document
-    keeps its row, with a null route.  Text and contents are carried but only read
-    from the source when a later step asks for them.
+    `documents(doc_key, text, toc)` is unique by key.  The text to read is the whole
+    document, or the lines around the name, or null when sections will be cut out; so
+    this is the only step that brings entities and whole texts together.  An entity
+    without a document keeps its row, with a null route.
     """
-    stem = name_stem(F.col("Estonian Name"), stem_cut)
+    name = F.col("Estonian Name")
+    stem = name_stem(name, stem_cut)
     entries = F.array_join(F.col("toc.entries.raw"), "\n")
     found = documents.select(
-        F.col("doc_key").alias("_doc"), "text", strip(entries).alias("toc_text")
+        F.col("doc_key").alias("_doc"),
+        F.col("text").alias("_text"),
+        strip(entries).alias("toc_text"),
+    )
+    reading = F.when(F.col("route") == WHOLE_TEXT, F.col("_text")).when(
+        F.col("route") == SNIPPETS,
+        F.array_join(context_lines(F.col("_text"), stem, k), "\n"),
     )
     return (
-        entities.withColumn("doc_key", document_key(F.col("strategy_file")))
-        .join(found, F.col("doc_key") == F.col("_doc"), "left")
-        .drop("_doc")
+        entities.join(found, document_key(F.col("strategy_file")) == F.col("_doc"), "left")
         .withColumn(
             "route",
             route(
-                F.col("text"),
+                F.col("_text"),
                 F.col("toc_text"),
                 holds(F.col("toc_text"), stem),
                 holds(F.col("strategy_file"), stem),
@@ -73,4 +82,6 @@ def route_documents(
             ),
         )
         .withColumn(FLAG_COLUMN, F.col("route").isin(TOC_SINGLE, TOC_MULTI))
+        .withColumn("reading", reading)
+        .drop("_doc", "_text")
     )

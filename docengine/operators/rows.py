@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from docengine.functions import html
 from docengine.functions.fixed_values import LIST_COLUMNS, SECTIONS
 from docengine.functions.text import clean_latin, clean_name, strip
+from docengine.operators.columns import unfold
 
 
 def extract_rows(
@@ -42,15 +43,9 @@ def extract_rows(
             F.transform(html.blocks(r, cell), html.inner_text).alias("cells"),
         ),
     )
-    return (
-        pages.select("page_id", F.inline(F.array(*found)))
-        .select(
-            "page_id",
-            "section",
-            "category",
-            F.inline(F.filter(cells, lambda r: F.size(r["cells"]) >= min_cells)),
-        )
-    )
+    found_rows = F.filter(cells, lambda r: F.size(r["cells"]) >= min_cells)
+    bodies = unfold(pages, ["page_id"], F.array(*found), "body")
+    return unfold(bodies, ["page_id", "section", "category"], found_rows, "pos")
 
 
 def clean_rows(rows: DataFrame) -> DataFrame:

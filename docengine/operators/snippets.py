@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import CHUNK_LIMIT, CONTEXT_LINES
 from docengine.functions.text import chunk_words, context_lines
+from docengine.operators.columns import unfold
 
 
 def context_snippets(
@@ -20,6 +21,8 @@ def chunk_text(
     documents: DataFrame, key: str = "doc_id", limit: int = CHUNK_LIMIT
 ) -> DataFrame:
     """`(key, chunk, chunk_text)`: greedy chunks of whole words."""
-    return documents.select(
-        key, F.posexplode(chunk_words(F.col("text"), limit)).alias("chunk", "chunk_text")
+    chunks = F.transform(
+        chunk_words(F.col("text"), limit),
+        lambda c, i: F.struct(i.alias("chunk"), c.alias("chunk_text")),
     )
+    return unfold(documents, [key], chunks, "chunk")

@@ -10,8 +10,10 @@ from docengine.functions.text import (
     normalize_line,
     strip,
     table_of_contents,
+    text_between,
     without_lines,
 )
+from docengine.operators.columns import unfold
 
 
 def with_toc(
@@ -28,9 +30,13 @@ def with_toc(
 
 def toc_rows(documents: DataFrame, key: str = "doc_key") -> DataFrame:
     """`(key, k, line, title)` of all entries."""
-    return documents.select(key, F.posexplode("toc.entries").alias("k", "e")).select(
-        key, "k", "e.line", "e.title"
+    entries = F.transform(
+        F.col("toc.entries"),
+        lambda e, k: F.struct(
+            k.alias("k"), e["line"].alias("line"), e["title"].alias("title")
+        ),
     )
+    return unfold(documents, [key], entries, "k")
 
 
 def slice_sections(documents: DataFrame, key: str = "doc_key") -> DataFrame:
@@ -38,36 +44,31 @@ def slice_sections(documents: DataFrame, key: str = "doc_key") -> DataFrame:
 
     The contents list itself is left out of the text.  A title that is not found, or
     is directly followed by the next one, gives no row.  The text is prepared once per
-    document; the entries are then unfolded and cut in one codegen stage.
+    document; entries are unfolded before they are cut, so that a task holds one
+    section at a time.
     """
-    titles = F.col("toc.entries.title")
     pairs = let(
-        titles,
-        lambda t: F.zip_with(
-            t,
-            F.slice(t, F.lit(2), F.size(t)),
-            lambda a, b: F.struct(a.alias("title"), b.alias("next")),
+        F.col("toc.entries.title"),
+        lambda titles: F.transform(
+            titles,
+            lambda t, k: F.struct(
+                k.alias("k"), t.alias("title"), F.get(titles, k + 1).alias("next")
+            ),
         ),
     )
-    body = F.lower(
-        without_lines(F.col("text"), F.col("toc.first"), F.col("toc.last"))
+    body = let(
+        F.col("toc"),
+        lambda toc: F.lower(without_lines(F.col("text"), toc["first"], toc["last"])),
     )
-    at = F.position(F.lower(F.col("p.title")), F.col("body"))
-    stop = F.position(F.lower(F.col("p.next")), F.col("body"), F.col("at"))
-    piece = F.when(
-        F.col("stop") > 0,
-        F.substr(F.col("body"), F.col("at"), F.col("stop") - F.col("at")),
-    ).otherwise(F.substr(F.col("body"), F.col("at")))
-    return (
-        documents.filter(F.col("toc").isNotNull())
-        .select(key, body.alias("body"), pairs.alias("pairs"))
-        .select(key, "body", F.posexplode("pairs").alias("k", "p"))
-        .select(key, "k", "p", "body", at.alias("at"))
-        .filter(F.col("at") > 0)
-        .select(key, "k", "p", "body", "at", stop.alias("stop"))
-        .select(key, "k", F.col("p.title").alias("title"), strip(piece).alias("section_text"))
-        .filter(F.col("section_text") != "")
+    found = let(
+        strip(text_between(F.col("body"), F.lower("title"), F.lower("next"))),
+        lambda piece: F.array(
+            F.struct(F.nullif(piece, F.lit("")).alias("section_text"))
+        ),
     )
+    bodies = documents.select(key, body.alias("body"), pairs.alias("pairs"))
+    entries = unfold(bodies, [key, "body"], F.col("pairs"), "k")
+    return unfold(entries, [key, "k", "title"], found, "section_text")
 
 
 def match_sections(
@@ -83,24 +84,24 @@ def match_sections(
         .select(key, "section")
         .distinct()
     )
-    entries = documents.filter(F.col("toc").isNotNull()).select(
-        key, F.col("toc.entries.title").alias("titles")
-    )
-    first = let(
-        dotless(normalize_line(F.col("section"))),
-        lambda name: F.array_position(
+    entries = documents.select(key, F.col("toc.entries.title").alias("titles"))
+    def first_entry(name):
+        at = F.array_position(
             F.transform(F.col("titles"), lambda t: dotless(t).contains(name)),
             F.lit(True),
-        ),
-    )
-    return (
-        wanted.join(entries, key)
-        .select(key, "section", "titles", first.alias("nth"))
-        .filter(F.col("nth") > 0)
-        .select(
-            key,
-            "section",
-            (F.col("nth") - 1).cast("int").alias("k"),
-            F.element_at("titles", F.col("nth").cast("int")).alias("title"),
         )
-    )
+        return let(
+            at.cast("int"),
+            lambda at: F.when(
+                at > 0,
+                F.array(
+                    F.struct(
+                        (at - 1).alias("k"),
+                        F.get(F.col("titles"), at - 1).alias("title"),
+                    )
+                ),
+            ),
+        )
+
+    entry = let(dotless(normalize_line(F.col("section"))), first_entry)
+    return unfold(wanted.join(entries, key), [key, "section"], entry, "k")

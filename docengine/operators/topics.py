@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import FLAG_COLUMN, TOPICS
 from docengine.functions.text import document_key, join_in_order, strip
-from docengine.operators.columns import true_or_false
+from docengine.operators.columns import col_or, true_or_false, unfold
 from docengine.operators.toc import match_sections, slice_sections
 
 
@@ -31,9 +31,9 @@ def requested_sections(
             ]
         )
     )
-    return entities.filter(true_or_false(F.col(FLAG_COLUMN))).select(
-        key, document_key(F.col("strategy_file")).alias("doc_key"), F.inline(asked)
-    )
+    flagged = entities.filter(true_or_false(F.col(FLAG_COLUMN)))
+    doc_key = document_key(F.col("strategy_file")).alias("doc_key")
+    return unfold(flagged, [key, doc_key], asked, "topic")
 
 
 def topic_texts(
@@ -44,7 +44,7 @@ def topic_texts(
 ) -> DataFrame:
     """Add `<topic>_text`: the texts of a topic's sections, in the order asked for.
 
-    Sections that are not found are left out.  Names are matched once per document and
+    Entities that are not flagged keep the text they have, if any.  Sections that are not found are left out.  Names are matched once per document and
     name, and a section's text is fetched once per match before it goes to entities.
     """
     asked = requested_sections(entities, topics, key)
@@ -65,10 +65,13 @@ def topic_texts(
         .agg(*[of_topic(n) for n in range(len(topics))])
     )
     flagged = true_or_false(F.col(FLAG_COLUMN))
+    texts_by_name = {
+        f"{t}_text": F.when(flagged, F.coalesce(f"_text{n}", F.lit(""))).otherwise(
+            col_or(entities, f"{t}_text", F.lit(None))
+        )
+        for n, t in enumerate(topics)
+    }
     return entities.join(wide, F.col(key) == F.col("_key"), "left").select(
-        *[F.col(f"`{c}`") for c in entities.columns],
-        *[
-            F.when(flagged, F.coalesce(f"_text{n}", F.lit(""))).alias(f"{t}_text")
-            for n, t in enumerate(topics)
-        ],
+        *[F.col(f"`{c}`") for c in entities.columns if c not in texts_by_name],
+        *[text.alias(name) for name, text in texts_by_name.items()],
     )
