@@ -11,12 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Unicode white space, as a regex class and as the set of characters itself.
-WS = (
-    r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+WS = r"(?U:[\s\x1c-\x1f])"
+NOT_WS = r"(?U:[^\s\x1c-\x1f])"
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+LINE_BREAK = r"\R|[\x1c-\x1e]"
 # Leader dots, then a page number at the end; tried once per run of dots.
 TOC_LINE = r"(?<!\.)\.{5,}+" + WS + r"*+\p{Nd}++\z"
 
@@ -208,7 +206,7 @@ def table_of_contents(
             lines,
             lambda line, i: F.struct(i.alias("i"), line.alias("raw")),
         )
-        filled = F.filter(marked, lambda e: strip(e["raw"]) != "")
+        filled = F.filter(marked, lambda e: F.rlike(e["raw"], F.lit(NOT_WS)))
         hits = F.filter(
             F.transform(
                 filled,

@@ -84,10 +84,14 @@ def match_sections(
         .select(key, "section")
         .distinct()
     )
-    entries = documents.select(key, F.col("toc.entries.title").alias("titles"))
+    titles = let(
+        F.col("toc.entries.title"),
+        lambda t: F.struct(t.alias("shown"), F.transform(t, dotless).alias("compared")),
+    )
+    entries = documents.select(key, titles.alias("titles"))
     def first_entry(name):
         at = F.array_position(
-            F.transform(F.col("titles"), lambda t: dotless(t).contains(name)),
+            F.transform(F.col("titles.compared"), lambda t: t.contains(name)),
             F.lit(True),
         )
         return let(
@@ -97,7 +101,7 @@ def match_sections(
                 F.array(
                     F.struct(
                         (at - 1).alias("k"),
-                        F.get(F.col("titles"), at - 1).alias("title"),
+                        F.get(F.col("titles.shown"), at - 1).alias("title"),
                     )
                 ),
             ),

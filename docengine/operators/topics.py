@@ -1,10 +1,10 @@
 """Section texts gathered per topic."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import FLAG_COLUMN, TOPICS
-from docengine.functions.text import document_key, join_in_order, strip
+from docengine.functions.text import document_key, strip
 from docengine.operators.columns import col_or, true_or_false, unfold
 from docengine.operators.toc import match_sections, slice_sections
 
@@ -53,20 +53,22 @@ def topic_texts(
         "doc_key", "section", "section_text"
     )
 
-    def of_topic(n: int):
-        part = F.when(
-            F.col("topic") == n, F.struct("pos", F.col("section_text").alias("value"))
-        )
-        return join_in_order(F.collect_list(part), "\n").alias(f"_text{n}")
-
+    parts = F.collect_list(
+        F.struct("topic", "pos", F.col("section_text").alias("value"))
+    )
     wide = (
         asked.join(texts, ["doc_key", "section"])
         .groupBy(F.col(key).alias("_key"))
-        .agg(*[of_topic(n) for n in range(len(topics))])
+        .agg(F.array_sort(parts).alias("_parts"))
     )
+
+    def of_topic(n: int) -> Column:
+        own = F.filter(F.col("_parts"), lambda p: p["topic"] == n)
+        return F.coalesce(F.array_join(own["value"], "\n"), F.lit(""))
+
     flagged = true_or_false(F.col(FLAG_COLUMN))
     texts_by_name = {
-        f"{t}_text": F.when(flagged, F.coalesce(f"_text{n}", F.lit(""))).otherwise(
+        f"{t}_text": F.when(flagged, of_topic(n)).otherwise(
             col_or(entities, f"{t}_text", F.lit(None))
         )
         for n, t in enumerate(topics)

@@ -21,6 +21,23 @@ from docengine.sources.tables import read_spread
 LAW_SECTIONS = [(None, "para4", "I"), (None, "lg11", "II"), (None, "lg5", "III")]
 
 
+def heading(line: Column, i: Column) -> Column:
+    """Line number, line and, from three words on, the line's heading."""
+    return let(
+        split_words(line),
+        lambda w: F.struct(
+            (i + 1).alias("n"),
+            line.alias("line"),
+            F.when(
+                F.size(w) >= 3,
+                F.concat(
+                    (i + 1).cast("string"), F.lit(". "), F.array_join(F.slice(w, 1, 3), " ")
+                ),
+            ).alias("title"),
+        ),
+    )
+
+
 def reports(spark: SparkSession, sf: str) -> DataFrame:
     """`(doc_id, doc_key, text)`: documents with a contents list in front.
 
@@ -29,23 +46,6 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
     """
     docs = read_spread(spark, sf, "documents", "doc_id")
 
-    def heading(line, i):
-        return let(
-            split_words(line),
-            lambda w: F.struct(
-                (i + 1).alias("n"),
-                line.alias("line"),
-                F.when(
-                    F.size(w) >= 3,
-                    F.concat(
-                        (i + 1).cast("string"),
-                        F.lit(". "),
-                        F.array_join(F.slice(w, 1, 3), " "),
-                    ),
-                ).alias("title"),
-            ),
-        )
-
     def entry(e, j):
         return F.concat(
             F.when(j % 10 == 9, "\f").otherwise(""),
@@ -98,23 +98,25 @@ def every_nth(items: Column, n: int) -> Column:
     return F.filter(items, lambda x, i: i % len(TOPICS) == n)
 
 
-def asked_topics(reports: DataFrame) -> DataFrame:
-    """An entity per report, asking for every heading, spread over the topics."""
+def asked_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """An entity per document, asking for the heading of every line, spread over topics."""
+    docs = read_spread(spark, sf, "documents", "doc_id")
     headings = F.filter(
-        F.transform(
-            F.split("text", "\n"),
-            lambda line: F.when(
-                F.rlike(line, F.lit(r"^\d+\. ")) & ~F.rlike(line, F.lit(r"\.{5,} \d+$")),
-                line,
-            ),
-        ),
+        F.transform(F.split("text", "\n"), lambda line, i: heading(line, i)["title"]),
         lambda t: t.isNotNull(),
     )
-    return reports.select(
+    return docs.select(
         F.col("doc_id").alias("species_id"),
-        F.concat("doc_key", F.lit(".pdf")).alias("strategy_file"),
+        F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias(
+            "strategy_file"
+        ),
         F.lit(True).alias("Analyze_by_sisukord"),
-        *[every_nth(headings, n).alias(t) for n, t in enumerate(TOPICS)],
+        headings.alias("headings"),
+    ).select(
+        "species_id",
+        "strategy_file",
+        "Analyze_by_sisukord",
+        *[every_nth(F.col("headings"), n).alias(t) for n, t in enumerate(TOPICS)],
     )
 
 

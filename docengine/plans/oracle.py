@@ -308,9 +308,8 @@ ORACLE = {
         from doc_lines""",
     "topic_texts": f"""with {SLICES},
         body_lines as (
-          select doc_id, line, row_number() over (partition by doc_id order by n) - 1 as h
-          from report_lines
-          where regexp_matches(line, '^[0-9]+\\. ') and not regexp_matches(line, '\\.{{5,}} [0-9]+$')),
+          select doc_id, title as line, row_number() over (partition by doc_id order by n) - 1 as h
+          from headed where title is not null),
         wanted as (
           select distinct doc_id, line, lower(replace({normalized('line')}, '.', '')) as key
           from body_lines),
@@ -457,13 +456,12 @@ ORACLE = {
           {TURN_TEXT} || ', 2 B' as topic_2, null::varchar as topic_3, role as topic_4,
           null::varchar as topic_5, null::varchar as topic_6
         from conversations""",
-    "requested_sections": f"""with {REPORTS},
+    "requested_sections": f"""with {LINES},
         body_lines as (
-          select doc_id, doc_key, line, row_number() over (partition by doc_id order by n) - 1 as h
-          from reports, unnest(string_split(text, {NL})) with ordinality u(line, n)
-          where regexp_matches(line, '^[0-9]+\\. ') and not regexp_matches(line, '\\.{{5,}} [0-9]+$'))
-        select doc_id as species_id, doc_key, (h % 7)::int as topic, (h // 7)::int as pos,
-               {strip('line')} as section from body_lines""",
+          select doc_id, title, row_number() over (partition by doc_id order by n) - 1 as h
+          from headed where title is not null)
+        select doc_id as species_id, 'doc_' || doc_id as doc_key, (h % 7)::int as topic,
+               (h // 7)::int as pos, title as section from body_lines""",
     "bundle_topics": f"with {BUNDLES} select * from bundles",
     "summary_requests": f"""with {BUNDLES}
         select species_id, kind, chunk, md5(prompt) as prompt from summary_requests""",

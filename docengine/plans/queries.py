@@ -103,8 +103,7 @@ def normalized_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topic_texts_wide(spark: SparkSession, sf: str) -> DataFrame:
-    reports = I.reports(spark, sf)
-    wide = topic_texts(I.asked_topics(reports), with_toc(reports))
+    wide = topic_texts(I.asked_topics(spark, sf), with_toc(I.reports(spark, sf)))
     return wide.select(
         "species_id", *[F.col(f"`{t}_text`").alias(f"text_{n}") for n, t in enumerate(TOPICS)]
     )
@@ -461,7 +460,7 @@ def parsed_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def asked_sections(spark: SparkSession, sf: str) -> DataFrame:
-    return requested_sections(I.asked_topics(I.reports(spark, sf)))
+    return requested_sections(I.asked_topics(spark, sf))
 
 
 def merged_summaries(spark: SparkSession, sf: str) -> DataFrame:
