@@ -15,10 +15,13 @@ STRICT = {"allowSingleQuotes": "false"}
 
 def _only(c: Column, item: str) -> Column:
     """The text as one JSON value of type `item`; null for more, less or other."""
-    listed = F.from_json(
-        F.concat(F.lit("["), c, F.lit("]")), f"array<{item}>", STRICT
+    return _sole(
+        F.from_json(F.concat(F.lit("["), c, F.lit("]")), f"array<{item}>", STRICT)
     )
-    return let(listed, lambda a: F.when(F.size(a) == 1, F.get(a, F.lit(0))))
+
+
+def _sole(items: Column) -> Column:
+    return let(items, lambda a: F.when(F.size(a) == 1, F.get(a, F.lit(0))))
 
 
 def fence(c: Column) -> Column:
@@ -29,7 +32,7 @@ def parse_object(c: Column, item: str = "map<string,variant>") -> Column:
     """Response to a map; a fenced list holding one object is unwrapped."""
     return F.coalesce(
         _only(c, item),
-        let(fence(c), lambda f: F.coalesce(_only(f, item), _only(f, f"array<{item}>")[0])),
+        let(fence(c), lambda f: F.coalesce(_only(f, item), _sole(_only(f, f"array<{item}>")))),
     )
 
 

@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,12 +15,13 @@ SMALL_FILE = 256 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach; only an unset one (tests) becomes a local folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="docengine-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """Folder all executors reach; only where none is named (tests) a local one."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="docengine-")
 
 
 def null_tokens(df: DataFrame, tokens: list[str] = NULL_TOKENS) -> DataFrame:
@@ -64,16 +66,18 @@ def write_csv(
 ) -> None:
     """CSV with a header; lists become text, joined by `", "` unless told otherwise."""
     delimiters = delimiters or {}
-    flat = df.select(
-        *[
-            F.array_join(F.col(f"`{f.name}`"), delimiters.get(f.name, ", ")).alias(f.name)
-            if isinstance(f.dataType, T.ArrayType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+
+    def cell(f: T.StructField):
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.ArrayType):
+            c = F.array_join(c, delimiters.get(f.name, ", "))
+        elif isinstance(f.dataType, T.BooleanType):
+            c = F.initcap(c.cast("string"))
+        return c.alias(f.name)
+
     (
-        flat.write.mode("overwrite")
+        df.select(*[cell(f) for f in df.schema.fields])
+        .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("emptyValue", "")

@@ -1,0 +1,231 @@
+"""Routing, requests and responses, topic texts and summaries."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from docengine.functions.fixed_values import DESCRIPTION_FIELD, SHOWCASE_COLUMNS, THREAT_FIELD, TOPICS
+from docengine.operators.exchange import (
+    clean_requests,
+    combine_responses,
+    parse_responses,
+    parse_topics,
+    section_requests,
+    summary_requests,
+)
+from docengine.operators.routing import needs_enrichment, route_documents
+from docengine.operators.showcase import bundle_topics, showcase, summaries
+from docengine.operators.toc import with_toc
+from docengine.operators.topics import requested_sections, topic_texts
+
+FENCE = "```json\n{}\n```"
+
+
+@pytest.mark.parametrize(
+    "response, desc, threat",
+    [
+        ('{"Desc":"d","Threat":["a","b"]}', "d", "a, b"),
+        ("text " + FENCE.format('{"Desc":"d","Threat":"t"}') + " end", "d", "t"),
+        (FENCE.format('{"Desc":["d","e"],"Threat":"t"}'), "d, e", "t"),
+        (FENCE.format('[{"Desc":"d","Threat":"t"}]'), "d", "t"),
+        (FENCE.format("[]"), "NA", "NA"),
+        (FENCE.format('[{"Desc":"d"},{"Desc":"e"}]'), "NA", "NA"),
+        ("no json here", "NA", "NA"),
+        (FENCE.format('{"Desc": oops}'), "NA", "NA"),
+        ('{"Desc":5,"Threat":true}', "5", "true"),
+        ('{"Desc":"NA",}', "NA", "NA"),
+        ('{"Desc":"d"}', "d", "NA"),
+        ('{"Desc":null,"Threat":1.5}', "NA", "1.5"),
+        ('{"Desc":"d"} and more', "NA", "NA"),
+        ('{"Desc":"a","Desc":"b","Threat":"[\\"x\\"]"}', "b", '["x"]'),
+        ('{"Desc":["a",1],"Threat":"t"}', "NA", "NA"),
+        ("", "NA", "NA"),
+        (None, "NA", "NA"),
+    ],
+)
+def test_response_fields(spark, response, desc, threat):
+    df = spark.createDataFrame([(1, response)], "species_id int, response string")
+    out = parse_responses(df, ["Desc", "Threat"]).collect()[0]
+    assert (out["Desc"], out["Threat"]) == (desc, threat)
+
+
+@pytest.mark.parametrize(
+    "response, ohud, uuringud",
+    [
+        ('{"Lind":[{"Ohud":["1 A","2 B"]},{"Uuringud":["3 C"]}]}', ["1 A", "2 B"], ["3 C"]),
+        ("x " + FENCE.format('{"L":[{"Ohud":["1, A"]}]}'), ["1, A"], None),
+        ('{"L":[{"Ohud":["old"]},{"Ohud":["new"]}],"M":[{"Uuringud":["x"]}]}', ["new"], None),
+        ('{"L":[{"Ohud":"[x] y"}]}', ["[x] y"], None),
+        ('[{"Ohud":["x"]}]', None, None),
+        ("nothing", None, None),
+        ("{}", None, None),
+    ],
+)
+def test_topics(spark, response, ohud, uuringud):
+    df = spark.createDataFrame([(1, response)], "species_id int, response string")
+    out = parse_topics(df).collect()[0]
+    assert (out["Ohud"], out["Uuringud"], out["Elupaik"]) == (ohud, uuringud, None)
+
+
+def test_combine(spark):
+    df = spark.createDataFrame(
+        [(1, "passages", 1, "b "), (1, "passages", 0, " a"), (1, "topics", 0, "x"), (2, "passages", 10, "k"),
+         (2, "passages", 9, "j")],
+        "species_id int, kind string, chunk int, response string",
+    )
+    out = {r[0]: r[1] for r in combine_responses(df).collect()}
+    assert out == {1: "a\nb", 2: "j\nk"}
+
+
+TOC = "Sisukord\n1. Merikotkas ..... 3\n2. Muu ..... 5\nbody"
+
+ROUTES = [
+    # name, file, present, text, route
+    ("merikotkas", "merikotkas.pdf", False, TOC, "TOC_SINGLE"),
+    ("merikotkas", "plan.pdf", False, TOC, "TOC_MULTI"),
+    ("ilves", "plan.pdf", True, TOC, "TOC_SINGLE"),
+    ("ilves", "plan.pdf", None, TOC, "SNIPPETS"),
+    ("MERIKOTKAS", "Merikotka.pdf", False, "no list", "WHOLE_TEXT"),
+    ("ilves", "plan.pdf", True, "no list", "SNIPPETS"),
+    ("ilves", "absent.pdf", True, None, None),
+    ("ilves", None, False, None, None),
+]
+
+
+def routed(spark, **settings):
+    entities, docs = [], []
+    for i, (name, file, present, text, _) in enumerate(ROUTES):
+        entities.append((i, name, file and f"{i}/{i}{file}", present))
+        if text is not None:
+            docs.append((f"{i}{file}".removesuffix(".pdf"), text))
+    return route_documents(
+        spark.createDataFrame(
+            entities,
+            "species_id int, `Estonian Name` string, strategy_file string, strategy_present boolean",
+        ),
+        with_toc(spark.createDataFrame(docs, "doc_key string, text string")),
+        **settings,
+    )
+
+
+def test_routes(spark):
+    out = {r["species_id"]: r for r in routed(spark).collect()}
+    for i, (*_, expected) in enumerate(ROUTES):
+        assert out[i]["route"] == expected
+        assert out[i]["Analyze_by_sisukord"] == (
+            None if expected is None else expected.startswith("TOC"))
+    assert out[4]["reading"] == "no list"
+    assert out[0]["reading"] is None
+
+
+def test_needs_enrichment(spark):
+    df = spark.createDataFrame(
+        [(1, None, "x"), (2, "x", None), (3, "x", "y"), (4, None, None)],
+        "species_id int, Kirjeldus string, `Ohutegurite kirjeldus` string",
+    )
+    assert {r[0] for r in needs_enrichment(df).collect()} == {1, 2, 4}
+    assert {r[0] for r in needs_enrichment(df.drop("Kirjeldus")).collect()} == {2, 4}
+
+
+def test_section_requests(spark):
+    df = spark.createDataFrame(
+        [
+            (1, "kotkas", "TOC_MULTI", "1. A ..... 3", None),
+            (2, "kotkas", "TOC_SINGLE", "1. A ..... 3", None),
+            (3, "kotkas", "SNIPPETS", None, "aa bb\ncc"),
+            (4, "kotkas", "WHOLE_TEXT", None, "text"),
+            (5, "kotkas", None, None, None),
+        ],
+        "species_id int, `Estonian Name` string, route string, toc_text string, reading string",
+    )
+    out = section_requests(df, limit=4).orderBy("species_id", "chunk").collect()
+    assert [(r["species_id"], r["kind"], r["chunk"]) for r in out] == [
+        (1, "topics", 0), (2, "topics", 0), (3, "passages", 0), (3, "passages", 1)]
+    multi, single, first, second = [r["prompt"] for r in out]
+    assert multi.startswith("Kasutades järgnevat sisukorda:\n\n1. A ..... 3\n\nPalun")
+    assert '   "kotkas": [\n' in multi and "linnuga kotkas ja" in multi
+    assert '   "Lind": [\n' in single and "kotkas" not in single
+    for prompt in (multi, single):
+        block = prompt.split("```json\n")[1].split("\n```")[0]
+        assert [list(t)[0] for t in list(json.loads(block).values())[0]] == TOPICS
+    assert first.split("\n")[1].endswith("linnuga 'kotkas', ja kombineeri need.")
+    assert first.rstrip().endswith("aa bb") and second.rstrip().endswith("cc")
+    assert first.startswith("\n        Otsi") and first.endswith("\n        ")
+
+
+def test_clean_requests(spark):
+    df = spark.createDataFrame([(1, True, "x"), (2, False, "y")], "doc_id int, scanned boolean, text string")
+    out = clean_requests(df).collect()
+    assert [(r["doc_id"], r["kind"], r["prompt"][-3:]) for r in out] == [(1, "clean", "\n\nx")]
+
+
+REPORT = (
+    "Sisukord\n1. Alpha ..... 1\n2. Beta ..... 2\n3. Gamma, delta ..... 3\n"
+    "1. Alpha\nalpha text\n2. Beta\nbeta text\n3. Gamma, delta\ngamma text"
+)
+
+
+def sectioned(spark):
+    topics = ", ".join(f"`{t}` array<string>" for t in TOPICS)
+    none = [None] * 5
+    return spark.createDataFrame(
+        [
+            (1, "r.pdf", True, ["2. Beta", "nope", "1. Alpha", "2. Beta"], ["3. Gamma, delta"], *none, "kept?"),
+            (2, "r.pdf", False, ["2. Beta"], None, *none, "kept"),
+            (3, "none.pdf", True, ["2. Beta"], None, *none, None),
+            (4, None, None, None, None, *none, None),
+        ],
+        f"species_id int, strategy_file string, Analyze_by_sisukord boolean, {topics}, `Kokkuvõte_text` string",
+    )
+
+
+def test_topic_texts(spark):
+    docs = with_toc(spark.createDataFrame([("r", REPORT)], "doc_key string, text string"))
+    out = {r["species_id"]: r for r in topic_texts(sectioned(spark), docs).collect()}
+    beta, alpha = "2. beta\nbeta text", "1. alpha\nalpha text"
+    assert out[1]["Elupaik_text"] == "\n".join([beta, alpha, beta])
+    assert out[1]["Elupaiga seisund_text"] == "3. gamma, delta\ngamma text"
+    assert out[1]["Ohud_text"] == "" and out[1]["Kokkuvõte_text"] == ""
+    assert out[2]["Elupaik_text"] is None and out[2]["Kokkuvõte_text"] == "kept"
+    assert out[3]["Elupaik_text"] == "" and out[4]["Elupaik_text"] is None
+
+
+def test_requested_sections(spark):
+    out = requested_sections(sectioned(spark)).filter("species_id = 1").collect()
+    assert sorted((r["topic"], r["pos"], r["section"]) for r in out) == [
+        (0, 0, "2. Beta"), (0, 1, "nope"), (0, 2, "1. Alpha"), (0, 3, "2. Beta"),
+        (1, 0, "3. Gamma, delta")]
+
+
+def test_bundles_and_summaries(spark):
+    st7 = spark.createDataFrame(
+        [(1, True, "e", None, "s", "es", "o", "w"), (2, False, None, None, None, None, None, "whole"),
+         (3, None, None, None, None, None, None, None), (4, True, "x", None, None, None, None, None)],
+        "species_id int, Analyze_by_sisukord boolean, Elupaik_text string,"
+        " `Populatsiooni muutused Eestis_text` string, `Seisund ELis_text` string,"
+        " `Elupaiga seisund_text` string, Ohud_text string, `Kokkuvõte_text` string",
+    )
+    bundles = {r["species_id"]: r for r in bundle_topics(st7).collect()}
+    assert (bundles[1]["bundle_0"], bundles[1]["bundle_1"]) == ("e  s", "es o")
+    assert (bundles[3]["bundle_0"], bundles[3]["whole_text"]) == ("  ", "")
+    requests = summary_requests(bundle_topics(st7)).collect()
+    assert sorted((r["species_id"], r["kind"], r["chunk"]) for r in requests) == [
+        (1, "section", 0), (1, "section", 1), (2, "summary", 0), (3, "summary", 0),
+        (4, "section", 0), (4, "section", 1)]
+    prompt = next(r["prompt"] for r in requests if r["species_id"] == 2)
+    assert "\n\nwhole\n\nStruktuur" in prompt and prompt.endswith('": "NA",\n}\n')
+    answers = spark.createDataFrame(
+        [(1, "section", 1, " threat \n"), (1, "section", 0, "descr"),
+         (2, "summary", 0, json.dumps({DESCRIPTION_FIELD: "D", THREAT_FIELD: ["t", "u"]})),
+         (4, "section", 0, "only")],
+        "species_id int, kind string, chunk int, response string",
+    )
+    out = {r["species_id"]: (r[DESCRIPTION_FIELD], r[THREAT_FIELD]) for r in summaries(st7, answers).collect()}
+    assert out == {1: ("descr", "threat"), 2: ("D", "t, u"), 3: ("NA", "NA"), 4: ("only", "NA")}
+
+
+def test_showcase_columns(spark):
+    names = ["extra", *reversed(SHOWCASE_COLUMNS)]
+    df = spark.range(1).select(*[F.lit(n).alias(n) for n in names])
+    assert showcase(df).columns == SHOWCASE_COLUMNS
