@@ -282,12 +282,15 @@ def text_between(text: Column, start: Column, end: Column) -> Column:
     Without `end`, or when it does not follow, the rest of the text is taken.
     """
 
-    def cut(at: Column) -> Column:
+    def cut(rest: Column) -> Column:
         return let(
-            F.when(F.coalesce(end, F.lit("")) != "", F.position(end, text, at)),
-            lambda stop: F.when(stop > 0, F.substr(text, at, stop - at)).otherwise(
-                F.substr(text, at)
+            F.when(F.coalesce(end, F.lit("")) != "", F.position(end, rest)),
+            lambda stop: F.when(stop > 0, F.substr(rest, F.lit(1), stop - 1)).otherwise(
+                rest
             ),
         )
 
-    return let(F.position(start, text), lambda at: F.when(at > 0, cut(at)))
+    return let(
+        F.position(start, text),
+        lambda at: F.when(at > 0, let(F.substr(text, at), cut)),
+    )

@@ -13,7 +13,7 @@ from docengine.functions.fixed_values import (
     THREAT_FIELD,
     TOPICS,
 )
-from docengine.functions.text import let, split_words
+from docengine.functions.text import NOT_WS, WS, let, strip
 from docengine.operators.rows import clean_rows, extract_rows
 from docengine.sources.tables import read_spread
 
@@ -23,16 +23,14 @@ LAW_SECTIONS = [(None, "para4", "I"), (None, "lg11", "II"), (None, "lg5", "III")
 
 def heading(line: Column, i: Column) -> Column:
     """Line number, line and, from three words on, the line's heading."""
+    three = rf"^{WS}*+{NOT_WS}++{WS}++{NOT_WS}++{WS}++{NOT_WS}++"
     return let(
-        split_words(line),
-        lambda w: F.struct(
+        strip(F.regexp_replace(F.regexp_extract(line, three, 0), WS + "+", " ")),
+        lambda words: F.struct(
             (i + 1).alias("n"),
             line.alias("line"),
             F.when(
-                F.size(w) >= 3,
-                F.concat(
-                    (i + 1).cast("string"), F.lit(". "), F.array_join(F.slice(w, 1, 3), " ")
-                ),
+                words != "", F.concat((i + 1).cast("string"), F.lit(". "), words)
             ).alias("title"),
         ),
     )

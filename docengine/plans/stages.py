@@ -1,11 +1,11 @@
 """The stages, in the order their data depend on one another.
 
 Each stage is a function of tables.  `run_stages` chains them; with a folder it writes
-every stage table there once and goes on from the written table, so that a lost
-executor or a restart costs one stage at most.
+stage tables there once and goes on from the written table, so that a lost executor or a
+restart costs one stage at most.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,17 +122,20 @@ def run_stages(
     answer_summaries: Answer,
     sections=tuple(SECTIONS),
     folder: str | None = None,
+    written: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
     """All stage tables by name, with both request tables and the showcase.
 
     `documents(doc_key, text)` are finished texts, used for choosing a document as
     well as for reading it.  `answer_sections(requests, routed)` and
     `answer_summaries(requests, texts)` give the response tables, usually by reading
-    what an outside service has written.
+    what an outside service has written.  With a folder, the stages named in `written`
+    go there, or all when none are named; the others stay part of the plan.
     """
 
     def stage(df: DataFrame, name: str) -> DataFrame:
-        return write_stage(df, folder, name) if folder else df
+        keep = folder and (written is None or name in written)
+        return write_stage(df, folder, name) if keep else df
 
     out = {}
     out["documents"] = with_contents = stage(with_toc(documents), "documents")
