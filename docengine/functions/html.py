@@ -4,6 +4,7 @@ Blocks are found by pattern, which is right for tables that are not nested.  Pag
 with unclosed tags elsewhere do no harm, as only the asked-for blocks are read.
 """
 
+import html
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -17,9 +18,26 @@ _NAMED = "\x02".join(
 )
 
 
+# What the numbers 128 to 159 stand for in pages.
+_LATE_CONTROLS = "".join(html.unescape(f"&#{c};") for c in range(128, 160))
+_REPLACEMENT = "\ufffd"
+
+
 def _char(code: Column) -> Column:
-    """Character of a code point."""
-    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
+    """Character of a code point; no such character gives the replacement character."""
+
+    def pick(n: Column) -> Column:
+        surrogate = n.between(0xD800, 0xDFFF)
+        return (
+            F.when(n.between(128, 159), F.substr(F.lit(_LATE_CONTROLS), n - 127, F.lit(1)))
+            .when((n < 1) | (n > 0x10FFFF) | surrogate, _REPLACEMENT)
+            .when(
+                n.isNotNull(),
+                F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32"),
+            )
+        )
+
+    return let(code.cast("int"), pick)
 
 
 def unescape(c: Column) -> Column:
@@ -29,9 +47,9 @@ def unescape(c: Column) -> Column:
     def decode(piece: Column) -> Column:
         def replace(name: Column) -> Column:
             number = F.when(
-                F.rlike(name, F.lit("^#[xX][0-9a-fA-F]{1,6}$")),
+                F.rlike(name, F.lit("^#[xX][0-9a-fA-F]{1,7}$")),
                 F.conv(F.substr(name, F.lit(3)), 16, 10),
-            ).when(F.rlike(name, F.lit("^#[0-9]{1,7}$")), F.substr(name, F.lit(2)))
+            ).when(F.rlike(name, F.lit("^#[0-9]{1,9}$")), F.substr(name, F.lit(2)))
             char = F.when(name == "", None).otherwise(
                 F.coalesce(F.try_element_at(named, name), _char(number))
             )

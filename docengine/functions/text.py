@@ -191,13 +191,20 @@ def chunk_words(text: Column, limit: int = 128000) -> Column:
 
 
 def table_of_contents(
-    text: Column, marker: str = "Sisukord", max_miss: int = 10
+    text: Column,
+    marker: str = "Sisukord",
+    max_miss: int = 10,
+    late_count: bool = False,
 ) -> Column:
     """`struct<first, last, entries>` of the contents list, null when there is none.
 
     From the marker on, lines ending in leader dots and a page number are kept,
     until more than `max_miss` other non-blank lines follow one another.  `first`
     is the marker's line and `last` that of the last entry, counted from 1.
+
+    With `late_count`, `last` is one higher, and both are one higher again when the
+    marker stands inside a line.  This is how the lists were counted originally; it
+    costs the text the line after the list.
     """
 
     def entries(lines: Column) -> Column:
@@ -233,7 +240,15 @@ def table_of_contents(
         return let(hits, until_gap)
 
     def build(at: Column) -> Column:
-        first = F.size(split_lines(F.substr(text, F.lit(1), at - 1)))
+        before = split_lines(F.substr(text, F.lit(1), at - 1))
+        first = F.size(before)
+        late = 0
+        if late_count:
+            first = let(
+                before,
+                lambda b: F.size(b) + F.when(F.element_at(b, -1) == "", 0).otherwise(1),
+            )
+            late = 1
         kept = entries(split_lines(F.substr(text, at)))
         return let(
             first,
@@ -243,11 +258,11 @@ def table_of_contents(
                     F.size(kept) > 0,
                     F.struct(
                         first.alias("first"),
-                        (first + F.element_at(kept, -1)["i"]).alias("last"),
+                        (first + F.element_at(kept, -1)["i"] + late).alias("last"),
                         F.transform(
                             kept,
                             lambda e: F.struct(
-                                (first + e["i"]).alias("line"),
+                                (first + e["i"] + late).alias("line"),
                                 e["raw"].alias("raw"),
                                 normalize_line(e["raw"]).alias("title"),
                             ),

@@ -97,7 +97,10 @@ def candidate_files(entities: DataFrame, key: str = "species_id") -> DataFrame:
 def mention_counts(
     pairs: DataFrame, documents: DataFrame, key: str = "species_id"
 ) -> DataFrame:
-    """`(key, pos, n)`: how often the name occurs in the document; none → no row."""
+    """`(key, pos, n)`: how often the name occurs in the document.
+
+    A document without text, or not there at all, gives no row.
+    """
     return (
         pairs.join(documents.select("doc_key", "text"), "doc_key")
         .select(key, "pos", count_mentions(F.col("text"), F.col("name")).alias("n"))

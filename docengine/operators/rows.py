@@ -55,7 +55,7 @@ def clean_rows(rows: DataFrame) -> DataFrame:
         "page_id",
         "section",
         "pos",
-        clean_name(strip(F.col("cells")[0])).alias(name),
-        clean_latin(strip(F.btrim(F.col("cells")[1], F.lit(";")))).alias(latin),
+        clean_name(strip(F.get("cells", F.lit(0)))).alias(name),
+        clean_latin(strip(F.btrim(F.get("cells", F.lit(1)), F.lit(";")))).alias(latin),
         F.col("category").alias(category),
     )

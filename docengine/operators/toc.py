@@ -17,14 +17,17 @@ from docengine.operators.columns import unfold
 
 
 def with_toc(
-    documents: DataFrame, marker: str = TOC_MARKER, max_miss: int = TOC_MAX_MISS
+    documents: DataFrame,
+    marker: str = TOC_MARKER,
+    max_miss: int = TOC_MAX_MISS,
+    late_count: bool = False,
 ) -> DataFrame:
     """Add `toc`, a struct of first line, last line and entries, or null.
 
     The scan runs inside each document's row, so no text is moved between tasks.
     """
     return documents.withColumn(
-        "toc", table_of_contents(F.col("text"), marker, max_miss)
+        "toc", table_of_contents(F.col("text"), marker, max_miss, late_count)
     )
 
 

@@ -519,8 +519,8 @@ ORACLE["showcase_end_to_end"] = f"""with {SLICES}, {PROFILES},
     index_first as (select name, min(species_id) as first from index_rows group by name),
     linked as (
       select kv.*, coalesce('/lnim/' || a.first, '/lnim/' || b.first, 'NotFound') as link
-      from kv left join index_first a on a.name = kv.name || ' (' || kv.latin || ')'
-      left join index_first b on b.name = kv.name),
+      from kv left join index_first a on a.name = nullif(kv.name, '') || ' (' || nullif(kv.latin, '') || ')'
+      left join index_first b on b.name = nullif(kv.name, '')),
     profiled as (
       select species_id, page_id, number, pos, split_part(species_id, '-', 2) as section,
         nullif(name, '') as name, nullif(latin, '') as latin, category, link, grp,

@@ -35,11 +35,14 @@ from docengine.operators.rows import clean_rows, extract_rows
 from docengine.operators.showcase import bundle_topics, showcase, summaries
 from docengine.operators.toc import with_toc
 from docengine.operators.topics import topic_texts
-from docengine.sources.tables import null_tokens, write_stage
+from docengine.sources.tables import null_tokens, write_csv, write_stage
 
 
 Answer = Callable[[DataFrame, DataFrame], DataFrame]
 
+# Stage tables that a later stage reads.
+HANDED_OVER = ("st1", "st2", "st3", "st4", "st5", "st6", "st7")
+
 
 def species_list(pages: DataFrame, sections=tuple(SECTIONS)) -> DataFrame:
     """st1: names and category out of law pages, keyed by place of origin."""
@@ -55,9 +58,7 @@ def linked_list(species: DataFrame, index: DataFrame) -> DataFrame:
 
 def profiles(linked: DataFrame, registry_pages: DataFrame) -> DataFrame:
     """st3: with registry values, of the kept group only."""
-    return null_tokens(
-        enrich_kv(linked, page_key_values(registry_pages), plan_files(registry_pages))
-    )
+    return enrich_kv(linked, page_key_values(registry_pages), plan_files(registry_pages))
 
 
 def with_candidates(profiled: DataFrame, candidates: DataFrame) -> DataFrame:
@@ -134,6 +135,8 @@ def run_stages(
     """
 
     def stage(df: DataFrame, name: str) -> DataFrame:
+        # Handed-over cells that a table reader takes as null are null from here on.
+        df = null_tokens(df) if name in HANDED_OVER else df
         keep = folder and (written is None or name in written)
         return write_stage(df, folder, name) if keep else df
 
@@ -156,3 +159,9 @@ def run_stages(
     out["st8"] = stage(summarized(out["st7"], responses), "st8")
     out["showcase"] = stage(showcase(out["st8"]), "showcase")
     return out
+
+
+def export_stages(tables: dict[str, DataFrame], folder: str) -> None:
+    """Stage tables and showcase as CSV folders, lists of files joined by `"; "`."""
+    for name in (*HANDED_OVER, "st8", "showcase"):
+        write_csv(tables[name], f"{folder.rstrip('/')}/{name}", {"strategy_file": "; "})

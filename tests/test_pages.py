@@ -52,7 +52,7 @@ def test_repeated_rows_are_kept(spark):
 def test_unescape_equals_standard_library(spark):
     rnd = random.Random(7)
     parts = ["&amp;", "&lt;", "&otilde;", "&#228;", "&#xE4;", "&#x1F600;", "&", ";", "&bogus;",
-             "x", " ", "&quot;", "&nbsp;", "&amp;lt;", "&&amp;"]
+             "x", " ", "&#150;", "&#0;", "&#55296;", "&#1114112;", "&#xD800;", "&quot;", "&nbsp;", "&amp;lt;", "&&amp;"]
     values = ["".join(rnd.choices(parts, k=rnd.randint(0, 8))) for _ in range(300)]
     df = spark.createDataFrame(list(enumerate(values)), "i int, t string")
     got = [r["v"] for r in df.select("i", html.unescape(F.col("t")).alias("v")).orderBy("i").collect()]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docengine.plans.oracle import ORACLE
 from docengine.plans.queries import QUERIES, stage_tables
+from docengine.plans.stages import export_stages
 
 SF = "/root/testdata/sf0.001"
 TABLES = [name.removesuffix(".parquet") for name in sorted(os.listdir(SF))]
@@ -101,3 +102,13 @@ def test_stages_without_a_folder_are_one_lazy_plan(spark, tmp_path):
         assert lazy[name].dtypes == written[name].dtypes
     same = [comparable(map(str, t["showcase"].collect())) for t in (lazy, written)]
     assert same[0] == same[1] and same[0]
+
+
+def test_stages_export_as_csv(spark, tmp_path):
+    export_stages(stage_tables(spark, SF, str(tmp_path / "stages")), str(tmp_path / "csv"))
+    names = [f"st{n}" for n in range(1, 9)] + ["showcase"]
+    assert sorted(os.listdir(tmp_path / "csv")) == sorted(names)
+    st4 = spark.read.option("header", True).csv(str(tmp_path / "csv" / "st4"))
+    assert len(st4.columns) == 19
+    assert st4.filter("strategy_file like '%.pdf; %.pdf'").count() > 0
+    assert {r[0] for r in st4.select("strategy_present").distinct().collect()} == {"True", "False"}

@@ -49,6 +49,22 @@ def test_scan(spark, text, expected):
     assert scan(spark, text) == expected
 
 
+@pytest.mark.parametrize(
+    "text, first, last",
+    [
+        ("Title\nX\nSisukord\n1. A ......... 3\n\n2. B ........ 5\nbody a\nbody b", 3, 7),
+        (STOP, 1, 3),
+        (TEN, 1, 14),
+        ("Sisukord\n1. A ..... 3\n\f2. B ...... 4\nz", 1, 5),
+        ("Sisukord\n1. A .... 3\n2. B ..... 4 \n3. C ..... 5", 1, 5),
+        ("x\nsee Sisukord\n1. A ..... 3", 3, 5),
+    ],
+)
+def test_late_count(spark, text, first, last):
+    toc = with_toc(docs(spark, text), late_count=True).select("toc").collect()[0]["toc"]
+    assert (toc["first"], toc["last"]) == (first, last)
+
+
 def test_scan_equals_line_by_line_model(spark):
     rnd = random.Random(5)
     kinds = ["T {} ..... {}", "plain {} {}", "", "   ", "x .... {}{}", "T {}......{}"]
