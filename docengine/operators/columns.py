@@ -27,6 +27,22 @@ def unfold(df: DataFrame, keep: list, items: Column, by: str) -> DataFrame:
     return df.select(*keep, F.inline_outer(items)).filter(F.col(by).isNotNull())
 
 
+def salted_left_join(
+    left: DataFrame, right: DataFrame, by: Column, key: str, row_key: str, salts: int = 8
+) -> DataFrame:
+    """Left join of `by` to the unique column `key` of a narrow table, hot keys split.
+
+    Rows of one key go to `salts` tasks, by their row key, so that a repeated task deals
+    them out alike; `right` is copied once per salt.  `key` is dropped.
+    """
+    spread = left.withColumn("_salt", F.pmod(F.xxhash64(row_key), F.lit(salts)))
+    copies = right.withColumn(
+        "_copy", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)]))
+    )
+    same = (by == F.col(key)) & (F.col("_salt") == F.col("_copy"))
+    return spread.join(copies, same, "left").drop(key, "_salt", "_copy")
+
+
 def ragged_union(*frames: DataFrame) -> DataFrame:
     """Append frames with different columns; what a frame lacks is null."""
     out = frames[0]

@@ -17,17 +17,19 @@ from docengine.functions.fixed_values import (
     PROFILE_KEYS,
 )
 from docengine.functions.text import full_name
-from docengine.operators.columns import col_or, unfold
+from docengine.operators.columns import col_or, salted_left_join, unfold
 
 
 def lookup_links(
-    entities: DataFrame, index: DataFrame, sentinel: str = NOT_FOUND
+    entities: DataFrame,
+    index: DataFrame,
+    sentinel: str = NOT_FOUND,
+    key: str = "species_id",
 ) -> DataFrame:
     """Add the link found by `"name (latin)"`, else by name, else `sentinel`.
 
     `index(name, pos, link)` may hold a name many times; its first link counts.  That
-    is reduced map-side, so a hot name costs no more than others, and the entity side
-    of each join can be split by adaptive execution.
+    is reduced map-side.  Entities that share a hot name are dealt out to several tasks.
     """
     first = index.groupBy("name").agg(F.min_by("link", "pos").alias("link"))
     by_full = first.select(
@@ -37,14 +39,11 @@ def lookup_links(
         F.col("name").alias("_name"), F.col("link").alias("_by_name")
     )
     full = full_name(F.col("Estonian Name"), F.col("Latin Name"))
-    return (
-        entities.join(by_full, full == F.col("_full"), "left")
-        .join(by_name, F.col("Estonian Name") == F.col("_name"), "left")
-        .withColumn(
-            LINK_COLUMN, F.coalesce("_by_full", "_by_name", F.lit(sentinel))
-        )
-        .drop("_full", "_by_full", "_name", "_by_name")
-    )
+    found = salted_left_join(entities, by_full, full, "_full", key)
+    found = salted_left_join(found, by_name, F.col("Estonian Name"), "_name", key)
+    return found.withColumn(
+        LINK_COLUMN, F.coalesce("_by_full", "_by_name", F.lit(sentinel))
+    ).drop("_by_full", "_by_name")
 
 
 def page_key_values(

@@ -519,11 +519,9 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stage_tables(
-    spark: SparkSession, sf: str, folder: str | None = None, written=None
+    spark: SparkSession, sf: str, folder: str, written=None
 ) -> dict[str, DataFrame]:
-    species = I.species_rows(spark, sf)
-    if folder:
-        species = write_stage(species, folder, "species")
+    species = write_stage(I.species_rows(spark, sf), folder, "species")
     return run_stages(
         I.law_pages(spark, sf),
         I.name_index(species),
@@ -532,8 +530,8 @@ def stage_tables(
         I.reports(spark, sf),
         I.answer_sections,
         I.answer_summaries,
-        I.LAW_SECTIONS,
         folder,
+        I.LAW_SECTIONS,
         written,
     )
 

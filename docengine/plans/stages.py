@@ -1,8 +1,8 @@
 """The stages, in the order their data depend on one another.
 
-Each stage is a function of tables.  `run_stages` chains them; with a folder it writes
-stage tables there once and goes on from the written table, so that a lost executor or a
-restart costs one stage at most.
+Each stage is a function of tables.  `run_stages` chains them.  It writes a stage's table
+once, to a folder all executors reach, and goes on from the written table, so that a lost
+executor or a restart costs one stage at most.
 """
 
 from collections.abc import Callable, Collection
@@ -121,8 +121,8 @@ def run_stages(
     documents: DataFrame,
     answer_sections: Answer,
     answer_summaries: Answer,
+    folder: str,
     sections=tuple(SECTIONS),
-    folder: str | None = None,
     written: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
     """All stage tables by name, with both request tables and the showcase.
@@ -130,14 +130,15 @@ def run_stages(
     `documents(doc_key, text)` are finished texts, used for choosing a document as
     well as for reading it.  `answer_sections(requests, routed)` and
     `answer_summaries(requests, texts)` give the response tables, usually by reading
-    what an outside service has written.  With a folder, the stages named in `written`
-    go there, or all when none are named; the others stay part of the plan.
+    what an outside service has written.  Stages named in `written` go to the folder, or
+    all when none are named.  The others stay part of the plan; tables that more than one
+    later stage reads should be written, or their plan is repeated in each.
     """
 
     def stage(df: DataFrame, name: str) -> DataFrame:
         # Handed-over cells that a table reader takes as null are null from here on.
         df = null_tokens(df) if name in HANDED_OVER else df
-        keep = folder and (written is None or name in written)
+        keep = written is None or name in written
         return write_stage(df, folder, name) if keep else df
 
     out = {}

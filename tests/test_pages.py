@@ -110,6 +110,28 @@ def test_lookup(spark):
     assert out == {1: "first", 2: "plain b", 3: "NotFound", 4: "plain a", 5: "NotFound"}
 
 
+def test_lookup_splits_a_hot_name(spark):
+    """A third of all entities share one name; its rows go to several partitions."""
+    entities = spark.range(3000).selectExpr(
+        "id as species_id", "if(id % 3 = 0, 'hot', concat('n', id)) as `Estonian Name`", "'x' as `Latin Name`"
+    )
+    index = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('n', id)) as name", "id as pos", "concat('/', id) as link"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = lookup_links(entities, index)
+        rows = out.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    hot = [r for r in rows if r["Estonian Name"] == "hot"]
+    assert len(rows) == 3000 and {r["EELIS link"] for r in hot} == {"/0"}
+    assert len({r["part"] for r in hot}) > 2
+    assert all(r["EELIS link"] == f"/{r['species_id']}" for r in rows if r["Estonian Name"] != "hot")
+
+
 def test_enrichment(spark):
     entities = spark.createDataFrame(
         [(1, "a", "A", "I", "/1", "old"), (2, "b", "B", "I", "NotFound", "old"),

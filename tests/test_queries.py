@@ -94,21 +94,16 @@ def test_same_rows_when_nothing_is_broadcast(spark, duck):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_stages_without_a_folder_are_one_lazy_plan(spark, tmp_path):
-    lazy = stage_tables(spark, SF)
-    written = stage_tables(spark, SF, str(tmp_path))
-    assert sorted(os.listdir(tmp_path)) == sorted([*written, "species"])
-    for name in ("st3", "st5", "st6", "showcase"):
-        assert lazy[name].dtypes == written[name].dtypes
-    same = [comparable(map(str, t["showcase"].collect())) for t in (lazy, written)]
-    assert same[0] == same[1] and same[0]
-
-
 def test_stages_export_as_csv(spark, tmp_path):
-    export_stages(stage_tables(spark, SF, str(tmp_path / "stages")), str(tmp_path / "csv"))
+    tables = stage_tables(spark, SF, str(tmp_path / "stages"))
+    assert sorted(os.listdir(tmp_path / "stages")) == sorted([*tables, "species"])
+    export_stages(tables, str(tmp_path / "csv"))
     names = [f"st{n}" for n in range(1, 9)] + ["showcase"]
     assert sorted(os.listdir(tmp_path / "csv")) == sorted(names)
     st4 = spark.read.option("header", True).csv(str(tmp_path / "csv" / "st4"))
     assert len(st4.columns) == 19
     assert st4.filter("strategy_file like '%.pdf; %.pdf'").count() > 0
+    # Which stages are written does not change the outcome.
+    fewer = QUERIES["showcase_end_to_end"](spark, SF).collect()
+    assert comparable(map(tuple, fewer)) == comparable(map(tuple, tables["showcase"].collect()))
     assert {r[0] for r in st4.select("strategy_present").distinct().collect()} == {"True", "False"}
