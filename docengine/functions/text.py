@@ -15,6 +15,7 @@ WS = r"(?U:[\s\x1c-\x1f])"
 NOT_WS = r"(?U:[^\s\x1c-\x1f])"
 WS_CHARS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 LINE_BREAK = r"\R|[\x1c-\x1e]"
+NO_BREAK = r"^[^\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]*+"
 # Leader dots, then a page number at the end; tried once per run of dots.
 TOC_LINE = r"(?<!\.)\.{5,}+" + WS + r"*+\p{Nd}++\z"
 
@@ -144,7 +145,10 @@ def context_lines(text: Column, term: Column, k: int = 30) -> Column:
             )
         )
 
-    return let(F.split(text, "\n"), lambda lines: let(term, lambda t: pick(lines, t)))
+    found = let(F.split(text, "\n"), lambda lines: let(term, lambda t: pick(lines, t)))
+    return F.when(text.contains(term), found).when(
+        text.isNotNull(), F.array().cast("array<string>")
+    )
 
 
 def chunk_words(text: Column, limit: int = 128000) -> Column:
@@ -177,15 +181,16 @@ def chunk_words(text: Column, limit: int = 128000) -> Column:
                 lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")),
             ),
         )
-        return F.when(
-            F.size(words) > 0,
-            F.transform(
-                bounds,
-                lambda b: F.array_join(
-                    F.slice(words, b["lo"] + 1, b["hi"] - b["lo"]), " "
-                ),
-            ),
-        ).otherwise(F.array().cast("array<string>"))
+        cut = F.transform(
+            bounds,
+            lambda b: F.array_join(F.slice(words, b["lo"] + 1, b["hi"] - b["lo"]), " "),
+        )
+        return (
+            F.when(F.size(words) == 0, F.array().cast("array<string>"))
+            # Text within the limit, the usual case, needs no fold.
+            .when(F.length(F.array_join(words, "")) <= limit, F.array(F.array_join(words, " ")))
+            .when(F.size(words) > 0, cut)
+        )
 
     return let(split_words(text), chunks)
 
@@ -207,6 +212,17 @@ def table_of_contents(
     costs the text the line after the list.
     """
 
+    def up_to_last_leader(rest: Column) -> Column:
+        # No entry can follow the last line with leader dots, so that the body of the
+        # document, by far the most of it, need not be taken apart.
+        return let(
+            F.substring_index(rest, ".....", -1),
+            lambda after: F.concat(
+                F.left(rest, F.length(rest) - F.length(after)),
+                F.regexp_extract(after, NO_BREAK, 0),
+            ),
+        )
+
     def entries(lines: Column) -> Column:
         # Ordinal among non-blank lines shows the number of misses between two hits.
         marked = F.transform(
@@ -249,7 +265,7 @@ def table_of_contents(
                 lambda b: F.size(b) + F.when(F.element_at(b, -1) == "", 0).otherwise(1),
             )
             late = 1
-        kept = entries(split_lines(F.substr(text, at)))
+        kept = entries(split_lines(let(F.substr(text, at), up_to_last_leader)))
         return let(
             first,
             lambda first: let(
@@ -273,7 +289,7 @@ def table_of_contents(
         )
 
     return F.when(
-        text.contains(marker), let(F.instr(text, marker), build)
+        text.contains(marker) & text.contains("....."), let(F.instr(text, marker), build)
     )
 
 
