@@ -1,5 +1,6 @@
 """New page files to finished documents, each once, across restarts."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -24,12 +25,12 @@ def assemble_new_documents(
     file that holds a finished document again, adds nothing, as finished documents are
     left out by key.
     """
-    empty = spark.createDataFrame([], "doc_id long, scanned boolean, text string")
-    # So that the finished documents can be read from the first batch on.
-    empty.write.mode("append").parquet(documents)
 
     def append(batch: DataFrame, _: int) -> None:
-        done = spark.read.schema(empty.schema).parquet(documents)
+        try:
+            done = spark.read.schema("doc_id long").parquet(documents)
+        except AnalysisException:  # the table is made by the first batch
+            done = None
         assemble_documents(batch, done).write.mode("append").parquet(documents)
 
     query = (
