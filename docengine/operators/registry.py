@@ -66,14 +66,20 @@ def page_key_values(
         )
     rows = F.transform(
         html.blocks(html.drop_hidden(body), row),
-        lambda r, i: F.struct(i.alias("pos"), html.blocks(r, cell).alias("cells")),
+        lambda r, i: F.struct(
+            i.alias("pos"),
+            F.transform(
+                F.slice(html.blocks(r, cell), 1, 2),
+                lambda c: html.one_line(html.inner_text(c)),
+            ).alias("cells"),
+        ),
     )
     pairs = F.transform(
-        F.filter(rows, lambda r: F.size(r["cells"]) >= 2),
+        F.filter(rows, lambda r: F.size(r["cells"]) == 2),
         lambda r: F.struct(
             r["pos"].alias("pos"),
-            html.one_line(html.inner_text(r["cells"][0])).alias("name"),
-            html.one_line(html.inner_text(r["cells"][1])).alias("value"),
+            r["cells"][0].alias("name"),
+            r["cells"][1].alias("value"),
         ),
     )
     return unfold(pages, [key], pairs, "pos")

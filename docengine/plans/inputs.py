@@ -121,7 +121,7 @@ def asked_topics(spark: SparkSession, sf: str) -> DataFrame:
 def mention_entities(spark: SparkSession, sf: str) -> DataFrame:
     """An entity per document, named by its first word, with three candidate files."""
     docs = read_spread(spark, sf, "documents", "doc_id")
-    ids = [F.col("doc_id"), F.col("doc_id") + 1, F.floor(F.col("doc_id") / 2)]
+    ids = [F.col("doc_id") + 1, F.floor(F.col("doc_id") / 2), F.col("doc_id") + 7]
     return docs.select(
         F.col("doc_id").alias("species_id"),
         F.regexp_extract("text", r"\p{L}+", 0).alias("Estonian Name"),

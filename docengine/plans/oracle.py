@@ -134,7 +134,7 @@ slices as (
 MENTIONS = f"""
 entities as (
   select doc_id as species_id, regexp_extract(text, '\\p{{L}}+') as name,
-         [doc_id, doc_id + 1, doc_id // 2] as ids
+         [doc_id + 1, doc_id // 2, doc_id + 7] as ids
   from documents
 ),
 pairs as (
