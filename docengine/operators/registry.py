@@ -154,25 +154,35 @@ def enrich_kv(
     keep: tuple[str, str] | None = (GROUP_COLUMN, GROUP_KEPT),
     columns: list[str] | None = PROFILE_COLUMNS,
     key: str = "species_id",
+    on: str | None = None,
     sentinel: str = NOT_FOUND,
 ) -> DataFrame:
     """Add page values and plan files; then filter and project.
 
     A page value replaces a same-named entity value.  Entities whose link is the
-    sentinel keep their row as it is.
+    sentinel keep their row as it is.  Values and files are keyed like the entities, or
+    by another entity column `on`, such as the link; that one may be shared by many
+    entities, so its rows are dealt out to several tasks.
     """
+    on = on or key
+
+    def add(left: DataFrame, right: DataFrame, right_key: str) -> DataFrame:
+        if on != key:
+            return salted_left_join(left, right, F.col(on), right_key, key)
+        return left.join(right, F.col(key) == F.col(right_key), "left").drop(right_key)
+
     linked = F.coalesce(F.col(LINK_COLUMN) != sentinel, F.lit(False))
-    wide = pivot_keys(kv, keys, key).select(
-        F.col(key).alias("_key"), *[F.col(f"`{k}`").alias(f"_kv{i}") for i, k in enumerate(keys)]
+    wide = pivot_keys(kv, keys, on).select(
+        F.col(on).alias("_key"), *[F.col(f"`{k}`").alias(f"_kv{i}") for i, k in enumerate(keys)]
     )
-    out = entities.join(wide, F.col(key) == F.col("_key"), "left")
+    out = add(entities, wide, "_key")
     present = col_or(entities, "strategy_present", F.lit(False))
     named = col_or(entities, "strategy_file", F.lit(None).cast("array<string>"))
     if files is not None:
         found = files.filter(F.size("files") > 0).select(
-            F.col(key).alias("_fkey"), F.col("files").alias("_files")
+            F.col(on).alias("_fkey"), F.col("files").alias("_files")
         )
-        out = out.join(found, F.col(key) == F.col("_fkey"), "left")
+        out = add(out, found, "_fkey")
         present = F.when(linked, F.col("_files").isNotNull()).otherwise(present)
         named = F.when(linked, F.coalesce(F.col("_files"), named)).otherwise(named)
     values = {

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import (
     FLAG_COLUMN,
+    LINK_COLUMN,
     LIST_COLUMNS,
     SECTIONS,
     TOPICS,
@@ -57,8 +58,14 @@ def linked_list(species: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def profiles(linked: DataFrame, registry_pages: DataFrame) -> DataFrame:
-    """st3: with registry values, of the kept group only."""
-    return enrich_kv(linked, page_key_values(registry_pages), plan_files(registry_pages))
+    """st3: with registry values, of the kept group only.
+
+    The pages are keyed by `species_id` or by the link.
+    """
+    on = LINK_COLUMN if LINK_COLUMN in registry_pages.columns else "species_id"
+    return enrich_kv(
+        linked, page_key_values(registry_pages, on), plan_files(registry_pages, on), on=on
+    )
 
 
 def with_candidates(profiled: DataFrame, candidates: DataFrame) -> DataFrame:

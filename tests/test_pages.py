@@ -14,6 +14,7 @@ from docengine.operators.registry import (
     plan_files,
 )
 from docengine.operators.rows import clean_rows, extract_rows
+from docengine.plans.stages import profiles
 
 LAW = """<html><a name="para4"></a><p>x</p>
 <TABLE border="1"><tr><th>no</th></tr>
@@ -158,3 +159,20 @@ def test_enrichment(spark):
     # Without the group filter the sentinel row is there, untouched.
     untouched = enrich_kv(entities, kv, files, keep=None).filter("species_id = 2").collect()[0]
     assert (untouched["Rühm"], untouched["strategy_present"]) == (None, False)
+
+
+def test_pages_keyed_by_link(spark):
+    entities = spark.createDataFrame(
+        [(1, "a", "A", "I", "/1"), (2, "b", "B", "I", "/1"), (3, "c", "C", "I", "NotFound"),
+         (4, "d", "D", "I", "/none")],
+        "species_id int, `Estonian Name` string, `Latin Name` string, Category string, `EELIS link` string",
+    )
+    pages = spark.createDataFrame([("/1", PAGE), ("NotFound", PAGE)], "`EELIS link` string, html string")
+    out = profiles(entities, pages)
+    assert len(out.columns) == 19
+    rows = {r["species_id"]: r for r in out.collect()}
+    assert set(rows) == {1, 2}
+    assert rows[2]["Nimi inglise k"] == "Toad & co"
+    assert rows[2]["strategy_file"] == ["Plan A.pdf", "strategy_document.pdf"]
+    by_id = pages.filter("`EELIS link` = '/1'").selectExpr("2 as species_id", "html")
+    assert [r["species_id"] for r in profiles(entities, by_id).collect()] == [2]
