@@ -26,9 +26,13 @@ def _local_folder() -> str:
 
 def null_tokens(df: DataFrame, tokens: list[str] = NULL_TOKENS) -> DataFrame:
     """Null for every text cell that a table hand-over would read as null."""
+    # One text that becomes one literal list, instead of a literal per token and column.
+    listed = F.split(F.lit("\x01".join(tokens)), "\x01")
     return df.select(
         *[
-            F.when(~F.col(f"`{f.name}`").isin(tokens), F.col(f"`{f.name}`")).alias(f.name)
+            F.when(
+                ~F.array_contains(listed, F.col(f"`{f.name}`")), F.col(f"`{f.name}`")
+            ).alias(f.name)
             if isinstance(f.dataType, T.StringType)
             else F.col(f"`{f.name}`")
             for f in df.schema.fields
