@@ -66,17 +66,18 @@ def components(edges: DataFrame, run: RunFolder, name: str) -> DataFrame:
 def bucket_components(
     members: DataFrame,
     confirm: Callable[[DataFrame, str], DataFrame],
+    finish: Callable[[DataFrame, str], DataFrame],
     run: RunFolder,
     name: str,
 ) -> DataFrame:
-    """(id, component) of ids linked by `confirm`, tried on ids that share a bucket.
+    """(id, component) of ids that share a bucket and are linked.
 
-    `members` (key, id) is a written table without repeated rows; `confirm(pairs, name)`
-    turns distinct pairs (a, b) into the written edges among them. First every id is tried
-    with its bucket's smallest id, a row per member, which joins a group of copies. What
-    remains are pairs of one bucket in different components: ids outside a bucket's largest
-    component are tried with all its others, so no pair that shares a bucket stays untried,
-    and no group of copies is multiplied out.
+    `members` (key, id) is a written table without repeated rows. First every id is tried
+    with its bucket's smallest id, a row per member: `confirm(pairs, name)` turns distinct
+    pairs (a, b) into written links, which joins a group of copies without its pairs. What
+    can still be linked are ids of one bucket in different components: `finish(ids, name)`
+    gets these ids with their component so far (id, part) and writes the links that join
+    different parts.
     """
     heads = run.write(
         members.groupBy("key")
@@ -84,9 +85,7 @@ def bucket_components(
         .where("size > 1"),
         f"{name}-heads",
     )
-    shared = run.write(
-        members.join(heads, "key").select("key", "id", "head", "size"), f"{name}-shared"
-    )
+    shared = members.join(heads, "key")
     first = run.write(
         shared.where("id <> head")
         .select(F.col("head").alias("a"), F.col("id").alias("b"))
@@ -100,25 +99,19 @@ def bucket_components(
         .join(joined, "id", "left")
         .select("key", "id", F.coalesce("component", "id").alias("part"))
     )
-    counts = placed.groupBy("key", "part").agg(F.count("*").alias("n"))
     mixed = (
-        counts.groupBy("key")
-        .agg(F.max_by("part", F.struct("n", "part")).alias("main"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .select("key", "main")
+        placed.groupBy("key")
+        .agg(F.min("part").alias("low"), F.max("part").alias("high"))
+        .where("low <> high")
+        .select("key")
     )
-    mixed = run.write(placed.join(mixed, "key"), f"{name}-mixed")
-    out = mixed.where("part <> main").alias("o")
-    rest = (
-        out.join(mixed.alias("x"), F.col("o.key") == F.col("x.key"))
-        .where("o.part <> x.part and (x.part = x.main or o.id < x.id)")
-        .select(F.least("o.id", "x.id").alias("a"), F.greatest("o.id", "x.id").alias("b"))
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+    left = run.write(
+        placed.join(mixed, "key", "left_semi").select("id", "part").distinct(), f"{name}-left"
     )
-    rest = run.write(rest, f"{name}-rest")
-    run.drop(f"{name}-heads", f"{name}-shared", f"{name}-mixed")
-    more = confirm(rest, f"{name}-c2") if rest.take(1) else rest
+    run.drop(f"{name}-heads", f"{name}-first")
+    if not left.take(1):
+        return joined
+    more = finish(left, f"{name}-c2")
     if not more.take(1):
         return joined
     done = components(edges.union(more), run, f"{name}-cc2")

@@ -7,12 +7,14 @@ coordinates are compared on their full shingle sets.
 * Prefix: with pairs ordered rarest first, two signatures that agree on `MATCHES`
   coordinates share one of their first `COORDINATES - MATCHES + 1` pairs, so only these
   are posted. The long lists of very frequent pairs come last and are mostly not posted.
-* Skip: lists of one document are dropped before any document is moved; pairs inside one
-  component are not merged again (`components.bucket_components`).
-* Count: collisions are counted on the whole signatures of the remaining pairs.
+* Count: collisions of a list's documents with its first one are counted on their whole
+  signatures, and pairs at or above the threshold are compared exactly.
+* Skip: lists of one document are dropped before any document is moved, lists that lie in
+  one component are not merged again; what is left is compared in blocks (`blocks`), so
+  that no row stands for a pair of a large group.
 
-At similarity 0.8 the chance that a pair agrees on fewer than 12 of 32 coordinates is
-below 3e-8. Documents with equal shingle sets are one node throughout.
+At similarity 0.8 a pair agrees on fewer than 36 of 64 coordinates with a chance below
+5e-6. Documents with equal shingle sets are one node throughout.
 
 Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z. Fewer words than a shingle has form
 one shingle; no words or null text: empty set, linked with nothing; so is a row without
@@ -27,11 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docengine.llm.batches import pieces
+from docengine.llm.blocks import POSTED, links_between
 from docengine.llm.components import bucket_components
 from docengine.sources.workspace import RunFolder
 
-COORDINATES = 32
-MATCHES = 12
+COORDINATES = 64
+MATCHES = 36
 
 
 def shingles(text: str | None, words: int) -> set[bytes]:
@@ -61,10 +64,10 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
         mixed ^= mixed >> np.uint64(31)
         mixed *= factor
         out[:, i] = np.minimum.reduceat(mixed, starts)
-    return out.view(np.int64)
+    return out.view(np.int32)[:, 1::2]  # upper halves
 
 
-SIGNED = "doc_id long, n_shingles long, digest binary, signature array<long>"
+SIGNED = "doc_id long, n_shingles long, digest binary, signature array<int>"
 
 
 def _sign(words: int):
@@ -81,7 +84,7 @@ def _sign(words: int):
                         [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                         pa.binary(),
                     ),
-                    pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([next(rows) if len(s) else None for s in sets], pa.list_(pa.int32())),
                 ],
                 ["doc_id", "n_shingles", "digest", "signature"],
             )
@@ -146,6 +149,13 @@ def near_copies(
         "classes",
     )
 
+    def sets_of(ids: DataFrame, name: str) -> DataFrame:
+        wanted = ids.toDF("doc_id").distinct()
+        sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(
+            _sets(words), "id long, hashes array<long>"
+        )
+        return run.write(sets, f"{name}-sets")
+
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         own = classes.select("id", "signature")
         agree = F.size(
@@ -159,13 +169,7 @@ def near_copies(
             .distinct(),
             f"{name}-counted",
         )
-        ids = counted.select(F.col("a").alias("doc_id")).union(counted.select("b")).distinct()
-        sets = run.write(
-            texts.join(ids, "doc_id", "left_semi").mapInArrow(
-                _sets(words), "id long, hashes array<long>"
-            ),
-            f"{name}-sets",
-        )
+        sets = sets_of(counted.select("a").union(counted.select("b")), name)
         common = F.size(F.array_intersect("x", "y"))
         linked = (
             counted.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a")
@@ -179,8 +183,18 @@ def near_copies(
         run.drop(f"{name}-counted", f"{name}-sets")
         return edges
 
+    def finish(ids: DataFrame, name: str) -> DataFrame:
+        items = (
+            ids.join(sets_of(ids.select("id"), name), "id")
+            .join(classes, "id")
+            .select("id", "part", F.slice("signature", 1, POSTED).alias("coords"), "hashes")
+        )
+        edges = links_between(run.write(items, f"{name}-items"), percent, run, f"{name}-edges")
+        run.drop(f"{name}-sets", f"{name}-items")
+        return edges
+
     posted = run.write(postings(classes), "posted")
-    parts = bucket_components(posted, confirm, run, "near")
+    parts = bucket_components(posted, confirm, finish, run, "near")
     run.drop("posted")
     reps = classes.join(parts, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
