@@ -149,53 +149,50 @@ def near_copies(
         "classes",
     )
 
-    def sets_of(ids: DataFrame, name: str) -> DataFrame:
-        wanted = ids.toDF("doc_id").distinct()
-        sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(
+    posted = run.write(postings(classes), "posted")
+    # Sides whose size follows the corpus are merged, never broadcast, at any size.
+    wanted = posted.select(F.col("id").alias("doc_id")).distinct().hint("merge")
+    sets = run.write(
+        texts.join(wanted, "doc_id", "left_semi").mapInArrow(
             _sets(words), "id long, hashes array<long>"
-        )
-        return run.write(sets, f"{name}-sets")
+        ),
+        "sets",
+    )
+
+    def both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+        x, y = (table.select(F.col("id").alias(e), F.col(column).alias(n)) for e, n in ("ax", "by"))
+        return pairs.hint("merge").join(x, "a").hint("merge").join(y, "b")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        own = classes.select("id", "signature")
-        agree = F.size(
-            F.filter(F.arrays_zip("s", "t"), lambda p: p["s"] == p["t"])
-        )
+        agree = F.size(F.filter(F.arrays_zip("x", "y"), lambda p: p["x"] == p["y"]))
         counted = run.write(
-            pairs.join(own.select(F.col("id").alias("a"), F.col("signature").alias("s")), "a")
-            .join(own.select(F.col("id").alias("b"), F.col("signature").alias("t")), "b")
-            .where(agree >= MATCHES)
-            .select("a", "b")
-            .distinct(),
+            both(pairs, classes, "signature").where(agree >= MATCHES).select("a", "b").distinct(),
             f"{name}-counted",
         )
-        sets = sets_of(counted.select("a").union(counted.select("b")), name)
-        common = F.size(F.array_intersect("x", "y"))
+        common = F.col("common")
         linked = (
-            counted.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b")
-            .withColumn("common", common)
-            .where(100 * F.col("common") >= percent * (F.size("x") + F.size("y") - F.col("common")))
+            both(counted, sets, "hashes")
+            .withColumn("common", F.size(F.array_intersect("x", "y")))
+            .where(100 * common >= percent * (F.size("x") + F.size("y") - common))
             .select("a", "b")
             .distinct()
         )
         edges = run.write(linked, f"{name}-edges")
-        run.drop(f"{name}-counted", f"{name}-sets")
+        run.drop(f"{name}-counted")
         return edges
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
         items = (
-            ids.join(sets_of(ids.select("id"), name), "id")
-            .join(classes, "id")
+            ids.join(sets.hint("merge"), "id")
+            .join(classes.hint("merge"), "id")
             .select("id", "part", F.slice("signature", 1, POSTED).alias("coords"), "hashes")
         )
         edges = links_between(run.write(items, f"{name}-items"), percent, run, f"{name}-edges")
-        run.drop(f"{name}-sets", f"{name}-items")
+        run.drop(f"{name}-items")
         return edges
 
-    posted = run.write(postings(classes), "posted")
     parts = bucket_components(posted, confirm, finish, run, "near")
-    run.drop("posted")
+    run.drop("posted", "sets")
     reps = classes.join(parts, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
     )
