@@ -39,8 +39,13 @@ class RunFolder:
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        """The table as written and read again."""
+        """The table as written and read again.
+
+        Shuffle files of the steps before stay on the executors' disks until the driver
+        collects its garbage; a call now frees them before the next step adds its own.
+        """
         df.write.parquet(f"{self.path}/{name}")
+        self.spark.sparkContext._jvm.System.gc()
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame) -> DataFrame:
