@@ -150,14 +150,14 @@ def near_copies(
     )
 
     posted = run.write(postings(classes), "posted")
+
     # Sides whose size follows the corpus are merged, never broadcast, at any size.
-    wanted = posted.select(F.col("id").alias("doc_id")).distinct().hint("merge")
-    sets = run.write(
-        texts.join(wanted, "doc_id", "left_semi").mapInArrow(
+    def sets_of(ids: DataFrame, name: str) -> DataFrame:
+        wanted = ids.toDF("doc_id").distinct().hint("merge")
+        sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(
             _sets(words), "id long, hashes array<long>"
-        ),
-        "sets",
-    )
+        )
+        return run.write(sets, f"{name}-sets")
 
     def both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
         x, y = (table.select(F.col("id").alias(e), F.col(column).alias(n)) for e, n in ("ax", "by"))
@@ -169,6 +169,7 @@ def near_copies(
             both(pairs, classes, "signature").where(agree >= MATCHES).select("a", "b").distinct(),
             f"{name}-counted",
         )
+        sets = sets_of(counted.select("a").union(counted.select("b")), name)
         common = F.col("common")
         linked = (
             both(counted, sets, "hashes")
@@ -178,21 +179,21 @@ def near_copies(
             .distinct()
         )
         edges = run.write(linked, f"{name}-edges")
-        run.drop(f"{name}-counted")
+        run.drop(f"{name}-counted", f"{name}-sets")
         return edges
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
         items = (
-            ids.join(sets.hint("merge"), "id")
+            ids.join(sets_of(ids.select("id"), name).hint("merge"), "id")
             .join(classes.hint("merge"), "id")
             .select("id", "part", F.slice("signature", 1, POSTED).alias("coords"), "hashes")
         )
         edges = links_between(run.write(items, f"{name}-items"), percent, run, f"{name}-edges")
-        run.drop(f"{name}-items")
+        run.drop(f"{name}-sets", f"{name}-items")
         return edges
 
     parts = bucket_components(posted, confirm, finish, run, "near")
-    run.drop("posted", "sets")
+    run.drop("posted")
     reps = classes.join(parts, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
     )
