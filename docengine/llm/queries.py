@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docengine.llm.minhash_join import near_copies
+from docengine.llm.mixing import mix
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,8 +16,13 @@ def op4_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(_table(spark, folder, "documents"), words=2, percent=80)
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(_table(spark, folder, "documents")).drop("source")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_join": op4_minhash_join,
+    "op8_mixing": op8_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {}  # by query name
