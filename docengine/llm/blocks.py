@@ -1,6 +1,6 @@
 """Comparing the members of buckets in blocks, without a row for every pair."""
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -89,7 +89,7 @@ def overlaps(values: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.nda
     return out
 
 
-def _compare(percent: int):
+def _compare(percent: int, sets: Callable | None):
     def run(batches):
         for group in groups(batches, 4):
             table = pa.Table.from_batches(group)
@@ -100,7 +100,8 @@ def _compare(percent: int):
             # The most frequent component needs no comparing with itself.
             names, own, counts = np.unique(part, return_inverse=True, return_counts=True)
             rows = np.flatnonzero(own != counts.argmax())
-            values, starts = flat(table.column("hashes"))
+            own_sets = table.column("payload")
+            values, starts = sets(own_sets.to_pylist()) if sets else flat(own_sets)
             sizes = np.diff(starts)
             posted = np.array(table.column("coords").to_pylist())
             common = overlaps(values, starts, rows)
@@ -126,11 +127,14 @@ def _compare(percent: int):
     return run
 
 
-def links_between(items: DataFrame, percent: int, run: RunFolder, name: str) -> DataFrame:
+def links_between(
+    items: DataFrame, percent: int, run: RunFolder, name: str, sets: Callable | None = None
+) -> DataFrame:
     """Links (a, b) that join different parts, found by exact comparison in blocks.
 
-    `items` (id, part, coords, hashes): `coords` are `POSTED` MinHash coordinates,
-    `hashes` a set. Two items are compared if they agree on one coordinate, in the first
+    `items` (id, part, coords, payload): `coords` are `POSTED` MinHash coordinates,
+    `payload` the set's hashes, or what `sets` makes them of: it turns a list of payloads
+    into all hashes and the sets' start offsets. Two items are compared if they agree on one coordinate, in the first
     list they share: at similarity 0.8 all six differ for 6 of 100,000 such pairs.
     """
     narrow = items.select("id", "part", F.posexplode("coords").alias("at", "v"))
@@ -142,6 +146,6 @@ def links_between(items: DataFrame, percent: int, run: RunFolder, name: str) ->
     )
     keys = ["at", "v", "i", "j"]
     work = tasks(narrow.select("id", "at", "v"), sizes, ["at", "v"], F.col("id"))
-    work = work.join(items.hint("merge"), "id").select(*keys, "blk", "id", "part", "coords", "hashes")
-    found = spread(work, keys).mapInArrow(_compare(percent), "a long, b long")
+    work = work.join(items.hint("merge"), "id").select(*keys, "blk", "id", "part", "coords", "payload")
+    found = spread(work, keys).mapInArrow(_compare(percent, sets), "a long, b long")
     return run.write(found, name)

@@ -183,10 +183,11 @@ def near_copies(
         return edges
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
+        coords = F.slice("signature", 1, POSTED).alias("coords")
         items = (
             ids.join(sets_of(ids.select("id"), name).hint("merge"), "id")
             .join(classes.hint("merge"), "id")
-            .select("id", "part", F.slice("signature", 1, POSTED).alias("coords"), "hashes")
+            .select("id", "part", coords, F.col("hashes").alias("payload"))
         )
         edges = links_between(run.write(items, f"{name}-items"), percent, run, f"{name}-edges")
         run.drop(f"{name}-sets", f"{name}-items")

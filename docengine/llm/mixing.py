@@ -16,11 +16,8 @@ text and source are read.
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from docengine.sources.workspace import RunFolder
-
 WORD = r"[^\x20\x09-\x0D]+"
 EPOCHS = 3
 SLOTS = 4096
@@ -60,44 +57,40 @@ def targets(sizes: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     )
 
 
-def sized(documents: DataFrame, seed: int, keep: list[Column]) -> DataFrame:
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    mark = F.xxhash64(F.lit(seed), "doc_id", "source", F.length(text))
-    return documents.select(
-        *keep, F.col("source").cast("string").alias("source"), words.alias("size"),
-        mark.alias("mark"),
-    )
-
-
-def mix(
-    documents: DataFrame, epochs: int = EPOCHS, seed: int = 8, folder: str | None = None
-) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: a row per row of `documents`.
+def place(documents: DataFrame, keep: Column, epochs: int, seed: int) -> DataFrame:
+    """keep, source, size, source_size, target, taken: a row per row of `documents`.
 
     The cut inside a source is found without sorting it: words are added up by `SLOTS`
     ranges of the hash, and only documents of the range where they run out are ordered.
     """
-    run = RunFolder(documents.sparkSession, folder)
-    rows = run.write(sized(documents, seed, [F.col("doc_id")]), "sized")
-    slot = F.pmod(F.shiftrightunsigned("mark", 40), F.lit(SLOTS)).cast("int")
-    rows = rows.withColumn("slot", slot)
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    mark = F.xxhash64(F.lit(seed), "doc_id", "source", F.length("text"))
+    rows = documents.select(
+        keep.alias("keep"),
+        F.col("source").cast("string").alias("source"),
+        size.alias("size"),
+        mark.alias("mark"),
+        F.pmod(F.shiftrightunsigned(mark, 40), F.lit(SLOTS)).cast("int").alias("slot"),
+        F.col("doc_id").alias("tie"),
+    )
     slots = rows.groupBy("source", "slot").agg(F.sum("size").alias("words"))
     sources = slots.groupBy("source").agg(F.sum("words").alias("words"))
-    plan = targets(default_weights(sources), epochs)
-    plan = plan.select(
-        F.col("source").alias("p_source"),
-        F.col("words").alias("source_size"),
-        "target",
-        # Whole repetitions, and the words that the sampled fraction adds.
-        F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words")))
-        .otherwise(0)
-        .cast("long")
-        .alias("whole"),
-    ).withColumn(
-        "extra", F.round("target").cast("long") - F.col("whole") * F.col("source_size")
+    # Whole repetitions, and the words that the sampled fraction adds.
+    whole = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0)
+    plan = (
+        targets(default_weights(sources), epochs)
+        .select(
+            F.col("source").alias("p_source"),
+            F.col("words").alias("source_size"),
+            "target",
+            whole.cast("long").alias("whole"),
+        )
+        .withColumn(
+            "extra", F.round("target").cast("long") - F.col("whole") * F.col("source_size")
+        )
     )
     by_slot = W.partitionBy("source").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
+    rest = F.least(F.col("words"), F.greatest(F.lit(0), F.col("extra") - F.col("ahead")))
     cut = (
         slots.withColumn("ahead", F.coalesce(F.sum("words").over(by_slot), F.lit(0)))
         .join(plan, F.col("source").eqNullSafe(F.col("p_source")))
@@ -107,28 +100,57 @@ def mix(
             "source_size",
             "target",
             "whole",
-            F.least(F.col("words"), F.greatest(F.lit(0), F.col("extra") - F.col("ahead"))).alias("left"),
+            rest.alias("rest"),
             F.col("words").alias("slot_words"),
         )
     )
     placed = rows.join(
         cut, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("slot") == F.col("p_slot"))
-    ).drop("p_source", "p_slot")
-    whole = F.col("whole") * F.col("size")
-    open_slot = (F.col("left") > 0) & (F.col("left") < F.col("slot_words"))
-    even = placed.where(~open_slot).withColumn(
-        "taken", whole + F.when(F.col("left") > 0, F.col("size")).otherwise(0)
+    )
+    taken = F.col("whole") * F.col("size")
+    is_open = (F.col("rest") > 0) & (F.col("rest") < F.col("slot_words"))
+    even = placed.where(~is_open).withColumn(
+        "taken", taken + F.when(F.col("rest") > 0, F.col("size")).otherwise(0)
     )
     within = (
         W.partitionBy("source", "slot")
-        .orderBy("mark", "doc_id", "size")
+        .orderBy("mark", "tie", "size")
         .rowsBetween(W.unboundedPreceding, -1)
     )
     ahead = F.coalesce(F.sum("size").over(within), F.lit(0))
-    uneven = placed.where(open_slot).withColumn(
-        "taken", whole + F.least("size", F.greatest(F.lit(0), F.col("left") - ahead))
+    uneven = placed.where(is_open).withColumn(
+        "taken", taken + F.least("size", F.greatest(F.lit(0), F.col("rest") - ahead))
     )
-    names = ["doc_id", "source", "size", "source_size", "target", "taken"]
-    return even.select(names).union(uneven.select(names)).withColumn(
-        "taken", F.col("taken").cast(T.LongType())
+    names = ["keep", "source", "size", "source_size", "target"]
+    names = [*map(F.col, names), F.col("taken").cast("long").alias("taken")]
+    return even.select(names).union(uneven.select(names))
+
+
+def mix(documents: DataFrame, epochs: int = EPOCHS, seed: int = 8) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken: a row per row of `documents`."""
+    return place(documents, F.col("doc_id"), epochs, seed).withColumnRenamed("keep", "doc_id")
+
+
+def mixed(documents: DataFrame, epochs: int = EPOCHS, seed: int = 8) -> DataFrame:
+    """The mix itself, with the columns of `documents`: a row per repetition.
+
+    The one document per source that is taken in part is cut after its last word taken;
+    its words are then parted by single blanks. Documents without words are left out.
+    """
+    text, size, taken = F.col("keep.text"), F.col("size"), F.col("taken")
+    rows = place(documents, F.struct("*"), epochs, seed).where("taken > 0")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(taken / size).cast("int"))))
+    rows = rows.withColumn("part", taken - (F.col("copy") - 1) * size)
+    first = F.slice(F.regexp_extract_all(text, F.lit(WORD), 0), F.lit(1), F.col("part").cast("int"))
+    cut = F.when(F.col("part") < size, F.array_join(first, " ")).otherwise(text)
+    rows = rows.withColumn("cut", cut)
+    return rows.select(
+        *(
+            F.col("cut").alias(c)
+            if c == "text"
+            else F.length("cut").cast(documents.schema[c].dataType).alias(c)
+            if c == "n_chars"
+            else F.col("keep")[c].alias(c)
+            for c in documents.columns
+        )
     )

@@ -4,14 +4,29 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docengine.llm.lines import line_verdicts
 from docengine.llm.minhash_join import near_copies
 from docengine.llm.mixing import mix
+from docengine.llm.packing import packed
+from docengine.llm.vectors import near_vectors
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(_table(spark, folder, "embeddings"))
+
+
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_verdicts(_table(spark, folder, "documents"))
+
+
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(_table(spark, folder, "documents"))
+
+
 def op4_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(_table(spark, folder, "documents"), words=2, percent=80)
 
@@ -21,6 +36,9 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_packing": op3_packing,
     "op4_minhash_join": op4_minhash_join,
     "op8_mixing": op8_mixing,
 }
