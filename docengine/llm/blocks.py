@@ -89,53 +89,101 @@ def overlaps(values: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.nda
     return out
 
 
-def _compare(percent: int, sets: Callable | None):
+SMALL = 24
+
+
+def rows_of(group: list[pa.RecordBatch], name: str) -> list | np.ndarray:
+    """A column of a group: numbers as one array, texts as a list, lists as arrays."""
+    columns = [b.column(b.schema.get_field_index(name)) for b in group]
+    kind = columns[0].type
+    if pa.types.is_list(kind):
+        return [x for c in columns for v, s in [flat(c)] for x in np.split(v, s[1:-1])]
+    if pa.types.is_string(kind):
+        return [x for c in columns for x in c.to_pylist()]
+    return np.concatenate([c.to_numpy(zero_copy_only=False) for c in columns])
+
+
+def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
+    def few(part, blk, posted, payload, at, apart):
+        """Pairs of a small group, one by one; most were compared in an earlier list."""
+        sets: dict[int, set] = {}
+        done = set()
+        for x in range(len(part)):
+            for y in range(x):
+                if part[x] == part[y] or (apart and blk[x] == blk[y]):
+                    continue
+                ends = (min(part[x], part[y]), max(part[x], part[y]))
+                if ends in done or any(posted[x][k] == posted[y][k] for k in range(at)):
+                    continue
+                for k in (x, y):
+                    if k not in sets:
+                        sets[k] = to_set(payload[k]) if to_set else set(payload[k].tolist())
+                common = len(sets[x] & sets[y])
+                if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
+                    done.add(ends)
+                    yield x, y
+
+    def many(part, blk, posted, payload, at, apart):
+        """Pairs of a large group by products of matrices; one link for two components."""
+        names, own, counts = np.unique(part, return_inverse=True, return_counts=True)
+        # The most frequent component needs no comparing with itself.
+        rows = np.flatnonzero(own != counts.argmax())
+        if to_hashes:
+            values, starts = to_hashes(payload)
+        else:
+            values = np.concatenate(payload)
+            starts = np.concatenate([[0], np.cumsum([len(x) for x in payload])])
+        sizes = np.diff(starts)
+        common = overlaps(values, starts, rows)
+        hit = 100 * common >= percent * (sizes[rows][:, None] + sizes[None] - common)
+        hit &= part[rows][:, None] != part[None]
+        if apart:
+            hit &= blk[rows][:, None] != blk[None]
+        a, b = np.nonzero(hit)
+        a = rows[a]
+        posted = np.array(posted)
+        for before in range(at):
+            fresh = posted[a, before] != posted[b, before]
+            a, b = a[fresh], b[fresh]
+        ends = np.minimum(own[a], own[b]) * len(names) + np.maximum(own[a], own[b])
+        _, first = np.unique(ends, return_index=True)
+        yield from zip(a[first].tolist(), b[first].tolist())
+
     def run(batches):
+        a, b = [], []
         for group in groups(batches, 4):
-            table = pa.Table.from_batches(group)
-            at, i, j = (table.column(c)[0].as_py() for c in ("at", "i", "j"))
-            ids, part, blk = (table.column(c).to_numpy() for c in ("id", "part", "blk"))
+            part = rows_of(group, "part")
             if (part == part[0]).all():
                 continue
-            # The most frequent component needs no comparing with itself.
-            names, own, counts = np.unique(part, return_inverse=True, return_counts=True)
-            rows = np.flatnonzero(own != counts.argmax())
-            own_sets = table.column("payload")
-            values, starts = sets(own_sets.to_pylist()) if sets else flat(own_sets)
-            sizes = np.diff(starts)
-            posted = np.array(table.column("coords").to_pylist())
-            common = overlaps(values, starts, rows)
-            hit = 100 * common >= percent * (sizes[rows][:, None] + sizes[None] - common)
-            hit &= part[rows][:, None] != part[None]
-            if i != j:
-                hit &= blk[rows][:, None] != blk[None]
-            a, b = np.nonzero(hit)
-            a = rows[a]
-            for before in range(at):  # those were compared in an earlier list
-                fresh = posted[a, before] != posted[b, before]
-                a, b = a[fresh], b[fresh]
-            # One link joins two components; others between them would join them again.
-            _, first = np.unique(
-                np.minimum(own[a], own[b]) * len(names) + np.maximum(own[a], own[b]),
-                return_index=True,
-            )
-            if len(first):
-                yield pa.record_batch(
-                    [pa.array(ids[a[first]]), pa.array(ids[b[first]])], ["a", "b"]
-                )
+            at, i, j = (group[0].column(c)[0].as_py() for c in (0, 2, 3))
+            ids, blk = rows_of(group, "id"), rows_of(group, "blk")
+            posted, payload = rows_of(group, "coords"), rows_of(group, "payload")
+            pairs = few if len(part) <= SMALL else many
+            for x, y in pairs(part, blk, posted, payload, at, i != j):
+                a.append(int(ids[x])), b.append(int(ids[y]))
+            if len(a) > 10_000:
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                a, b = [], []
+        yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
 def links_between(
-    items: DataFrame, percent: int, run: RunFolder, name: str, sets: Callable | None = None
+    items: DataFrame,
+    percent: int,
+    run: RunFolder,
+    name: str,
+    to_set: Callable | None = None,
+    to_hashes: Callable | None = None,
 ) -> DataFrame:
     """Links (a, b) that join different parts, found by exact comparison in blocks.
 
     `items` (id, part, coords, payload): `coords` are `POSTED` MinHash coordinates,
-    `payload` the set's hashes, or what `sets` makes them of: it turns a list of payloads
-    into all hashes and the sets' start offsets. Two items are compared if they agree on one coordinate, in the first
-    list they share: at similarity 0.8 all six differ for 6 of 100,000 such pairs.
+    `payload` the set's hashes, or something that `to_set` turns into a set, and
+    `to_hashes`, for a list of them, into all hashes and the sets' start offsets. Two items
+    are compared if they agree on one coordinate, in the first list they share: at
+    similarity 0.8 all six differ for 6 of 100,000 such pairs.
     """
     narrow = items.select("id", "part", F.posexplode("coords").alias("at", "v"))
     sizes = (
@@ -147,5 +195,5 @@ def links_between(
     keys = ["at", "v", "i", "j"]
     work = tasks(narrow.select("id", "at", "v"), sizes, ["at", "v"], F.col("id"))
     work = work.join(items.hint("merge"), "id").select(*keys, "blk", "id", "part", "coords", "payload")
-    found = spread(work, keys).mapInArrow(_compare(percent, sets), "a long, b long")
+    found = spread(work, keys).mapInArrow(_compare(percent, to_set, to_hashes), "a long, b long")
     return run.write(found, name)

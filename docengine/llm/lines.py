@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docengine.llm.batches import pieces
-from docengine.llm.blocks import POSTED, links_between, overlaps
+from docengine.llm.blocks import POSTED, links_between
 from docengine.llm.components import bucket_components
 from docengine.sources.workspace import RunFolder
 
@@ -69,6 +69,10 @@ def line_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
 
 
+def shingle_set(line: str) -> set[str]:
+    return {line[k : k + SHINGLE] for k in range(max(1, len(line) - SHINGLE + 1))}
+
+
 def bin_minima(lines: list[str]) -> np.ndarray:
     """`BINS` minima per line."""
     values, starts = shingle_hashes(lines)
@@ -95,17 +99,20 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-LINES = "doc_id long, line_no int, h1 long, h2 long, keys array<long>"
+LINES = "doc_id long, line_no int, again boolean, h1 long, h2 long, keys array<long>"
 
 
 def _read_lines(batches):
     for ids, texts in pieces(batches):
-        docs, numbers, lines = [], [], []
+        docs, numbers, lines, again = [], [], [], []
         for doc, text in zip(ids, texts):
             if doc is not None and text is not None:
+                seen = set()
                 for number, line in enumerate(text.split("\n")):
                     if line := comparable(line):
                         docs.append(doc), numbers.append(number), lines.append(line)
+                        again.append(line in seen)
+                        seen.add(line)
         if not lines:
             continue
         known = {line: at for at, line in enumerate(dict.fromkeys(lines))}
@@ -119,13 +126,14 @@ def _read_lines(batches):
             [
                 pa.array(docs, pa.int64()),
                 pa.array(numbers, pa.int32()),
+                pa.array(again, pa.bool_()),
                 pa.array(digests[own, 0]),
                 pa.array(digests[own, 1]),
                 pa.ListArray.from_arrays(
                     pa.array(np.arange(len(lines) + 1) * BANDS, pa.int32()), pa.array(keys)
                 ),
             ],
-            ["doc_id", "line_no", "h1", "h2", "keys"],
+            ["doc_id", "line_no", "again", "h1", "h2", "keys"],
         )
 
 
@@ -156,9 +164,9 @@ def _similar(percent: int):
         for a, b, xs, ys in pieces(batches):
             kept = []
             for at, (x, y) in enumerate(zip(xs, ys)):
-                values, starts = line_sets([x, y])
-                common = overlaps(values, starts, np.array([0]))[0, 1]
-                if 100 * common >= percent * (len(values) - common):
+                x, y = shingle_set(x), shingle_set(y)
+                common = len(x & y)
+                if 100 * common >= percent * (len(x) + len(y) - common):
                     kept.append(at)
             yield pa.record_batch(
                 [pa.array([a[k] for k in kept], pa.int64()), pa.array([b[k] for k in kept], pa.int64())],
@@ -182,17 +190,18 @@ def line_verdicts(
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = run.write(texts.mapInArrow(_read_lines, LINES), "lines")
     classes = run.write(
-        lines.groupBy("h1", "h2").agg(
-            F.min(F.struct("doc_id", "line_no")).alias("first"), F.first("keys").alias("keys")
-        ),
+        lines.where("not again")
+        .groupBy("h1", "h2")
+        .agg(F.min("doc_id").alias("doc_id"), F.min_by("line_no", "doc_id").alias("line_no")),
         "classes",
     )
-    posted = classes.select(F.explode("keys").alias("key"), F.col("h1").alias("id"))
-    lists = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    posted = run.write(posted.join(lists.hint("merge"), "key").distinct(), "posted")
+    posted = lines.where("not again").select(F.explode("keys").alias("key"), F.col("h1").alias("id"))
+    lists = posted.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    lists = lists.where("low <> high").select("key")
+    posted = run.write(posted.join(lists.hint("shuffle_hash"), "key").distinct(), "posted")
 
     def lines_of(ids: DataFrame, name: str) -> DataFrame:
-        firsts = classes.select(F.col("h1").alias("id"), "first.doc_id", "first.line_no")
+        firsts = classes.select(F.col("h1").alias("id"), "doc_id", "line_no")
         wanted = (
             firsts.join(ids.toDF("id").distinct().hint("merge"), "id", "left_semi")
             .groupBy("doc_id")
@@ -220,14 +229,17 @@ def line_verdicts(
             "id", "part", "coords", F.col("line").alias("payload")
         )
         items = run.write(items, f"{name}-items")
-        edges = links_between(items, percent, run, f"{name}-edges", line_sets)
+        edges = links_between(items, percent, run, f"{name}-edges", shingle_set, line_sets)
         run.drop(f"{name}-lines", f"{name}-items")
         return edges
 
     parts = bucket_components(posted, confirm, finish, run, "like")
     run.drop("posted")
     grouped = classes.join(parts, classes["h1"] == parts["id"], "left").select(
-        "h1", "h2", "first", F.coalesce("component", "h1").alias("component")
+        "h1",
+        "h2",
+        F.struct("doc_id", "line_no").alias("first"),
+        F.coalesce("component", "h1").alias("component"),
     )
     heads = grouped.groupBy("component").agg(F.min("first").alias("head"))
     stays = grouped.join(heads, "component").select("h1", "h2", "head")
