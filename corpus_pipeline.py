@@ -3,11 +3,50 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from docengine.llm.lines import without_repeats
+from docengine.llm.minhash_join import near_copies
+from docengine.llm.mixing import mixed
+from docengine.llm.packing import packed
+from docengine.llm.quality import good
 from docengine.sources.workspace import RunFolder
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_repeats(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays; rows that repeat a doc_id stay or go together."""
+    found = near_copies(docs, words=5, percent=80)
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(
+        gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"
+    )
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packed(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near", near),
+    ("mixing", mixing),
+    ("packing", packing),
+]
+
+# Learned scores and token ids are beyond SQL; tests hold the stages against plain models.
 ORACLE_SQL = None
 
 

@@ -8,6 +8,7 @@ from docengine.llm.lines import line_verdicts
 from docengine.llm.minhash_join import near_copies
 from docengine.llm.mixing import mix
 from docengine.llm.packing import packed
+from docengine.llm.quality import score
 from docengine.llm.vectors import near_vectors
 
 
@@ -31,6 +32,10 @@ def op4_minhash_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(_table(spark, folder, "documents"), words=2, percent=80)
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents")).drop("source")
 
@@ -40,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_minhash_join": op4_minhash_join,
+    "op5_quality": op5_quality,
     "op8_mixing": op8_mixing,
 }
 
