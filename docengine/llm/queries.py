@@ -9,6 +9,9 @@ from docengine.llm.minhash_join import near_copies
 from docengine.llm.mixing import mix
 from docengine.llm.packing import packed
 from docengine.llm.quality import score
+from docengine.llm.syncmers import fingerprints
+from docengine.llm.url_lists import ORACLE as URL_ORACLE
+from docengine.llm.url_lists import captures_of, dated_list, judge
 from docengine.llm.vectors import near_vectors
 
 
@@ -36,17 +39,28 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     return score(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op6_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints(_table(spark, folder, "documents"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents")).drop("source")
 
 
+def op9_url_lists(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    return judge(captures_of(pages), dated_list(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_line_dedup": op2_line_dedup,
     "op3_packing": op3_packing,
     "op4_minhash_join": op4_minhash_join,
     "op5_quality": op5_quality,
+    "op6_syncmers": op6_syncmers,
     "op8_mixing": op8_mixing,
+    "op9_url_lists": op9_url_lists,
 }
 
-ORACLE: dict[str, str] = {}  # by query name
+ORACLE: dict[str, str] = {"op9_url_lists": URL_ORACLE}
