@@ -32,27 +32,48 @@ def tasks(members: DataFrame, sizes: DataFrame, keys: list[str], id: Column) ->
     )
 
 
-def groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[list[pa.RecordBatch]]:
-    """Batches of each run of rows with equal first `keys` columns; rows come sorted."""
-    held: list[pa.RecordBatch] = []
+def groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[dict]:
+    """Columns of each run of rows with equal first `keys` columns; rows come sorted."""
+    held: dict[str, list] = {}
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in range(keys)]
+        names = batch.schema.names
+        columns = [plain(batch.column(c)) for c in range(batch.num_columns)]
         change = np.zeros(batch.num_rows - 1, bool)
-        for c in columns:
+        for c in columns[:keys]:
             change |= c[1:] != c[:-1]
         cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:]):
-            key = tuple(c[start] for c in columns)
+            key = tuple(c[start] for c in columns[:keys])
             if held and key != last:
-                yield held
-                held = []
-            held.append(batch.slice(start, end - start))
+                yield {n: joined(parts) for n, parts in held.items()}
+                held = {}
+            for n, c in zip(names, columns):
+                held.setdefault(n, []).append(c[start:end])
             last = key
     if held:
-        yield held
+        yield {n: joined(parts) for n, parts in held.items()}
+
+
+def plain(column: pa.Array) -> np.ndarray | list:
+    """Numbers as an array, texts as a list, lists as a list of arrays."""
+    if pa.types.is_list(column.type):
+        values, starts = flat(column)
+        ends = starts.tolist()
+        return [values[a:b] for a, b in zip(ends, ends[1:])]
+    if pa.types.is_string(column.type):
+        return column.to_pylist()
+    return column.to_numpy(zero_copy_only=False)
+
+
+def joined(parts: list) -> np.ndarray | list:
+    if len(parts) == 1:
+        return parts[0]
+    if isinstance(parts[0], list):
+        return [x for part in parts for x in part]
+    return np.concatenate(parts)
 
 
 def spread(items: DataFrame, keys: list[str]) -> DataFrame:
@@ -92,17 +113,6 @@ def overlaps(values: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.nda
 SMALL = 24
 
 
-def rows_of(group: list[pa.RecordBatch], name: str) -> list | np.ndarray:
-    """A column of a group: numbers as one array, texts as a list, lists as arrays."""
-    columns = [b.column(b.schema.get_field_index(name)) for b in group]
-    kind = columns[0].type
-    if pa.types.is_list(kind):
-        return [x for c in columns for v, s in [flat(c)] for x in np.split(v, s[1:-1])]
-    if pa.types.is_string(kind):
-        return [x for c in columns for x in c.to_pylist()]
-    return np.concatenate([c.to_numpy(zero_copy_only=False) for c in columns])
-
-
 def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
     def few(part, blk, posted, payload, at, apart):
         """Pairs of a small group, one by one; most were compared in an earlier list."""
@@ -152,12 +162,12 @@ def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
     def run(batches):
         a, b = [], []
         for group in groups(batches, 4):
-            part = rows_of(group, "part")
+            part = group["part"]
             if (part == part[0]).all():
                 continue
-            at, i, j = (group[0].column(c)[0].as_py() for c in (0, 2, 3))
-            ids, blk = rows_of(group, "id"), rows_of(group, "blk")
-            posted, payload = rows_of(group, "coords"), rows_of(group, "payload")
+            at, i, j = (int(group[c][0]) for c in ("at", "i", "j"))
+            ids, blk = group["id"], group["blk"]
+            posted, payload = group["coords"], group["payload"]
             pairs = few if len(part) <= SMALL else many
             for x, y in pairs(part, blk, posted, payload, at, i != j):
                 a.append(int(ids[x])), b.append(int(ids[y]))

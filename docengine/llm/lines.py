@@ -28,6 +28,7 @@ SHINGLE = 8
 BANDS = 10
 ROWS = 3
 BINS = BANDS * ROWS
+AGREE = 12  # bins that a pair must share to be compared; 24 are expected at 0.8
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -148,7 +149,7 @@ def _take_lines(batches):
         ]
         if not rows:
             continue
-        minima = bin_minima([r[1] for r in rows])[:, :POSTED].astype(np.int64)
+        minima = bin_minima([r[1] for r in rows]).astype(np.int64)
         yield pa.record_batch(
             [
                 pa.array([r[0] for r in rows], pa.int64()),
@@ -163,8 +164,9 @@ def _similar(percent: int):
     def run(batches):
         for a, b, xs, ys in pieces(batches):
             kept = []
+            sets = {x: shingle_set(x) for x in {*xs, *ys}}
             for at, (x, y) in enumerate(zip(xs, ys)):
-                x, y = shingle_set(x), shingle_set(y)
+                x, y = sets[x], sets[y]
                 common = len(x & y)
                 if 100 * common >= percent * (len(x) + len(y) - common):
                     kept.append(at)
@@ -216,9 +218,11 @@ def line_verdicts(
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         own = lines_of(pairs.select("a").union(pairs.select("b")), name)
-        x = own.select(F.col("id").alias("a"), F.col("line").alias("x"))
-        y = own.select(F.col("id").alias("b"), F.col("line").alias("y"))
+        x = own.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("coords").alias("s"))
+        y = own.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("coords").alias("t"))
         both = pairs.hint("merge").join(x, "a").hint("merge").join(y, "b")
+        agree = F.size(F.filter(F.arrays_zip("s", "t"), lambda p: p["s"] == p["t"]))
+        both = both.where(agree >= AGREE)
         linked = both.select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
         edges = run.write(linked.distinct(), f"{name}-edges")
         run.drop(f"{name}-lines")
@@ -226,7 +230,7 @@ def line_verdicts(
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
         items = ids.join(lines_of(ids.select("id"), name).hint("merge"), "id").select(
-            "id", "part", "coords", F.col("line").alias("payload")
+            "id", "part", F.slice("coords", 1, POSTED).alias("coords"), F.col("line").alias("payload")
         )
         items = run.write(items, f"{name}-items")
         edges = links_between(items, percent, run, f"{name}-edges", shingle_set, line_sets)

@@ -21,7 +21,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docengine.llm.blocks import flat, groups, spread, tasks
+from docengine.llm.blocks import groups, plain, spread, tasks
 from docengine.llm.components import components
 from docengine.sources.workspace import RunFolder
 
@@ -36,10 +36,9 @@ def settings(vectors: int, cosine: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(MISS) / math.log1p(-same))
 
 
-def _unit(lists) -> np.ndarray:
-    """Rows of equal length in double precision with length one; safe for huge values."""
-    values, starts = flat(lists)
-    rows = values.astype(np.float64).reshape(len(starts) - 1, -1)
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows in double precision with length one; safe for huge values."""
+    rows = rows.astype(np.float64)
     rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
@@ -56,7 +55,7 @@ def _keys(bits: int, tables: int, seed: int):
                 if size not in planes:
                     random = np.random.default_rng([seed, size])
                     planes[size] = random.standard_normal((size, bits * tables))
-                signs = (_unit(part.column("vector")) @ planes[size]) >= 0
+                signs = (_unit(np.array(plain(part.column("vector")))) @ planes[size]) >= 0
                 codes = signs.reshape(part.num_rows, tables, bits) @ weights
                 ends = pa.array(np.arange(part.num_rows + 1) * tables, pa.int32())
                 keys = pa.ListArray.from_arrays(ends, pa.array(codes.ravel()))
@@ -68,18 +67,16 @@ def _keys(bits: int, tables: int, seed: int):
 def _compare(cosine: float):
     def run(batches):
         for group in groups(batches, 6):
-            table = pa.Table.from_batches(group)
-            at, i, j = (table.column(c)[0].as_py() for c in ("at", "i", "j"))
-            ids, copies, blk = (table.column(c).to_numpy() for c in ("id", "copies", "blk"))
-            unit = _unit(table.column("vector"))
+            at, i, j = (int(group[c][0]) for c in ("at", "i", "j"))
+            ids, copies, blk = (group[c] for c in ("id", "copies", "blk"))
+            unit = _unit(np.array(group["vector"]))
             hit = np.triu(unit @ unit.T >= cosine, 1)
             if i != j:
                 hit &= blk[:, None] != blk[None]
             a, b = np.nonzero(hit)
             if not len(a):
                 continue
-            values, starts = flat(table.column("keys"))
-            keys = values.reshape(len(ids), -1)
+            keys = np.array(group["keys"])
             for before in range(at):  # compared there
                 fresh = keys[a, before] != keys[b, before]
                 a, b = a[fresh], b[fresh]
