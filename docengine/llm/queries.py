@@ -9,6 +9,8 @@ from docengine.llm.minhash_join import near_copies
 from docengine.llm.mixing import mix
 from docengine.llm.packing import packed
 from docengine.llm.quality import score
+from docengine.llm.secrets import dictionary, reviewed, scan
+from docengine.llm.suffixes import passages
 from docengine.llm.syncmers import fingerprints
 from docengine.llm.url_lists import ORACLE as URL_ORACLE
 from docengine.llm.url_lists import captures_of, dated_list, judge
@@ -43,6 +45,12 @@ def op6_syncmers(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(_table(spark, folder, "documents"))
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    words = dictionary(_table(spark, folder, "benchmark").select("text"))
+    return scan(documents, reviewed(documents, _table(spark, folder, "labels")), words)
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(_table(spark, folder, "documents")).drop("source")
 
@@ -52,6 +60,10 @@ def op9_url_lists(spark: SparkSession, folder: str) -> DataFrame:
     return judge(captures_of(pages), dated_list(pages))
 
 
+def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return passages(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -59,8 +71,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash_join": op4_minhash_join,
     "op5_quality": op5_quality,
     "op6_syncmers": op6_syncmers,
+    "op7_secrets": op7_secrets,
     "op8_mixing": op8_mixing,
     "op9_url_lists": op9_url_lists,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLE: dict[str, str] = {"op9_url_lists": URL_ORACLE}
