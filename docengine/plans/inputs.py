@@ -15,7 +15,7 @@ from docengine.functions.fixed_values import (
 )
 from docengine.functions.text import NOT_WS, WS, let, strip
 from docengine.operators.rows import clean_rows, extract_rows
-from docengine.sources.tables import read_spread
+from docengine.sources.tables import read_table
 
 # A law page of each language: (url, anchor, category) as `extract_rows` takes it.
 LAW_SECTIONS = [(None, "para4", "I"), (None, "lg11", "II"), (None, "lg5", "III")]
@@ -42,7 +42,7 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
     Every line of three words or more gets a numbered heading.  The list carries page
     breaks and stray lines; in some documents eleven stray lines cut it short.
     """
-    docs = read_spread(spark, sf, "documents", "doc_id")
+    docs = read_table(spark, sf, "documents")
 
     def entry(e, j):
         return F.concat(
@@ -98,7 +98,7 @@ def every_nth(items: Column, n: int) -> Column:
 
 def asked_topics(spark: SparkSession, sf: str) -> DataFrame:
     """An entity per document, asking for the heading of every line, spread over topics."""
-    docs = read_spread(spark, sf, "documents", "doc_id")
+    docs = read_table(spark, sf, "documents")
     headings = F.filter(
         F.transform(F.split("text", "\n"), lambda line, i: heading(line, i)["title"]),
         lambda t: t.isNotNull(),
@@ -120,7 +120,7 @@ def asked_topics(spark: SparkSession, sf: str) -> DataFrame:
 
 def mention_entities(spark: SparkSession, sf: str) -> DataFrame:
     """An entity per document, named by its first word, with three candidate files."""
-    docs = read_spread(spark, sf, "documents", "doc_id")
+    docs = read_table(spark, sf, "documents")
     ids = [F.col("doc_id") + 1, F.floor(F.col("doc_id") / 2), F.col("doc_id") + 7]
     return docs.select(
         F.col("doc_id").alias("species_id"),
@@ -135,7 +135,7 @@ def mention_entities(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def plain_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return read_spread(spark, sf, "documents", "doc_id").select(
+    return read_table(spark, sf, "documents").select(
         "doc_id",
         F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("doc_key"),
         "text",
@@ -144,7 +144,7 @@ def plain_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def turn_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns as pages; only assistant turns have native text."""
-    turns = read_spread(spark, sf, "conversations", "conv_id")
+    turns = read_table(spark, sf, "conversations")
     return turns.select(
         F.col("conv_id").alias("doc_id"),
         F.col("turn").alias("page_no"),
@@ -155,7 +155,7 @@ def turn_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def law_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages whose link list became a table of numbered names under an anchor."""
-    pages = read_spread(spark, sf, "pages", "page_id")
+    pages = read_table(spark, sf, "pages")
     anchor = (
         F.when(F.col("html").contains('<html lang="en">'), "para4")
         .when(F.col("html").contains('<html lang="fr">'), "lg11")
@@ -304,7 +304,7 @@ def answer_summaries(requests: DataFrame, texts: DataFrame) -> DataFrame:
 
 def shaped_responses(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns as responses of six shapes, readable and not."""
-    turns = read_spread(spark, sf, "conversations", "conv_id")
+    turns = read_table(spark, sf, "conversations")
     text = F.translate("text", '"\n\\', "   ")
     valid = F.concat(F.lit('{"Desc":"'), text, F.lit('","Threat":["a","'), F.col("role"), F.lit('"]}'))
     fenced = F.concat(F.lit("Here:\n```json\n"), valid, F.lit("\n```\nBye"))
@@ -322,7 +322,7 @@ def shaped_responses(spark: SparkSession, sf: str) -> DataFrame:
 
 def shaped_topics(spark: SparkSession, sf: str) -> DataFrame:
     """Conversation turns as nested topic answers, bare and fenced."""
-    turns = read_spread(spark, sf, "conversations", "conv_id")
+    turns = read_table(spark, sf, "conversations")
     text = F.translate("text", '"\n\\', "   ")
     body = F.concat(
         F.lit('{"Lind":[{"Ohud":["old"]},{"Ohud":["'),

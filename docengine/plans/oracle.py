@@ -392,10 +392,10 @@ ORACLE = {
         left join first a on a.name = c_name || ' (' || c_mktsegment || ')'
         left join first b on b.name = c_name""",
     "kv_pivot": """select user_id as species_id, {}, null::varchar as absent
-        from events where event_type <> 'error' group by user_id""".format(
+        from events group by user_id""".format(
         ", ".join(
             f"arg_max(props, {{'t': ts, 'e': event_id}}) filter (event_type = '{t}') as {t}"
-            for t in ["view", "click", "purchase", "signup"]
+            for t in ["view", "click", "purchase", "signup", "error"]
         )
     ),
     "page_key_values": f"""with {PROFILES}

@@ -1,6 +1,5 @@
 """Every job bound to the given tables: name → function of session and folder."""
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +48,11 @@ from docengine.plans.stages import run_stages
 from docengine.sources.tables import (
     null_tokens,
     read_csv,
-    read_spread,
     read_table,
-    shared_folder,
     write_csv,
     write_stage,
 )
+from docengine.sources.workspace import RunFolder
 
 
 # Documents, contents lists and sections.
@@ -83,7 +81,7 @@ def section_slices(spark: SparkSession, sf: str) -> DataFrame:
 
 def section_match(spark: SparkSession, sf: str) -> DataFrame:
     """Number and two words of every line, without the dot of the heading."""
-    lines = read_spread(spark, sf, "documents", "doc_id").select(
+    lines = read_table(spark, sf, "documents").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")
     )
     words = X.split_words(F.col("line"))
@@ -95,7 +93,7 @@ def section_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def normalized_lines(spark: SparkSession, sf: str) -> DataFrame:
-    lines = read_spread(spark, sf, "documents", "doc_id").select(
+    lines = read_table(spark, sf, "documents").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line")
     )
     dotted = F.concat(F.lit("\t "), "line", F.lit(" ..... "), F.col("i").cast("string"))
@@ -167,7 +165,7 @@ def scan_over_native(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def html_rows(spark: SparkSession, sf: str) -> DataFrame:
-    pages = read_spread(spark, sf, "pages", "page_id")
+    pages = read_table(spark, sf, "pages")
     rows = extract_rows(pages, [(None, None, "I")], "nav", "li", "a", 1)
     return rows.select("page_id", "pos", F.col("cells")[0].alias("cell"))
 
@@ -196,7 +194,7 @@ def clean_names(spark: SparkSession, sf: str) -> DataFrame:
 
 def registry_union(spark: SparkSession, sf: str) -> DataFrame:
     """Titles, main headings and links of each page, appended with their category."""
-    pages = read_spread(spark, sf, "pages", "page_id")
+    pages = read_table(spark, sf, "pages")
 
     def named(tag: str, category: str):
         return F.transform(
@@ -243,7 +241,7 @@ def kv_pivot(spark: SparkSession, sf: str) -> DataFrame:
         F.col("event_type").alias("name"),
         F.col("props").alias("value"),
     )
-    return pivot_keys(events, ["view", "click", "purchase", "signup", "absent"])
+    return pivot_keys(events, ["view", "click", "purchase", "signup", "error", "absent"])
 
 
 def page_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -416,7 +414,7 @@ def requests_for_cleaning(spark: SparkSession, sf: str) -> DataFrame:
 
 def topic_entities(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations as entities: a topic text per turn, or one whole text."""
-    turns = read_spread(spark, sf, "conversations", "conv_id")
+    turns = read_table(spark, sf, "conversations")
     return turns.select(
         F.concat_ws("-", "conv_id", "turn").alias("species_id"),
         (F.col("role") == "user").alias("Analyze_by_sisukord"),
@@ -438,7 +436,7 @@ def requests_for_summaries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def combined_responses(spark: SparkSession, sf: str) -> DataFrame:
-    turns = read_spread(spark, sf, "conversations", "conv_id").select(
+    turns = read_table(spark, sf, "conversations").select(
         F.col("conv_id").alias("species_id"),
         F.when(F.col("role") == "system", "other").otherwise("passages").alias("kind"),
         F.col("turn").alias("chunk"),
@@ -509,10 +507,12 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit('"'), "text").alias("text"),
         (F.col("n_chars") > 1000).alias("long"),
     )
-    path = f"{shared_folder(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    path = f"{RunFolder(spark).path}/csv"
     write_csv(docs, path)
-    schema = T.StructType().add("doc_id", "long").add("lang", "string")
-    return read_csv(spark, path, schema.add("text", "string").add("long", "boolean"))
+    # Another order than the file's: columns are found by their names.
+    schema = T.StructType().add("text", "string").add("long", "boolean")
+    schema = schema.add("doc_id", "long").add("lang", "string")
+    return read_csv(spark, path, schema)
 
 
 # The whole chain.
@@ -541,7 +541,7 @@ def showcase_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
 
     The stages that several later ones read are written; the rest is planned as one.
     """
-    folder = f"{shared_folder(spark).rstrip('/')}/stages-{uuid.uuid4().hex}"
+    folder = RunFolder(spark).path
     written = {"documents", "st3", "st5", "routed", "st7"}
     out = stage_tables(spark, sf, folder, written)["showcase"]
     names = [

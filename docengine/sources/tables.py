@@ -1,9 +1,5 @@
 """Files to tables and back."""
 
-import os
-import tempfile
-from functools import cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,21 +7,11 @@ from pyspark.sql import types as T
 from docengine.functions.fixed_values import NULL_TOKENS
 from docengine.functions.text import document_key
 
-SMALL_FILE = 256 * 1024 * 1024
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach; only where none is named (tests) a local one."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="docengine-")
 
-
-def null_tokens(df: DataFrame, tokens: list[str] = NULL_TOKENS) -> DataFrame:
-    """Null for every text cell that a table hand-over would read as null."""
+def null_tokens(
+    df: DataFrame, tokens: list[str] = NULL_TOKENS, keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """Null for every text cell that a table hand-over would read as null, but in `keys`."""
     # One text that becomes one literal list, instead of a literal per token and column.
     listed = F.split(F.lit("\x01".join(tokens)), "\x01")
     return df.select(
@@ -33,7 +19,7 @@ def null_tokens(df: DataFrame, tokens: list[str] = NULL_TOKENS) -> DataFrame:
             F.when(
                 ~F.array_contains(listed, F.col(f"`{f.name}`")), F.col(f"`{f.name}`")
             ).alias(f.name)
-            if isinstance(f.dataType, T.StringType)
+            if isinstance(f.dataType, T.StringType) and f.name not in keys
             else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
@@ -46,21 +32,20 @@ def read_csv(
     schema: T.StructType,
     tokens: list[str] = NULL_TOKENS,
     multi_line: bool = True,
+    keys: tuple[str, ...] = (),
 ) -> DataFrame:
-    """CSV with a header to the given schema.
+    """CSV with a header to the given schema, columns by name in any order.
 
-    Cells may hold line breaks, which keeps a file in one task; pass
-    `multi_line=False` for large files without such cells, so that they split.
+    A column that the header lacks, a row with more or fewer cells than the header and a
+    quote that isn't closed are errors. `keys` never turn null. Cells may hold line breaks,
+    which keeps a file in one task; pass `multi_line=False` for large files without such
+    cells, so that they split.
     """
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = (
-        spark.read.schema(texts)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("escape", '"')
-        .csv(path)
-    )
-    return null_tokens(raw, tokens).select(
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "inferSchema": False}
+    header = spark.read.options(**options).csv(path).columns
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    raw = spark.read.schema(texts).options(**options, mode="FAILFAST", enforceSchema=False)
+    return null_tokens(raw.csv(path), tokens, keys).select(
         *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
     )
 
@@ -99,17 +84,26 @@ def write_stage(df: DataFrame, folder: str, name: str) -> DataFrame:
 def read_texts(
     spark: SparkSession, folder: str, pattern: str = "*_cleaned.txt"
 ) -> DataFrame:
-    """`(doc_key, file_name, text)`: whole text files, sub-folders included."""
-    return (
+    """`(doc_key, file_name, text)`: whole text files, sub-folders included.
+
+    Of files with equal names the one whose path comes first is taken.
+    """
+    files = (
         spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
         .text(folder, wholetext=True)
         .select(
             document_key(F.col("_metadata.file_name")).alias("doc_key"),
             F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_path").alias("path"),
             F.col("value").alias("text"),
         )
     )
+    return (
+        files.groupBy("doc_key")
+        .agg(F.min_by(F.struct("file_name", "text"), "path").alias("f"))
+        .select("doc_key", "f.file_name", "f.text")
+    )
 
 
 def list_files(
@@ -131,15 +125,3 @@ def list_files(
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
-
-def read_spread(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
-    """A table for costly row work, spread over the cores when it is one small file.
-
-    A small file is one row group and so one task.  Large tables come in many row
-    groups and are read as they are, without a shuffle.
-    """
-    df = read_table(spark, folder, name)
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    if os.path.isfile(path) and os.path.getsize(path) < SMALL_FILE:
-        df = df.repartition(spark.sparkContext.defaultParallelism, key)
-    return df

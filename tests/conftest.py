@@ -9,7 +9,7 @@ from docengine.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
@@ -17,6 +17,7 @@ def spark():
         spark_ui_showConsoleProgress="false",
         spark_driver_memory="8g",
         spark_sql_shuffle_partitions="8",
+        spark_checkpoint_dir=str(tmp_path_factory.mktemp("shared")),
     )
     session.sparkContext.setLogLevel("OFF")
     yield session

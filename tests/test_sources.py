@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import types as T
 
 from docengine.operators.columns import fill_text, ragged_union
@@ -9,10 +10,10 @@ from docengine.sources.tables import (
     list_files,
     read_csv,
     read_texts,
-    shared_folder,
     write_csv,
     write_stage,
 )
+from docengine.sources.workspace import RunFolder, shared_base
 
 SCHEMA = T.StructType().add("name", "string").add("text", "string").add("flag", "boolean").add("n", "integer")
 
@@ -77,14 +78,51 @@ def test_stage_is_written_once(spark, tmp_path):
     assert write_stage(df.filter("id < 2"), str(tmp_path), "st1").count() == 2
 
 
-def test_shared_folder_is_the_one_the_session_names():
+def test_shared_base_is_the_one_the_session_names():
     class Session:
         def __init__(self, folder):
-            self.conf = {"spark.checkpoint.dir": folder}
+            self.conf = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "w/"}
 
-    assert shared_folder(Session("hdfs://x/y")) == "hdfs://x/y"
-    folder = shared_folder(Session(None))
-    assert os.path.isdir(folder) and shared_folder(Session("")) == folder
+    assert shared_base(Session("hdfs://x/y")) == "hdfs://x/y"
+    assert shared_base(Session("hdfs://x/y"), "hdfs://z/") == "hdfs://z"
+    assert shared_base(Session(None)) == "w"
+
+
+def test_run_folder_drops_what_is_not_needed(spark, tmp_path):
+    run = RunFolder(spark, str(tmp_path))
+    assert run.write(spark.range(3).toDF("id"), "a").count() == 3
+    run.drop("a")
+    assert os.listdir(run.path) == []
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("b,a\n1,2\n")
+    schema = T.StructType().add("a", "integer").add("b", "integer")
+    assert [tuple(r) for r in read_csv(spark, str(path), schema).collect()] == [(2, 1)]
+
+
+@pytest.mark.parametrize("rows", ["1,2,3\n", "1\n", '"1,2\n3,4\n'])
+def test_csv_that_is_not_well_formed_raises(spark, tmp_path, rows):
+    path = tmp_path / "in.csv"
+    path.write_text("a,b\n" + rows)
+    schema = T.StructType().add("a", "string").add("b", "string")
+    with pytest.raises(Exception):
+        read_csv(spark, str(path), schema).collect()
+
+
+def test_keys_are_not_nulled(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("id,t\nNA,NA\n")
+    schema = T.StructType().add("id", "string").add("t", "string")
+    assert [tuple(r) for r in read_csv(spark, str(path), schema, keys=("id",)).collect()] == [("NA", None)]
+
+
+def test_equal_file_names_give_one_row(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x_cleaned.txt").write_text(folder)
+    assert [r["text"] for r in read_texts(spark, str(tmp_path)).collect()] == ["a"]
 
 
 def test_ragged_union_and_fill(spark):
