@@ -86,30 +86,24 @@ def _around(batches):
             for m in marks:
                 p = m["pos"]
                 if p + GRAM <= len(words):  # rows may share a doc_id
-                    before = " ".join(reversed(words[max(0, p - SIDE) : p]))
-                    after = " ".join(words[p + GRAM : p + GRAM + SIDE])
+                    before = words[max(0, p - SIDE) : p][::-1]
+                    after = words[p + GRAM : p + GRAM + SIDE]
                     rows.append((doc, p, m["h1"], m["h2"], before, after))
         columns = list(zip(*rows)) or [()] * 6
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.list_(pa.string())] * 2]
         yield pa.record_batch(
             [pa.array(c, t) for c, t in zip(columns, types)],
             ["doc_id", "pos", "h1", "h2", "before", "after"],
         )
 
 
-def _common(a: str, b: Column) -> Column:
-    """Words that two texts have in common from their start on."""
-    x, y = F.split(F.col(a), " "), F.split(b, " ")
-    size = F.least(F.size(x), F.size(y))
+def _common(a: str, b: str) -> Column:
+    """Words that two lists of words have in common from their start on."""
+    size = F.least(F.size(a), F.size(b))
     differ = F.filter(
-        F.sequence(F.lit(0), size - 1), lambda i: F.get(x, i) != F.get(y, i)
+        F.sequence(F.lit(0), size), lambda i: (i == size) | (F.get(a, i) != F.get(b, i))
     )
-    found = F.coalesce(F.get(differ, F.lit(0)), size)
-    return F.when((F.col(a) == "") | (b == "") | b.isNull(), 0).otherwise(found)
-
-
-def _words(text: str) -> Column:
-    return F.when(F.col(text) == "", 0).otherwise(F.size(F.split(F.col(text), " ")))
+    return F.when(F.col(b).isNull(), 0).otherwise(F.get(differ, F.lit(0)))
 
 
 def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
@@ -129,7 +123,7 @@ def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
     around = run.write(
         around.select("doc_id", "wanted", "text").mapInArrow(
             _around,
-            "doc_id long, pos int, h1 long, h2 long, before string, after string",
+            "doc_id long, pos int, h1 long, h2 long, before array<string>, after array<string>",
         ),
         "around",
     )
@@ -139,10 +133,11 @@ def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
     same = marked.groupBy("h1", "h2", "side").agg(
         F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after")
     )
-    left_all, right_all = _words("before"), _words("after")
+    same = run.write(same, "same")
     group = W.partitionBy("h1", "h2")
-    found = same.withColumns({"l0": F.when(F.col("n") > 1, left_all).otherwise(0),
-                              "r0": F.when(F.col("n") > 1, right_all).otherwise(0)})
+    several = F.col("n") > 1
+    found = same.withColumn("l0", F.when(several, F.size("before")).otherwise(0))
+    found = found.withColumn("r0", F.when(several, F.size("after")).otherwise(0))
     matches = [F.struct(F.col("l0").alias("l"), F.col("r0").alias("r"))]
     for name, order in (("a", ["after", "before"]), ("b", ["before", "after"])):
         by = group.orderBy(*order)
@@ -151,14 +146,14 @@ def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
             found = found.withColumn(f"{name}{step}r", look("after").over(by))
             matches.append(
                 F.struct(
-                    _common("before", F.col(f"{name}{step}l")).alias("l"),
-                    _common("after", F.col(f"{name}{step}r")).alias("r"),
+                    _common("before", f"{name}{step}l").alias("l"),
+                    _common("after", f"{name}{step}r").alias("r"),
                 )
             )
     long = F.filter(F.array(*matches), lambda m: m["l"] + m["r"] + GRAM >= LEAST)
-    found = found.select("h1", "h2", "side", F.explode(long).alias("m")).select(
-        "h1", "h2", "side", "m.l", "m.r"
-    ).distinct()
+    found = found.select("h1", "h2", "side", F.explode(F.array_distinct(long)).alias("m"))
+    found = run.write(found.select("h1", "h2", "side", "m.l", "m.r"), "found")
+    run.drop("same")
     spans = (
         marked.select("doc_id", "pos", "h1", "h2", "side")
         .join(found, ["h1", "h2", "side"])
