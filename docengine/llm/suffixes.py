@@ -129,16 +129,34 @@ def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
     )
     run.drop("kept")
     marked = around.withColumn("side", F.xxhash64("before", "after"))
-    # Equal neighbourhoods: the common run is all of it.
-    same = marked.groupBy("h1", "h2", "side").agg(
-        F.count("*").alias("n"), F.first("before").alias("before"), F.first("after").alias("after")
+    narrow = marked.select(
+        "doc_id", "pos", "h1", "h2", "side", F.size("before").alias("l"), F.size("after").alias("r")
+    )
+    # Equal neighbourhoods: the common run is all of it, and one of them stands for all.
+    same = run.write(
+        narrow.groupBy("h1", "h2", "side").agg(
+            F.count("*").alias("n"),
+            F.min("doc_id").alias("doc"),
+            F.min_by("pos", "doc_id").alias("at"),
+            F.min("l").alias("l"),
+            F.min("r").alias("r"),
+        ),
+        "same",
+    )
+    whole = same.where((F.col("n") > 1) & (F.col("l") + F.col("r") + GRAM >= LEAST))
+    # Words are moved only where neighbourhoods of one run of words differ.
+    several = same.groupBy("h1", "h2").agg(F.count("*").alias("sides")).where("sides > 1")
+    differ = same.join(several.hint("merge"), ["h1", "h2"]).select(
+        "h1", "h2", "side", F.col("doc").alias("doc_id"), F.col("at").alias("pos")
+    )
+    found = run.write(
+        around.join(differ.hint("merge"), ["doc_id", "pos", "h1", "h2"]).select(
+            "h1", "h2", "side", "before", "after"
+        ),
+        "differ",
     )
-    same = run.write(same, "same")
     group = W.partitionBy("h1", "h2")
-    several = F.col("n") > 1
-    found = same.withColumn("l0", F.when(several, F.size("before")).otherwise(0))
-    found = found.withColumn("r0", F.when(several, F.size("after")).otherwise(0))
-    matches = [F.struct(F.col("l0").alias("l"), F.col("r0").alias("r"))]
+    matches = []
     for name, order in (("a", ["after", "before"]), ("b", ["before", "after"])):
         by = group.orderBy(*order)
         for step, look in (("p", F.lag), ("n", F.lead)):
@@ -152,10 +170,11 @@ def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
             )
     long = F.filter(F.array(*matches), lambda m: m["l"] + m["r"] + GRAM >= LEAST)
     found = found.select("h1", "h2", "side", F.explode(F.array_distinct(long)).alias("m"))
-    found = run.write(found.select("h1", "h2", "side", "m.l", "m.r"), "found")
-    run.drop("same")
+    found = found.select("h1", "h2", "side", "m.l", "m.r")
+    found = run.write(found.union(whole.select("h1", "h2", "side", "l", "r")), "found")
+    run.drop("same", "differ")
     spans = (
-        marked.select("doc_id", "pos", "h1", "h2", "side")
+        narrow.drop("l", "r")
         .join(found, ["h1", "h2", "side"])
         .select(
             "doc_id",
