@@ -1,13 +1,15 @@
 """Repeated passages by a sparse suffix array over words.
 
 Suffixes are kept at minimiser positions only: where the hash of a run of `GRAM` words is
-the smallest among `WINDOW` neighbouring runs. Equal passages of GRAM + WINDOW - 1 = 50 words
-or more keep the same positions, so each shares a kept suffix. Suffixes whose first GRAM words
-(128-bit digest) occur once are dropped; the others get their neighbourhood, equal
-neighbourhoods become one, and those left are sorted by what follows and, a second time, by
-what precedes. Neighbours in the two orders are compared to the right and to the left; a
-common run of `LEAST` words or more is a repeated passage. Matches of neighbouring positions
-overlap, so their union has the whole passage, however long it is.
+the smallest among `WINDOW` neighbouring runs. A run of GRAM + WINDOW - 1 = `LEAST` words keeps
+the same position wherever it stands, so all its places meet at equal first GRAM words.
+Suffixes that also agree in the `SIDE` words before and after are one from there on. Where
+such neighbourhoods differ, the order of what follows alone can part two suffixes that share a
+run, as can the order of what precedes. So the suffixes are ordered at each of the SIDE + 1
+places where a run of LEAST words around the kept position can start: by (first words, place,
+digest of the run), and equal neighbours match. Matched places that follow one another extend
+the match to the left and right; matches of neighbouring positions overlap, so their union has
+the whole passage, however long it is. Words are compared by 128-bit and 64-bit digests.
 
 Defined cases: words are parted by blanks, in any number; null or short texts have no
 passage; repeats inside one document count; rows without doc_id are left out; rows that
@@ -17,7 +19,7 @@ share a doc_id and text repeat each other. Only doc_id and text are read.
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -29,22 +31,31 @@ WINDOW = 31
 LEAST = 50
 SIDE = LEAST - GRAM
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+KEPT = "doc_id long, pos int, h1 long, h2 long, side long, l byte, r byte"
+RUNS = "h1 long, h2 long, side long, l int, run long"
 
 
-def gram_digests(words: list[str]) -> np.ndarray:
-    """Two hashes for each run of `GRAM` words."""
-    codes = [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
-    codes = np.array(codes, np.uint64)
-    out = []
-    for factor in FACTORS:
-        mixed = (codes ^ (codes >> np.uint64(29))) * np.uint64(factor)
-        total = np.zeros(len(words) - GRAM + 1, np.uint64)
-        for k in range(GRAM):
-            total = total * np.uint64(factor) + mixed[k : k + len(total)]
-        total ^= total >> np.uint64(32)
-        total *= np.uint64(FACTORS[1])
-        out.append(total ^ (total >> np.uint64(29)))
-    return np.stack(out)
+def _stir(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(FACTORS[1])
+    return x ^ (x >> np.uint64(29))
+
+
+class Runs:
+    """Hashes of runs of words, each from two sums over the words before."""
+
+    def __init__(self, words: list[str], factor: int):
+        codes = [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
+        codes = np.array(codes, np.uint64)
+        codes = (codes ^ (codes >> np.uint64(29))) * np.uint64(factor)
+        powers = np.full(len(words) + 1, factor, np.uint64)
+        self.back = np.full(len(words) + 1, pow(factor, -1, 1 << 64), np.uint64)
+        powers[0] = self.back[0] = 1
+        self.back = np.cumprod(self.back)
+        self.sums = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(codes * np.cumprod(powers)[:-1], out=self.sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _stir((self.sums[end] - self.sums[start]) * self.back[start])
 
 
 def kept_positions(marks: np.ndarray) -> np.ndarray:
@@ -53,128 +64,104 @@ def kept_positions(marks: np.ndarray) -> np.ndarray:
     return np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
 
 
+def _digests(hashes: list[Runs], n: int, at: np.ndarray) -> list[np.ndarray]:
+    """h1, h2, side, words before and words after of positions in a text of n words."""
+    first, last = np.maximum(at - SIDE, 0), np.minimum(at + LEAST, n)
+    around = hashes[0].of(first, last)
+    place = ((at - first) * LEAST + last - at).astype(np.uint64)
+    return [
+        *(h.of(at, at + GRAM).view(np.int64) for h in hashes),
+        _stir(around + place * np.uint64(FACTORS[0])).view(np.int64),
+        (at - first).astype(np.int8),
+        (last - at - GRAM).astype(np.int8),
+    ]
+
+
 def _keep(batches):
     for ids, texts in pieces(batches):
-        docs, at, digests = [], [], []
+        found = []
         for doc, text in zip(ids, texts):
             words = (text or "").split()
-            if doc is None or len(words) < LEAST:
+            if len(words) < LEAST:
                 continue
-            marks = gram_digests(words)
-            kept = kept_positions(marks[0])
-            docs.append(np.full(len(kept), doc))
-            at.append(kept)
-            digests.append(marks[:, kept])
-        if docs:
-            both = np.concatenate(digests, axis=1).view(np.int64)
-            yield pa.record_batch(
-                [
-                    pa.array(np.concatenate(docs), pa.int64()),
-                    pa.array(np.concatenate(at), pa.int32()),
-                    pa.array(both[0]),
-                    pa.array(both[1]),
-                ],
-                ["doc_id", "pos", "h1", "h2"],
-            )
+            hashes = [Runs(words, f) for f in FACTORS]
+            starts = np.arange(len(words) - GRAM + 1)
+            at = kept_positions(hashes[0].of(starts, starts + GRAM))
+            found.append([np.full(len(at), doc), at.astype(np.int32), *_digests(hashes, len(words), at)])
+        if found:
+            names = ["doc_id", "pos", "h1", "h2", "side", "l", "r"]
+            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names)
 
 
 def _around(batches):
-    for ids, wanted, texts in pieces(batches):
-        rows = []
-        for doc, marks, text in zip(ids, wanted, texts):
+    """The runs of LEAST words around the positions asked for, l words before each."""
+    back = np.arange(SIDE + 1)
+    for wanted, texts in pieces(batches):
+        found = []
+        for marks, text in zip(wanted, texts):
             words = (text or "").split()
-            for m in marks:
-                p = m["pos"]
-                if p + GRAM <= len(words):  # rows may share a doc_id
-                    before = words[max(0, p - SIDE) : p][::-1]
-                    after = words[p + GRAM : p + GRAM + SIDE]
-                    rows.append((doc, p, m["h1"], m["h2"], before, after))
-        columns = list(zip(*rows)) or [()] * 6
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.list_(pa.string())] * 2]
-        yield pa.record_batch(
-            [pa.array(c, t) for c, t in zip(columns, types)],
-            ["doc_id", "pos", "h1", "h2", "before", "after"],
-        )
-
-
-def _common(a: str, b: str) -> Column:
-    """Words that two lists of words have in common from their start on."""
-    size = F.least(F.size(a), F.size(b))
-    differ = F.filter(
-        F.sequence(F.lit(0), size), lambda i: (i == size) | (F.get(a, i) != F.get(b, i))
-    )
-    return F.when(F.col(b).isNull(), 0).otherwise(F.get(differ, F.lit(0)))
+            asked = {(m["pos"], m["h1"], m["h2"], m["side"]) for m in marks}
+            at = np.array(sorted({a[0] for a in asked if a[0] + GRAM <= len(words)}), np.int64)
+            if not len(at):
+                continue
+            hashes = [Runs(words, f) for f in FACTORS]
+            h1, h2, side, *_ = _digests(hashes, len(words), at)
+            # Rows may share a doc_id: only positions that are this text's own.
+            own = [k for k, a in enumerate(zip(*(c.tolist() for c in (at, h1, h2, side)))) if a in asked]
+            starts = at[own][:, None] - back
+            row, l = np.nonzero((starts >= 0) & (starts + LEAST <= len(words)))
+            start = starts[row, l]
+            run = hashes[0].of(start, start + LEAST).view(np.int64)
+            found.append([h1[own][row], h2[own][row], side[own][row], l.astype(np.int32), run])
+        if found:
+            names = ["h1", "h2", "side", "l", "run"]
+            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names)
 
 
 def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
     """doc_id, start, n_words: maximal runs of words that repeat, a row each."""
     run = RunFolder(documents.sparkSession, folder)
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kept = run.write(
-        texts.mapInArrow(_keep, "doc_id long, pos int, h1 long, h2 long"), "kept"
-    )
-    again = kept.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    wanted = (
-        kept.join(again.hint("shuffle_hash"), ["h1", "h2"])
-        .groupBy("doc_id")
-        .agg(F.collect_set(F.struct("pos", "h1", "h2")).alias("wanted"))
-    )
-    around = texts.where("doc_id is not null").join(wanted.hint("merge"), "doc_id")
-    around = run.write(
-        around.select("doc_id", "wanted", "text").mapInArrow(
-            _around,
-            "doc_id long, pos int, h1 long, h2 long, before array<string>, after array<string>",
-        ),
-        "around",
-    )
-    run.drop("kept")
-    marked = around.withColumn("side", F.xxhash64("before", "after"))
-    narrow = marked.select(
-        "doc_id", "pos", "h1", "h2", "side", F.size("before").alias("l"), F.size("after").alias("r")
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(
+        "doc_id is not null"
     )
-    # Equal neighbourhoods: the common run is all of it, and one of them stands for all.
+    kept = run.write(texts.mapInArrow(_keep, KEPT), "kept")
     same = run.write(
-        narrow.groupBy("h1", "h2", "side").agg(
+        kept.groupBy("h1", "h2", "side").agg(
             F.count("*").alias("n"),
-            F.min("doc_id").alias("doc"),
-            F.min_by("pos", "doc_id").alias("at"),
-            F.min("l").alias("l"),
-            F.min("r").alias("r"),
+            F.min(F.struct("doc_id", "pos")).alias("one"),
+            F.min("l").cast("int").alias("l"),
+            F.min("r").cast("int").alias("r"),
         ),
         "same",
     )
-    whole = same.where((F.col("n") > 1) & (F.col("l") + F.col("r") + GRAM >= LEAST))
-    # Words are moved only where neighbourhoods of one run of words differ.
+    # Equal neighbourhoods: the common run is all of it, and one of them stands for all.
+    whole = same.where("n > 1").select("h1", "h2", "side", "l", "r")
     several = same.groupBy("h1", "h2").agg(F.count("*").alias("sides")).where("sides > 1")
-    differ = same.join(several.hint("merge"), ["h1", "h2"]).select(
-        "h1", "h2", "side", F.col("doc").alias("doc_id"), F.col("at").alias("pos")
+    differ = same.join(several.hint("merge"), ["h1", "h2"])
+    wanted = differ.groupBy(F.col("one.doc_id").alias("doc_id")).agg(
+        F.collect_set(F.struct("one.pos", "h1", "h2", "side")).alias("wanted")
     )
-    found = run.write(
-        around.join(differ.hint("merge"), ["doc_id", "pos", "h1", "h2"]).select(
-            "h1", "h2", "side", "before", "after"
-        ),
-        "differ",
+    # Texts are read again only where neighbourhoods of one run of words differ.
+    around = texts.join(wanted.hint("merge"), "doc_id").select("wanted", "text")
+    runs = run.write(around.mapInArrow(_around, RUNS), "runs")
+    place = ["h1", "h2", "l", "run"]
+    shared = runs.groupBy(*place).agg(F.min("side").alias("a"), F.max("side").alias("b"))
+    shared = shared.where("a <> b").drop("a", "b")
+    places = (
+        runs.join(shared.hint("merge"), place)
+        .groupBy("h1", "h2", "side")
+        .agg(F.array_sort(F.collect_set("l")).alias("ls"))
+    )
+    extended = F.zip_with(
+        F.filter("ls", lambda l: ~F.array_contains("ls", l + 1)),
+        F.filter("ls", lambda l: ~F.array_contains("ls", l - 1)),
+        lambda first, last: F.struct(first.alias("l"), (SIDE - last).alias("r")),
     )
-    group = W.partitionBy("h1", "h2")
-    matches = []
-    for name, order in (("a", ["after", "before"]), ("b", ["before", "after"])):
-        by = group.orderBy(*order)
-        for step, look in (("p", F.lag), ("n", F.lead)):
-            found = found.withColumn(f"{name}{step}l", look("before").over(by))
-            found = found.withColumn(f"{name}{step}r", look("after").over(by))
-            matches.append(
-                F.struct(
-                    _common("before", f"{name}{step}l").alias("l"),
-                    _common("after", f"{name}{step}r").alias("r"),
-                )
-            )
-    long = F.filter(F.array(*matches), lambda m: m["l"] + m["r"] + GRAM >= LEAST)
-    found = found.select("h1", "h2", "side", F.explode(F.array_distinct(long)).alias("m"))
-    found = found.select("h1", "h2", "side", "m.l", "m.r")
-    found = run.write(found.union(whole.select("h1", "h2", "side", "l", "r")), "found")
-    run.drop("same", "differ")
+    part = places.select("h1", "h2", "side", F.inline(extended))
+    found = run.write(whole.union(part), "found")
+    run.drop("same", "runs")
     spans = (
-        narrow.drop("l", "r")
+        kept.select("doc_id", "pos", "h1", "h2", "side")
         .join(found, ["h1", "h2", "side"])
         .select(
             "doc_id",

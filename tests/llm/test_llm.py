@@ -183,6 +183,26 @@ def test_passages_match_all_windows(spark):
     assert {tuple(r) for r in got.collect()} == {(1, 50, 55), (2, 2, 55)}
 
 
+def test_passages_of_edited_copies_match_all_windows(spark):
+    rng = np.random.default_rng(3)
+    base = [f"w{k}" for k in rng.integers(0, 40, 400)]
+    rows = []
+    for doc in range(30):
+        words = base[rng.integers(0, 60) : 400 - rng.integers(0, 60)]
+        for at in rng.integers(0, len(words), 5):
+            words[at] = f"e{doc}"
+        rows.append((doc, " ".join(words)))
+    rows += [(30, "a " * 130), (30, "b " * 49), (31, None), (7, rows[7][1])]
+    seen = {}
+    for doc, text in rows:
+        words = (text or "").split()
+        for at in range(len(words) - 49):
+            seen.setdefault(tuple(words[at : at + 50]), []).append((doc, at))
+    covered = {(doc, at + k) for places in seen.values() if len(places) > 1 for doc, at in places for k in range(50)}
+    got = suffixes.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["start"] + k) for r in got for k in range(r["n_words"])} == covered
+
+
 def test_secrets_learn_from_findings(spark):
     rows = [(k, f"so password=ab{k:04d}cdef{k:04d}99 and 10.0.{k}.123456 here", "s") for k in range(60)]
     df = spark.createDataFrame([*rows, (99, None, None)], "doc_id long, text string, source string")
