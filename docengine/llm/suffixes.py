@@ -6,10 +6,10 @@ the same position wherever it stands, so all its places meet at equal first GRAM
 Suffixes that also agree in the `SIDE` words before and after are one from there on. Where
 such neighbourhoods differ, the order of what follows alone can part two suffixes that share a
 run, as can the order of what precedes. So the suffixes are ordered at each of the SIDE + 1
-places where a run of LEAST words around the kept position can start: by (first words, place,
-digest of the run), and equal neighbours match. Matched places that follow one another extend
-the match to the left and right; matches of neighbouring positions overlap, so their union has
-the whole passage, however long it is. Words are compared by 128-bit and 64-bit digests.
+places where a run of LEAST words that keeps this position can start, by the digest of the run,
+and equal neighbours match. The first and the last such place extend the match to the left and
+right; matches of neighbouring positions overlap, so their union has the whole passage, however
+long it is. Words are compared by two 64-bit digests each time.
 
 Defined cases: words are parted by blanks, in any number; null or short texts have no
 passage; repeats inside one document count; rows without doc_id are left out; rows that
@@ -31,8 +31,8 @@ WINDOW = 31
 LEAST = 50
 SIDE = LEAST - GRAM
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-KEPT = "doc_id long, pos int, h1 long, h2 long, side long, l byte, r byte"
-RUNS = "h1 long, h2 long, side long, l int, run long"
+KEPT = "doc_id long, pos int, first long, side long, l byte, r byte"
+RUNS = "first long, side long, l int, run long"
 
 
 def _stir(x: np.ndarray) -> np.ndarray:
@@ -40,82 +40,99 @@ def _stir(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+class Codes(dict):
+    """Hash of each word, taken once; one for each piece of a batch."""
+
+    def __missing__(self, word: str) -> int:
+        code = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return self.setdefault(word, code)
+
+
 class Runs:
     """Hashes of runs of words, each from two sums over the words before."""
 
-    def __init__(self, words: list[str], factor: int):
-        codes = [xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words]
-        codes = np.array(codes, np.uint64)
+    def __init__(self, codes: np.ndarray, factor: int):
         codes = (codes ^ (codes >> np.uint64(29))) * np.uint64(factor)
-        powers = np.full(len(words) + 1, factor, np.uint64)
-        self.back = np.full(len(words) + 1, pow(factor, -1, 1 << 64), np.uint64)
+        powers = np.full(len(codes) + 1, factor, np.uint64)
+        self.back = np.full(len(codes) + 1, pow(factor, -1, 1 << 64), np.uint64)
         powers[0] = self.back[0] = 1
         self.back = np.cumprod(self.back)
-        self.sums = np.zeros(len(words) + 1, np.uint64)
+        self.sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(codes * np.cumprod(powers)[:-1], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _stir((self.sums[end] - self.sums[start]) * self.back[start])
 
 
-def kept_positions(marks: np.ndarray) -> np.ndarray:
-    """Positions of the smallest mark of each window, the first of equal ones."""
-    windows = np.lib.stride_tricks.sliding_window_view(marks, WINDOW)
-    return np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+class Suffixes:
+    """The kept suffixes of a text of `LEAST` words or more."""
+
+    def __init__(self, words: list[str], codes: Codes):
+        hashed = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+        self.n = len(words)
+        self.runs, self.sides = (Runs(hashed, f) for f in FACTORS)
+        starts = np.arange(self.n - GRAM + 1)
+        marks = self.runs.of(starts, starts + GRAM)
+        windows = np.lib.stride_tricks.sliding_window_view(marks, WINDOW)
+        # The position that each run of LEAST words keeps, which never falls.
+        self.keeper = windows.argmin(axis=1) + starts[: len(windows)]
+        self.marks = marks.view(np.int64)
+
+    def kept(self) -> np.ndarray:
+        return self.keeper[np.diff(self.keeper, prepend=-1) > 0]
+
+    def around(self, at: np.ndarray) -> list[np.ndarray]:
+        """first, side, l, r: the words from positions, around them, before and after."""
+        start, end = np.maximum(at - SIDE, 0), np.minimum(at + LEAST, self.n)
+        place = ((at - start) * LEAST + end - at).astype(np.uint64)
+        side = _stir(self.sides.of(start, end) + place * np.uint64(FACTORS[0]))
+        l, r = (at - start).astype(np.int8), (end - at - GRAM).astype(np.int8)
+        return [self.marks[at], side.view(np.int64), l, r]
+
+    def through(self, at: np.ndarray) -> list[np.ndarray]:
+        """which, l, run: the runs of LEAST words that keep positions, l words before each."""
+        low = np.searchsorted(self.keeper, at, "left")
+        count = np.searchsorted(self.keeper, at, "right") - low
+        which = np.repeat(np.arange(len(at)), count)
+        start = np.arange(len(which)) - np.repeat(np.cumsum(count) - count - low, count)
+        run = self.sides.of(start, start + LEAST).view(np.int64)
+        return [which, (at[which] - start).astype(np.int32), run]
 
 
-def _digests(hashes: list[Runs], n: int, at: np.ndarray) -> list[np.ndarray]:
-    """h1, h2, side, words before and words after of positions in a text of n words."""
-    first, last = np.maximum(at - SIDE, 0), np.minimum(at + LEAST, n)
-    around = hashes[0].of(first, last)
-    place = ((at - first) * LEAST + last - at).astype(np.uint64)
-    return [
-        *(h.of(at, at + GRAM).view(np.int64) for h in hashes),
-        _stir(around + place * np.uint64(FACTORS[0])).view(np.int64),
-        (at - first).astype(np.int8),
-        (last - at - GRAM).astype(np.int8),
-    ]
+def _table(found: list[list[np.ndarray]], schema: str):
+    if found:
+        names = [c.split()[0] for c in schema.split(", ")]
+        yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names)
 
 
 def _keep(batches):
     for ids, texts in pieces(batches):
-        found = []
+        found, codes = [], Codes()
         for doc, text in zip(ids, texts):
             words = (text or "").split()
-            if len(words) < LEAST:
-                continue
-            hashes = [Runs(words, f) for f in FACTORS]
-            starts = np.arange(len(words) - GRAM + 1)
-            at = kept_positions(hashes[0].of(starts, starts + GRAM))
-            found.append([np.full(len(at), doc), at.astype(np.int32), *_digests(hashes, len(words), at)])
-        if found:
-            names = ["doc_id", "pos", "h1", "h2", "side", "l", "r"]
-            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names)
-
-
-def _around(batches):
-    """The runs of LEAST words around the positions asked for, l words before each."""
-    back = np.arange(SIDE + 1)
+            if len(words) >= LEAST:
+                own = Suffixes(words, codes)
+                at = own.kept()
+                found.append([np.full(len(at), doc), at.astype(np.int32), *own.around(at)])
+        yield from _table(found, KEPT)
+
+
+def _through(batches):
     for wanted, texts in pieces(batches):
-        found = []
+        found, codes = [], Codes()
         for marks, text in zip(wanted, texts):
             words = (text or "").split()
-            asked = {(m["pos"], m["h1"], m["h2"], m["side"]) for m in marks}
-            at = np.array(sorted({a[0] for a in asked if a[0] + GRAM <= len(words)}), np.int64)
-            if not len(at):
+            if len(words) < LEAST:
                 continue
-            hashes = [Runs(words, f) for f in FACTORS]
-            h1, h2, side, *_ = _digests(hashes, len(words), at)
+            own = Suffixes(words, codes)
+            asked = np.array([(m["pos"], m["first"], m["side"]) for m in marks], np.int64)
+            asked = asked[asked[:, 0] + GRAM <= len(words)]
+            first, side, *_ = own.around(asked[:, 0])
             # Rows may share a doc_id: only positions that are this text's own.
-            own = [k for k, a in enumerate(zip(*(c.tolist() for c in (at, h1, h2, side)))) if a in asked]
-            starts = at[own][:, None] - back
-            row, l = np.nonzero((starts >= 0) & (starts + LEAST <= len(words)))
-            start = starts[row, l]
-            run = hashes[0].of(start, start + LEAST).view(np.int64)
-            found.append([h1[own][row], h2[own][row], side[own][row], l.astype(np.int32), run])
-        if found:
-            names = ["h1", "h2", "side", "l", "run"]
-            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*found)], names)
+            asked = asked[(first == asked[:, 1]) & (side == asked[:, 2])]
+            which, l, run = own.through(asked[:, 0])
+            found.append([asked[which, 1], asked[which, 2], l, run])
+        yield from _table(found, RUNS)
 
 
 def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
@@ -126,7 +143,7 @@ def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
     )
     kept = run.write(texts.mapInArrow(_keep, KEPT), "kept")
     same = run.write(
-        kept.groupBy("h1", "h2", "side").agg(
+        kept.groupBy("first", "side").agg(
             F.count("*").alias("n"),
             F.min(F.struct("doc_id", "pos")).alias("one"),
             F.min("l").cast("int").alias("l"),
@@ -135,34 +152,27 @@ def passages(documents: DataFrame, folder: str | None = None) -> DataFrame:
         "same",
     )
     # Equal neighbourhoods: the common run is all of it, and one of them stands for all.
-    whole = same.where("n > 1").select("h1", "h2", "side", "l", "r")
-    several = same.groupBy("h1", "h2").agg(F.count("*").alias("sides")).where("sides > 1")
-    differ = same.join(several.hint("merge"), ["h1", "h2"])
+    whole = same.where("n > 1").select("first", "side", "l", "r")
+    several = same.groupBy("first").agg(F.count("*").alias("sides")).where("sides > 1")
+    differ = same.select("first", "side", "one").join(several.hint("merge"), "first")
     wanted = differ.groupBy(F.col("one.doc_id").alias("doc_id")).agg(
-        F.collect_set(F.struct("one.pos", "h1", "h2", "side")).alias("wanted")
+        F.collect_set(F.struct("one.pos", "first", "side")).alias("wanted")
     )
     # Texts are read again only where neighbourhoods of one run of words differ.
-    around = texts.join(wanted.hint("merge"), "doc_id").select("wanted", "text")
-    runs = run.write(around.mapInArrow(_around, RUNS), "runs")
-    place = ["h1", "h2", "l", "run"]
-    shared = runs.groupBy(*place).agg(F.min("side").alias("a"), F.max("side").alias("b"))
+    through = texts.join(wanted.hint("merge"), "doc_id").select("wanted", "text")
+    runs = run.write(through.mapInArrow(_through, RUNS), "runs")
+    shared = runs.groupBy("first", "run").agg(F.min("side").alias("a"), F.max("side").alias("b"))
     shared = shared.where("a <> b").drop("a", "b")
-    places = (
-        runs.join(shared.hint("merge"), place)
-        .groupBy("h1", "h2", "side")
-        .agg(F.array_sort(F.collect_set("l")).alias("ls"))
-    )
-    extended = F.zip_with(
-        F.filter("ls", lambda l: ~F.array_contains("ls", l + 1)),
-        F.filter("ls", lambda l: ~F.array_contains("ls", l - 1)),
-        lambda first, last: F.struct(first.alias("l"), (SIDE - last).alias("r")),
+    part = (
+        runs.join(shared.hint("merge"), ["first", "run"])
+        .groupBy("first", "side")
+        .agg(F.max("l").alias("l"), (SIDE - F.min("l")).alias("r"))
     )
-    part = places.select("h1", "h2", "side", F.inline(extended))
     found = run.write(whole.union(part), "found")
     run.drop("same", "runs")
     spans = (
-        kept.select("doc_id", "pos", "h1", "h2", "side")
-        .join(found, ["h1", "h2", "side"])
+        kept.select("doc_id", "pos", "first", "side")
+        .join(found, ["first", "side"])
         .select(
             "doc_id",
             (F.col("pos") - F.col("l")).alias("start"),
