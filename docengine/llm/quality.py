@@ -7,7 +7,8 @@ calibrated on labelled rows that none was trained on, a last regression on the c
 views combines them, and all documents are scored.
 
 Fitting sees bounded samples, drawn by a seeded hash of doc_id: `LABELLED` rows with a
-label, a quarter of them held out for calibration, and `POOL` rows without one. Scoring,
+label, a quarter of each class held out for calibration (of fewer than four rows of a class
+none is, and all rows calibrate), and `POOL` rows without one. Scoring,
 and with it every document's verdict, reads all of every text.
 
 Defined cases: null text counts as empty, a null metadata value as a value of its own; with
@@ -132,7 +133,7 @@ def co_train(views: list[View], y: np.ndarray, train: np.ndarray) -> dict:
                 sure = [k for k in order if (p[k] if value else 1 - p[k]) >= SURE]
                 new = [k for k in sure if k not in given[other]][:ADDED]
                 given[other].update((int(k), value) for k in new)
-    held = ~train
+    held = ~train if len(set(y[~train])) == 2 else np.ones(len(y), bool)
     marks = [logit(v.rows[held], w)[:, None] for v, w in zip(views, weights)]
     scales = [fit(m, y[held]) for m in marks]
     calibrated = np.column_stack([logit(m, s) for m, s in zip(marks, scales)])
@@ -195,7 +196,10 @@ def train(documents: DataFrame, labels: DataFrame, seed: int = 5) -> dict | None
         )
         for c in ("text", "meta")
     )
-    fold = np.arange(len(known)) % 4 != 3
+    fold = np.ones(len(y), bool)
+    for value in (0, 1):  # a quarter of each class, whatever order their ids have
+        own = np.random.default_rng(seed).permutation(np.flatnonzero(y == value))
+        fold[own[: len(own) // 4]] = False
     model = co_train([text, meta], y, fold)
     return model | {"views": [(v.mean, v.scale) for v in (text, meta)]}
 

@@ -165,6 +165,8 @@ def test_quality_learns_and_handles_odd_rows(spark, odd):
     labels = spark.createDataFrame([(k, k % 2) for k in range(300)], "doc_id long, quality int")
     got = {r["doc_id"]: r["kept"] for r in quality.score(df, labels, limit=0.5).collect()}
     assert all(got[k] == bool(k % 2) for k in range(300, 400))
+    few = labels.where("doc_id < 3")  # too few to hold any out
+    assert len({r["score"] for r in quality.score(df, few).collect()}) > 1
     assert quality.good(odd, labels.limit(0)).count() == 9
     assert quality.good(odd, labels).schema == odd.schema
 
