@@ -129,7 +129,8 @@ def reviewed(documents: DataFrame, labels: DataFrame) -> DataFrame:
     the issued forms: a 20-character access key or a hexadecimal value under a password's name.
     """
     issued = r"^AKIA[A-Z0-9]{16}$|^(password|passwd|secret|token)=[0-9a-f]{16,}$"
-    covered = documents.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    return findings(covered, []).select(
+    found = findings(documents, []).select(
         "doc_id", "word_no", F.col("candidate").rlike(issued).cast("int").alias("secret")
     )
+    # No semi join: that would be taken below the findings and shuffle whole texts.
+    return found.join(labels.select("doc_id").distinct(), "doc_id")
