@@ -5,32 +5,45 @@ with unclosed tags elsewhere do no harm, as only the asked-for blocks are read.
 """
 
 import html
-from html.entities import name2codepoint
+import re
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from docengine.functions.text import let, strip
 
-# The standard names, as one text that becomes one map literal.
-_NAMED = "\x02".join(
-    f"{n}\x01{chr(v)}" for n, v in {**name2codepoint, "apos": 39}.items()
-)
+def _map(names: dict[str, str]) -> Column:
+    """A map literal, made from one text."""
+    return F.str_to_map(
+        F.lit("\x02".join(f"{n}\x01{c}" for n, c in names.items())), F.lit(r"\x02"), F.lit(r"\x01")
+    )
 
 
+# The standard's names: those that need their semicolon, and the older ones that do not.
+_BARE = {n: c for n, c in html5.items() if not n.endswith(";")}
+_NAMED = {n[:-1]: c for n, c in html5.items() if n.endswith(";") and n[:-1] not in _BARE}
+_BARE_FIRST = "^(?:" + "|".join(sorted(_BARE, key=len, reverse=True)) + ")"
 # What the numbers 128 to 159 stand for in pages.
 _LATE_CONTROLS = "".join(html.unescape(f"&#{c};") for c in range(128, 160))
 _REPLACEMENT = "\ufffd"
+_TOO_LARGE = 0x110000
 
 
 def _char(code: Column) -> Column:
-    """Character of a code point; no such character gives the replacement character."""
+    """Character of a code point; no such character gives the replacement character.
+
+    Controls and the standard's non-characters give empty text.
+    """
 
     def pick(n: Column) -> Column:
         surrogate = n.between(0xD800, 0xDFFF)
+        control = n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127)
+        nothing = n.between(0xFDD0, 0xFDEF) | (n.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
         return (
             F.when(n.between(128, 159), F.substr(F.lit(_LATE_CONTROLS), n - 127, F.lit(1)))
             .when((n < 1) | (n > 0x10FFFF) | surrogate, _REPLACEMENT)
+            .when(control | nothing, "")
             .when(
                 n.isNotNull(),
                 F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32"),
@@ -41,24 +54,36 @@ def _char(code: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Decode named and numbered character references in one pass."""
-    named = F.str_to_map(F.lit(_NAMED), F.lit(r"\x02"), F.lit(r"\x01"))
+    """Decode named and numbered character references in one pass.
 
-    def decode(piece: Column) -> Column:
-        def replace(name: Column) -> Column:
-            number = F.when(
-                F.rlike(name, F.lit("^#[xX][0-9a-fA-F]{1,7}$")),
-                F.conv(F.substr(name, F.lit(3)), 16, 10),
-            ).when(F.rlike(name, F.lit("^#[0-9]{1,9}$")), F.substr(name, F.lit(2)))
-            char = F.when(name == "", None).otherwise(
-                F.coalesce(F.try_element_at(named, name), _char(number))
-            )
-            return F.coalesce(
-                F.concat(char, F.substr(piece, F.length(name) + 2)),
-                F.concat(F.lit("&"), piece),
-            )
+    Numbers have any length; they and the older names may lack their semicolon.
+    """
+    bare, named = _map(_BARE), _map(_NAMED)
+
+    def after(piece: Column, used: Column) -> Column:
+        return F.substr(piece, F.length(used) + 1)
 
-        return let(F.regexp_extract(piece, "^(#?[a-zA-Z0-9]+);", 1), replace)
+    def decode(piece: Column) -> Column:
+        hexa = F.regexp_extract(piece, "^#[xX]0*([0-9a-fA-F]+)", 1)
+        deci = F.regexp_extract(piece, "^#0*([0-9]+)", 1)
+        code = F.when(
+            hexa != "", F.when(F.length(hexa) > 6, _TOO_LARGE).otherwise(F.conv(hexa, 16, 10))
+        ).when(deci != "", F.when(F.length(deci) > 7, _TOO_LARGE).otherwise(deci))
+        number = F.regexp_extract(piece, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
+        name = F.regexp_extract(piece, r"^([^\t\n\f <&#;]{1,32});", 1)
+        first = F.regexp_extract(piece, _BARE_FIRST, 0)
+        return F.coalesce(
+            F.when(piece.startswith("#"), F.concat(_char(code), after(piece, number))),
+            let(
+                name,
+                lambda n: F.concat(
+                    F.coalesce(F.try_element_at(bare, n), F.try_element_at(named, n)),
+                    F.substr(piece, F.length(n) + 2),
+                ),
+            ),
+            let(first, lambda n: F.concat(F.try_element_at(bare, n), after(piece, n))),
+            F.concat(F.lit("&"), piece),
+        )
 
     decoded = let(
         F.split(c, "&"),
@@ -90,7 +115,7 @@ def one_line(c: Column) -> Column:
 
 def after_anchor(c: Column, anchor: str, container: str) -> Column:
     """Inner HTML of the first `container` after the named anchor, else empty."""
-    name = "".join(f"[{ch}]" if ch.isalnum() else "\\" + ch for ch in anchor)
+    name = re.escape(anchor)
     return F.regexp_extract(
         c,
         rf"(?s)<[aA]\s(?:[^>]*\s)?name\s*=\s*[\"']?{name}[\"']?(?:\s[^>]*)?/?>"
@@ -99,6 +124,62 @@ def after_anchor(c: Column, anchor: str, container: str) -> Column:
     )
 
 
+def divisions(c: Column, name: str, tag: str = "div") -> Column:
+    """Every outermost `<tag>` of class `name`, each up to its own end tag.
+
+    Divisions inside count; one that is not closed reaches to the page's end.
+    """
+    opens = rf"(?is)^<{tag}\s(?:[^>]*\s)?class\s*=\s*[\"'](?-i:{re.escape(name)})[\"'][^>]*>"
+    start = F.struct(
+        F.lit(0).alias("depth"),
+        F.lit(0).alias("i"),
+        F.lit(0).alias("lo"),
+        F.array().cast("array<struct<lo:int,hi:int>>").alias("found"),
+    )
+
+    def step(acc: Column, kind: Column) -> Column:
+        inside = acc["depth"] > 0
+        depth = F.when(inside, acc["depth"] + F.least(kind, F.lit(1))).otherwise(
+            (kind == 2).cast("int")
+        )
+        ends = F.array_append(
+            acc["found"], F.struct(acc["lo"].alias("lo"), acc["i"].alias("hi"))
+        )
+        return F.struct(
+            depth.alias("depth"),
+            (acc["i"] + 1).alias("i"),
+            F.when(inside, acc["lo"]).otherwise(acc["i"]).alias("lo"),
+            F.when(inside & (depth == 0), ends).otherwise(acc["found"]).alias("found"),
+        )
+
+    def cut(parts: Column) -> Column:
+        kinds = F.transform(
+            parts,
+            lambda p: F.when(p.rlike(opens), 2)
+            .when(p.rlike(rf"(?i)^<{tag}"), 1)
+            .when(p.rlike(rf"(?i)^</{tag}"), -1)
+            .otherwise(0),
+        )
+        end = F.struct(F.lit(-1).alias("lo"), F.lit(-1).alias("hi"))
+        whole = let(
+            F.aggregate(kinds, start, step),
+            lambda acc: F.concat(
+                acc["found"],
+                F.when(
+                    acc["depth"] > 0,
+                    F.array(F.struct(acc["lo"].alias("lo"), acc["i"].alias("hi"))),
+                ).otherwise(F.filter(F.array(end), lambda e: F.lit(False))),
+            ),
+        )
+        return F.transform(
+            whole,
+            lambda f: F.array_join(F.slice(parts, f["lo"] + 1, f["hi"] - f["lo"]), ""),
+        )
+
+    plain = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
+    return let(F.split(plain, rf"(?i)(?=</?{tag}[\s/>])"), cut)
+
+
 def drop_hidden(c: Column) -> Column:
     """Without table bodies that are not displayed."""
     return F.regexp_replace(

@@ -154,25 +154,39 @@ def context_lines(text: Column, term: Column, k: int = 30) -> Column:
 def chunk_words(text: Column, limit: int = 128000) -> Column:
     """Greedy chunks of whole words; spaces do not count towards the limit.
 
-    Only break positions pass through the fold; words are sliced afterwards.
+    Only break positions pass through the fold, in lists of at most 256, as a list is copied
+    when it grows; words are fetched one by one afterwards, as a slice copies the whole list.
     """
     start = F.struct(
         F.lit(0).alias("i"),
         F.lit(0).cast("long").alias("run"),
         F.array().cast("array<int>").alias("breaks"),
+        F.array().cast("array<array<int>>").alias("full"),
     )
 
     def step(acc: Column, n: Column) -> Column:
         over = acc["run"] + n > limit
+        flush = over & (F.size(acc["breaks"]) >= 256)
         return F.struct(
             (acc["i"] + 1).alias("i"),
             F.when(over, n.cast("long")).otherwise(acc["run"] + n).alias("run"),
-            F.when(over, F.array_append(acc["breaks"], acc["i"]))
+            F.when(flush, F.array(acc["i"]))
+            .when(over, F.array_append(acc["breaks"], acc["i"]))
             .otherwise(acc["breaks"]).alias("breaks"),
+            F.when(flush, F.array_append(acc["full"], acc["breaks"]))
+            .otherwise(acc["full"]).alias("full"),
         )
 
     def chunks(words: Column) -> Column:
-        fold = F.aggregate(F.transform(words, F.length), start, step)
+        fold = F.aggregate(
+            F.transform(words, F.length),
+            start,
+            step,
+            lambda acc: F.struct(
+                acc["i"].alias("i"),
+                F.concat(F.flatten(acc["full"]), acc["breaks"]).alias("breaks"),
+            ),
+        )
         bounds = let(
             fold,
             lambda acc: F.zip_with(
@@ -183,7 +197,13 @@ def chunk_words(text: Column, limit: int = 128000) -> Column:
         )
         cut = F.transform(
             bounds,
-            lambda b: F.array_join(F.slice(words, b["lo"] + 1, b["hi"] - b["lo"]), " "),
+            lambda b: F.array_join(
+                F.when(
+                    b["hi"] > b["lo"],
+                    F.transform(F.sequence(b["lo"], b["hi"] - 1), lambda i: F.get(words, i)),
+                ).otherwise(F.array().cast("array<string>")),
+                " ",
+            ),
         )
         return (
             F.when(F.size(words) == 0, F.array().cast("array<string>"))
@@ -313,15 +333,20 @@ def text_between(text: Column, start: Column, end: Column) -> Column:
     Without `end`, or when it does not follow, the rest of the text is taken.
     """
 
-    def cut(rest: Column) -> Column:
-        return let(
-            F.when(F.coalesce(end, F.lit("")) != "", F.position(end, rest)),
-            lambda stop: F.when(stop > 0, F.substr(rest, F.lit(1), stop - 1)).otherwise(
-                rest
+    # By bytes: positions in characters would be counted from the text's start each time.
+    def up_to(whole: Column, mark: Column) -> Column:
+        return F.call_function("substring_index", whole, mark, F.lit(1))
+
+    def cut(at: Column) -> Column:
+        rest = F.substr(text.cast("binary"), at + 1).cast("string")
+        return F.when(
+            (at < F.octet_length(text)) | (start == ""),
+            let(
+                rest,
+                lambda rest: F.when(
+                    F.coalesce(end, F.lit("")) != "", up_to(rest, end)
+                ).otherwise(rest),
             ),
         )
 
-    return let(
-        F.position(start, text),
-        lambda at: F.when(at > 0, let(F.substr(text, at), cut)),
-    )
+    return let(F.octet_length(up_to(text, start)), cut)

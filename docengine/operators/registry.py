@@ -55,17 +55,13 @@ def page_key_values(
 ) -> DataFrame:
     """`(key, pos, name, value)` of the shown two-cell rows of each page.
 
-    Rows are taken from the start of the `container` division to the page's end.
+    Rows are taken from the `container` divisions, up to the end of each.
     """
-    body = F.col("html")
-    if container is not None:
-        body = F.regexp_extract(
-            body,
-            rf"(?s)<div\s[^>]*class\s*=\s*[\"']{container}[\"'][^>]*>(.*)\z",
-            1,
-        )
+    shown = html.drop_hidden(F.col("html"))
+    bodies = F.array(shown) if container is None else html.divisions(shown, container)
+    found = F.flatten(F.transform(bodies, lambda body: html.blocks(body, row)))
     rows = F.transform(
-        html.blocks(html.drop_hidden(body), row),
+        found,
         lambda r, i: F.struct(
             i.alias("pos"),
             F.transform(

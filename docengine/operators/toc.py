@@ -1,6 +1,6 @@
 """Contents lists and the sections they name."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import TOC_MARKER, TOC_MAX_MISS
@@ -46,32 +46,29 @@ def slice_sections(documents: DataFrame, key: str = "doc_key") -> DataFrame:
     """`(key, k, title, section_text)`: lower-case text from each title to the next.
 
     The contents list itself is left out of the text.  A title that is not found, or
-    is directly followed by the next one, gives no row.  The text is prepared once per
-    document; entries are unfolded before they are cut, so that a task holds one
-    section at a time.
+    is directly followed by the next one, gives no row.  Sections are cut inside the
+    document's row, from one copy of its text.
     """
-    pairs = let(
-        F.col("toc.entries.title"),
-        lambda titles: F.transform(
-            titles,
-            lambda t, k: F.struct(
-                k.alias("k"), t.alias("title"), F.get(titles, k + 1).alias("next")
-            ),
-        ),
-    )
     body = let(
         F.col("toc"),
         lambda toc: F.lower(without_lines(F.col("text"), toc["first"], toc["last"])),
     )
+
+    def cut(text: Column, titles: Column) -> Column:
+        def section(title: Column, k: Column) -> Column:
+            piece = strip(text_between(text, F.lower(title), F.lower(F.get(titles, k + 1))))
+            return F.struct(
+                k.alias("k"),
+                title.alias("title"),
+                F.nullif(piece, F.lit("")).alias("section_text"),
+            )
+
+        return F.transform(titles, section)
+
     found = let(
-        strip(text_between(F.col("body"), F.lower("title"), F.lower("next"))),
-        lambda piece: F.array(
-            F.struct(F.nullif(piece, F.lit("")).alias("section_text"))
-        ),
+        F.col("toc.entries.title"), lambda titles: let(body, lambda text: cut(text, titles))
     )
-    bodies = documents.select(key, body.alias("body"), pairs.alias("pairs"))
-    entries = unfold(bodies, [key, "body"], F.col("pairs"), "k")
-    return unfold(entries, [key, "k", "title"], found, "section_text")
+    return unfold(documents, [key], found, "section_text")
 
 
 def match_sections(

@@ -53,7 +53,9 @@ def test_repeated_rows_are_kept(spark):
 def test_unescape_equals_standard_library(spark):
     rnd = random.Random(7)
     parts = ["&amp;", "&lt;", "&otilde;", "&#228;", "&#xE4;", "&#x1F600;", "&", ";", "&bogus;",
-             "x", " ", "&#150;", "&#0;", "&#55296;", "&#1114112;", "&#xD800;", "&quot;", "&nbsp;", "&amp;lt;", "&&amp;"]
+             "x", " ", "&#150;", "&#0;", "&#55296;", "&#1114112;", "&#xD800;", "&quot;", "&nbsp;", "&amp;lt;", "&&amp;",
+             "&#x00000041;", "&#0000000065;", "&lbrack;", "&amp", "&nbsp", "&notit;", "&notin;", "&#65", "&#x41g",
+             "&#99999999999;", "&#11;", "&#xFFFE;", "&#x1FFFF;", "&#129;", "&NotEqualTilde;", "&#x;", "&#;", "&Amp;"]
     values = ["".join(rnd.choices(parts, k=rnd.randint(0, 8))) for _ in range(300)]
     df = spark.createDataFrame(list(enumerate(values)), "i int, t string")
     got = [r["v"] for r in df.select("i", html.unescape(F.col("t")).alias("v")).orderBy("i").collect()]
@@ -88,6 +90,23 @@ def test_key_values_and_plans(spark):
     assert not files[2]
 
 
+def test_key_values_end_with_their_panel(spark):
+    def table(name):
+        return f"<table><tr><td>{name}</td><td>v</td></tr></table>"
+
+    html_page = (
+        table("before") + "<DIV class='Body_MiddlePanel'>" + table("a") + "<div>" + table("b")
+        + "</div>" + table("c") + "</DIV >" + table("between")
+        + '<!-- <div class="Body_MiddlePanel">' + table("comment") + "</div> -->"
+        + '<div id="x" class="Body_MiddlePanel">' + table("d") + "</div>" + table("after")
+        + '<div class="Body_MiddlePanel_2">' + table("other") + "</div>"
+        + '<div class="Body_MiddlePanel"><div>' + table("open")
+    )
+    df = spark.createDataFrame([(1, html_page), (2, None)], "species_id long, html string")
+    got = page_key_values(df).orderBy("pos").collect()
+    assert [r["name"] for r in got] == ["a", "b", "c", "d", "open"]
+
+
 def test_pivot_takes_the_last_value(spark):
     kv = spark.createDataFrame(
         [(1, 0, "k1", "a"), (1, 1, "k1", "b"), (1, 2, "k3", "c"), (2, 5, "k2", "z"), (3, 1, "k9", "q")],
