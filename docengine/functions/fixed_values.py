@@ -246,3 +246,6 @@ Struktuur on järgmine (kui teave puudub tekstis, tagasta 'NA'):
 }
 """,
 }
+
+# Fixed value: the fenced block of a response.
+FENCE = r"```json\n([\s\S]*?)\n```"

@@ -7,9 +7,9 @@ else, trailing text after the object included, is no JSON and gives null.
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docengine.functions.fixed_values import FENCE
 from docengine.functions.text import let
 
-FENCE = r"```json\n([\s\S]*?)\n```"
 STRICT = {"allowSingleQuotes": "false"}
 
 

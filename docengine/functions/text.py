@@ -19,6 +19,9 @@ NO_BREAK = r"^[^\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]*+"
 # Leader dots, then a page number at the end; tried once per run of dots.
 TOC_LINE = r"(?<!\.)\.{5,}+" + WS + r"*+\p{Nd}++\z"
 
+# Words that one fold over a text's words goes through.
+CHUNK_BLOCK = 512
+
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of `value`, with `value` computed once per row.
@@ -154,44 +157,49 @@ def context_lines(text: Column, term: Column, k: int = 30) -> Column:
 def chunk_words(text: Column, limit: int = 128000) -> Column:
     """Greedy chunks of whole words; spaces do not count towards the limit.
 
-    Only break positions pass through the fold, in lists of at most 256, as a list is copied
-    when it grows; words are fetched one by one afterwards, as a slice copies the whole list.
+    A fold copies its state at every step, so words are folded in blocks: a step copies the
+    breaks of its block only, and those of the whole text are copied once per block.  Words
+    are fetched one by one afterwards, as a slice copies the whole list.
     """
-    start = F.struct(
-        F.lit(0).alias("i"),
-        F.lit(0).cast("long").alias("run"),
-        F.array().cast("array<int>").alias("breaks"),
-        F.array().cast("array<array<int>>").alias("full"),
-    )
+    none = F.array().cast("array<int>")
+
+    def in_block(lengths: Column, run: Column, lo: Column, hi: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            n = F.get(lengths, i)
+            over = acc["run"] + n > limit
+            return F.struct(
+                F.when(over, n.cast("long")).otherwise(acc["run"] + n).alias("run"),
+                F.when(over, F.array_append(acc["breaks"], i))
+                .otherwise(acc["breaks"]).alias("breaks"),
+            )
 
-    def step(acc: Column, n: Column) -> Column:
-        over = acc["run"] + n > limit
-        flush = over & (F.size(acc["breaks"]) >= 256)
-        return F.struct(
-            (acc["i"] + 1).alias("i"),
-            F.when(over, n.cast("long")).otherwise(acc["run"] + n).alias("run"),
-            F.when(flush, F.array(acc["i"]))
-            .when(over, F.array_append(acc["breaks"], acc["i"]))
-            .otherwise(acc["breaks"]).alias("breaks"),
-            F.when(flush, F.array_append(acc["full"], acc["breaks"]))
-            .otherwise(acc["full"]).alias("full"),
-        )
+        start = F.struct(run.alias("run"), none.alias("breaks"))
+        return F.aggregate(F.sequence(lo, hi - 1), start, step)
 
-    def chunks(words: Column) -> Column:
-        fold = F.aggregate(
-            F.transform(words, F.length),
-            start,
+    def all_breaks(lengths: Column) -> Column:
+        def step(acc: Column, lo: Column) -> Column:
+            hi = F.least(lo + CHUNK_BLOCK, F.size(lengths))
+            return let(
+                in_block(lengths, acc["run"], lo, hi),
+                lambda r: F.struct(
+                    r["run"].alias("run"),
+                    F.concat(acc["breaks"], r["breaks"]).alias("breaks"),
+                ),
+            )
+
+        return F.aggregate(
+            F.sequence(F.lit(0), F.size(lengths) - 1, F.lit(CHUNK_BLOCK)),
+            F.struct(F.lit(0).cast("long").alias("run"), none.alias("breaks")),
             step,
-            lambda acc: F.struct(
-                acc["i"].alias("i"),
-                F.concat(F.flatten(acc["full"]), acc["breaks"]).alias("breaks"),
-            ),
+            lambda acc: acc["breaks"],
         )
+
+    def chunks(words: Column) -> Column:
         bounds = let(
-            fold,
-            lambda acc: F.zip_with(
-                F.concat(F.array(F.lit(0)), acc["breaks"]),
-                F.concat(acc["breaks"], F.array(acc["i"])),
+            let(F.transform(words, F.length), all_breaks),
+            lambda breaks: F.zip_with(
+                F.concat(F.array(F.lit(0)), breaks),
+                F.concat(breaks, F.array(F.size(words))),
                 lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")),
             ),
         )

@@ -99,12 +99,14 @@ def mention_counts(
 ) -> DataFrame:
     """`(key, pos, n)`: how often the name occurs in the document.
 
-    A document without text, or not there at all, gives no row.
+    A document without text, or not there at all, gives no row.  A text is searched once
+    per distinct name, however many entities ask for both; the counts are narrow rows.
     """
-    return (
-        pairs.join(documents.select("doc_key", "text"), "doc_key")
-        .select(key, "pos", count_mentions(F.col("text"), F.col("name")).alias("n"))
+    asked = pairs.select("doc_key", "name").distinct()
+    counted = asked.join(documents.select("doc_key", "text"), "doc_key").select(
+        "doc_key", "name", count_mentions(F.col("text"), F.col("name")).alias("n")
     )
+    return pairs.join(counted, ["doc_key", "name"]).select(key, "pos", "n")
 
 
 def pick_best_document(

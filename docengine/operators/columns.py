@@ -28,13 +28,16 @@ def unfold(df: DataFrame, keep: list, items: Column, by: str) -> DataFrame:
 
 
 def salted_left_join(
-    left: DataFrame, right: DataFrame, by: Column, key: str, row_key: str, salts: int = 8
+    left: DataFrame, right: DataFrame, by: Column, key: str, row_key: str, salts: int
 ) -> DataFrame:
     """Left join of `by` to the unique column `key` of a narrow table, hot keys split.
 
     Rows of one key go to `salts` tasks, by their row key, so that a repeated task deals
-    them out alike; `right` is copied once per salt.  `key` is dropped.
+    them out alike; `right` is copied once per salt.  With 1, nothing is copied and hot
+    keys are left to adaptive skew splitting.  `key` is dropped.
     """
+    if salts == 1:
+        return left.join(right, by == F.col(key), "left").drop(key)
     spread = left.withColumn("_salt", F.pmod(F.xxhash64(row_key), F.lit(salts)))
     copies = right.withColumn(
         "_copy", F.explode(F.array(*[F.lit(i).cast("long") for i in range(salts)]))

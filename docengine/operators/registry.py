@@ -29,21 +29,24 @@ def lookup_links(
     """Add the link found by `"name (latin)"`, else by name, else `sentinel`.
 
     `index(name, pos, link)` may hold a name many times; its first link counts.  That
-    is reduced map-side.  Entities that share a hot name are dealt out to several tasks.
+    is reduced map-side, once, and looked up by narrow rows (key, tier, name); the entities
+    themselves, unique by `key`, are shuffled for one join only.
     """
     first = index.groupBy("name").agg(F.min_by("link", "pos").alias("link"))
-    by_full = first.select(
-        F.col("name").alias("_full"), F.col("link").alias("_by_full")
+    name = F.col("Estonian Name")
+    tiers = F.array(full_name(name, F.col("Latin Name")), name)
+    asked = entities.select(F.col(key).alias("_key"), F.posexplode(tiers).alias("tier", "name"))
+    found = (
+        asked.join(first, "name")
+        .where("link is not null")
+        .groupBy("_key")
+        .agg(F.min_by("link", "tier").alias("_link"))
     )
-    by_name = first.select(
-        F.col("name").alias("_name"), F.col("link").alias("_by_name")
+    return (
+        entities.join(found, F.col(key) == F.col("_key"), "left")
+        .withColumn(LINK_COLUMN, F.coalesce("_link", F.lit(sentinel)))
+        .drop("_key", "_link")
     )
-    full = full_name(F.col("Estonian Name"), F.col("Latin Name"))
-    found = salted_left_join(entities, by_full, full, "_full", key)
-    found = salted_left_join(found, by_name, F.col("Estonian Name"), "_name", key)
-    return found.withColumn(
-        LINK_COLUMN, F.coalesce("_by_full", "_by_name", F.lit(sentinel))
-    ).drop("_by_full", "_by_name")
 
 
 def page_key_values(
@@ -152,19 +155,20 @@ def enrich_kv(
     key: str = "species_id",
     on: str | None = None,
     sentinel: str = NOT_FOUND,
+    salts: int = 1,
 ) -> DataFrame:
     """Add page values and plan files; then filter and project.
 
     A page value replaces a same-named entity value.  Entities whose link is the
     sentinel keep their row as it is.  Values and files are keyed like the entities, or
     by another entity column `on`, such as the link; that one may be shared by many
-    entities, so its rows are dealt out to several tasks.
+    entities, and `salts` deals the rows of each value out to as many tasks.
     """
     on = on or key
 
     def add(left: DataFrame, right: DataFrame, right_key: str) -> DataFrame:
         if on != key:
-            return salted_left_join(left, right, F.col(on), right_key, key)
+            return salted_left_join(left, right, F.col(on), right_key, key, salts)
         return left.join(right, F.col(key) == F.col(right_key), "left").drop(right_key)
 
     linked = F.coalesce(F.col(LINK_COLUMN) != sentinel, F.lit(False))

@@ -3,7 +3,12 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docengine.functions.fixed_values import CONTEXT_LINES, FLAG_COLUMN, STEM_CUT
+from docengine.functions.fixed_values import (
+    CONTEXT_LINES,
+    FLAG_COLUMN,
+    NOT_PRESENT,
+    STEM_CUT,
+)
 from docengine.functions.text import context_lines, document_key, name_stem, strip
 from docengine.operators.columns import true_or_false
 
@@ -49,13 +54,16 @@ def route_documents(
     documents: DataFrame,
     stem_cut: int = STEM_CUT,
     k: int = CONTEXT_LINES,
+    key: str = "species_id",
+    sentinel: str = NOT_PRESENT,
 ) -> DataFrame:
     """Add the route, the flag, the contents list as text and the text to read.
 
     `documents(doc_key, text, toc)` is unique by key.  The text to read is the whole
     document, or the lines around the name, or null when sections will be cut out; so
     this is the only step that brings entities and whole texts together.  An entity
-    without a document keeps its row, with a null route.
+    without a document keeps its row, with a null route; one without a file joins by a
+    value of its own that no document has, so that such rows do not meet in one task.
     """
     name = F.col("Estonian Name")
     stem = name_stem(name, stem_cut)
@@ -69,8 +77,11 @@ def route_documents(
         F.col("route") == SNIPPETS,
         F.array_join(context_lines(F.col("_text"), stem, k), "\n"),
     )
+    file = F.nullif(F.col("strategy_file"), F.lit(sentinel))
+    alone = F.concat(F.lit("\0"), F.xxhash64(key).cast("string"))
     return (
-        entities.join(found, document_key(F.col("strategy_file")) == F.col("_doc"), "left")
+        entities.withColumn("_file", F.coalesce(document_key(file), alone))
+        .join(found, F.col("_file") == F.col("_doc"), "left")
         .withColumn(
             "route",
             route(
@@ -83,5 +94,5 @@ def route_documents(
         )
         .withColumn(FLAG_COLUMN, F.col("route").isin(TOC_SINGLE, TOC_MULTI))
         .withColumn("reading", reading)
-        .drop("_doc", "_text")
+        .drop("_file", "_doc", "_text")
     )

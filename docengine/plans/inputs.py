@@ -5,6 +5,9 @@ lists, law pages, registry pages, candidate links and responses out of them, for
 rows and whole texts, so that each job meets the kind of input it is made for.
 """
 
+import re
+
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -153,6 +156,35 @@ def turn_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def file_folder(spark: SparkSession, sf: str, folder: str, suffix: Column) -> str:
+    """A folder with a file per conversation, most of them in sub-folders; its path."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    conversations = read_table(spark, sf, "conversations").groupBy("conv_id")
+    files = conversations.agg(F.array_join(turns["text"], "\n").alias("text")).select(
+        F.concat(
+            F.when(F.col("conv_id") % 3 == 0, "").otherwise(
+                F.concat(F.lit("sub/"), (F.col("conv_id") % 3).cast("string"), F.lit("/"))
+            ),
+            F.lit("conv_"),
+            F.col("conv_id").cast("string"),
+            suffix,
+        ).alias("path"),
+        "text",
+    )
+    base = re.sub("^file:/(?!/)", "file:///", folder)
+
+    def write(rows) -> None:
+        store, root = fs.FileSystem.from_uri(base)
+        for row in rows:
+            path = f"{root}/{row.path}"
+            store.create_dir(path.rpartition("/")[0], recursive=True)
+            with store.open_output_stream(path) as out:
+                out.write(row.text.encode())
+
+    files.foreachPartition(write)
+    return folder
+
+
 def law_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Pages whose link list became a table of numbered names under an anchor."""
     pages = read_table(spark, sf, "pages")
@@ -303,19 +335,22 @@ def answer_summaries(requests: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def shaped_responses(spark: SparkSession, sf: str) -> DataFrame:
-    """Conversation turns as responses of six shapes, readable and not."""
+    """Conversation turns as responses of nine shapes, readable and not."""
     turns = read_table(spark, sf, "conversations")
     text = F.translate("text", '"\n\\', "   ")
     valid = F.concat(F.lit('{"Desc":"'), text, F.lit('","Threat":["a","'), F.col("role"), F.lit('"]}'))
     fenced = F.concat(F.lit("Here:\n```json\n"), valid, F.lit("\n```\nBye"))
-    shape = F.col("turn") % 6
+    shape = (F.col("conv_id") + F.col("turn")) % 9
     response = (
         F.when(shape == 0, valid)
         .when(shape == 1, fenced)
         .when(shape == 2, F.col("text"))
         .when(shape == 3, F.concat(F.lit('```json\n{"Desc": '), text, F.lit("}\n```")))
         .when(shape == 4, F.concat(F.lit('{"Desc":'), F.col("turn").cast("string"), F.lit(',"Threat":true}')))
-        .otherwise(F.concat(valid, F.lit(" trailing")))
+        .when(shape == 5, F.concat(valid, F.lit(" trailing")))
+        .when(shape == 6, F.concat(F.lit("One:\n```json\n["), valid, F.lit("]\n```")))
+        .when(shape == 7, F.concat(F.lit("```json\n["), valid, F.lit(","), valid, F.lit("]\n```")))
+        .otherwise("{}")
     )
     return turns.select("conv_id", "turn", response.alias("response"))
 

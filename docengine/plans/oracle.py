@@ -447,10 +447,10 @@ ORACLE = {
     "combine_responses": f"""select conv_id as species_id,
           {strip(f"string_agg(' ' || text || ' ', {NL} order by turn)")} as text
         from conversations where role <> 'system' group by conv_id""",
-    "parse_responses": f"""with t as (select conv_id, turn, role, turn % 6 as shape, {TURN_TEXT} as text from conversations)
+    "parse_responses": f"""with t as (select conv_id, turn, role, (conv_id + turn) % 9 as shape, {TURN_TEXT} as text from conversations)
         select conv_id, turn,
-          case when shape in (0, 1) then text when shape = 4 then turn::varchar else 'NA' end as "Desc",
-          case when shape in (0, 1) then 'a, ' || role when shape = 4 then 'true' else 'NA' end as "Threat"
+          case when shape in (0, 1, 6) then text when shape = 4 then turn::varchar else 'NA' end as "Desc",
+          case when shape in (0, 1, 6) then 'a, ' || role when shape = 4 then 'true' else 'NA' end as "Threat"
         from t""",
     "parse_topics": f"""select conv_id * 1000 + turn as species_id, null::varchar as topic_0, null::varchar as topic_1,
           {TURN_TEXT} || ', 2 B' as topic_2, null::varchar as topic_3, role as topic_4,
@@ -467,7 +467,7 @@ ORACLE = {
         select species_id, kind, chunk, md5(prompt) as prompt from summary_requests""",
     "clean_requests": f"""with scans as (
           select conv_id, string_agg(text, '' order by turn) as text from conversations
-          group by conv_id having bool_and(role <> 'assistant' or text = ''))
+          group by conv_id having bool_and(conv_id % 3 = 0 or role <> 'assistant' or text = ''))
         select conv_id as doc_id, md5({render(PROMPTS["clean"], text="text")}) as prompt from scans""",
     "merge_responses": f"""with {BUNDLES},
         answers as (select species_id, kind, chunk, md5(prompt) as d from summary_requests
@@ -492,6 +492,16 @@ ORACLE = {
                role is null as role_is_null from u""",
     "csv_round_trip": """select doc_id, case when lang = 'en' then null else lang end as lang,
           '"' || text as text, n_chars > 1000 as long from documents""",
+    "text_files": f"""with files as (
+          select conv_id, string_agg(text, {NL} order by turn) as text from conversations group by conv_id)
+        select doc_id, case when conv_id is not null then 'conv_' || conv_id || '_cleaned.txt' end as file_name,
+               md5(f.text) as digest
+        from documents left join files f on conv_id = doc_id""",
+    "file_listing": f"""with files as (
+          select conv_id, strlen(string_agg(text, {NL} order by turn)) as length
+          from conversations where conv_id % 4 <> 3 group by conv_id)
+        select true as recursive, 'conv_' || conv_id as doc_key, length from files
+        union all select false, 'conv_' || conv_id, length from files where conv_id % 3 = 0""",
 }
 
 ROUTING = TOC + "," + LAW + """,

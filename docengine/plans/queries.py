@@ -46,9 +46,11 @@ from docengine.operators.topics import requested_sections, topic_texts
 from docengine.plans import inputs as I
 from docengine.plans.stages import run_stages
 from docengine.sources.tables import (
+    list_files,
     null_tokens,
     read_csv,
     read_table,
+    read_texts,
     write_csv,
     write_stage,
 )
@@ -408,7 +410,9 @@ def requests_for_sections(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def requests_for_cleaning(spark: SparkSession, sf: str) -> DataFrame:
-    scanned = assemble_documents(I.turn_pages(spark, sf))
+    """Two thirds of the conversations keep their native pages, the rest are scans."""
+    native = F.when(F.col("doc_id") % 3 != 0, F.col("native_text")).otherwise("")
+    scanned = assemble_documents(I.turn_pages(spark, sf).withColumn("native_text", native))
     return clean_requests(scanned).select("doc_id", F.md5("prompt").alias("prompt"))
 
 
@@ -515,6 +519,33 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, path, schema)
 
 
+def text_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Text files of conversations, asked for by the number of each document."""
+    folder = f"{RunFolder(spark).path}/texts"
+    I.file_folder(spark, sf, folder, F.lit("_cleaned.txt"))
+    named = read_table(spark, sf, "documents").select(
+        "doc_id", F.concat(F.lit("conv_"), F.col("doc_id").cast("string")).alias("doc_key")
+    )
+    return named.join(read_texts(spark, folder), "doc_key", "left").select(
+        "doc_id", "file_name", F.md5("text").alias("digest")
+    )
+
+
+def file_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Document files below a folder, and those right in it."""
+    folder = f"{RunFolder(spark).path}/files"
+    suffixes = F.array(*[F.lit(s) for s in (".pdf", ".PDF", ".Pdf", ".txt")])
+    I.file_folder(spark, sf, folder, F.get(suffixes, (F.col("conv_id") % 4).cast("int")))
+    return C.ragged_union(
+        *[
+            list_files(spark, folder, recursive=deep).select(
+                F.lit(deep).alias("recursive"), "doc_key", "length"
+            )
+            for deep in (True, False)
+        ]
+    )
+
+
 # The whole chain.
 
 
@@ -595,5 +626,7 @@ QUERIES = {
     "ragged_union": ragged_union,
     "null_cells": null_cells,
     "csv_round_trip": csv_round_trip,
+    "text_files": text_files,
+    "file_listing": file_listing,
     "showcase_end_to_end": showcase_end_to_end,
 }

@@ -1,7 +1,8 @@
-"""New page files to finished documents, each once, across restarts."""
+"""New page files to finished documents, each once, across restarts and deliveries."""
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docengine.operators.documents import assemble_documents
@@ -12,31 +13,75 @@ PAGES = (
     .add("page_no", "integer")
     .add("native_text", "string")
     .add("ocr_text", "string")
+    .add("page_count", "integer")
 )
 
 
+def _table(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:  # not written yet
+        return None
+
+
+def _split(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages of documents that are all there, and those that wait for more.
+
+    A document is complete when as many different pages are there as `page_count` says;
+    of different counts the largest holds. Without a count on any page it waits.
+    """
+    complete = (
+        pages.groupBy("doc_id")
+        .agg(F.count("*").alias("here"), F.max("page_count").alias("due"))
+        .where("here >= due")
+        .select("doc_id")
+    )
+    return pages.join(complete, "doc_id", "left_semi"), pages.join(complete, "doc_id", "left_anti")
+
+
 def assemble_new_documents(
     spark: SparkSession, pages: str, documents: str, checkpoint: str
 ) -> None:
     """Turn page files that arrived since the last run into rows of `documents`.
 
-    Files are remembered in `checkpoint`, so a later run reads only what is new; a
-    document's pages come in one file.  A batch that is repeated after a failure, or a
-    file that holds a finished document again, adds nothing, as finished documents are
-    left out by key.
+    Files are remembered in `checkpoint`, so a later run reads only what is new. Pages of
+    one document may come in any number of files and runs: they wait in the checkpoint
+    folder until the document is complete, and a batch works on its own and the waiting
+    pages. A page that comes twice counts once, as it came first. A batch that is repeated
+    after a failure, a lost checkpoint (all files are read again) and pages of a finished
+    document add nothing: finished documents are left out by key.
     """
+    waiting = f"{checkpoint.rstrip('/')}/waiting"
+
+    def drop(number: int) -> None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{waiting}/{number}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
-    def append(batch: DataFrame, _: int) -> None:
-        try:
-            done = spark.read.schema("doc_id long").parquet(documents)
-        except AnalysisException:  # the table is made by the first batch
-            done = None
-        assemble_documents(batch, done).write.mode("append").parquet(documents)
+    def step(batch: DataFrame, number: int) -> None:
+        arrived = batch.select(*PAGES.names, F.lit(1).alias("late"))
+        held = _table(spark, f"{waiting}/{number - 1}", PAGES)
+        if held is not None:
+            arrived = held.withColumn("late", F.lit(0)).unionByName(arrived)
+        done = _table(spark, documents, "doc_id long")
+        if done is not None:
+            arrived = arrived.join(done, "doc_id", "left_anti")
+        first = F.min(F.struct("late", "native_text", "ocr_text")).alias("first")
+        known = arrived.groupBy("doc_id", "page_no").agg(
+            first, F.max("page_count").alias("page_count")
+        )
+        known = known.select(
+            "doc_id", "page_no", "first.native_text", "first.ocr_text", "page_count"
+        )
+        complete, rest = _split(known)
+        # What waits is written first: it does not depend on what this batch finishes.
+        rest.write.mode("overwrite").parquet(f"{waiting}/{number}")
+        assemble_documents(complete).write.mode("append").parquet(documents)
+        drop(number - 2)
 
     query = (
         spark.readStream.schema(PAGES)
         .parquet(pages)
-        .writeStream.foreachBatch(append)
+        .writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -119,6 +119,29 @@ def test_routes(spark):
     assert out[0]["reading"] is None
 
 
+def test_one_report_for_most_and_no_file_for_many(spark):
+    rows = [(i, "kotkas", "r.pdf" if i % 2 else None, False) for i in range(400)]
+    rows += [(400 + i, "kotkas", "Not Present", False) for i in range(200)]
+    rows += [(600, "kotkas", "s.pdf", False)]
+    entities = spark.createDataFrame(
+        rows, "species_id int, `Estonian Name` string, strategy_file string, strategy_present boolean"
+    )
+    texts = [("r", "a kotka b"), ("s", "nothing"), ("Not Present", "not a file")]
+    docs = with_toc(spark.createDataFrame(texts, "doc_key string, text string"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = route_documents(entities, docs)
+        got = {r["species_id"]: (r["route"], r["reading"]) for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got[1] == ("SNIPPETS", "a kotka b") and got[600] == ("SNIPPETS", "")
+    assert {got[i] for i, _, file, _ in rows if file not in ("r.pdf", "s.pdf")} == {(None, None)}
+    assert out.columns[:4] == entities.columns and len(got) == 601
+    # What is hashed is the key that rows without a file have of their own.
+    assert "hashpartitioning(_file#" in plan and "coalesce(regexp_replace" in plan
+
+
 def test_needs_enrichment(spark):
     df = spark.createDataFrame(
         [(1, None, "x"), (2, "x", None), (3, "x", "y"), (4, None, None)],

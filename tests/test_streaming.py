@@ -1,24 +1,61 @@
 """Resumable conversion of arriving page files."""
 
+import os
+
+import pytest
+
 from docengine.streaming.incremental import PAGES, assemble_new_documents
 
 
-def test_each_document_is_converted_once(spark, tmp_path):
+@pytest.fixture
+def arriving(spark, tmp_path):
     pages, docs, state = (str(tmp_path / n) for n in ("pages", "docs", "state"))
 
     def arrive(*rows):
         spark.createDataFrame(list(rows), PAGES).coalesce(1).write.mode("append").parquet(pages)
 
-    def run():
+    def run(state=state):
         assemble_new_documents(spark, pages, docs, state)
         return sorted(tuple(r) for r in spark.read.parquet(docs).collect())
 
-    arrive((1, 2, "b", ""), (1, 1, "a", ""), (2, 1, "", "scan"))
+    return arrive, run, state
+
+
+def test_each_document_is_converted_once(arriving):
+    arrive, run, state = arriving
+    arrive((1, 2, "b", "", 2), (1, 1, "a", "", 2), (2, 1, "", "scan", 1))
     first = [(1, False, "ab"), (2, True, "scan")]
     assert run() == first
     assert run() == first
-    arrive((3, 1, "new", ""), (1, 1, "again", ""))
+    arrive((3, 1, "new", "", 1), (1, 1, "again", "", 2))
     assert run() == [*first, (3, False, "new")]
     # A lost checkpoint replays all files and still adds nothing.
-    assemble_new_documents(spark, pages, docs, state + "2")
-    assert spark.read.parquet(docs).count() == 3
+    assert run(state + "2") == [*first, (3, False, "new")]
+
+
+def test_pages_come_in_several_deliveries(arriving):
+    arrive, run, state = arriving
+    arrive((1, 1, "a", "", 3), (2, 1, "x", "", None))
+    assert run() == []
+    arrive((1, 1, "other", "", 3), (1, 3, "c", "", None))  # a page again, one without a count
+    assert run() == []
+    arrive((3, 1, "z", "", 1))  # the others wait through a batch without them
+    assert run() == [(3, False, "z")]
+    arrive((1, 2, "b", "", 3), (2, 2, "y", "", 2))
+    done = [(1, False, "abc"), (2, False, "xy"), (3, False, "z")]
+    assert run() == done
+    assert run(state + "2") == done
+
+
+def test_a_repeated_batch_loses_and_doubles_nothing(arriving):
+    arrive, run, state = arriving
+    arrive((1, 1, "a", "", 2))
+    run()
+    arrive((1, 2, "b", "", 2), (2, 1, "x", "", 2))
+    assert run() == [(1, False, "ab")]
+    # As after a failure between the batch and its commit.
+    for name in ("1", ".1.crc"):
+        os.remove(f"{state}/commits/{name}")
+    assert run() == [(1, False, "ab")]
+    arrive((2, 2, "y", "", 2))
+    assert run() == [(1, False, "ab"), (2, False, "xy")]

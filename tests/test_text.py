@@ -1,6 +1,7 @@
 """Text functions: literal cases, and random cases against short Python models."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +173,33 @@ def test_text_between(spark):
 
 def test_split_list(value):
     assert value(X.split_list, " a , b,c ,") == ["a", "b", "c", ""]
+
+
+def test_chunks_run_on_over_blocks_of_words(spark):
+    words = [f"{'w' * (k % 7)}{k}" for k in range(2000)]
+    expected, run = [], 0
+    for w in words:
+        if not expected or run + len(w) > 60:
+            expected.append([])
+            run = 0
+        expected[-1].append(w)
+        run += len(w)
+    df = texts(spark, [" ".join(words)]).select("i", X.chunk_words(F.col("t"), 60).alias("v"))
+    assert results(df) == [[" ".join(c) for c in expected]]
+
+
+def test_chunking_grows_with_the_text(spark, tmp_path):
+    def seconds(words):
+        path = str(tmp_path / str(words))
+        text = F.repeat(F.lit("word and word "), words // 3)
+        spark.range(1).select(text.alias("t")).write.parquet(path)
+        df = spark.read.parquet(path).select(X.chunk_words(F.col("t"), 500))
+
+        def once():
+            begin = time.perf_counter()
+            df.write.format("noop").mode("overwrite").save()
+            return time.perf_counter() - begin
+
+        return min(once() for _ in range(3))
+
+    assert seconds(600_000) < 2.5 * seconds(300_000)
