@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from docengine.llm import lines, minhash_join, mixing, packing, quality, suffixes, syncmers
 from docengine.llm import secrets, url_lists, vectors
 
@@ -231,6 +232,38 @@ def test_urls_are_judged_as_of_their_time(spark):
     assert got == [(1, False), (2, True), (2, True), (3, False), (4, False), (5, False), (6, False)]
 
 
+def test_passages_of_odd_rows(odd):
+    got = suffixes.passages(odd).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 0, 400), (2, 0, 400)]
+
+
+def test_secrets_of_odd_rows(odd):
+    none = secrets.findings(odd, []).select("doc_id", "word_no", F.lit(1).alias("secret")).limit(0)
+    assert secrets.scan(odd, none, []).count() == 0
+    assert secrets.scan(odd.limit(0), none, []).count() == 0
+    plain = odd.where("doc_id = 7").withColumn("text", F.lit("password=ab12cd34ef56ab78 end"))
+    got = secrets.scan(plain, none, []).collect()
+    assert got and {(r["score"], r["is_secret"]) for r in got} == {(0.5, got[0]["is_secret"])}
+
+
+def test_near_stage_of_odd_rows(spark, odd):
+    kept = corpus_pipeline.near(spark, odd, "")
+    assert kept.schema == odd.schema
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert sorted(str(i) for i in ids) == ["1", "1", "3", "4", "5", "6", "7", "None"]
+    assert corpus_pipeline.near(spark, odd.limit(0), "").count() == 0
+
+
+def test_no_captures_and_no_list(spark):
+    entries = spark.createDataFrame([], "entry_key string, action string, since timestamp")
+    rows = [(1, "http://a.b/c", None), (1, "http://a.b/c", None), (2, "", None), (3, None, None)]
+    captures = spark.createDataFrame(rows, "capture_id long, url string, fetched timestamp")
+    got = url_lists.judge(captures.withColumn("action", F.lit("x")), entries).collect()
+    assert sorted((r["capture_id"], r["blocked"]) for r in got) == [
+        (1, False), (1, False), (2, False), (3, False)]
+    assert url_lists.judge(captures.limit(0), entries).count() == 0
+
+
 def test_empty_tables(odd, spark):
     none = odd.limit(0)
     assert minhash_join.near_copies(none).count() == 0
