@@ -1,10 +1,12 @@
 """Secret scans: candidates by form, a random forest on top against false positives.
 
-A candidate is a word that looks like a key, a code or an assignment. Its features are its
-length, the changes between kinds of characters, the kinds' shares and the distinct
-characters, the part covered by words of a dictionary, the path (the document's source and
-the place in its text) and its neighbouring words. The forest is trained on labelled
-findings, at most `TRAINED` of them, drawn by a seeded hash; all candidates are scored.
+A candidate is found anywhere in a text: a value of six characters or more under a name (blanks
+around `=` or `:`, quotes and brackets may stand there), or a free value of twelve or more with a
+digit, without the quotes and punctuation around it. Its features are its value's length, the
+changes between kinds of characters, the kinds' shares and the distinct characters, the part
+covered by words of a dictionary, the path (the document's source and the place in its text),
+its name and its neighbouring words. The forest is trained on labelled findings, at most
+`TRAINED` of them, drawn by a seeded hash; all candidates are scored.
 
 Defined cases: null text has no candidates; without labelled findings of both kinds every
 candidate scores 0.5; the dictionary has at most `DICTIONARY` words; repeated rows give
@@ -19,8 +21,20 @@ from pyspark.sql import functions as F
 
 DICTIONARY = 500
 TRAINED = 10_000
-CANDIDATE = r"(?i)(^[a-z_-]{2,20}[=:].{6,})|(^(?=.*[0-9])[a-z0-9+/_=.-]{12,}$)"
-NAME = r"^([A-Za-z_-]{2,20})[=:]"
+LEAD = r"""[A-Za-z][A-Za-z0-9_.-]{1,63}+["'`]?[ \t]*+(?::=|=>|==?|:)[ \t]*+"""
+NEXT = r"""[A-Za-z][A-Za-z0-9_.-]{0,63}+(?:["'`][ \t]*+:|[ \t]++[=:]|[=:](?=[^\s=]))"""
+VALUE = (  # in quotes, or up to a blank, a quote or the next assignment
+    r"""(?:"[^"\r\n=:]{6,100}+"|'[^'\r\n=:]{6,100}+'|["'`(\[{<]{0,3}+(?!NEXT)(?=[^\s"'`]{6})"""
+    r"""[^\s"'`,;&]*+(?:[,;&]++(?!NEXT)[^\s"'`,;&]++){0,99}+["'`]?)"""
+).replace("NEXT", NEXT)
+ASSIGNED = rf"(?<![A-Za-z0-9_.-]){LEAD}{VALUE}"
+STANDING = (
+    r"(?<![A-Za-z0-9+/_=.@-])(?=AKIA[A-Z0-9]{16}|[A-Za-z+/_=.-]*+[0-9])"
+    r"[A-Za-z0-9+/_=.-]{12,}+(?!@)"
+)
+CANDIDATE = f"{ASSIGNED}|{STANDING}"
+NAME = r"""^([A-Za-z][A-Za-z0-9_.-]{1,63}+)(?=["'`]?[ \t]*+(?::=|=>|==?|:)[ \t]*+[^\s=])"""
+EDGES = r"""^["'`(\[{<]+|["'`.,;:!?)\]}>#$%&*]+$"""
 SECRET_NAME = r"(?i)(pass|pwd|secret|token|key|auth)"
 FEATURES = [
     "size", "changes", "digits", "uppers", "lowers", "others", "distinct", "covered",
@@ -36,29 +50,51 @@ def dictionary(texts: DataFrame) -> list[str]:
 
 
 def findings(documents: DataFrame, words: list[str]) -> DataFrame:
-    """doc_id, word_no, candidate and `FEATURES`: a row per candidate."""
-    split = F.regexp_extract_all("text", F.lit(r"\S+"), 0)
-    rows = documents.select("doc_id", "source", split.alias("words"))
-    at = F.filter(
-        F.sequence(F.lit(0), F.size("words") - 1),
-        lambda i: F.get("words", i).rlike(CANDIDATE),
+    """doc_id, word_no, candidate and `FEATURES`: a row per candidate.
+
+    `word_no` is the number of the word that the candidate starts in.
+    """
+    matches = F.regexp_extract_all("text", F.lit(CANDIDATE), 0)
+    rows = documents.select("doc_id", "source", "text", matches.alias("found"))
+    rows = rows.where(F.size("found") > 0).select(
+        "doc_id",
+        "source",
+        "found",
+        F.split("text", CANDIDATE, -1).alias("gaps"),  # one more than found
+        F.regexp_count("text", F.lit(r"\S+")).alias("n_words"),
     )
-    rows = rows.where(F.size("words") > 0).select(
-        "doc_id", "source", "words", F.explode(at).alias("word_no")
+    # Words that end in each candidate and in the gap before it; a later gap starts in a word.
+    ends = F.transform(
+        F.sequence(F.lit(0), F.size("found") - 1),
+        lambda i: F.regexp_count(
+            F.concat(
+                F.when(i > 0, F.get("found", i - 1)).otherwise(F.lit("")), F.get("gaps", i)
+            ),
+            F.lit(r"\S\s"),
+        ),
+    )
+    numbers = F.aggregate(
+        ends,
+        F.array().cast("array<int>"),
+        lambda done, n: F.array_append(done, n + F.coalesce(F.get(done, F.size(done) - 1), F.lit(0))),
+    )
+    rows = rows.withColumn("numbers", numbers).select(
+        "doc_id", "source", "found", "gaps", "numbers", "n_words", F.posexplode("found").alias("at", "candidate")
     )
     rows = rows.select(
         "doc_id",
-        "word_no",
-        F.get("words", F.col("word_no")).alias("candidate"),
-        F.coalesce(F.get("words", F.col("word_no") - 1), F.lit("")).alias("before"),
-        F.coalesce(F.get("words", F.col("word_no") + 1), F.lit("")).alias("after"),
-        (F.col("word_no") / F.size("words")).alias("place"),
+        F.get("numbers", F.col("at")).alias("word_no"),
+        "candidate",
+        F.regexp_extract(F.get("gaps", F.col("at")), r"(\S*)\s*$", 1).alias("before"),
+        F.regexp_extract(F.get("gaps", F.col("at") + 1), r"^\s*(\S*)", 1).alias("after"),
+        (F.get("numbers", F.col("at")) / F.col("n_words")).alias("place"),
         (F.pmod(F.xxhash64("source"), F.lit(64))).cast("double").alias("path"),
     )
-    name = F.regexp_extract("candidate", NAME, 1)
-    rows = rows.withColumn("name", name).withColumn(
-        "value", F.regexp_replace("candidate", NAME, "")
-    )
+    rows = rows.withColumn("name", F.regexp_extract("candidate", NAME, 1))
+    value = F.when(
+        F.col("name") != "", F.regexp_replace("candidate", f"^{LEAD}", "")
+    ).otherwise(F.col("candidate"))
+    rows = rows.withColumn("value", F.regexp_replace(value, EDGES, ""))
     kinds = F.translate("value", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A" * 26)
     kinds = F.translate(kinds, "abcdefghijklmnopqrstuvwxyz", "a" * 26)
     kinds = F.translate(kinds, "0123456789", "0" * 10)

@@ -237,6 +237,38 @@ def test_passages_of_odd_rows(odd):
     assert sorted(tuple(r) for r in got) == [(1, 0, 400), (2, 0, 400)]
 
 
+def test_secrets_are_found_anywhere_in_a_text(spark):
+    key = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    texts = {
+        f'so token = "{key}"### end': (1, f'token = "{key}"', "so", "###"),
+        f"{key}, it is": (0, key, "", ","),
+        f"see ({key[:20]}) now": (1, key[:20], "(", ")"),
+        f'TOKEN = "{key.upper()}"!!': (0, f'TOKEN = "{key.upper()}"', "", "!!"),
+        'a {"user_id": {"pass_word": "p4 $sw0rd"}} b': (2, 'pass_word": "p4 $sw0rd"', '{"', "}}"),
+        "x\ny AWS_SECRET_ACCESS_KEY: 'wJalrXUtnFEMI/K7'; z": (2, "AWS_SECRET_ACCESS_KEY: 'wJalrXUtnFEMI/K7'", "y", ";"),
+        "q?token=abcdef12&x=1": (0, "token=abcdef12", "q?", "&x=1"),
+        "secret=hunter2hunter, then": (0, "secret=hunter2hunter", "", ","),
+        "mail a.b1@mail7.example.com or no number-at-all": None,
+    }
+    df = spark.createDataFrame(
+        [(k, x, "s") for k, x in enumerate(texts)], "doc_id long, text string, source string"
+    )
+    got = {r["doc_id"]: r for r in secrets.findings(df, []).collect()}
+    for k, expected in enumerate(texts.values()):
+        if expected is None:
+            assert k not in got
+        else:
+            no, candidate, before, after = expected
+            row = got[k]
+            assert (row["word_no"], row["candidate"]) == (no, candidate)
+            assert (row["before_size"], row["after_size"]) == (len(before), len(after))
+    assert [got[k]["size"] for k in (0, 1, 2, 4, 6)] == [40, 40, 20, 9, 8]
+    assert got[0]["named"] == got[0]["name_fits"] == 1 and got[1]["named"] == 0
+    two = df.limit(1).withColumn("text", F.lit(f'a b="{key}",cd="{key}" x {key}'))
+    two = [(r["word_no"], r["candidate"]) for r in secrets.findings(two, []).collect()]
+    assert sorted(two) == [(1, key), (1, f'cd="{key}"'), (3, key)]
+
+
 def test_secrets_of_odd_rows(odd):
     none = secrets.findings(odd, []).select("doc_id", "word_no", F.lit(1).alias("secret")).limit(0)
     assert secrets.scan(odd, none, []).count() == 0
