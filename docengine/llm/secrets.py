@@ -8,8 +8,8 @@ covered by words of a dictionary, the path (the document's source and the place
 its name and its neighbouring words. The forest is trained on labelled findings, at most
 `TRAINED` of them, drawn by a seeded hash; all candidates are scored.
 
-Defined cases: null text has no candidates; without labelled findings of both kinds every
-candidate scores 0.5; the dictionary has at most `DICTIONARY` words; repeated rows give
+Defined cases: null text has no candidates; without labelled findings of both kinds there is no
+forest, every candidate scores 0.5 and is_secret is null: not judged; the dictionary has at most `DICTIONARY` words; repeated rows give
 repeated findings. Everything on the data is SQL functions and Spark's own forest.
 """
 
@@ -36,6 +36,8 @@ CANDIDATE = f"{ASSIGNED}|{STANDING}"
 NAME = r"""^([A-Za-z][A-Za-z0-9_.-]{1,63}+)(?=["'`]?[ \t]*+(?::=|=>|==?|:)[ \t]*+[^\s=])"""
 EDGES = r"""^["'`(\[{<]+|["'`.,;:!?)\]}>#$%&*]+$"""
 SECRET_NAME = r"(?i)(pass|pwd|secret|token|key|auth)"
+ACCESS_KEY = r"^AKIA[A-Z0-9]{16}$"
+ISSUED = r"^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9+/_=-]{16,}$"
 FEATURES = [
     "size", "changes", "digits", "uppers", "lowers", "others", "distinct", "covered",
     "path", "place", "named", "name_fits", "before_size", "after_size", "before_plain",
@@ -50,7 +52,7 @@ def dictionary(texts: DataFrame) -> list[str]:
 
 
 def findings(documents: DataFrame, words: list[str]) -> DataFrame:
-    """doc_id, word_no, candidate and `FEATURES`: a row per candidate.
+    """doc_id, word_no, candidate, value and `FEATURES`: a row per candidate.
 
     `word_no` is the number of the word that the candidate starts in.
     """
@@ -121,7 +123,7 @@ def findings(documents: DataFrame, words: list[str]) -> DataFrame:
             "after_size": F.length("after"),
             "before_plain": F.col("before").rlike(r"^\p{L}+[.,]?$").cast("double"),
         }
-    ).select("doc_id", "word_no", "candidate", *(F.col(f).cast("double").alias(f) for f in FEATURES))
+    ).select("doc_id", "word_no", "candidate", "value", *(F.col(f).cast("double").alias(f) for f in FEATURES))
 
 
 def scan(
@@ -133,14 +135,16 @@ def scan(
 ) -> DataFrame:
     """doc_id, word_no, candidate, score, is_secret: a row per candidate.
 
-    `labelled` (doc_id, word_no, secret 0/1) has findings that were looked at.
+    `labelled` (doc_id, word_no, secret 0/1) has findings that were looked at, with `candidate`
+    where several start in one word. is_secret is null where no forest could be fitted.
     """
     rows = findings(documents, words)
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep")
     order = [F.xxhash64(F.lit(seed), "doc_id", "word_no"), "doc_id", "word_no"]
     known = labelled.where("secret is not null").orderBy(*order).limit(TRAINED)
-    known = known.select("doc_id", "word_no", F.col("secret").cast("double").alias("label"))
-    train = vector.transform(rows.join(F.broadcast(known), ["doc_id", "word_no"]))
+    keys = [c for c in ("doc_id", "word_no", "candidate") if c in labelled.columns]
+    known = known.select(*keys, F.col("secret").cast("double").alias("label"))
+    train = vector.transform(rows.join(F.broadcast(known), keys))
     train = train.select("label", "features").cache()  # at most TRAINED findings
     kinds = {r["label"] for r in train.select("label").distinct().collect()}
     if kinds == {0.0, 1.0}:
@@ -150,23 +154,30 @@ def scan(
         scored = forest.transform(vector.transform(rows)).withColumn(
             "score", vector_to_array("probability")[1]
         )
+        verdict = F.col("score") >= limit
     else:
         scored = rows.withColumn("score", F.lit(0.5))
+        verdict = F.lit(None).cast("boolean")
     train.unpersist()
-    return scored.select(
-        "doc_id", "word_no", "candidate", "score", (F.col("score") >= limit).alias("is_secret")
-    )
+    return scored.select("doc_id", "word_no", "candidate", "score", verdict.alias("is_secret"))
 
 
 def reviewed(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, word_no, secret: candidates of the documents that `labels` covers.
+    """doc_id, word_no, candidate, secret: candidates of the documents that `labels` covers.
 
     The given tables have no reviews of findings; what a review would say follows here from
-    the issued forms: a 20-character access key or a hexadecimal value under a password's name.
+    the forms: an access key, or a value of 16 letters and digits or more under a secret's
+    name, is a secret; another value under such a name is in doubt (null); addresses, numbers,
+    dates, plain hashes and values under other names are none.
     """
-    issued = r"^AKIA[A-Z0-9]{16}$|^(password|passwd|secret|token)=[0-9a-f]{16,}$"
+    issued = (F.col("name_fits") == 1) & F.col("value").rlike(ISSUED)
     found = findings(documents, []).select(
-        "doc_id", "word_no", F.col("candidate").rlike(issued).cast("int").alias("secret")
+        "doc_id",
+        "word_no",
+        "candidate",
+        F.when(issued | F.col("value").rlike(ACCESS_KEY), 1)
+        .when(F.col("name_fits") == 0, 0)
+        .alias("secret"),
     )
     # No semi join: that would be taken below the findings and shuffle whole texts.
     return found.join(labels.select("doc_id").distinct(), "doc_id")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from docengine.llm import lines, minhash_join, mixing, packing, quality, suffixes, syncmers
 from docengine.llm import secrets, url_lists, vectors
+from docengine.llm import queries
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept int, size int"
 
@@ -269,6 +270,25 @@ def test_secrets_are_found_anywhere_in_a_text(spark):
     assert sorted(two) == [(1, key), (1, f'cd="{key}"'), (3, key)]
 
 
+@pytest.mark.parametrize("size", ["sf0.01", "sf0.1"])
+def test_secrets_of_the_given_tables(spark, size):
+    folder = f"/root/testdata/{size}"
+    got = queries.op7_secrets(spark, folder).select("candidate", "score", "is_secret").collect()
+    assert len({r["score"] for r in got}) > 1  # a forest was fitted
+    form = r'(?i)token = "[0-9a-f]{40}"'
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select(
+        F.regexp_extract_all("text", F.lit(form), 0).alias("t")
+    )
+    planted = sorted(x for r in texts.collect() for x in r["t"] or [])
+    assert planted and sorted(r["candidate"] for r in got if r["is_secret"]) == planted
+
+
+def test_secrets_are_not_judged_without_a_forest(spark):
+    df = spark.createDataFrame([(1, "at 10.0.0.123456", "s")], "doc_id long, text string, source string")
+    got = secrets.scan(df, secrets.reviewed(df, df.select("doc_id")), []).collect()
+    assert [(r["score"], r["is_secret"]) for r in got] == [(0.5, None)]
+
+
 def test_secrets_of_odd_rows(odd):
     none = secrets.findings(odd, []).select("doc_id", "word_no", F.lit(1).alias("secret")).limit(0)
     assert secrets.scan(odd, none, []).count() == 0
