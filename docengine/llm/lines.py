@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docengine.llm.batches import pieces
-from docengine.llm.blocks import POSTED, links_between
+from docengine.llm.blocks import links_between
 from docengine.llm.components import bucket_components
 from docengine.sources.workspace import RunFolder
 
@@ -149,14 +149,17 @@ def _take_lines(batches):
         ]
         if not rows:
             continue
-        minima = bin_minima([r[1] for r in rows]).astype(np.int64)
+        minima = bin_minima([r[1] for r in rows])
+        keys = band_keys(minima)
+        minima = minima.astype(np.int64)
         yield pa.record_batch(
             [
                 pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([r[1] for r in rows], pa.string()),
                 pa.array(minima.tolist(), pa.list_(pa.int64())),
+                pa.array(keys.tolist(), pa.list_(pa.int64())),
             ],
-            ["id", "line", "coords"],
+            ["id", "line", "coords", "keys"],
         )
 
 
@@ -212,7 +215,7 @@ def line_verdicts(
         found = texts.where("text is not null").join(wanted.hint("merge"), "doc_id")
         found = found.select("wanted", "text")
         return run.write(
-            found.mapInArrow(_take_lines, "id long, line string, coords array<long>"),
+            found.mapInArrow(_take_lines, "id long, line string, coords array<long>, keys array<long>"),
             f"{name}-lines",
         )
 
@@ -230,7 +233,7 @@ def line_verdicts(
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
         items = ids.join(lines_of(ids.select("id"), name).hint("merge"), "id").select(
-            "id", "part", F.slice("coords", 1, POSTED).alias("coords"), F.col("line").alias("payload")
+            "id", "part", F.col("keys").alias("coords"), F.col("line").alias("payload")
         )
         items = run.write(items, f"{name}-items")
         edges = links_between(items, percent, run, f"{name}-edges", shingle_set, line_sets)

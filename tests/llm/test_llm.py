@@ -84,6 +84,40 @@ def test_lines_of_odd_rows(odd):
     assert 2 not in texts and texts[7] == "ÄÖ 漢字\nline\n" and texts[4] == "" and texts[3] is None
 
 
+def line_links(given):
+    sets = [lines.shingle_set(x) for x in given]
+    return [
+        (a, b)
+        for a, b in combinations(range(len(sets)), 2)
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+
+
+def test_block_comparison_takes_every_pair_that_shares_a_band(spark, tmp_path, monkeypatch):
+    """Pairs that agree in a band, but in none of the first six bins."""
+    random = np.random.default_rng(5)
+    found = []
+    while len(found) < 20:
+        x = "".join(random.choice(list("abcdefghij"), 15))
+        y = x + "abcdefghij"[random.integers(10)]  # 8 and 9 shingles
+        bins = lines.bin_minima([x, y])
+        keys = lines.band_keys(bins)
+        if (keys[0] == keys[1]).any() and not (bins[0, :6] == bins[1, :6]).any():
+            found.append((x, y))
+    asked = []
+
+    def finish_all(members, confirm, finish, run, name):
+        ids = members.groupBy("id").count().select("id", F.col("id").alias("part"))
+        asked.append(finish(run.write(ids, "all"), "all").count())
+        return confirm(members.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0), "no").toDF("id", "component")
+
+    monkeypatch.setattr(lines, "bucket_components", finish_all)
+    rows = [(k, "\n".join(pair)) for k, pair in enumerate(found)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lines.line_verdicts(df, folder=str(tmp_path / "run")).count()
+    assert asked == [len(line_links([x for pair in found for x in pair]))] and asked[0] >= 20
+
+
 def test_vectors_match_all_pairs(spark):
     random = np.random.default_rng(2)
     base = random.standard_normal((20, 16))
