@@ -151,7 +151,7 @@ def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
             hit &= blk[rows][:, None] != blk[None]
         a, b = np.nonzero(hit)
         a = rows[a]
-        posted = np.array(posted)
+        posted = np.array(posted) if at else posted
         for before in range(at):
             fresh = posted[a, before] != posted[b, before]
             a, b = a[fresh], b[fresh]
@@ -186,18 +186,21 @@ def links_between(
     name: str,
     to_set: Callable | None = None,
     to_hashes: Callable | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """Links (a, b) that join different parts, found by exact comparison in blocks.
 
-    `items` (id, part, coords, payload): `coords` are `POSTED` MinHash coordinates or all keys
-    of bands, as many for each item,
+    `items` (id, part, coords, payload): `coords` are `POSTED` MinHash coordinates or, if not
+    `ordered`, all keys of an item, which count at any place,
     `payload` the set's hashes, or something that `to_set` turns into a set, and
     `to_hashes`, for a list of them, into all hashes and the sets' start offsets. Two items
     are compared if they agree on one coordinate, in the first list they share: at
-    similarity 0.8 all of six single ones differ for 6 of 100,000 such pairs; with keys of
-    bands no pair that shares a band is left out.
+    similarity 0.8 all of six single ones differ for 6 of 100,000 such pairs; no pair that
+    shares a key is left out if all keys are given.
     """
     narrow = items.select("id", "part", F.posexplode("coords").alias("at", "v"))
+    if not ordered:
+        narrow = narrow.withColumn("at", F.lit(0))
     sizes = (
         narrow.groupBy("at", "v")
         .agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))

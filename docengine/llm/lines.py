@@ -2,10 +2,12 @@
 
 Lines are compared without outer blanks and in lower case. A line is the set of its runs
 of `SHINGLE` characters (a shorter line is one shingle). One hash per shingle fills `BANDS` x
-`ROWS` bins with their minima, an empty bin takes the next filled one's. Lines that agree on
-one band are tried: at similarity 0.8 a pair misses all bands with a chance of 8 in 10,000,
-at 0.9 of 2 in a million. Tried pairs are compared on their whole shingle sets (64-bit
-hashes), links are united, and a component keeps its first line by (doc_id, line number).
+`ROWS` bins with their minima, an empty bin takes the next filled one's. Hashes are
+binned `PASSES` times, each time by another order. Lines that agree on one band are tried: at
+similarity 0.8 a pair of long lines misses all bands with a chance of 6 in 10 million. Lines of
+at most `SHORT` different shingles, where borrowed bins repeat, meet by their least hashes
+instead, so many of them that no similar pair is missed; lines that can be similar to both
+kinds have both. All tried pairs are compared on their whole shingle sets, links are united, and a component keeps its first line by (doc_id, line number).
 
 Defined cases: blank lines are no lines and always stay; a row without doc_id or text has
 no lines; rows that share doc_id and line number share the verdict. Only doc_id and text
@@ -28,7 +30,8 @@ SHINGLE = 8
 BANDS = 10
 ROWS = 3
 BINS = BANDS * ROWS
-AGREE = 12  # bins that a pair must share to be compared; 24 are expected at 0.8
+PASSES = 2
+SHORT = BINS - 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,32 +77,67 @@ def shingle_set(line: str) -> set[str]:
     return {line[k : k + SHINGLE] for k in range(max(1, len(line) - SHINGLE + 1))}
 
 
-def bin_minima(lines: list[str]) -> np.ndarray:
-    """`BINS` minima per line."""
-    values, starts = shingle_hashes(lines)
+def _minima(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`BINS` minima per line, and whether all its bins were filled."""
     empty = np.uint32(0xFFFFFFFF)
-    out = np.full(len(lines) * BINS, empty)
+    out = np.full((len(starts) - 1) * BINS, empty)
     at = ((values >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
-    at = at.astype(np.int64) + np.repeat(np.arange(len(lines)) * BINS, np.diff(starts))
+    at = at.astype(np.int64) + np.repeat(np.arange(len(starts) - 1) * BINS, np.diff(starts))
     np.minimum.at(out, at, values.astype(np.uint32))
     out = out.reshape(-1, BINS)
+    full = (out != empty).all(axis=1)
     while (gap := out == empty).any():
         out = np.where(gap, np.roll(out, -1, axis=1), out)
         if (out == empty).all(axis=1).any():
             break
-    return out
+    return out, full
+
+
+def bin_minima(lines: list[str]) -> np.ndarray:
+    return _minima(*shingle_hashes(lines))[0]
 
 
-def band_keys(minima: np.ndarray) -> np.ndarray:
+def band_keys(minima: np.ndarray, salt: int = 0) -> np.ndarray:
     keys = np.empty((len(minima), BANDS), np.uint64)
     for band in range(BANDS):
-        key = np.full(len(minima), np.uint64(band + 1))
+        key = np.full(len(minima), np.uint64(salt * BANDS + band + 1))
         for row in range(ROWS):
             key = _mixed(key * MIX + minima[:, band * ROWS + row])
         keys[:, band] = key
     return keys.view(np.int64)
 
 
+def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All lines' keys, one line after the other, and their start offsets."""
+    values, starts = shingle_hashes(lines)
+    minima, full = _minima(values, starts)
+    bands = [band_keys(minima)]
+    for salt in range(1, PASSES):
+        again = _mixed(values * MIX + np.uint64(salt))
+        bands.append(band_keys(_minima(again, starts)[0], salt))
+    # A line of fewer than BINS different shingles leaves a bin empty.
+    few = np.flatnonzero(~full)
+    chosen = np.repeat(~full, np.diff(starts))
+    sizes = np.diff(starts)[few]
+    owner = np.repeat(np.arange(len(few), dtype=np.uint64), sizes)
+    held = np.unique((owner << np.uint64(40)) | (values[chosen] >> np.uint64(24)))
+    owner = (held >> np.uint64(40)).astype(np.int64)
+    counts = np.bincount(owner, minlength=len(few))
+    rank = np.arange(len(held)) - (np.cumsum(counts) - counts)[owner]
+    small = counts <= SHORT
+    # Similar sets share one of so many least hashes of either.
+    least = np.where(small, counts - (counts * 80 + 99) // 100 + 1, 0)
+    taken = rank < least[owner]
+    prefix = (held[taken] & np.uint64(2**40 - 1)).view(np.int64)
+    banded = np.ones(len(lines), bool)
+    banded[few[100 * counts < 80 * (SHORT + 1)]] = False
+    keys = np.concatenate([prefix, np.concatenate(bands, axis=1)[banded].ravel()])
+    of = np.concatenate([few[owner[taken]], np.repeat(np.flatnonzero(banded), BANDS * PASSES)])
+    order = np.argsort(of, kind="stable")
+    ends = np.cumsum(np.bincount(of, minlength=len(lines)))
+    return keys[order], np.concatenate([[0], ends])
+
+
 LINES = "doc_id long, line_no int, again boolean, h1 long, h2 long, keys array<long>"
 
 
@@ -122,7 +160,8 @@ def _read_lines(batches):
             xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in known
         )
         digests = np.frombuffer(digests, np.int64).reshape(-1, 2)
-        keys = band_keys(bin_minima(list(known)))[own].ravel()
+        keys, starts = line_keys(list(known))
+        keys = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(keys))
         yield pa.record_batch(
             [
                 pa.array(docs, pa.int64()),
@@ -130,9 +169,7 @@ def _read_lines(batches):
                 pa.array(again, pa.bool_()),
                 pa.array(digests[own, 0]),
                 pa.array(digests[own, 1]),
-                pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(lines) + 1) * BANDS, pa.int32()), pa.array(keys)
-                ),
+                keys.take(pa.array(own, mask=np.array(again))),
             ],
             ["doc_id", "line_no", "again", "h1", "h2", "keys"],
         )
@@ -149,17 +186,14 @@ def _take_lines(batches):
         ]
         if not rows:
             continue
-        minima = bin_minima([r[1] for r in rows])
-        keys = band_keys(minima)
-        minima = minima.astype(np.int64)
+        keys, starts = line_keys([r[1] for r in rows])
         yield pa.record_batch(
             [
                 pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([r[1] for r in rows], pa.string()),
-                pa.array(minima.tolist(), pa.list_(pa.int64())),
-                pa.array(keys.tolist(), pa.list_(pa.int64())),
+                pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(keys)),
             ],
-            ["id", "line", "coords", "keys"],
+            ["id", "line", "keys"],
         )
 
 
@@ -215,17 +249,15 @@ def line_verdicts(
         found = texts.where("text is not null").join(wanted.hint("merge"), "doc_id")
         found = found.select("wanted", "text")
         return run.write(
-            found.mapInArrow(_take_lines, "id long, line string, coords array<long>, keys array<long>"),
+            found.mapInArrow(_take_lines, "id long, line string, keys array<long>"),
             f"{name}-lines",
         )
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
         own = lines_of(pairs.select("a").union(pairs.select("b")), name)
-        x = own.select(F.col("id").alias("a"), F.col("line").alias("x"), F.col("coords").alias("s"))
-        y = own.select(F.col("id").alias("b"), F.col("line").alias("y"), F.col("coords").alias("t"))
+        x = own.select(F.col("id").alias("a"), F.col("line").alias("x"))
+        y = own.select(F.col("id").alias("b"), F.col("line").alias("y"))
         both = pairs.hint("merge").join(x, "a").hint("merge").join(y, "b")
-        agree = F.size(F.filter(F.arrays_zip("s", "t"), lambda p: p["s"] == p["t"]))
-        both = both.where(agree >= AGREE)
         linked = both.select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
         edges = run.write(linked.distinct(), f"{name}-edges")
         run.drop(f"{name}-lines")
@@ -236,7 +268,7 @@ def line_verdicts(
             "id", "part", F.col("keys").alias("coords"), F.col("line").alias("payload")
         )
         items = run.write(items, f"{name}-items")
-        edges = links_between(items, percent, run, f"{name}-edges", shingle_set, line_sets)
+        edges = links_between(items, percent, run, f"{name}-edges", shingle_set, line_sets, ordered=False)
         run.drop(f"{name}-lines", f"{name}-items")
         return edges
 

@@ -118,6 +118,25 @@ def test_block_comparison_takes_every_pair_that_shares_a_band(spark, tmp_path, m
     assert asked == [len(line_links([x for pair in found for x in pair]))] and asked[0] >= 20
 
 
+def test_short_lines_match_all_pairs(spark):
+    """Pairs that agree in few of 30 bins or in none of 10 bands, and others."""
+    random = np.random.default_rng(6)
+    given, odd = [], 0
+    for k in range(6000):
+        x = "".join(random.choice(list("abcdefghijklmnop"), 11 + 4 * (k % 3)))
+        y = x + "".join(random.choice(list("abcdefghijklmnop"), (len(x) - 7) // 4))
+        bins = lines.bin_minima([x, y])
+        keys = lines.band_keys(bins)
+        few = (bins[0] == bins[1]).sum() < 12 or not (keys[0] == keys[1]).any()
+        odd += few
+        if few or k < 300:
+            given += [x, y]
+    expected = united(range(len(given)), line_links(given))
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r["doc_id"]: r["group_doc_id"] for r in lines.line_verdicts(df).collect()}
+    assert odd >= 20 and got == expected
+
+
 def test_vectors_match_all_pairs(spark):
     random = np.random.default_rng(2)
     base = random.standard_normal((20, 16))
