@@ -8,13 +8,16 @@ from docengine.llm.lines import line_verdicts
 from docengine.llm.minhash_join import near_copies
 from docengine.llm.mixing import mix
 from docengine.llm.packing import packed
+from docengine.llm.periods import periodic_runs, run_digests, with_planted_runs
 from docengine.llm.quality import score
 from docengine.llm.secrets import dictionary, reviewed, scan
+from docengine.llm.sentence_pieces import encoded_digests
 from docengine.llm.suffixes import passages
 from docengine.llm.syncmers import fingerprints
 from docengine.llm.url_lists import ORACLE as URL_ORACLE
 from docengine.llm.url_lists import captures_of, dated_list, judge
 from docengine.llm.vectors import near_vectors
+from docengine.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -64,6 +67,20 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return passages(_table(spark, folder, "documents"))
 
 
+def op11_periods(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(periodic_runs(with_planted_runs(_table(spark, folder, "documents"))))
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(_table(spark, folder, "embeddings"))
+
+
+def op13_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    from public_tokenizers import path
+
+    return encoded_digests(_table(spark, folder, "documents"), path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_line_dedup": op2_line_dedup,
@@ -75,6 +92,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_url_lists": op9_url_lists,
     "op10_suffixes": op10_suffixes,
+    "op11_periods": op11_periods,
+    "op12_whitening": op12_whitening,
+    "op13_sentence_pieces": op13_sentence_pieces,
 }
 
 ORACLE: dict[str, str] = {"op9_url_lists": URL_ORACLE}
