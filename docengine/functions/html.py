@@ -1,7 +1,9 @@
 """Column functions over raw HTML.
 
-Blocks are found by pattern, which is right for tables that are not nested.  Pages
-with unclosed tags elsewhere do no harm, as only the asked-for blocks are read.
+Blocks are found by pattern; where one holds another of its kind, by element intervals: the
+page is split at the kind's tags, each with its depth, and an element reaches from its own
+tag to where the depth falls below it.  Pages with unclosed tags elsewhere do no harm, as only
+the asked-for blocks are read.
 """
 
 import html
@@ -97,10 +99,79 @@ def unescape(c: Column) -> Column:
     return F.when(c.contains("&"), decoded).otherwise(c)
 
 
+COMMENT = r"(?s)<!--.*?-->"
+
+
+def _kind(part: Column, tag: str) -> Column:
+    """1 for a part that begins with the opening tag, -1 with the closing one, else 0."""
+    return F.when(part.rlike(rf"(?i)^</{tag}[\s/>]"), -1).when(
+        part.rlike(rf"(?i)^<{tag}[\s/>]"), 1
+    ).otherwise(0)
+
+
+def _elements(c: Column, tag: str, body) -> Column:
+    """`body` of the page's parts, cut before every `<tag>` and `</tag>`, and a length function.
+
+    The function gives for the opening tag at a part the number of parts up to its closing
+    tag: to the first part with a smaller depth, else to the page's end.
+    """
+
+    def depths(parts: Column) -> Column:
+        start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<int>").alias("all"))
+
+        def step(acc: Column, kind: Column) -> Column:
+            depth = F.greatest(acc["depth"] + kind, F.lit(0))
+            return F.struct(depth.alias("depth"), F.array_append(acc["all"], depth).alias("all"))
+
+        kinds = F.transform(parts, lambda p: _kind(p, tag))
+        return F.aggregate(kinds, start, step, lambda acc: acc["all"])
+
+    def with_depths(parts: Column, depths: Column) -> Column:
+        def length(i: Column) -> Column:
+            after = F.slice(depths, i + 2, F.size(depths))
+            below = F.transform(after, lambda d: d < F.get(depths, i))
+            return let(
+                F.array_position(below, F.lit(True)).cast("int"),
+                lambda at: F.when(at > 0, at).otherwise(F.size(parts) - i),
+            )
+
+        return body(parts, length)
+
+    cut = F.split(F.regexp_replace(c, COMMENT, ""), rf"(?i)(?=</?{tag}[\s/>])")
+    return let(cut, lambda p: let(depths(p), lambda d: with_depths(p, d)))
+
+
+def nested_blocks(c: Column, tag: str) -> Column:
+    """Inner HTML of every `<tag>` element, in the order of their opening tags.
+
+    An element inside another one is part of it and also one of its own.  A closing tag
+    closes the last open element; what is not closed reaches to the end.
+    """
+
+    def inner(parts: Column, length) -> Column:
+        def one(part: Column, i: Column) -> Column:
+            rest = F.array_join(F.slice(parts, i + 2, length(i) - 1), "")
+            return F.when(
+                _kind(part, tag) == 1, F.concat(F.regexp_replace(part, "^<[^>]*>", ""), rest)
+            )
+
+        return F.filter(F.transform(parts, one), lambda b: b.isNotNull())
+
+    return _elements(c, tag, inner)
+
+
+def _holds_tag(c: Column, tag: str) -> Column:
+    return c.rlike(rf"(?i)<{tag}[\s/>]")
+
+
 def blocks(c: Column, tag: str) -> Column:
-    """Inner HTML of every `<tag>` block, in order."""
-    return F.regexp_extract_all(
-        c, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), 1
+    """Inner HTML of every `<tag>` block, in order; also of those inside others."""
+    flat = F.regexp_extract_all(c, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"), 1)
+    return let(
+        flat,
+        lambda found: F.when(
+            F.exists(found, lambda b: _holds_tag(b, tag)), nested_blocks(c, tag)
+        ).otherwise(found),
     )
 
 
@@ -114,13 +185,20 @@ def one_line(c: Column) -> Column:
 
 
 def after_anchor(c: Column, anchor: str, container: str) -> Column:
-    """Inner HTML of the first `container` after the named anchor, else empty."""
+    """Inner HTML of the first `container` after the named anchor, else empty.
+
+    Containers inside it are part of it.
+    """
     name = re.escape(anchor)
-    return F.regexp_extract(
-        c,
-        rf"(?s)<[aA]\s(?:[^>]*\s)?name\s*=\s*[\"']?{name}[\"']?(?:\s[^>]*)?/?>"
-        rf"(?i:.*?<{container}(?:\s[^>]*)?>(.*?)</{container}\s*>)",
-        1,
+    before = rf"(?s)<[aA]\s(?:[^>]*\s)?name\s*=\s*[\"']?{name}[\"']?(?:\s[^>]*)?/?>"
+    opens = rf"<{container}(?:\s[^>]*)?>"
+    flat = F.regexp_extract(c, rf"{before}(?i:.*?{opens}(.*?)</{container}\s*>)", 1)
+    rest = F.regexp_extract(c, rf"{before}(?i:.*?({opens}.*))", 1)
+    return let(
+        flat,
+        lambda found: F.when(
+            _holds_tag(found, container), F.get(nested_blocks(rest, container), F.lit(0))
+        ).otherwise(found),
     )
 
 
@@ -176,12 +254,43 @@ def divisions(c: Column, name: str, tag: str = "div") -> Column:
             lambda f: F.array_join(F.slice(parts, f["lo"] + 1, f["hi"] - f["lo"]), ""),
         )
 
-    plain = F.regexp_replace(c, r"(?s)<!--.*?-->", "")
+    plain = F.regexp_replace(c, COMMENT, "")
     return let(F.split(plain, rf"(?i)(?=</?{tag}[\s/>])"), cut)
 
 
 def drop_hidden(c: Column) -> Column:
-    """Without table bodies that are not displayed."""
-    return F.regexp_replace(
-        c, r"(?is)<tbody\s[^>]*style\s*=\s*[\"']display:none[\"'][^>]*>.*?</tbody\s*>", ""
+    """Without table bodies that are not displayed, and what they hold."""
+    opens = r"(?is)<tbody\s[^>]*style\s*=\s*[\"']display:none[\"'][^>]*>"
+    flat = rf"{opens}.*?</tbody\s*>"
+
+    def shown(parts: Column, length) -> Column:
+        hidden = F.filter(
+            F.transform(
+                parts,
+                lambda p, i: F.when(
+                    p.rlike(opens.replace("<", "^<", 1)),
+                    F.struct(i.alias("lo"), (i + length(i)).alias("hi")),
+                ),
+            ),
+            lambda s: s.isNotNull(),
+        )
+
+        def kept(p: Column, i: Column, spans: Column) -> Column:
+            return (
+                F.when(F.exists(spans, lambda s: (i >= s["lo"]) & (i < s["hi"])), "")
+                .when(
+                    F.exists(spans, lambda s: i == s["hi"]),
+                    F.regexp_replace(p, r"(?i)^</tbody[^>]*>", ""),
+                )
+                .otherwise(p)
+            )
+
+        return let(
+            hidden,
+            lambda spans: F.array_join(F.transform(parts, lambda p, i: kept(p, i, spans)), ""),
+        )
+
+    inside = F.exists(
+        F.regexp_extract_all(c, F.lit(flat), 0), lambda b: _holds_tag(F.substr(b, F.lit(2)), "tbody")
     )
+    return F.when(inside, _elements(c, "tbody", shown)).otherwise(F.regexp_replace(c, flat, ""))

@@ -1,7 +1,8 @@
 """Column functions over text.
 
 Every function maps columns to a column with built-in expressions, so a document
-is handled where its row lies: no explode, no shuffle, no Python worker.
+is handled where its row lies: no explode, no shuffle; and no Python worker, but for texts
+that are longer than a chunk.
 """
 
 import re
@@ -10,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from docengine.functions.patterns import chunk_each
+
 # Unicode white space, as a regex class and as the set of characters itself.
 WS = r"(?U:[\s\x1c-\x1f])"
 NOT_WS = r"(?U:[^\s\x1c-\x1f])"
@@ -19,9 +22,6 @@ NO_BREAK = r"^[^\n\x0b\f\r\x1c-\x1e\x{85}\x{2028}\x{2029}]*+"
 # Leader dots, then a page number at the end; tried once per run of dots.
 TOC_LINE = r"(?<!\.)\.{5,}+" + WS + r"*+\p{Nd}++\z"
 
-# Words that one fold over a text's words goes through.
-CHUNK_BLOCK = 512
-
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of `value`, with `value` computed once per row.
@@ -157,70 +157,13 @@ def context_lines(text: Column, term: Column, k: int = 30) -> Column:
 def chunk_words(text: Column, limit: int = 128000) -> Column:
     """Greedy chunks of whole words; spaces do not count towards the limit.
 
-    A fold copies its state at every step, so words are folded in blocks: a step copies the
-    breaks of its block only, and those of the whole text are copied once per block.  Words
-    are fetched one by one afterwards, as a slice copies the whole list.
+    A text within the limit, the usual case, is one chunk and stays in the JVM; of a longer
+    one the chunks' ends are looked up in the running sums of its words' lengths.
     """
-    none = F.array().cast("array<int>")
-
-    def in_block(lengths: Column, run: Column, lo: Column, hi: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            n = F.get(lengths, i)
-            over = acc["run"] + n > limit
-            return F.struct(
-                F.when(over, n.cast("long")).otherwise(acc["run"] + n).alias("run"),
-                F.when(over, F.array_append(acc["breaks"], i))
-                .otherwise(acc["breaks"]).alias("breaks"),
-            )
-
-        start = F.struct(run.alias("run"), none.alias("breaks"))
-        return F.aggregate(F.sequence(lo, hi - 1), start, step)
-
-    def all_breaks(lengths: Column) -> Column:
-        def step(acc: Column, lo: Column) -> Column:
-            hi = F.least(lo + CHUNK_BLOCK, F.size(lengths))
-            return let(
-                in_block(lengths, acc["run"], lo, hi),
-                lambda r: F.struct(
-                    r["run"].alias("run"),
-                    F.concat(acc["breaks"], r["breaks"]).alias("breaks"),
-                ),
-            )
-
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(lengths) - 1, F.lit(CHUNK_BLOCK)),
-            F.struct(F.lit(0).cast("long").alias("run"), none.alias("breaks")),
-            step,
-            lambda acc: acc["breaks"],
-        )
-
-    def chunks(words: Column) -> Column:
-        bounds = let(
-            let(F.transform(words, F.length), all_breaks),
-            lambda breaks: F.zip_with(
-                F.concat(F.array(F.lit(0)), breaks),
-                F.concat(breaks, F.array(F.size(words))),
-                lambda lo, hi: F.struct(lo.alias("lo"), hi.alias("hi")),
-            ),
-        )
-        cut = F.transform(
-            bounds,
-            lambda b: F.array_join(
-                F.when(
-                    b["hi"] > b["lo"],
-                    F.transform(F.sequence(b["lo"], b["hi"] - 1), lambda i: F.get(words, i)),
-                ).otherwise(F.array().cast("array<string>")),
-                " ",
-            ),
-        )
-        return (
-            F.when(F.size(words) == 0, F.array().cast("array<string>"))
-            # Text within the limit, the usual case, needs no fold.
-            .when(F.length(F.array_join(words, "")) <= limit, F.array(F.array_join(words, " ")))
-            .when(F.size(words) > 0, cut)
-        )
-
-    return let(split_words(text), chunks)
+    small = F.octet_length(text) <= limit
+    words = F.array_join(split_words(text), " ")
+    whole = let(words, lambda w: F.filter(F.array(w), lambda w: w != ""))
+    return F.when(small, whole).otherwise(chunk_each(F.when(~small, text), limit))
 
 
 def table_of_contents(
@@ -333,28 +276,3 @@ def without_lines(text: Column, first: Column, last: Column) -> Column:
             "\n",
         ),
     )
-
-
-def text_between(text: Column, start: Column, end: Column) -> Column:
-    """Text from `start` up to the next `end`; null without `start`.
-
-    Without `end`, or when it does not follow, the rest of the text is taken.
-    """
-
-    # By bytes: positions in characters would be counted from the text's start each time.
-    def up_to(whole: Column, mark: Column) -> Column:
-        return F.call_function("substring_index", whole, mark, F.lit(1))
-
-    def cut(at: Column) -> Column:
-        rest = F.substr(text.cast("binary"), at + 1).cast("string")
-        return F.when(
-            (at < F.octet_length(text)) | (start == ""),
-            let(
-                rest,
-                lambda rest: F.when(
-                    F.coalesce(end, F.lit("")) != "", up_to(rest, end)
-                ).otherwise(rest),
-            ),
-        )
-
-    return let(F.octet_length(up_to(text, start)), cut)

@@ -4,14 +4,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import NOT_PRESENT, SEARCH_QUERY, TOP_LINKS
-from docengine.functions.text import (
-    basename,
-    count_mentions,
-    document_key,
-    render,
-    strip,
-)
-from docengine.operators.columns import true_or_false
+from docengine.functions.patterns import count_each
+from docengine.functions.text import basename, document_key, render, strip
+from docengine.operators.columns import true_or_false, unfold
+from docengine.operators.shares import with_lists
 
 
 def search_queries(entities: DataFrame, key: str = "species_id") -> DataFrame:
@@ -99,13 +95,19 @@ def mention_counts(
 ) -> DataFrame:
     """`(key, pos, n)`: how often the name occurs in the document.
 
-    A document without text, or not there at all, gives no row.  A text is searched once
-    per distinct name, however many entities ask for both; the counts are narrow rows.
+    A document that is not there gives no row, one without text counts 0.  All different
+    names asked of a text are found in one pass over it, however many entities ask; a text
+    asked for very many names is searched for shares of them in several tasks.  The counts
+    are narrow rows.
     """
-    asked = pairs.select("doc_key", "name").distinct()
-    counted = asked.join(documents.select("doc_key", "text"), "doc_key").select(
-        "doc_key", "name", count_mentions(F.col("text"), F.col("name")).alias("n")
+    names = pairs.select("doc_key", "name").distinct()
+    texts = with_lists(names, documents.select("doc_key", "text"), "doc_key", "name")
+    found = F.zip_with(
+        F.col("asked"),
+        count_each(F.col("text"), F.col("asked")),
+        lambda s, n: F.struct(s.alias("name"), n.alias("n")),
     )
+    counted = unfold(texts, ["doc_key"], found, "name")
     return pairs.join(counted, ["doc_key", "name"]).select(key, "pos", "n")
 
 

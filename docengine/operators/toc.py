@@ -4,13 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import TOC_MARKER, TOC_MAX_MISS
+from docengine.functions.patterns import texts_between
 from docengine.functions.text import (
     dotless,
     let,
     normalize_line,
     strip,
     table_of_contents,
-    text_between,
     without_lines,
 )
 from docengine.operators.columns import unfold
@@ -42,33 +42,105 @@ def toc_rows(documents: DataFrame, key: str = "doc_key") -> DataFrame:
     return unfold(documents, [key], entries, "k")
 
 
+def _body() -> Column:
+    """Lower-case text without the contents list; null where there is none."""
+    return let(
+        F.col("toc"),
+        lambda toc: F.lower(without_lines(F.col("text"), toc["first"], toc["last"])),
+    )
+
+
 def slice_sections(documents: DataFrame, key: str = "doc_key") -> DataFrame:
     """`(key, k, title, section_text)`: lower-case text from each title to the next.
 
     The contents list itself is left out of the text.  A title that is not found, or
-    is directly followed by the next one, gives no row.  Sections are cut inside the
-    document's row, from one copy of its text.
+    is directly followed by the next one, gives no row.  All titles of a document are found
+    in one pass over its text, inside the document's row.
     """
-    body = let(
-        F.col("toc"),
-        lambda toc: F.lower(without_lines(F.col("text"), toc["first"], toc["last"])),
+    titles = F.col("toc.entries.title")
+    marks = documents.select(
+        F.col(f"`{key}`"),
+        titles.alias("_titles"),
+        _body().alias("_body"),
+        F.transform(titles, F.lower).alias("_starts"),
+        let(titles, lambda ts: F.transform(ts, lambda t, k: F.lower(F.get(ts, k + 1)))).alias("_ends"),
     )
-
-    def cut(text: Column, titles: Column) -> Column:
-        def section(title: Column, k: Column) -> Column:
-            piece = strip(text_between(text, F.lower(title), F.lower(F.get(titles, k + 1))))
-            return F.struct(
+    pieces = texts_between(F.col("_body"), F.col("_starts"), F.col("_ends"))
+    # Bound outside the lambda, where Spark can't run an Arrow function.
+    sections = let(
+        pieces,
+        lambda pieces: F.transform(
+            F.col("_titles"),
+            lambda title, k: F.struct(
                 k.alias("k"),
                 title.alias("title"),
-                F.nullif(piece, F.lit("")).alias("section_text"),
-            )
+                F.nullif(strip(F.get(pieces, k)), F.lit("")).alias("section_text"),
+            ),
+        ),
+    )
+    return unfold(marks, [key], sections, "section_text")
+
 
-        return F.transform(titles, section)
+def named_sections(
+    names: DataFrame, documents: DataFrame, key: str = "doc_key"
+) -> DataFrame:
+    """`(key, section, section_text)` of `(key, names)`, lists of different names per document.
 
-    found = let(
-        F.col("toc.entries.title"), lambda titles: let(body, lambda text: cut(text, titles))
+    A name stands for the first entry that holds it, case and dots apart, as in
+    `match_sections`; only the sections of entries that are asked for are cut out.  The
+    lists ride in the document's row, which a single pass over its text then answers.
+    """
+    toc = F.col("toc.entries.title")
+
+    def first_entry(compared: Column, name: Column) -> Column:
+        return F.array_position(
+            F.transform(compared, lambda t: F.contains(t, name)), F.lit(True)
+        ).cast("int")
+
+    asked = F.filter(F.col("names"), lambda s: strip(s) != "")
+    entries = let(
+        F.transform(toc, dotless),
+        lambda compared: F.transform(
+            asked, lambda s: let(dotless(normalize_line(s)), lambda n: first_entry(compared, n))
+        ),
+    )
+    with_names = (
+        documents.filter(F.col("toc").isNotNull())
+        .join(names, key)
+        .select(
+            F.col(f"`{key}`"),
+            asked.alias("_asked"),
+            entries.alias("_at"),
+            toc.alias("_titles"),
+            _body().alias("_body"),
+        )
+    )
+    # Names of one entry share its section.
+    wanted = F.array_distinct(F.filter(F.col("_at"), lambda at: at > 0))
+
+    def marks(after: int) -> Column:
+        return let(
+            F.col("_titles"),
+            lambda ts: F.transform("_wanted", lambda at: F.lower(F.get(ts, at + after))),
+        )
+
+    cut = with_names.withColumn("_wanted", wanted)
+    cut = cut.withColumns({"_starts": marks(-1), "_ends": marks(0)})
+    pieces = texts_between(F.col("_body"), F.col("_starts"), F.col("_ends"))
+
+    def piece(cut: Column, at: Column) -> Column:
+        text = F.get(cut["pieces"], F.array_position(cut["wanted"], at).cast("int") - 1)
+        return F.when(at > 0, F.nullif(strip(text), F.lit("")))
+
+    sections = let(
+        F.struct(pieces.alias("pieces"), F.col("_wanted").alias("wanted")),
+        lambda cut: F.zip_with(
+            F.col("_asked"),
+            F.col("_at"),
+            lambda s, at: F.struct(s.alias("section"), piece(cut, at).alias("section_text")),
+        ),
     )
-    return unfold(documents, [key], found, "section_text")
+    return unfold(cut, [key], sections, "section_text")
 
 
 def match_sections(

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import FLAG_COLUMN, TOPICS
 from docengine.functions.text import document_key, strip
-from docengine.operators.columns import col_or, true_or_false, unfold
-from docengine.operators.toc import match_sections, slice_sections
+from docengine.operators.columns import true_or_false, unfold
+from docengine.operators.toc import named_sections
 
 
 def requested_sections(
@@ -44,36 +44,47 @@ def topic_texts(
 ) -> DataFrame:
     """Add `<topic>_text`: the texts of a topic's sections, in the order asked for.
 
-    Entities that are not flagged keep the text they have, if any.  Sections that are not found are left out.  Names are matched once per document and
-    name, and a section's text is fetched once per match before it goes to entities.
+    Entities that are not flagged keep the text they have, if any.  Sections that are not
+    found are left out.  The different names asked of a document are gathered to one list,
+    which rides in the document's row: its text is read once and only the sections asked for
+    are cut.  Entities meet their texts in the aggregation itself, so that they are moved once;
+    those without a key meet no other row there.
     """
     asked = requested_sections(entities, topics, key)
-    matched = match_sections(asked, documents).select("doc_key", "section", "k")
-    texts = matched.join(slice_sections(documents), ["doc_key", "k"]).select(
-        "doc_key", "section", "section_text"
-    )
+    names = asked.groupBy("doc_key").agg(F.collect_set("section").alias("names"))
+    texts = named_sections(names, documents)
 
-    parts = F.collect_list(
-        F.struct("topic", "pos", F.col("section_text").alias("value"))
+    part = F.struct("topic", "pos", F.col("section_text").alias("value"))
+    parts = asked.join(texts, ["doc_key", "section"]).select(
+        F.col(key).alias("_key"), F.lit(None).cast("long").alias("_alone"), part.alias("_part")
+    )
+    columns = [F.col(f"`{c}`") for c in entities.columns]
+    rows = entities.select(
+        F.col(key).alias("_key"),
+        F.when(F.col(key).isNull(), F.xxhash64(*columns)).alias("_alone"),
+        F.struct(*columns).alias("_row"),
     )
-    wide = (
-        asked.join(texts, ["doc_key", "section"])
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.array_sort(parts).alias("_parts"))
+    met = (
+        rows.unionByName(parts, allowMissingColumns=True)
+        .groupBy("_key", "_alone")
+        .agg(
+            F.collect_list("_row").alias("_rows"),
+            F.array_sort(F.collect_list("_part")).alias("_parts"),
+        )
+        .select(F.explode("_rows").alias("_row"), "_parts")
     )
 
     def of_topic(n: int) -> Column:
         own = F.filter(F.col("_parts"), lambda p: p["topic"] == n)
-        return F.coalesce(F.array_join(own["value"], "\n"), F.lit(""))
+        return F.array_join(own["value"], "\n")
 
-    flagged = true_or_false(F.col(FLAG_COLUMN))
-    texts_by_name = {
-        f"{t}_text": F.when(flagged, of_topic(n)).otherwise(
-            col_or(entities, f"{t}_text", F.lit(None))
-        )
-        for n, t in enumerate(topics)
-    }
-    return entities.join(wide, F.col(key) == F.col("_key"), "left").select(
-        *[F.col(f"`{c}`") for c in entities.columns if c not in texts_by_name],
+    flagged = true_or_false(F.col(f"_row.`{FLAG_COLUMN}`"))
+    texts_by_name = {}
+    for n, t in enumerate(topics):
+        name = f"{t}_text"
+        own = F.col(f"_row.`{name}`") if name in entities.columns else F.lit(None)
+        texts_by_name[name] = F.when(flagged, of_topic(n)).otherwise(own)
+    return met.select(
+        *[F.col(f"_row.`{c}`") for c in entities.columns if c not in texts_by_name],
         *[text.alias(name) for name, text in texts_by_name.items()],
     )

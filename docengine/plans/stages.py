@@ -1,8 +1,8 @@
 """The stages, in the order their data depend on one another.
 
 Each stage is a function of tables.  `run_stages` chains them.  It writes a stage's table
-once, to a folder all executors reach, and goes on from the written table, so that a lost
-executor or a restart costs one stage at most.
+once, to a folder all executors reach, commits it and goes on from the written table, so that
+a lost executor or a restart costs one stage at most.
 """
 
 from collections.abc import Callable, Collection
@@ -36,7 +36,8 @@ from docengine.operators.rows import clean_rows, extract_rows
 from docengine.operators.showcase import bundle_topics, showcase, summaries
 from docengine.operators.toc import with_toc
 from docengine.operators.topics import topic_texts
-from docengine.sources.tables import null_tokens, write_csv, write_stage
+from docengine.sources.stages import StageFolder
+from docengine.sources.tables import null_tokens, write_csv
 
 
 Answer = Callable[[DataFrame, DataFrame], DataFrame]
@@ -131,6 +132,7 @@ def run_stages(
     folder: str,
     sections=tuple(SECTIONS),
     written: Collection[str] | None = None,
+    run: str | None = None,
 ) -> dict[str, DataFrame]:
     """All stage tables by name, with both request tables and the showcase.
 
@@ -140,13 +142,17 @@ def run_stages(
     what an outside service has written.  Stages named in `written` go to the folder, or
     all when none are named.  The others stay part of the plan; tables that more than one
     later stage reads should be written, or their plan is repeated in each.
+
+    With `run`, a name for the data at hand, stages that a run of that name has committed to
+    the folder are taken as they are: a run that died goes on at its first open stage.
     """
+    stages = StageFolder(documents.sparkSession, folder, run)
 
     def stage(df: DataFrame, name: str) -> DataFrame:
         # Handed-over cells that a table reader takes as null are null from here on.
         df = null_tokens(df) if name in HANDED_OVER else df
         keep = written is None or name in written
-        return write_stage(df, folder, name) if keep else df
+        return stages.once(df, name) if keep else df
 
     out = {}
     out["documents"] = with_contents = stage(with_toc(documents), "documents")

@@ -1,11 +1,15 @@
 """Files to tables and back."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docengine.functions.fixed_values import NULL_TOKENS
 from docengine.functions.text import document_key
+from docengine.sources.stages import StageFolder
+
+# Files of a name taken by another one that a scan leaves out by their paths.
+NAMED_FILES = 10_000
 
 
 def null_tokens(
@@ -75,10 +79,8 @@ def write_csv(
 
 
 def write_stage(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write a stage once and go on from the written table."""
-    path = f"{folder.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a stage once and go on from the written table; see `StageFolder`."""
+    return StageFolder(df.sparkSession, folder).write(df, name)
 
 
 def read_texts(
@@ -86,24 +88,35 @@ def read_texts(
 ) -> DataFrame:
     """`(doc_key, file_name, text)`: whole text files, sub-folders included.
 
-    Of files with equal names the one whose path comes first is taken.
+    Of files with equal names the one whose path comes first is taken.  The choice is made on
+    the listing, which reads no contents; files that are not taken are left out of the scan,
+    or, where they are too many to name, by a join on the path.
     """
-    files = (
-        spark.read.option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .text(folder, wholetext=True)
-        .select(
-            document_key(F.col("_metadata.file_name")).alias("doc_key"),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_path").alias("path"),
-            F.col("value").alias("text"),
-        )
+    options = {"pathGlobFilter": pattern, "recursiveFileLookup": True}
+    listed = spark.read.format("binaryFile").options(**options).load(folder)
+    path = F.col("_metadata.file_path")
+    # Names come as in an address: blanks and percent signs are written as numbers.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    first = Window.partitionBy("doc_key").orderBy("path")
+    passed_over = (
+        listed.select(path.alias("path"), document_key(name).alias("doc_key"))
+        .withColumn("place", F.row_number().over(first))
+        .filter("place > 1")
+        .select("path")
     )
-    return (
-        files.groupBy("doc_key")
-        .agg(F.min_by(F.struct("file_name", "text"), "path").alias("f"))
-        .select("doc_key", "f.file_name", "f.text")
+    paths = [r.path for r in passed_over.limit(NAMED_FILES + 1).collect()]
+    texts = spark.read.options(**options).text(folder, wholetext=True)
+    found = texts.select(
+        document_key(name).alias("doc_key"),
+        name.alias("file_name"),
+        F.col("value").alias("text"),
+        path.alias("path"),
     )
+    if len(paths) > NAMED_FILES:
+        found = found.join(passed_over, "path", "left_anti")
+    elif paths:
+        found = found.filter(~F.col("path").isin(paths))
+    return found.drop("path")
 
 
 def list_files(

@@ -17,6 +17,12 @@ def shared_base(spark: SparkSession, folder: str | None = None) -> str:
     ).rstrip("/")
 
 
+def hadoop_path(spark: SparkSession, name: str):
+    """A path and the file system that it lies in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 class RunFolder:
     """Parquet tables of one run, in a folder of their own below the shared base.
 
@@ -29,15 +35,10 @@ class RunFolder:
         self.spark = spark
         app = spark.sparkContext.applicationId
         self.path = f"{shared_base(spark, folder)}/docengine-{app}-{uuid.uuid4().hex}"
-        path, fs = self._at(self.path)
+        path, fs = hadoop_path(spark, self.path)
         fs.mkdirs(path)
         fs.deleteOnExit(path)
 
-    def _at(self, name: str):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """The table as written and read again.
 
@@ -53,5 +54,5 @@ class RunFolder:
 
     def drop(self, *names: str) -> None:
         for name in names:
-            path, fs = self._at(f"{self.path}/{name}")
+            path, fs = hadoop_path(self.spark, f"{self.path}/{name}")
             fs.delete(path, True)

@@ -24,6 +24,13 @@ def duck():
     con.close()
 
 
+# Those that look for many patterns in one text, or cut texts longer than a chunk.
+ARROW = {
+    "section_slices", "topic_texts", "mention_counts", "best_document", "chunk_greedy",
+    "section_requests", "showcase_end_to_end",
+}
+
+
 def comparable(rows):
     return sorted(rows, key=lambda r: [(v is None, str(v)) for v in r])
 
@@ -34,10 +41,14 @@ def executed(df):
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_oracle(spark, duck, name):
-    """Same columns, types and rows, by a plan without Python worker, cross join or limit."""
+    """Same columns, types and rows, by a plan without cross join or limit.
+
+    Python workers run only where many patterns are looked for, and by Arrow batches.
+    """
     df = QUERIES[name](spark, SF)
-    workers = r"Python|Pandas|Cartesian|BroadcastNestedLoop|CollectLimit"
-    assert not re.search(workers, executed(df))
+    plan = executed(df)
+    assert not re.search(r"BatchEvalPython|Pandas|Cartesian|BroadcastNestedLoop|CollectLimit", plan)
+    assert name in ARROW or "Python" not in plan
     columns = sorted(df.columns)
     got = [tuple(r) for r in df.select(*[F.col(f"`{c}`") for c in columns]).collect()]
     types = {row[0]: row[1] for row in duck.execute("describe " + ORACLE[name]).fetchall()}
@@ -73,11 +84,22 @@ def test_scan_and_slices_need_no_shuffle_of_their_own(spark):
         assert "Exchange" not in plan
 
 
+def test_section_texts_take_five_exchanges(spark):
+    """Each text is moved once and searched once, for the names that its entities ask."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = executed(QUERIES["topic_texts"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"(?<!Reused)Exchange ", plan)) <= 5
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_same_rows_when_nothing_is_broadcast(spark, duck):
     """Shuffled joins, as on a cluster, give the same rows."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("topic_texts", "best_document", "lookup_links"):
+        for name in ("topic_texts", "best_document", "lookup_links", "mention_counts", "route_documents"):
             df = QUERIES[name](spark, SF)
             assert "SortMergeJoin" in executed(df)
             chosen = ", ".join(f'"{c}"' for c in df.columns)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import types as T
 
 from docengine.operators.columns import fill_text, ragged_union
+from docengine.sources import tables
 from docengine.sources.tables import (
     list_files,
     read_csv,
@@ -125,6 +126,23 @@ def test_equal_file_names_give_one_row(spark, tmp_path):
     assert [r["text"] for r in read_texts(spark, str(tmp_path)).collect()] == ["a"]
 
 
+def test_names_are_settled_on_the_listing(spark, tmp_path, monkeypatch):
+    """Texts are read where they lie: no exchange carries one, however many names are taken."""
+    for folder in ("a", "b", "c"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x_cleaned.txt").write_text(folder)
+        (tmp_path / folder / f"õ {folder}_cleaned.txt").write_text(folder * 2)
+    expected = [("x", "a"), ("õ a", "aa"), ("õ b", "bb"), ("õ c", "cc")]
+    df = read_texts(spark, str(tmp_path))
+    assert sorted((r.doc_key, r.text) for r in df.collect()) == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    # Too many to be named: the paths are joined.
+    monkeypatch.setattr(tables, "NAMED_FILES", 1)
+    df = read_texts(spark, str(tmp_path))
+    assert sorted((r.doc_key, r.text) for r in df.collect()) == expected
+
+
 def test_ragged_union_and_fill(spark):
     a = spark.createDataFrame([(1, "x")], "id int, a string")
     b = spark.createDataFrame([(2, "y")], "id int, b string")

@@ -161,21 +161,11 @@ def test_render_keeps_braces_of_the_template(value):
     assert out == '{"{toc}": [T]}'
 
 
-def test_text_between(spark):
-    df = spark.createDataFrame(
-        [(0, "a b c b", "b", "c"), (1, "a b c", "b", "x"), (2, "a b c", "x", "c"),
-         (3, "a b c", "b", None), (4, "abc", "a", "ab"), (5, "c a b c d", "a", "c")],
-        "i int, t string, s string, e string",
-    )
-    got = df.select("i", X.text_between(F.col("t"), F.col("s"), F.col("e")).alias("v"))
-    assert results(got) == ["b ", "b c", None, "b c", "", "a b "]
-
-
 def test_split_list(value):
     assert value(X.split_list, " a , b,c ,") == ["a", "b", "c", ""]
 
 
-def test_chunks_run_on_over_blocks_of_words(spark):
+def test_chunks_of_many_words(spark):
     words = [f"{'w' * (k % 7)}{k}" for k in range(2000)]
     expected, run = [], 0
     for w in words:
