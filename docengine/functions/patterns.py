@@ -7,7 +7,8 @@ own patterns, to an automaton that finds all of them at once; a row never leaves
 """
 
 import sys
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,17 @@ def between(text: str, starts: list[str], ends: list[str | None]) -> list[str |
     return out
 
 
+def first_holding(lines: list[str], parts: list[str]) -> list[int | None]:
+    """Number of the first line that holds each part; the parts hold no line break."""
+    found = places("\n".join(lines), parts)
+    starts = list(accumulate((len(line) + 1 for line in lines), initial=0))
+    out: list[int | None] = []
+    for part in parts:
+        at = found.get(part, [0] if lines and part == "" else [])
+        out.append(bisect_right(starts, at[0]) - 1 if at else None)
+    return out
+
+
 def _folded_character(c: str) -> str:
     upper = c.upper()
     upper = upper if len(upper) == 1 else c
@@ -123,6 +135,18 @@ def _between(texts: pa.Array, starts: pa.Array, ends: pa.Array) -> pa.Array:
     )
 
 
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def _first_holding(lines: pa.Array, parts: pa.Array) -> pa.Array:
+    rows = zip(lines, parts)
+    return pa.array(
+        (
+            first_holding(t.as_py(), p.as_py()) if t.is_valid and p.is_valid else None
+            for t, p in rows
+        ),
+        pa.list_(pa.int32()),
+    )
+
+
 @F.arrow_udf(T.ArrayType(T.IntegerType()))
 def _counts(texts: pa.Array, names: pa.Array) -> pa.Array:
     rows = zip(texts, names)
@@ -146,6 +170,11 @@ def texts_between(text: Column, starts: Column, ends: Column) -> Column:
     return _between(text, starts, ends)
 
 
+def first_lines(lines: Column, parts: Column) -> Column:
+    """`first_holding` of a list of lines and a list of parts."""
+    return _first_holding(lines, parts)
+
+
 def count_each(text: Column, names: Column) -> Column:
     """`counts` of a list of names in a text."""
     return _counts(text, names)

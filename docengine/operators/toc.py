@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docengine.functions.fixed_values import TOC_MARKER, TOC_MAX_MISS
-from docengine.functions.patterns import texts_between
+from docengine.functions.patterns import first_lines, texts_between
 from docengine.functions.text import (
     dotless,
     let,
@@ -14,6 +14,7 @@ from docengine.functions.text import (
     without_lines,
 )
 from docengine.operators.columns import unfold
+from docengine.operators.shares import with_lists
 
 
 def with_toc(
@@ -42,6 +43,11 @@ def toc_rows(documents: DataFrame, key: str = "doc_key") -> DataFrame:
     return unfold(documents, [key], entries, "k")
 
 
+def _comparable(name: Column) -> Column:
+    """Form in which a requested name is looked for in an entry's dotless title."""
+    return dotless(normalize_line(name))
+
+
 def _body() -> Column:
     """Lower-case text without the contents list; null where there is none."""
     return let(
@@ -91,32 +97,21 @@ def named_sections(
     lists ride in the document's row, which a single pass over its text then answers.
     """
     toc = F.col("toc.entries.title")
-
-    def first_entry(compared: Column, name: Column) -> Column:
-        return F.array_position(
-            F.transform(compared, lambda t: F.contains(t, name)), F.lit(True)
-        ).cast("int")
-
     asked = F.filter(F.col("names"), lambda s: strip(s) != "")
-    entries = let(
-        F.transform(toc, dotless),
-        lambda compared: F.transform(
-            asked, lambda s: let(dotless(normalize_line(s)), lambda n: first_entry(compared, n))
-        ),
-    )
     with_names = (
-        documents.filter(F.col("toc").isNotNull())
-        .join(names, key)
+        documents.join(names, key)
         .select(
             F.col(f"`{key}`"),
             asked.alias("_asked"),
-            entries.alias("_at"),
+            F.transform(asked, _comparable).alias("_compared"),
             toc.alias("_titles"),
+            F.transform(toc, dotless).alias("_entries"),
             _body().alias("_body"),
         )
+        .withColumn("_at", first_lines(F.col("_entries"), F.col("_compared")))
     )
     # Names of one entry share its section.
-    wanted = F.array_distinct(F.filter(F.col("_at"), lambda at: at > 0))
+    wanted = F.array_distinct(F.filter(F.col("_at"), lambda at: at.isNotNull()))
 
     def marks(after: int) -> Column:
         return let(
@@ -125,12 +120,12 @@ def named_sections(
         )
 
     cut = with_names.withColumn("_wanted", wanted)
-    cut = cut.withColumns({"_starts": marks(-1), "_ends": marks(0)})
+    cut = cut.withColumns({"_starts": marks(0), "_ends": marks(1)})
     pieces = texts_between(F.col("_body"), F.col("_starts"), F.col("_ends"))
 
     def piece(cut: Column, at: Column) -> Column:
         text = F.get(cut["pieces"], F.array_position(cut["wanted"], at).cast("int") - 1)
-        return F.when(at > 0, F.nullif(strip(text), F.lit("")))
+        return F.nullif(strip(text), F.lit(""))
 
     sections = let(
         F.struct(pieces.alias("pieces"), F.col("_wanted").alias("wanted")),
@@ -148,36 +143,26 @@ def match_sections(
 ) -> DataFrame:
     """`(key, section, k, title)`: the first entry holding each requested name.
 
-    Case and dots do not count; empty names match nothing.  Each distinct name of a
-    document is compared once, against the entries only, however often it is asked for.
+    Case and dots do not count; empty names match nothing.  All different names of a document
+    are compared with its entries in one pass, however often they are asked for; those of
+    a document with very many are dealt to several tasks.
     """
-    wanted = (
-        requested.filter(strip(F.col("section")) != "")
-        .select(key, "section")
-        .distinct()
+    wanted = requested.filter(strip(F.col("section")) != "").select(key, "section").distinct()
+    titles = F.col("toc.entries.title")
+    entries = documents.select(key, titles.alias("_titles"))
+    lists = with_lists(wanted, entries, key, "section").select(
+        F.col(f"`{key}`"),
+        "asked",
+        "_titles",
+        F.transform("_titles", dotless).alias("_entries"),
+        F.transform("asked", _comparable).alias("_compared"),
     )
-    titles = let(
-        F.col("toc.entries.title"),
-        lambda t: F.struct(t.alias("shown"), F.transform(t, dotless).alias("compared")),
+    at = first_lines(F.col("_entries"), F.col("_compared"))
+    found = F.zip_with(
+        F.col("asked"),
+        at,
+        lambda s, k: F.struct(
+            s.alias("section"), k.alias("k"), F.get(F.col("_titles"), k).alias("title")
+        ),
     )
-    entries = documents.select(key, titles.alias("titles"))
-    def first_entry(name):
-        at = F.array_position(
-            F.transform(F.col("titles.compared"), lambda t: t.contains(name)),
-            F.lit(True),
-        )
-        return let(
-            at.cast("int"),
-            lambda at: F.when(
-                at > 0,
-                F.array(
-                    F.struct(
-                        (at - 1).alias("k"),
-                        F.get(F.col("titles.shown"), at - 1).alias("title"),
-                    )
-                ),
-            ),
-        )
-
-    entry = let(dotless(normalize_line(F.col("section"))), first_entry)
-    return unfold(wanted.join(entries, key), [key, "section"], entry, "k")
+    return unfold(lists, [key], found, "k")

@@ -61,6 +61,15 @@ def test_nulls_and_empty_lists(spark):
     assert [r.v for r in cut.orderBy("i").collect()][:3] == [None, None, []]
 
 
+def test_first_lines_are_those_of_a_search():
+    draw = random.Random(3)
+    for _ in range(2000):
+        lines = ["".join(draw.choice("ab 1") for _ in range(draw.randint(0, 6))) for _ in range(draw.randint(0, 8))]
+        parts = ["".join(draw.choice("ab 1") for _ in range(draw.randint(0, 3))) for _ in range(6)]
+        expected = [next((i for i, x in enumerate(lines) if p in x), None) for p in parts]
+        assert patterns.first_holding(lines, parts) == expected
+
+
 def test_breaks_are_those_of_a_walk_over_the_words():
     draw = random.Random(4)
     for _ in range(3000):
