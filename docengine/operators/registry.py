@@ -1,6 +1,6 @@
 """Link lookup and registry page values."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docengine.functions import html
@@ -16,7 +16,7 @@ from docengine.functions.fixed_values import (
     PROFILE_COLUMNS,
     PROFILE_KEYS,
 )
-from docengine.functions.text import full_name
+from docengine.functions.text import full_name, let
 from docengine.operators.columns import col_or, salted_left_join, unfold
 
 
@@ -60,6 +60,11 @@ def page_key_values(
 
     Rows are taken from the `container` divisions, up to the end of each.
     """
+    return unfold(pages, [key], _pairs(container, row, cell), "pos")
+
+
+def _pairs(container: str | None, row: str, cell: str) -> Column:
+    """Position, name and value of the shown two-cell rows, in order."""
     shown = html.drop_hidden(F.col("html"))
     bodies = F.array(shown) if container is None else html.divisions(shown, container)
     found = F.flatten(F.transform(bodies, lambda body: html.blocks(body, row)))
@@ -73,7 +78,7 @@ def page_key_values(
             ).alias("cells"),
         ),
     )
-    pairs = F.transform(
+    return F.transform(
         F.filter(rows, lambda r: F.size(r["cells"]) == 2),
         lambda r: F.struct(
             r["pos"].alias("pos"),
@@ -81,7 +86,6 @@ def page_key_values(
             r["cells"][1].alias("value"),
         ),
     )
-    return unfold(pages, [key], pairs, "pos")
 
 
 def plan_files(
@@ -93,6 +97,10 @@ def plan_files(
     cell: str = "td",
 ) -> DataFrame:
     """`(key, files)`: file names of the plan documents a page links to."""
+    return pages.select(key, _plans(label, mark, row, cell).alias("files"))
+
+
+def _plans(label: str, mark: str, row: str, cell: str) -> Column:
     link = rf"(?is)<a\s[^>]*href\s*=\s*[\"'][^\"'>]*(?-i:{mark})[^>]*>(.*?)</a\s*>"
 
     def row_files(cells):
@@ -116,12 +124,34 @@ def plan_files(
             ),
         )
 
-    files = F.flatten(
+    return F.flatten(
         F.transform(
             html.blocks(F.col("html"), row), lambda r: row_files(html.blocks(r, cell))
         )
     )
-    return pages.select(key, files.alias("files"))
+
+
+def page_profiles(
+    pages: DataFrame, keys: list[str] = PROFILE_KEYS, key: str = "species_id"
+) -> DataFrame:
+    """`(key, values, files)`: the last value of each of `keys`, null without one, and plans.
+
+    Both are taken from the page's row in one scan; no pair leaves it. Of pages that share a
+    key the one with the greatest values is taken, by an aggregation whose exchange is that of
+    the join with the entities.
+    """
+    wanted = let(
+        _pairs(PAGE_CONTAINER, "tr", "td"),
+        lambda pairs: F.array(
+            *[
+                F.try_element_at(F.filter(pairs, lambda p: p["name"] == k), F.lit(-1))["value"]
+                for k in keys
+            ]
+        ),
+    )
+    plans = _plans(PLAN_LABEL, PLAN_LINK_MARK, "tr", "td")
+    rows = pages.select(key, F.struct(wanted.alias("values"), plans.alias("files")).alias("page"))
+    return rows.groupBy(key).agg(F.max("page").alias("page")).select(key, "page.*")
 
 
 def pivot_keys(
@@ -165,24 +195,63 @@ def enrich_kv(
     entities, and `salts` deals the rows of each value out to as many tasks.
     """
     on = on or key
-
-    def add(left: DataFrame, right: DataFrame, right_key: str) -> DataFrame:
-        if on != key:
-            return salted_left_join(left, right, F.col(on), right_key, key, salts)
-        return left.join(right, F.col(key) == F.col(right_key), "left").drop(right_key)
-
-    linked = F.coalesce(F.col(LINK_COLUMN) != sentinel, F.lit(False))
     wide = pivot_keys(kv, keys, on).select(
         F.col(on).alias("_key"), *[F.col(f"`{k}`").alias(f"_kv{i}") for i, k in enumerate(keys)]
     )
-    out = add(entities, wide, "_key")
-    present = col_or(entities, "strategy_present", F.lit(False))
-    named = col_or(entities, "strategy_file", F.lit(None).cast("array<string>"))
+    out = _add(entities, wide, "_key", key, on, salts)
     if files is not None:
         found = files.filter(F.size("files") > 0).select(
             F.col(on).alias("_fkey"), F.col("files").alias("_files")
         )
-        out = add(out, found, "_fkey")
+        out = _add(out, found, "_fkey", key, on, salts)
+    return _resolved(out, entities, keys, files is not None, keep, columns, key, sentinel)
+
+
+def enrich_pages(
+    entities: DataFrame,
+    pages: DataFrame,
+    keys: list[str] = PROFILE_KEYS,
+    keep: tuple[str, str] | None = (GROUP_COLUMN, GROUP_KEPT),
+    columns: list[str] | None = PROFILE_COLUMNS,
+    key: str = "species_id",
+    on: str | None = None,
+    sentinel: str = NOT_FOUND,
+    salts: int = 1,
+) -> DataFrame:
+    """`enrich_kv` with the values and files of raw pages, by a single join."""
+    on = on or key
+    wide = page_profiles(pages, keys, on).select(
+        F.col(on).alias("_key"),
+        *[F.get("values", F.lit(i)).alias(f"_kv{i}") for i in range(len(keys))],
+        F.when(F.size("files") > 0, F.col("files")).alias("_files"),
+    )
+    out = _add(entities, wide, "_key", key, on, salts)
+    return _resolved(out, entities, keys, True, keep, columns, key, sentinel)
+
+
+def _add(
+    left: DataFrame, right: DataFrame, right_key: str, key: str, on: str, salts: int
+) -> DataFrame:
+    if on != key:
+        return salted_left_join(left, right, F.col(on), right_key, key, salts)
+    return left.join(right, F.col(key) == F.col(right_key), "left").drop(right_key)
+
+
+def _resolved(
+    out: DataFrame,
+    entities: DataFrame,
+    keys: list[str],
+    with_files: bool,
+    keep: tuple[str, str] | None,
+    columns: list[str] | None,
+    key: str,
+    sentinel: str,
+) -> DataFrame:
+    """Joined values and files in the entities' columns; then filter and project."""
+    linked = F.coalesce(F.col(LINK_COLUMN) != sentinel, F.lit(False))
+    present = col_or(entities, "strategy_present", F.lit(False))
+    named = col_or(entities, "strategy_file", F.lit(None).cast("array<string>"))
+    if with_files:
         present = F.when(linked, F.col("_files").isNotNull()).otherwise(present)
         named = F.when(linked, F.coalesce(F.col("_files"), named)).otherwise(named)
     values = {

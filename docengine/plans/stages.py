@@ -25,12 +25,7 @@ from docengine.operators.exchange import (
     section_requests,
     summary_requests,
 )
-from docengine.operators.registry import (
-    enrich_kv,
-    lookup_links,
-    page_key_values,
-    plan_files,
-)
+from docengine.operators.registry import enrich_pages, lookup_links
 from docengine.operators.routing import WHOLE_TEXT, needs_enrichment, route_documents
 from docengine.operators.rows import clean_rows, extract_rows
 from docengine.operators.showcase import bundle_topics, showcase, summaries
@@ -64,9 +59,7 @@ def profiles(linked: DataFrame, registry_pages: DataFrame) -> DataFrame:
     The pages are keyed by `species_id` or by the link.
     """
     on = LINK_COLUMN if LINK_COLUMN in registry_pages.columns else "species_id"
-    return enrich_kv(
-        linked, page_key_values(registry_pages, on), plan_files(registry_pages, on), on=on
-    )
+    return enrich_pages(linked, registry_pages, on=on)
 
 
 def with_candidates(profiled: DataFrame, candidates: DataFrame) -> DataFrame:

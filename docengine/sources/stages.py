@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from docengine.sources.workspace import hadoop_path
+from docengine.sources.workspace import delete, folders, get_text, put_text
 
 MARK = "_COMMITTED"
 
@@ -29,31 +29,15 @@ class StageFolder:
 
     def _versions(self, name: str) -> list[tuple[int, str, dict | None]]:
         """Number, folder and mark of each version, the latest first."""
-        path, fs = hadoop_path(self.spark, f"{self.folder}/{name}")
-        if not fs.exists(path):
-            return []
         found = []
-        for status in fs.listStatus(path):
-            version = status.getPath().getName()
+        for version in folders(self.spark, f"{self.folder}/{name}"):
             number = version.partition("-")[0]
-            if status.isDirectory() and number.isdigit():
+            if number.isdigit():
                 where = f"{self.folder}/{name}/{version}"
-                found.append((int(number), where, self._mark(where)))
+                mark = get_text(self.spark, f"{where}/{MARK}")
+                found.append((int(number), where, None if mark is None else json.loads(mark)))
         return sorted(found, key=lambda v: v[:2], reverse=True)
 
-    def _mark(self, where: str) -> dict | None:
-        path, fs = hadoop_path(self.spark, f"{where}/{MARK}")
-        if not fs.exists(path):
-            return None
-        stream = fs.open(path)
-        try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(
-                stream, "UTF-8"
-            )
-        finally:
-            stream.close()
-        return json.loads(text)
-
     def committed(self, name: str, run: str | None = None) -> DataFrame | None:
         """The last committed version, or null; with `run`, only if that run made it."""
         for _, where, mark in self._versions(name):
@@ -75,20 +59,13 @@ class StageFolder:
         where = f"{self.folder}/{name}/{number:06d}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(where)
         mark = {"run": self.run, "schema": json.loads(df.schema.json())}
-        draft, fs = hadoop_path(self.spark, f"{where}/_committing")
-        stream = fs.create(draft, True)
-        try:
-            stream.write(bytearray(json.dumps(mark).encode()))
-        finally:
-            stream.close()
-        if not fs.rename(draft, hadoop_path(self.spark, f"{where}/{MARK}")[0]):
-            raise OSError(f"no commit of {where}")
+        put_text(self.spark, f"{where}/{MARK}", json.dumps(mark))
         kept = False
         for _, old, marked in before:
             if marked is not None and not kept:
                 kept = True
             else:
-                fs.delete(hadoop_path(self.spark, old)[0], True)
+                delete(self.spark, old)
         return self.spark.read.schema(df.schema).parquet(where)
 
     def once(self, df: DataFrame, name: str) -> DataFrame:

@@ -23,6 +23,47 @@ def hadoop_path(spark: SparkSession, name: str):
     return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def put_text(spark: SparkSession, name: str, text: str) -> None:
+    """A small file, in place as a whole or not at all; one of that name is replaced."""
+    path, fs = hadoop_path(spark, name)
+    folder, _, last = name.rpartition("/")
+    draft, _ = hadoop_path(spark, f"{folder}/_draft{last}")
+    stream = fs.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if fs.exists(path):
+        fs.delete(path, False)
+    if not fs.rename(draft, path):
+        raise OSError(f"{name} could not be put in place")
+
+
+def get_text(spark: SparkSession, name: str) -> str | None:
+    """The text of a small file; null where there is none."""
+    path, fs = hadoop_path(spark, name)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def folders(spark: SparkSession, name: str) -> list[str]:
+    """Names of the folders right below a folder, if it is there."""
+    path, fs = hadoop_path(spark, name)
+    if not fs.exists(path):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+
+
+def delete(spark: SparkSession, name: str) -> None:
+    path, fs = hadoop_path(spark, name)
+    fs.delete(path, True)
+
+
 class RunFolder:
     """Parquet tables of one run, in a folder of their own below the shared base.
 

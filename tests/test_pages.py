@@ -3,6 +3,7 @@
 import html as stdlib_html
 import html.parser as stdlib_parser
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -277,3 +278,30 @@ def test_values_and_hidden_bodies_of_nested_tables(spark):
     rows = spark.createDataFrame([("s", page)], "species_id string, html string")
     got = sorted((r.pos, r.name, r.value) for r in page_key_values(rows).collect())
     assert [(n, v) for _, n, v in got] == [("Outer", "Inner1"), ("Inner", "1"), ("Shown", "4")]
+
+
+def test_profiles_take_one_scan_of_the_page_and_one_join(spark):
+    """Values and files come from the page's row; nothing is exchanged before the join."""
+    page = (
+        "<div class='Body_MiddlePanel'><table><tr><td>Rühm</td><td>Linnud</td></tr>"
+        "<tr><td>Kirjeldus</td><td>first</td></tr><tr><td>Kirjeldus</td><td>last</td></tr>"
+        "<tr><td>Liigi tegevuskava</td><td><a href='/getdok/1'>plan</a></td></tr></table></div>"
+    )
+    rows = [("s1", page), ("s2", page.replace("Linnud", "Muu")), ("s1", page), ("s3", "")]
+    raw = spark.createDataFrame(rows, "species_id string, html string")
+    linked = spark.createDataFrame(
+        [(s, s, "L", "I", "/x") for s in ("s1", "s2", "s3", "s4")],
+        "species_id string, `Estonian Name` string, `Latin Name` string, Category string, `EELIS link` string",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = profiles(linked, raw)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        got = df.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [(r.species_id, r.Kirjeldus, r.strategy_file, r.strategy_present) for r in got] == [
+        ("s1", "last", ["plan.pdf"], True)
+    ]
+    assert len(re.findall(r"(?<!Reused)Exchange ", plan)) == 2 and plan.count("Join") == 1
+    assert "Generate" not in plan

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docengine.functions import patterns
 from docengine.operators.candidates import mention_counts
+from docengine.operators.routing import route_documents
 from docengine.operators.shares import with_lists
 from docengine.operators.toc import slice_sections, with_toc
 
@@ -148,3 +149,29 @@ def test_lists_follow_the_number_of_values(spark):
     assert len(hot) == 10 and max(map(len, hot)) < 200
     assert sorted(v for part in hot for v in part) == sorted(f"v{k}" for k in range(950))
     assert {r.key for r in got} == {"hot", "cold"} and {r.n for r in got if r.key == "hot"} == {1}
+    # Its shares go to different tasks.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shares = with_lists(asked, rows, "key", "value", size=100).where("key = 'hot'")
+        assert shares.select(F.spark_partition_id()).distinct().count() > 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_one_report_that_very_many_names_ask(spark):
+    """Each name is answered once, in shares; all its entities get the answer."""
+    lines = [f"line of name{k} here" for k in range(0, 3000, 2)]
+    text = "\n".join(line for x in lines for line in (x, *["other"] * 8))
+    docs = with_toc(spark.createDataFrame([("r", text)], "doc_key string, text string"))
+    rows = [(k, f"name{k % 3000}ab", "r.pdf", False) for k in range(6000)]
+    entities = spark.createDataFrame(
+        rows, "species_id int, `Estonian Name` string, strategy_file string, strategy_present boolean"
+    )
+    got = {r.species_id: (r.route, r.reading) for r in route_documents(entities, docs, k=0).collect()}
+    assert len(got) == 6000
+    for k in (0, 7, 10, 2998, 5998):
+        name = f"name{k % 3000}"
+        expected = list(dict.fromkeys(x for x in lines if name in x))
+        assert got[k] == ("SNIPPETS", "\n".join(expected))
