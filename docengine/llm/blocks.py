@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from docengine.sources.workspace import RunFolder
 
 BLOCK = 512
-POSTED = 6
 
 
 def tasks(members: DataFrame, sizes: DataFrame, keys: list[str], id: Column) -> DataFrame:
@@ -40,7 +39,10 @@ def groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[dict]:
         if not batch.num_rows:
             continue
         names = batch.schema.names
-        columns = [plain(batch.column(c)) for c in range(batch.num_columns)]
+        # Texts and lists stay in Arrow until their group is complete.
+        columns = [
+            plain(c) if pa.types.is_primitive(c.type) else c for c in batch.columns
+        ]
         change = np.zeros(batch.num_rows - 1, bool)
         for c in columns[:keys]:
             change |= c[1:] != c[:-1]
@@ -69,11 +71,9 @@ def plain(column: pa.Array) -> np.ndarray | list:
 
 
 def joined(parts: list) -> np.ndarray | list:
-    if len(parts) == 1:
-        return parts[0]
-    if isinstance(parts[0], list):
-        return [x for part in parts for x in part]
-    return np.concatenate(parts)
+    if isinstance(parts[0], pa.Array):
+        return [x for part in parts for x in plain(part)]
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def spread(items: DataFrame, keys: list[str]) -> DataFrame:
@@ -111,11 +111,18 @@ def overlaps(values: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> np.nda
 
 
 SMALL = 24
+# Elements of sets, or characters, that are held as matrices at once.
+HELD = 1_000_000
+
+
+def _parts(sizes: list[int]) -> np.ndarray:
+    """The number of each item's part; a part's sizes add up to about half of `HELD`."""
+    return (np.cumsum(sizes) - sizes) // (HELD // 2)
 
 
 def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
-    def few(part, blk, posted, payload, at, apart):
-        """Pairs of a small group, one by one; most were compared in an earlier list."""
+    def few(part, blk, payload, apart):
+        """Pairs of a small group, one by one."""
         sets: dict[int, set] = {}
         done = set()
         for x in range(len(part)):
@@ -123,7 +130,7 @@ def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
                 if part[x] == part[y] or (apart and blk[x] == blk[y]):
                     continue
                 ends = (min(part[x], part[y]), max(part[x], part[y]))
-                if ends in done or any(posted[x][k] == posted[y][k] for k in range(at)):
+                if ends in done:
                     continue
                 for k in (x, y):
                     if k not in sets:
@@ -133,9 +140,22 @@ def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
                     done.add(ends)
                     yield x, y
 
-    def many(part, blk, posted, payload, at, apart):
-        """Pairs of a large group by products of matrices; one link for two components."""
+    def many(part, blk, payload, apart):
+        """Pairs of a large group by products of matrices, a bounded part of it at a time."""
+        own = _parts([len(x) for x in payload])
+        for low in range(own[-1] + 1):
+            for high in range(low, own[-1] + 1):
+                at = np.flatnonzero((own == low) | (own == high))
+                sides = [own[at]] if high > low else []
+                sides += [blk[at]] if apart else []
+                found = block(part[at], [payload[k] for k in at], sides)
+                yield from ((int(at[x]), int(at[y])) for x, y in found)
+
+    def block(part, payload, sides):
+        """Links between different parts, and between different values of all `sides`."""
         names, own, counts = np.unique(part, return_inverse=True, return_counts=True)
+        if len(names) == 1:
+            return
         # The most frequent component needs no comparing with itself.
         rows = np.flatnonzero(own != counts.argmax())
         if to_hashes:
@@ -147,29 +167,25 @@ def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
         common = overlaps(values, starts, rows)
         hit = 100 * common >= percent * (sizes[rows][:, None] + sizes[None] - common)
         hit &= part[rows][:, None] != part[None]
-        if apart:
-            hit &= blk[rows][:, None] != blk[None]
+        for side in sides:
+            hit &= side[rows][:, None] != side[None]
         a, b = np.nonzero(hit)
         a = rows[a]
-        posted = np.array(posted) if at else posted
-        for before in range(at):
-            fresh = posted[a, before] != posted[b, before]
-            a, b = a[fresh], b[fresh]
+        # One link for two components.
         ends = np.minimum(own[a], own[b]) * len(names) + np.maximum(own[a], own[b])
         _, first = np.unique(ends, return_index=True)
         yield from zip(a[first].tolist(), b[first].tolist())
 
     def run(batches):
         a, b = [], []
-        for group in groups(batches, 4):
+        for group in groups(batches, 3):
             part = group["part"]
             if (part == part[0]).all():
                 continue
-            at, i, j = (int(group[c][0]) for c in ("at", "i", "j"))
-            ids, blk = group["id"], group["blk"]
-            posted, payload = group["coords"], group["payload"]
+            i, j = (int(group[c][0]) for c in ("i", "j"))
+            ids, blk, payload = group["id"], group["blk"], group["payload"]
             pairs = few if len(part) <= SMALL else many
-            for x, y in pairs(part, blk, posted, payload, at, i != j):
+            for x, y in pairs(part, blk, payload, i != j):
                 a.append(int(ids[x])), b.append(int(ids[y]))
             if len(a) > 10_000:
                 yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -186,29 +202,32 @@ def links_between(
     name: str,
     to_set: Callable | None = None,
     to_hashes: Callable | None = None,
-    ordered: bool = True,
 ) -> DataFrame:
     """Links (a, b) that join different parts, found by exact comparison in blocks.
 
-    `items` (id, part, coords, payload): `coords` are `POSTED` MinHash coordinates or, if not
-    `ordered`, all keys of an item, which count at any place,
-    `payload` the set's hashes, or something that `to_set` turns into a set, and
-    `to_hashes`, for a list of them, into all hashes and the sets' start offsets. Two items
-    are compared if they agree on one coordinate, in the first list they share: at
-    similarity 0.8 all of six single ones differ for 6 of 100,000 such pairs; no pair that
-    shares a key is left out if all keys are given.
+    `items` (id, part, coords, payload): `coords` are an item's different keys, `payload` the
+    set's hashes, or something that `to_set` turns into a set, and `to_hashes`, for a list of
+    them, into all hashes and the sets' start offsets. Items that share a key are compared,
+    no pair of them is left out. Of keys that the same items share, as those of a group of
+    near copies mostly are, one is worked on.
     """
-    narrow = items.select("id", "part", F.posexplode("coords").alias("at", "v"))
-    if not ordered:
-        narrow = narrow.withColumn("at", F.lit(0))
-    sizes = (
-        narrow.groupBy("at", "v")
-        .agg(F.count("*").alias("n"), F.min("part").alias("low"), F.max("part").alias("high"))
+    narrow = items.select("id", "part", F.explode("coords").alias("v"))
+    lists = (
+        narrow.groupBy("v")
+        .agg(
+            F.count("*").alias("n"),
+            F.min("part").alias("low"),
+            F.max("part").alias("high"),
+            F.expr("bit_xor(xxhash64(id))").alias("x"),
+            F.expr("bit_xor(xxhash64(id, 1))").alias("y"),
+        )
         .where("low <> high")
-        .select("at", "v", "n")
+        .groupBy("n", "x", "y")
+        .agg(F.min("v").alias("v"))
+        .select("v", "n")
     )
-    keys = ["at", "v", "i", "j"]
-    work = tasks(narrow.select("id", "at", "v"), sizes, ["at", "v"], F.col("id"))
-    work = work.join(items.hint("merge"), "id").select(*keys, "blk", "id", "part", "coords", "payload")
+    keys = ["v", "i", "j"]
+    work = tasks(narrow.select("id", "v"), lists, ["v"], F.col("id"))
+    work = work.join(items.hint("merge"), "id").select(*keys, "blk", "id", "part", "payload")
     found = spread(work, keys).mapInArrow(_compare(percent, to_set, to_hashes), "a long, b long")
     return run.write(found, name)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docengine.llm.batches import pieces
-from docengine.llm.blocks import links_between
+from docengine.llm.blocks import links_between, plain
 from docengine.llm.components import bucket_components
 from docengine.sources.workspace import RunFolder
 
@@ -138,45 +138,91 @@ def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], np.concatenate([[0], ends])
 
 
-LINES = "doc_id long, line_no int, again boolean, h1 long, h2 long, keys array<long>"
+LINES = "doc_id long, line_no int, h1 long, h2 long"
+CHARACTERS = 1_000_000
+COMPARED = 200_000  # characters whose shingles are held as texts
+
+
+def _digests(lines) -> np.ndarray:
+    raw = b"".join(xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines)
+    return np.frombuffer(raw, np.int64).reshape(-1, 2)
 
 
 def _read_lines(batches):
-    for ids, texts in pieces(batches):
-        docs, numbers, lines, again = [], [], [], []
+    for ids, texts in pieces(batches, CHARACTERS):
+        docs, numbers, lines = [], [], []
         for doc, text in zip(ids, texts):
             if doc is not None and text is not None:
-                seen = set()
                 for number, line in enumerate(text.split("\n")):
                     if line := comparable(line):
                         docs.append(doc), numbers.append(number), lines.append(line)
-                        again.append(line in seen)
-                        seen.add(line)
         if not lines:
             continue
         known = {line: at for at, line in enumerate(dict.fromkeys(lines))}
         own = np.fromiter((known[x] for x in lines), np.int64, len(lines))
-        digests = b"".join(
-            xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in known
-        )
-        digests = np.frombuffer(digests, np.int64).reshape(-1, 2)
-        keys, starts = line_keys(list(known))
-        keys = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(keys))
+        digests = _digests(known)[own]
         yield pa.record_batch(
             [
                 pa.array(docs, pa.int64()),
                 pa.array(numbers, pa.int32()),
-                pa.array(again, pa.bool_()),
-                pa.array(digests[own, 0]),
-                pa.array(digests[own, 1]),
-                keys.take(pa.array(own, mask=np.array(again))),
+                pa.array(digests[:, 0]),
+                pa.array(digests[:, 1]),
             ],
-            ["doc_id", "line_no", "again", "h1", "h2", "keys"],
+            ["doc_id", "line_no", "h1", "h2"],
         )
 
 
+def _post_lines(batches):
+    """(key, id): the keys of a piece's different lines."""
+    for ids, texts in pieces(batches, CHARACTERS):
+        lines = {
+            line: None
+            for doc, text in zip(ids, texts)
+            if doc is not None and text is not None
+            for raw in text.split("\n")
+            if (line := comparable(raw))
+        }
+        if lines:
+            keys, starts = line_keys(list(lines))
+            own = np.repeat(_digests(lines)[:, 0], np.diff(starts))
+            yield pa.record_batch([pa.array(keys), pa.array(own)], ["key", "id"])
+
+
+def _shared(batches):
+    """Different rows (key, id) of keys with more than one id; rows come sorted.
+
+    Only the last row of a batch is held back, until it is known whether it is alone.
+    """
+    held = np.zeros((2, 0), np.int64)  # the last row, if it may be the only one of its key
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = np.stack([plain(batch.column(0)), plain(batch.column(1))])
+        fresh = np.ones(rows.shape[1], bool)
+        fresh[1:] = (rows[:, 1:] != rows[:, :-1]).any(axis=0)
+        if last is not None:
+            fresh[0] = (rows[:, 0] != last).any()
+        rows = rows[:, fresh]
+        if not rows.shape[1]:
+            continue
+        # The first row of a key goes with the second one.
+        begins = np.ones(rows.shape[1], bool)
+        begins[1:] = rows[0, 1:] != rows[0, :-1]
+        begins[0] = last is None or rows[0, 0] != last[0]
+        if begins[0]:
+            held = held[:, :0]
+        out = ~begins
+        out[:-1] |= ~begins[1:]
+        parts = [held, rows[:, out]]
+        last = rows[:, -1]
+        held = rows[:, -1:] if begins[-1] else held[:, :0]
+        rows = np.concatenate(parts, axis=1)
+        yield pa.record_batch([pa.array(rows[0]), pa.array(rows[1])], ["key", "id"])
+
+
 def _take_lines(batches):
-    for wanted, texts in pieces(batches):
+    for wanted, texts in pieces(batches, CHARACTERS):
         rows = [
             (id, comparable(lines[number]))
             for marks, text in zip(wanted, texts)
@@ -199,7 +245,7 @@ def _take_lines(batches):
 
 def _similar(percent: int):
     def run(batches):
-        for a, b, xs, ys in pieces(batches):
+        for a, b, xs, ys in pieces(batches, COMPARED):
             kept = []
             sets = {x: shingle_set(x) for x in {*xs, *ys}}
             for at, (x, y) in enumerate(zip(xs, ys)):
@@ -229,15 +275,14 @@ def line_verdicts(
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = run.write(texts.mapInArrow(_read_lines, LINES), "lines")
     classes = run.write(
-        lines.where("not again")
-        .groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("doc_id"), F.min_by("line_no", "doc_id").alias("line_no")),
+        lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
+        .select("h1", "h2", "first.doc_id", "first.line_no"),
         "classes",
     )
-    posted = lines.where("not again").select(F.explode("keys").alias("key"), F.col("h1").alias("id"))
-    lists = posted.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    lists = lists.where("low <> high").select("key")
-    posted = run.write(posted.join(lists.hint("shuffle_hash"), "key").distinct(), "posted")
+    # Keys go straight into the one exchange that brings equal ones together.
+    posted = texts.mapInArrow(_post_lines, "key long, id long")
+    posted = posted.repartition("key").sortWithinPartitions("key", "id")
+    posted = run.write(posted.mapInArrow(_shared, "key long, id long"), "posted")
 
     def lines_of(ids: DataFrame, name: str) -> DataFrame:
         firsts = classes.select(F.col("h1").alias("id"), "doc_id", "line_no")
@@ -268,7 +313,7 @@ def line_verdicts(
             "id", "part", F.col("keys").alias("coords"), F.col("line").alias("payload")
         )
         items = run.write(items, f"{name}-items")
-        edges = links_between(items, percent, run, f"{name}-edges", shingle_set, line_sets, ordered=False)
+        edges = links_between(items, percent, run, f"{name}-edges", shingle_set, line_sets)
         run.drop(f"{name}-lines", f"{name}-items")
         return edges
 
@@ -326,12 +371,18 @@ def without_repeats(
     without lines pass. `n_chars`, where there is one, follows the text.
     """
     verdicts = line_verdicts(documents, percent, folder)
-    drops = verdicts.groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.collect_list(F.when(~F.col("kept"), F.col("line_no"))).alias("_drop"),
-        F.max("kept").alias("_some"),
+    drops = verdicts.groupBy("doc_id").agg(
+        F.collect_list(F.when(~F.col("kept"), F.col("line_no"))).alias("drop"),
+        F.max("kept").alias("some"),
     )
     columns = documents.columns
-    rows = documents.join(
-        drops.hint("merge"), F.col("doc_id").cast("long") == F.col("_doc"), "left"
-    ).where("coalesce(_some, true)")
-    return rows.select(*columns, "_drop").mapInArrow(_drop_lines(columns), documents.schema)
+    # The documents' columns travel in one, so that no name of theirs can clash.
+    whole = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+    )
+    rows = whole.join(drops.hint("merge"), "doc_id", "left").where("coalesce(some, true)")
+    rows = rows.select("row", "drop").select(
+        *[F.col(f"row.`{c}`").alias(f"c{at}") for at, c in enumerate(columns)], "drop"
+    )
+    return rows.mapInArrow(_drop_lines(columns), documents.schema)

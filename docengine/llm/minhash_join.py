@@ -10,8 +10,8 @@ coordinates are compared on their full shingle sets.
 * Count: collisions of a list's documents with its first one are counted on their whole
   signatures, and pairs at or above the threshold are compared exactly.
 * Skip: lists of one document are dropped before any document is moved, lists that lie in
-  one component are not merged again; what is left is compared in blocks (`blocks`), so
-  that no row stands for a pair of a large group.
+  one component are not merged again; what is left is compared in blocks (`blocks`) by the
+  same posted lists, so that no row stands for a pair of a large group.
 
 At similarity 0.8 a pair agrees on fewer than 36 of 64 coordinates with a chance below
 5e-6. Documents with equal shingle sets are one node throughout.
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docengine.llm.batches import pieces
-from docengine.llm.blocks import POSTED, links_between
+from docengine.llm.blocks import links_between
 from docengine.llm.components import bucket_components
 from docengine.sources.workspace import RunFolder
 
@@ -183,11 +183,16 @@ def near_copies(
         return edges
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
-        coords = F.slice("signature", 1, POSTED).alias("coords")
+        # All lists of the prefix, at most COORDINATES - MATCHES + 1 per document.
+        prefix = (
+            posted.join(ids.select("id").hint("merge"), "id", "left_semi")
+            .groupBy("id")
+            .agg(F.collect_set("key").alias("coords"))
+        )
         items = (
             ids.join(sets_of(ids.select("id"), name).hint("merge"), "id")
-            .join(classes.hint("merge"), "id")
-            .select("id", "part", coords, F.col("hashes").alias("payload"))
+            .join(prefix.hint("merge"), "id")
+            .select("id", "part", "coords", F.col("hashes").alias("payload"))
         )
         edges = links_between(run.write(items, f"{name}-items"), percent, run, f"{name}-edges")
         run.drop(f"{name}-sets", f"{name}-items")

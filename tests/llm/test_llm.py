@@ -4,13 +4,16 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docengine.llm import lines, minhash_join, mixing, packing, quality, suffixes, syncmers
+from docengine.llm import blocks, lines, minhash_join, mixing, packing, quality, suffixes, syncmers
 from docengine.llm import secrets, url_lists, vectors
 from docengine.llm import queries
+from docengine.llm.components import components
+from docengine.sources.workspace import RunFolder
 
 def united(nodes, links):
     root = {n: n for n in nodes}
@@ -358,3 +361,121 @@ def test_empty_tables(odd, spark):
     assert suffixes.passages(none).count() == 0
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert vectors.near_vectors(empty).count() == 0
+
+
+def test_shared_keys_are_kept_over_batch_ends():
+    """Rows of keys with more than one id, each once, however the batches fall."""
+    random = np.random.default_rng(11)
+    for _ in range(300):
+        rows = sorted(
+            (int(k), int(i))
+            for k, i in zip(random.integers(0, 6, 25), random.integers(0, 4, 25))
+        )
+        ids = {}
+        for k, i in rows:
+            ids.setdefault(k, set()).add(i)
+        expected = [(k, i) for k in sorted(ids) for i in sorted(ids[k]) if len(ids[k]) > 1]
+        batches, at = [], 0
+        while at < len(rows):
+            size = int(random.integers(0, 5))
+            part = rows[at : at + size]
+            batches.append(
+                pa.record_batch(
+                    [pa.array([r[c] for r in part], pa.int64()) for c in (0, 1)], ["key", "id"]
+                )
+            )
+            at += size
+        got = [
+            (r["key"], r["id"]) for batch in lines._shared(batches) for r in batch.to_pylist()
+        ]
+        assert got == expected
+
+
+def test_long_lines_match_all_pairs(spark):
+    """Lines of 60 to 300 characters, edited so that similarities lie around the limit."""
+    random = np.random.default_rng(12)
+    letters = list("abcdefghijklmnop ")
+    given = []
+    for k in range(120):
+        x = "x" + "".join(random.choice(letters, 60 + 2 * k)) + "y"
+        for edits in range(4):
+            y = list(x)
+            for at in random.integers(1, len(x) - 1, edits):
+                y[at] = random.choice(letters)
+            given.append("".join(y))
+    given = list(dict.fromkeys(given))
+    expected = united(range(len(given)), line_links(given))
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r["doc_id"]: r["group_doc_id"] for r in lines.line_verdicts(df).collect()}
+    assert len(set(expected.values())) < len(given) - 100 and got == expected
+
+
+def test_pairs_that_agree_on_no_early_coordinate_are_compared(spark, monkeypatch):
+    """Leftover members of a posted list meet by all their lists, not by a few coordinates."""
+    monkeypatch.setattr(minhash_join, "bucket_components", _finish_all)
+    random = np.random.default_rng(13)
+    rows = []
+    for group in range(40):
+        words = [f"g{group}w{k}" for k in range(60)]
+        for _ in range(2):
+            rows.append((len(rows), " ".join(w if random.random() > 0.04 else f"e{random.integers(1e9)}" for w in words)))
+    sets = {i: minhash_join.shingles(t, 2) for i, t in rows}
+    links = [
+        (a, b) for a, b in combinations(sets, 2)
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    expected = united(sets, links)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash_join.near_copies(df, words=2).collect()}
+    assert len(links) >= 10 and got == expected
+
+
+def _finish_all(members, confirm, finish, run, name):
+    """Components by the second step alone."""
+    ids = members.groupBy("id").count().select("id", F.col("id").alias("part"))
+    return components(finish(run.write(ids, "all"), "all"), run, "all-cc")
+
+
+def test_columns_that_clash_by_name_pass(spark, odd):
+    names = ["_doc", "_drop", "_some", "_gone", "row", "drop", "some", "id"]
+    table = odd.select("*", *[F.lit(n).alias(n) for n in names])
+    left = lines.without_repeats(table)
+    assert left.schema == table.schema and left.count() == lines.without_repeats(odd).count()
+    near = corpus_pipeline.near(spark, table, "")
+    assert near.columns == table.columns
+    assert near.count() == corpus_pipeline.near(spark, odd, "").count()
+
+
+def test_lists_of_the_same_members_are_worked_on_once(spark, tmp_path):
+    """Copies that share many keys are compared once; no pair of another list is lost."""
+    same = [(k, k, list(range(30)), list(range(100, 140 + k))) for k in range(3)]
+    other = [(7, 7, [29, 50], list(range(100, 142))), (8, 8, [50], list(range(500, 540)))]
+    items = spark.createDataFrame(
+        same + other, "id long, part long, coords array<long>, payload array<long>"
+    )
+    run = RunFolder(spark, str(tmp_path))
+    got = {tuple(sorted(r)) for r in blocks.links_between(items, 80, run, "e").collect()}
+    assert got == {(a, b) for a, b in combinations((0, 1, 2, 7), 2)}
+
+
+def test_large_groups_are_compared_in_parts(spark, tmp_path, monkeypatch):
+    """Parts of a group that is too large to be held give the same components."""
+    random = np.random.default_rng(14)
+    base = random.integers(0, 10**6, 60)
+    rows = []
+    for k in range(60):
+        own = base.copy()
+        own[random.integers(0, 60, k % 9)] = random.integers(0, 10**6, k % 9)
+        rows.append((k, k, [1], sorted({int(x) for x in own})))
+    items = spark.createDataFrame(rows, "id long, part long, coords array<long>, payload array<long>")
+    sets = [set(r[3]) for r in rows]
+    links = [
+        (a, b) for a, b in combinations(range(60), 2)
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    ]
+    for held in (10**6, 800):
+        monkeypatch.setattr(blocks, "HELD", held)
+        run = RunFolder(spark, str(tmp_path / str(held)))
+        got = [tuple(r) for r in blocks.links_between(items, 80, run, "e").collect()]
+        assert {tuple(sorted(p)) for p in got} <= set(links)
+        assert united(range(60), got) == united(range(60), links)
