@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docengine.llm.lines import line_verdicts
 from docengine.llm.minhash_join import near_copies
 from docengine.llm.mixing import mix
+from docengine.llm.oracle import DOCUMENTS, VECTORS
 from docengine.llm.packing import packed
 from docengine.llm.periods import periodic_runs, run_digests, with_planted_runs
 from docengine.llm.quality import score
@@ -97,4 +98,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_sentence_pieces": op13_sentence_pieces,
 }
 
-ORACLE: dict[str, str] = {"op9_url_lists": URL_ORACLE}
+ORACLE: dict[str, str] = {
+    "op1_embedding_dedup": VECTORS,
+    "op4_minhash_join": DOCUMENTS,
+    "op9_url_lists": URL_ORACLE,
+}
