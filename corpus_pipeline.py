@@ -24,10 +24,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays; rows that repeat a doc_id stay or go together."""
     found = near_copies(docs, words=5, percent=80)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(
-        gone.hint("merge"), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti"
-    )
+    gone = found.where("not kept").select("doc_id").distinct()
+    # The documents' columns travel in one, so that no name of theirs can clash.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col("doc_id").cast("long").alias("doc_id"))
+    return rows.join(gone.hint("merge"), "doc_id", "left_anti").select("row.*")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
