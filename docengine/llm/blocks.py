@@ -213,21 +213,52 @@ def links_between(
     """
     narrow = items.select("id", "part", F.explode("coords").alias("v"))
     lists = (
-        narrow.groupBy("v")
+        narrow.groupBy("v", "part")
         .agg(
-            F.count("*").alias("n"),
-            F.min("part").alias("low"),
-            F.max("part").alias("high"),
+            F.count("*").alias("own"),
             F.expr("bit_xor(xxhash64(id))").alias("x"),
             F.expr("bit_xor(xxhash64(id, 1))").alias("y"),
         )
-        .where("low <> high")
+        .groupBy("v")
+        .agg(
+            F.sum("own").alias("n"),
+            F.count("*").alias("parts"),
+            F.max(F.struct("own", "part")).alias("main"),
+            F.expr("bit_xor(x)").alias("x"),
+            F.expr("bit_xor(y)").alias("y"),
+        )
+        .where("parts > 1")
         .groupBy("n", "x", "y")
-        .agg(F.min("v").alias("v"))
-        .select("v", "n")
+        .agg(F.min(F.struct("v", "main")).alias("one"))
+        .select("one.v", "n", "one.main")
     )
     keys = ["v", "i", "j"]
-    work = tasks(narrow.select("id", "v"), lists, ["v"], F.col("id"))
+    work = halves(narrow, lists)
     work = work.join(items.hint("merge"), "id").select(*keys, "blk", "id", "part", "payload")
     found = spread(work, keys).mapInArrow(_compare(percent, to_set, to_hashes), "a long, b long")
     return run.write(found, name)
+
+
+def halves(narrow: DataFrame, lists: DataFrame) -> DataFrame:
+    """A row of `narrow` (id, part, v) for every pair of blocks in which it is compared.
+
+    `lists` has the number `n` of members by `v` and `main`, their most frequent part with
+    its number. Members of one part need no comparing, so in a list of more than `BLOCK` the
+    main part's members lie in blocks that meet those of the others only: a large group that
+    hangs together but for a few adds rows by these few, not by its size in blocks.
+    """
+    cut = F.col("n") > BLOCK
+    other = F.col("part") != F.col("main.part")
+    few = F.when(cut, F.ceil((F.col("n") - F.col("main.own")) / BLOCK)).otherwise(1).cast("int")
+    rest = F.when(cut, F.ceil(F.col("main.own") / BLOCK)).otherwise(0).cast("int")
+    at = F.xxhash64("id")
+    placed = narrow.join(lists, "v").select(
+        "v",
+        "id",
+        F.when(other | ~cut, F.pmod(at, few)).otherwise(few + F.pmod(at, rest)).cast("int").alias("blk"),
+        # The blocks that this one meets: all of them, or those of the smaller parts.
+        F.when(other & cut, few + rest).otherwise(few).alias("meets"),
+    )
+    placed = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)))
+    ends = F.least("blk", "o").alias("i"), F.greatest("blk", "o").alias("j")
+    return placed.select("v", *ends, "blk", "id")

@@ -479,3 +479,32 @@ def test_large_groups_are_compared_in_parts(spark, tmp_path, monkeypatch):
         got = [tuple(r) for r in blocks.links_between(items, 80, run, "e").collect()]
         assert {tuple(sorted(p)) for p in got} <= set(links)
         assert united(range(60), got) == united(range(60), links)
+
+
+def test_large_lists_meet_by_their_smaller_parts(spark, tmp_path, monkeypatch):
+    """A list of many blocks: no link between parts is lost, the main part is not compared."""
+    monkeypatch.setattr(blocks, "BLOCK", 8)
+    random = np.random.default_rng(15)
+    base = random.integers(0, 10**6, 60)
+    rows = []
+    for k in range(120):
+        own = base.copy()
+        own[random.integers(0, 60, k % 9)] = random.integers(0, 10**6, k % 9)
+        part = 0 if k < 90 else k
+        rows.append((k, part, [1, 2 + k % 3], sorted({int(x) for x in own})))
+    items = spark.createDataFrame(rows, "id long, part long, coords array<long>, payload array<long>")
+    sets = [set(r[3]) for r in rows]
+    linked = {
+        tuple(sorted((rows[a][1], rows[b][1])))
+        for a, b in combinations(range(120), 2)
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    got = blocks.links_between(items, 80, RunFolder(spark, str(tmp_path)), "e").collect()
+    parts = {tuple(sorted((rows[a][1], rows[b][1]))) for a, b in got}
+    names = sorted({r[1] for r in rows})
+    assert parts <= linked
+    assert united(names, parts) == united(names, {p for p in linked if p[0] != p[1]})
+    lists = spark.createDataFrame([(1, 120, (90, 0))], "v long, n long, main struct<own long, part long>")
+    narrow = items.select("id", "part", F.lit(1).cast("long").alias("v"))
+    # 30 members meet 4 blocks of their own and 12 of the main part, whose 90 meet these 4.
+    assert blocks.halves(narrow, lists).count() == 30 * 16 + 90 * 4
