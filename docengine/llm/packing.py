@@ -2,19 +2,20 @@
 
 A document's ids are its text's by a byte-level vocabulary (no special tokens added), then
 id 0. Whole runs of `LENGTH` ids are sequences of their own; what is left of a document,
-less than `LENGTH`, goes to a random group of documents by a seeded hash, and each group is
+less than `LENGTH`, goes to a random group of documents by a seeded hash of its id and text, and each group is
 packed by itself: pieces from the longest down, each into the first bin with room, which a
 tournament tree over the bins' room finds in logarithmic time. Then the emptiest bins are
 cut up to fill the others' gaps, and the last one is cut into lengths that are powers of
 two, so nothing is padded.
 
-Groups hold about `GROUP` documents; a row takes less than 2 * `LENGTH` bytes plus 8 per whole
+Groups hold about `GROUP` documents, rows without an id or that share one included; a row takes less than 2 * `LENGTH` bytes plus 8 per whole
 run, so a group has a bound, and their number follows the number of documents.
 
 Ids are those of the vocabulary file for the `tokenizers` library; texts whose characters
 all lie below U+0250 are encoded by `tiktoken` from the same vocabulary, four times as
 fast, with the same ids. Defined cases: null text is empty (its ids are id 0); rows that share a
-doc_id are packed each on its own; only doc_id and text are read.
+doc_id are packed each on its own; rows equal in both share a group; an id beyond 16 bits is
+an error; only doc_id and text are read.
 """
 
 import base64
@@ -135,6 +136,8 @@ def _cut(vocabulary: str, ranks: str):
             counts, crcs, rests = [], [], []
             for text in texts:
                 tokens = np.array([*encode(text or ""), END], "<u4")
+                if tokens.max() > 0xFFFF:
+                    raise ValueError("ids of the vocabulary do not fit into 16 bits")
                 whole = len(tokens) // LENGTH
                 counts.append(len(tokens))
                 crcs.append(
@@ -202,7 +205,7 @@ def packed(
     vocabulary = vocabulary or path("byte_bpe_50k.json")
     ranks = ranks or path("byte_bpe_50k.tiktoken")
     number = max(1, -(-documents.count() // GROUP))
-    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(number)).alias("pack")
+    group = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(number)).alias("pack")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), group, "text")
     cut = rows.mapInArrow(_cut(vocabulary, ranks), CUT)
     return cut.groupBy("pack").applyInArrow(_pack_group, PIECES)
