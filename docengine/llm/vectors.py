@@ -10,7 +10,8 @@ a spanning star, never a row per pair.
 
 Defined cases: a vector without label, with null or non-finite components, empty, zero or
 null links with nothing; so does a row without id. Vectors of different lengths have no
-cosine. Equal rows are one vector. Only the id, vector and label columns are read.
+cosine. Equal rows are one vector; different vectors under one id are linked each on its own.
+Only the id, vector and label columns are read.
 """
 
 import math
@@ -139,11 +140,13 @@ def near_vectors(
         rows.where("h1 is not null")
         .groupBy("h1", "h2")
         .agg(
-            F.min("vec_id").alias("id"),
+            F.min("vec_id").alias("vec"),
             F.countDistinct("vec_id").alias("copies"),
             F.first("label").alias("label"),
             F.first("embedding").alias("vector"),
-        ),
+        )
+        # A node's number is its own, as different vectors may share a vec_id.
+        .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
     bits, tables = settings(classes.count(), cosine)
@@ -165,15 +168,20 @@ def near_vectors(
     degree = linked.groupBy("id").agg(F.sum("links").alias("links"))
     edges = linked.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
     parts = run.write(components(edges, run, "cc"), "parts")
-    known = (
-        classes.select("h1", "h2", "id", "copies")
-        .join(degree, "id", "left")
+    placed = (
+        classes.select("h1", "h2", "id", "vec", "copies")
         .join(parts, "id", "left")
+        .withColumn("root", F.coalesce("component", "id"))
+    )
+    least = placed.groupBy("root").agg(F.min("vec").alias("component_id"))
+    known = (
+        placed.join(degree, "id", "left")
+        .join(least, "root")
         .select(
             "h1",
             "h2",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
+            "component_id",
         )
     )
     return (

@@ -508,3 +508,29 @@ def test_large_lists_meet_by_their_smaller_parts(spark, tmp_path, monkeypatch):
     narrow = items.select("id", "part", F.lit(1).cast("long").alias("v"))
     # 30 members meet 4 blocks of their own and 12 of the main part, whose 90 meet these 4.
     assert blocks.halves(narrow, lists).count() == 30 * 16 + 90 * 4
+
+
+def test_different_vectors_under_one_id_are_linked_each_on_its_own(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [0.0, 2.0], 0), (3, [0.01, 1.0], 0), (4, [-1.0, 0.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(df).collect())
+    assert got == [(1, 0, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (4, 0, 4)]
+
+
+def test_rows_that_share_an_id_are_packed_in_many_groups(spark, monkeypatch):
+    from public_tokenizers import path
+
+    monkeypatch.setattr(packing, "GROUP", 10)
+    rows = [(None if k % 2 else 7, f"text number {k}") for k in range(200)]
+    got = packing.packed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.sequence_id >> 32, []).append(r)
+    assert len(by) > 15 and max(map(len, by.values())) < 60
+    ends = {}
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert all(e & (e - 1) == 0 for e in ends.values())
+    ids = packing.encoder(*map(path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")))
+    assert sum(r.length for r in got) == sum(len(ids(t)) + 1 for _, t in rows)
