@@ -14,10 +14,12 @@ a source without words gets nothing; equal rows may differ in what they take; on
 text and source are read.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from docengine.sources.workspace import RunFolder
+
 WORD = r"[^\x20\x09-\x0D]+"
 EPOCHS = 3
 SLOTS = 4096
@@ -57,23 +59,52 @@ def targets(sizes: DataFrame, epochs: int = EPOCHS) -> DataFrame:
     )
 
 
-def place(documents: DataFrame, keep: Column, epochs: int, seed: int) -> DataFrame:
+def place(documents: DataFrame, epochs: int, seed: int, run: RunFolder) -> DataFrame:
     """keep, source, size, source_size, target, taken: a row per row of `documents`.
 
-    The cut inside a source is found without sorting it: words are added up by `SLOTS`
-    ranges of the hash, and only documents of the range where they run out are ordered.
+    `keep` has the columns of `documents`. The cut inside a source is found without sorting
+    it: words are added up by `SLOTS` ranges of the hash, and only documents of the range
+    where they run out are moved and ordered. All others meet a row per source, which is
+    written, so that Spark knows whether it is small enough to go to them.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     mark = F.xxhash64(F.lit(seed), "doc_id", "source", F.length("text"))
     rows = documents.select(
-        keep.alias("keep"),
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("keep"),
         F.col("source").cast("string").alias("source"),
-        size.alias("size"),
         mark.alias("mark"),
         F.pmod(F.shiftrightunsigned(mark, 40), F.lit(SLOTS)).cast("int").alias("slot"),
-        F.col("doc_id").alias("tie"),
     )
-    slots = rows.groupBy("source", "slot").agg(F.sum("size").alias("words"))
+    size = F.coalesce(F.regexp_count("keep.text", F.lit(WORD)), F.lit(0)).cast("long")
+    sized = rows.withColumn("size", size)
+    slots = sized.groupBy("source", "slot").agg(F.sum("size").alias("words"))
+    cuts = run.write(_cuts(slots, epochs), "cuts")
+    same = F.col("source").eqNullSafe(F.col("p_source"))
+    at, rest = F.col("cut.slot"), F.col("cut.rest")
+    taken = F.col("whole") * F.col("size")
+    even = sized.join(cuts, same).where(at.isNull() | (F.col("slot") != at)).withColumn(
+        "taken", taken + F.when(at.isNull() | (F.col("slot") < at), F.col("size")).otherwise(0)
+    )
+    within = (
+        W.partitionBy("source")
+        .orderBy("mark", "keep.doc_id", "size")
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
+    ahead = F.coalesce(F.sum("size").over(within), F.lit(0))
+    # Words are counted after the join, which few rows pass.
+    uneven = rows.join(cuts, same & (F.col("slot") == at)).withColumn("size", size).withColumn(
+        "taken", taken + F.least("size", F.greatest(F.lit(0), rest - ahead))
+    )
+    names = ["keep", "source", "size", "source_size", "target"]
+    names = [*map(F.col, names), F.col("taken").cast("long").alias("taken")]
+    return even.select(names).union(uneven.select(names))
+
+
+def _cuts(slots: DataFrame, epochs: int) -> DataFrame:
+    """p_source, source_size, target, whole, cut: a row per source of `slots`.
+
+    `whole` repetitions of each document are taken, one more below `cut.slot`, and there
+    `cut.rest` words more; without a cut all documents are taken once more.
+    """
     sources = slots.groupBy("source").agg(F.sum("words").alias("words"))
     # Whole repetitions, and the words that the sampled fraction adds.
     whole = F.when(F.col("words") > 0, F.floor(F.col("target") / F.col("words"))).otherwise(0)
@@ -90,55 +121,36 @@ def place(documents: DataFrame, keep: Column, epochs: int, seed: int) -> DataFra
         )
     )
     by_slot = W.partitionBy("source").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
-    rest = F.least(F.col("words"), F.greatest(F.lit(0), F.col("extra") - F.col("ahead")))
-    cut = (
+    full = F.col("ahead") + F.col("words") <= F.col("extra")
+    cut = F.struct("slot", (F.col("extra") - F.col("ahead")).alias("rest"))
+    return (
         slots.withColumn("ahead", F.coalesce(F.sum("words").over(by_slot), F.lit(0)))
         .join(plan, F.col("source").eqNullSafe(F.col("p_source")))
-        .select(
-            F.col("source").alias("p_source"),
-            F.col("slot").alias("p_slot"),
-            "source_size",
-            "target",
-            "whole",
-            rest.alias("rest"),
-            F.col("words").alias("slot_words"),
-        )
+        .groupBy("p_source", "source_size", "target", "whole")
+        .agg(F.min(F.when(~full, cut)).alias("cut"))
     )
-    placed = rows.join(
-        cut, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("slot") == F.col("p_slot"))
-    )
-    taken = F.col("whole") * F.col("size")
-    is_open = (F.col("rest") > 0) & (F.col("rest") < F.col("slot_words"))
-    even = placed.where(~is_open).withColumn(
-        "taken", taken + F.when(F.col("rest") > 0, F.col("size")).otherwise(0)
-    )
-    within = (
-        W.partitionBy("source", "slot")
-        .orderBy("mark", "tie", "size")
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    ahead = F.coalesce(F.sum("size").over(within), F.lit(0))
-    uneven = placed.where(is_open).withColumn(
-        "taken", taken + F.least("size", F.greatest(F.lit(0), F.col("rest") - ahead))
-    )
-    names = ["keep", "source", "size", "source_size", "target"]
-    names = [*map(F.col, names), F.col("taken").cast("long").alias("taken")]
-    return even.select(names).union(uneven.select(names))
 
 
-def mix(documents: DataFrame, epochs: int = EPOCHS, seed: int = 8) -> DataFrame:
+def mix(
+    documents: DataFrame, epochs: int = EPOCHS, seed: int = 8, folder: str | None = None
+) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: a row per row of `documents`."""
-    return place(documents, F.col("doc_id"), epochs, seed).withColumnRenamed("keep", "doc_id")
+    run = RunFolder(documents.sparkSession, folder)
+    placed = place(documents.select("doc_id", "text", "source"), epochs, seed, run)
+    return placed.select("keep.doc_id", "source", "size", "source_size", "target", "taken")
 
 
-def mixed(documents: DataFrame, epochs: int = EPOCHS, seed: int = 8) -> DataFrame:
+def mixed(
+    documents: DataFrame, epochs: int = EPOCHS, seed: int = 8, folder: str | None = None
+) -> DataFrame:
     """The mix itself, with the columns of `documents`: a row per repetition.
 
     The one document per source that is taken in part is cut after its last word taken;
     its words are then parted by single blanks. Documents without words are left out.
     """
     text, size, taken = F.col("keep.text"), F.col("size"), F.col("taken")
-    rows = place(documents, F.struct("*"), epochs, seed).where("taken > 0")
+    run = RunFolder(documents.sparkSession, folder)
+    rows = place(documents, epochs, seed, run).where("taken > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(taken / size).cast("int"))))
     rows = rows.withColumn("part", taken - (F.col("copy") - 1) * size)
     first = F.slice(F.regexp_extract_all(text, F.lit(WORD), 0), F.lit(1), F.col("part").cast("int"))

@@ -196,6 +196,27 @@ def test_mix_takes_the_targets(odd):
     assert sum(len((r["text"] or "").split()) for r in out.collect()) == sum(r["taken"] for r in rows)
 
 
+def test_mix_moves_only_documents_of_the_cut(spark):
+    docs = [(k, "w " * (k % 40), f"s{k % 4}" if k % 4 else None) for k in range(2000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, ("64", "false")):
+        spark.conf.set(name, value)
+    try:
+        rows = mixing.mix(df).withColumn("at", F.spark_partition_id()).collect()
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+    # The documents stay in their partitions, but for a range of the hash per source.
+    assert len(rows) == 2000 and len({r["at"] for r in rows}) <= 3 + 4
+    for source in {r["source"] for r in rows}:
+        own = [r for r in rows if r["source"] == source]
+        more = [r["taken"] - r["size"] * (r["taken"] // max(1, r["size"])) for r in own]
+        assert sum(m > 0 for m in more) <= 1
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 1
+
+
 def test_quality_learns_and_handles_odd_rows(spark, odd):
     docs = [(k, ("good words in a row " if k % 2 else "BAD!! BAD!! ") * (3 + k % 7), "en", "s", k) for k in range(400)]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
