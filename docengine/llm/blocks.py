@@ -5,6 +5,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -195,6 +196,42 @@ def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
     return run
 
 
+def _promising(least: int):
+    """Rows whose `brief` agrees with that of another part at `least` places or more.
+
+    What is left of a task is named by its members, so that equal tasks become equal rows.
+    """
+    names = ["v", "i", "j", "blk", "id"]
+
+    def run(batches):
+        kept, held = [], 0
+        for group in groups(batches, 3):
+            part, blk, ids = group["part"], group["blk"], group["id"]
+            if (part == part[0]).all():
+                continue
+            agree = np.zeros((len(part), len(part)), np.uint8)
+            for place in np.stack(group["brief"]).T:
+                agree += place[:, None] == place
+            hit = (agree >= least) & (part[:, None] != part)
+            if apart := group["i"][0] != group["j"][0]:
+                hit &= blk[:, None] != blk
+            at = np.flatnonzero(hit.any(axis=1))
+            if not len(at):
+                continue
+            at = at[np.argsort(ids[at])]
+            name = xxhash.xxh64_intdigest(ids[at].tobytes() + blk[at].tobytes()) - 2**63
+            shape = np.ones(len(at), np.int32)
+            kept.append([shape.astype(np.int64) * name, 0 * shape, apart * shape, blk[at], ids[at]])
+            held += len(at)
+            if held > 10_000:
+                yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*kept)], names)
+                kept, held = [], 0
+        if kept:
+            yield pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*kept)], names)
+
+    return run
+
+
 def links_between(
     items: DataFrame,
     percent: int,
@@ -202,6 +239,7 @@ def links_between(
     name: str,
     to_set: Callable | None = None,
     to_hashes: Callable | None = None,
+    least: int | None = None,
 ) -> DataFrame:
     """Links (a, b) that join different parts, found by exact comparison in blocks.
 
@@ -210,6 +248,10 @@ def links_between(
     them, into all hashes and the sets' start offsets. Items that share a key are compared,
     no pair of them is left out. Of keys that the same items share, as those of a group of
     near copies mostly are, one is worked on.
+
+    With `least`, items also have a `brief` of up to 255 small numbers, and pairs whose briefs
+    agree at fewer places are left out. They are looked at first, so that the payloads, which
+    may be far larger, go only where there is something to compare.
     """
     narrow = items.select("id", "part", F.explode("coords").alias("v"))
     lists = (
@@ -234,6 +276,11 @@ def links_between(
     )
     keys = ["v", "i", "j"]
     work = halves(narrow, lists)
+    if least is not None:
+        brief = items.select("id", "part", "brief").hint("merge")
+        work = work.join(brief, "id").select(*keys, "blk", "id", "part", "brief")
+        schema = "v long, i int, j int, blk int, id long"
+        work = spread(work, keys).mapInArrow(_promising(least), schema).distinct()
     work = work.join(items.hint("merge"), "id").select(*keys, "blk", "id", "part", "payload")
     found = spread(work, keys).mapInArrow(_compare(percent, to_set, to_hashes), "a long, b long")
     return run.write(found, name)

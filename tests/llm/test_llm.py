@@ -384,6 +384,32 @@ def test_empty_tables(odd, spark):
     assert vectors.near_vectors(empty).count() == 0
 
 
+def test_sets_go_only_where_briefs_agree(spark, tmp_path):
+    """Of one large list, only items alike in their briefs are taken for comparison."""
+
+    def opened(text):
+        if text.startswith("far"):
+            raise ValueError("moved for nothing")
+        return set(text)
+
+    rows = [(k, k, [7], f"far {k}", [k % 128, k // 128, 1, 2]) for k in range(1500)]
+    rows += [(2000, 2000, [7], "abcde", [3, 3, 3, 3]), (2001, 2001, [7, 8], "abcde", [3, 3, 3, 0])]
+    rows += [(2002, 2002, [8], "abcde", [4, 4, 4, 0])]
+    schema = "id long, part long, coords array<long>, payload string, brief array<tinyint>"
+    items = spark.createDataFrame(rows, schema)
+    run = RunFolder(spark, str(tmp_path))
+
+    def same(texts):
+        sets = [np.array(sorted(map(ord, opened(t)))) for t in texts]
+        return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+
+    found = blocks.links_between(items, 80, run, "edges", opened, same, least=4)
+    assert found.count() == 0
+    far = items.where("id >= 2000")
+    found = blocks.links_between(far, 80, run, "more", opened, same, least=3)
+    assert {frozenset(r) for r in found.collect()} == {frozenset((2000, 2001))}
+
+
 def test_shared_keys_are_kept_over_batch_ends():
     """Rows of keys with more than one id, each once, however the batches fall."""
     random = np.random.default_rng(11)
