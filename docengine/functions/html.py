@@ -177,7 +177,7 @@ def blocks(c: Column, tag: str) -> Column:
 
 def inner_text(c: Column) -> Column:
     """Text of a fragment: comments and tags away, references decoded."""
-    return unescape(F.regexp_replace(c, r"(?s)<!--.*?-->|<[^>]*>", ""))
+    return let(F.regexp_replace(c, r"(?s)<!--.*?-->|<[^>]*>", ""), unescape)
 
 
 def one_line(c: Column) -> Column:

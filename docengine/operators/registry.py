@@ -124,11 +124,14 @@ def _plans(label: str, mark: str, row: str, cell: str) -> Column:
             ),
         )
 
-    return F.flatten(
-        F.transform(
-            html.blocks(F.col("html"), row), lambda r: row_files(html.blocks(r, cell))
+    def files(r):
+        # A row without the mark has no such link; a comment may stand within the mark.
+        linked = r.rlike(mark) | r.contains("<!--")
+        return F.when(linked, let(html.blocks(r, cell), row_files)).otherwise(
+            F.array().cast("array<string>")
         )
-    )
+
+    return F.flatten(F.transform(html.blocks(F.col("html"), row), files))
 
 
 def page_profiles(

@@ -14,8 +14,9 @@ def with_lists(
 
     `asked(key, value)` holds different pairs.  Their number per key decides: a key asked
     for n values has ceil(n / size) rows, each with about `size` of them, which are dealt to
-    tasks by key and share; all others have one row.  The keys asked that often are few, at
-    most one in `size` pairs, so that Spark sends them to where the rows are.
+    tasks by key and share; all others have one row.  The rows meet the first lists and the
+    further ones, which few keys have, by the same exchange, so that a row is moved once and
+    again only with each further list.
     """
     asked = asked.filter(F.col(key).isNotNull())
     often = (
@@ -30,9 +31,6 @@ def with_lists(
         .groupBy(key, "_share")
         .agg(F.collect_list(value).alias("asked"))
     )
-    copies = (
-        rows.join(often, key, "left")
-        .withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1)))
-        .drop("_shares")
-    )
-    return copies.join(lists, [key, "_share"]).drop("_share")
+    first = rows.join(lists.filter(F.col("_share") == 0), key)
+    further = rows.join(lists.filter(F.col("_share") > 0), key).repartition(key, "_share")
+    return first.unionByName(further).drop("_share")

@@ -246,7 +246,8 @@ def profile_pages(species: DataFrame) -> DataFrame:
         row("Rühm", F.lit("Hidden")),
         F.lit("</tbody></table></div>"),
     )
-    return species.select("species_id", html.alias("html"))
+    # The rows are far smaller than the pages; dealt by key, they also meet there later.
+    return species.repartition("species_id").select("species_id", html.alias("html"))
 
 
 def species_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,8 +295,11 @@ def answer_sections(requests: DataFrame, routed: DataFrame) -> DataFrame:
     titles = F.transform(
         lines, lambda x: F.regexp_replace(x, r"\.{5,}[^.]*$|[\f\"\\]", "")
     )
-    listed = F.array(
-        *[F.create_map(F.lit(t), every_nth(titles, n)) for n, t in enumerate(TOPICS)]
+    listed = let(
+        titles,
+        lambda titles: F.array(
+            *[F.create_map(F.lit(t), every_nth(titles, n)) for n, t in enumerate(TOPICS)]
+        ),
     )
     answer = F.to_json(F.create_map(F.lit("Lind"), listed))
     fenced = F.concat(F.lit("See:\n```json\n"), answer, F.lit("\n```\nDone."))

@@ -573,7 +573,7 @@ def showcase_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     The stages that several later ones read are written; the rest is planned as one.
     """
     folder = RunFolder(spark).path
-    written = {"documents", "st3", "st5", "routed", "st7"}
+    written = {"documents", "st1", "st3", "st4", "st5", "routed", "st7"}
     out = stage_tables(spark, sf, folder, written)["showcase"]
     names = [
         "name", "latin", "category", "link", "strategy_present", "english", "grp",

@@ -160,6 +160,28 @@ def test_lists_follow_the_number_of_values(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_that_are_asked_move_once(spark):
+    """Texts go through one exchange by themselves, and again only with a further list."""
+    asked = [("hot", f"v{k}") for k in range(950)] + [("cold", "v1")]
+    asked = spark.createDataFrame(asked, "key string, value string")
+    rows = spark.createDataFrame([("hot", "a"), ("cold", "b")], "key string, body string")
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in off}
+    for name, value in off.items():
+        spark.conf.set(name, value)
+    try:
+        lists = with_lists(asked, rows, "key", "value", size=100)
+        query = lists._jdf.queryExecution()
+        plan = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(query, "formatted")
+        assert lists.count() == 11
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan)
+    bodies = [columns for columns in moved if "body#" in columns]
+    assert len([columns for columns in bodies if "asked#" not in columns]) == 1
+
+
 def test_one_report_that_very_many_names_ask(spark):
     """Each name is answered once, in shares; all its entities get the answer."""
     lines = [f"line of name{k} here" for k in range(0, 3000, 2)]
