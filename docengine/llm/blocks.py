@@ -136,8 +136,11 @@ def _compare(percent: int, to_set: Callable | None, to_hashes: Callable | None):
                 for k in (x, y):
                     if k not in sets:
                         sets[k] = to_set(payload[k]) if to_set else set(payload[k].tolist())
+                sizes = len(sets[x]), len(sets[y])
+                if 100 * min(sizes) < percent * max(sizes):
+                    continue
                 common = len(sets[x] & sets[y])
-                if 100 * common >= percent * (len(sets[x]) + len(sets[y]) - common):
+                if 100 * common >= percent * (sum(sizes) - common):
                     done.add(ends)
                     yield x, y
 

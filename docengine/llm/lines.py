@@ -33,6 +33,7 @@ BINS = BANDS * ROWS
 PASSES = 2
 SHORT = BINS - 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
+CACHED = 100_000
 
 
 def comparable(line: str) -> str:
@@ -48,6 +49,14 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """Different values in order; for numbers in any order a sort takes less than `np.unique`."""
+    values = np.sort(values)
+    fresh = np.ones(len(values), bool)
+    fresh[1:] = values[1:] != values[:-1]
+    return values[fresh]
+
+
 def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles, with repeats, and the lines' start offsets."""
     padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
@@ -69,7 +78,7 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def line_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct hashes of each line and their start offsets."""
     values, starts = shingle_hashes(lines)
-    sets = [np.unique(values[a:b]) for a, b in zip(starts, starts[1:])]
+    sets = [_distinct(values[a:b]) for a, b in zip(starts, starts[1:])]
     return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
 
 
@@ -108,7 +117,18 @@ def band_keys(minima: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """All lines' keys, one line after the other, and their start offsets."""
+    """All lines' keys, one line after the other, and their start offsets.
+
+    Taken in parts of about `CACHED` characters, whose arrays stay near the processor.
+    """
+    upto = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    cuts = np.flatnonzero(np.diff(upto // CACHED)) + 1
+    parts = [_part_keys(lines[a:b]) for a, b in zip([0, *cuts], [*cuts, len(lines)])]
+    sizes = np.concatenate([np.diff(starts) for _, starts in parts])
+    return np.concatenate([keys for keys, _ in parts]), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _part_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     values, starts = shingle_hashes(lines)
     minima, full = _minima(values, starts)
     bands = [band_keys(minima)]
@@ -120,7 +140,7 @@ def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     chosen = np.repeat(~full, np.diff(starts))
     sizes = np.diff(starts)[few]
     owner = np.repeat(np.arange(len(few), dtype=np.uint64), sizes)
-    held = np.unique((owner << np.uint64(40)) | (values[chosen] >> np.uint64(24)))
+    held = _distinct((owner << np.uint64(40)) | (values[chosen] >> np.uint64(24)))
     owner = (held >> np.uint64(40)).astype(np.int64)
     counts = np.bincount(owner, minlength=len(few))
     rank = np.arange(len(held)) - (np.cumsum(counts) - counts)[owner]
@@ -221,35 +241,75 @@ def _shared(batches):
         yield pa.record_batch([pa.array(rows[0]), pa.array(rows[1])], ["key", "id"])
 
 
-def _take_lines(batches):
-    for wanted, texts in pieces(batches, CHARACTERS):
-        rows = [
-            (id, comparable(lines[number]))
-            for marks, text in zip(wanted, texts)
-            for lines in [text.split("\n")]
-            for id, number in ((m["id"], m["line_no"]) for m in marks)
-            if number < len(lines)  # rows may share a doc_id
-        ]
-        if not rows:
-            continue
-        keys, starts = line_keys([r[1] for r in rows])
-        yield pa.record_batch(
-            [
-                pa.array([r[0] for r in rows], pa.int64()),
-                pa.array([r[1] for r in rows], pa.string()),
-                pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(keys)),
-            ],
-            ["id", "line", "keys"],
-        )
+def _take_lines(keyed: bool):
+    """(id, line) of the lines asked for, with their keys if `keyed`."""
+
+    def run(batches):
+        for wanted, texts in pieces(batches, CHARACTERS):
+            rows = [
+                (id, comparable(lines[number]))
+                for marks, text in zip(wanted, texts)
+                for lines in [text.split("\n")]
+                for id, number in ((m["id"], m["line_no"]) for m in marks)
+                if number < len(lines)  # rows may share a doc_id
+            ]
+            if not rows:
+                continue
+            out = {
+                "id": pa.array([r[0] for r in rows], pa.int64()),
+                "line": pa.array([r[1] for r in rows], pa.string()),
+            }
+            if keyed:
+                keys, starts = line_keys([r[1] for r in rows])
+                out["keys"] = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(keys))
+            yield pa.record_batch(list(out.values()), list(out))
+
+    return run
+
+
+SHORTENED = np.uint64(40)  # bits that are left of a hash beside the number of its line
+SLACK = 2
+
+
+def _may_be_similar(xs: list[str], ys: list[str], percent: int) -> np.ndarray:
+    """Whether each pair can be similar, by shortened hashes of its shingles.
+
+    Different shingles of a pair of 1000 fall together in one of a million pairs, which takes
+    one off what it has in common; a pair is left out only if it lacks more than `SLACK`.
+    """
+    known = {x: at for at, x in enumerate(dict.fromkeys([*xs, *ys]))}
+    values, starts = shingle_hashes(list(known))
+    owner = np.repeat(np.arange(len(known), dtype=np.uint64), np.diff(starts))
+    held = _distinct((owner << SHORTENED) | (values >> (np.uint64(64) - SHORTENED)))
+    sizes = np.bincount((held >> SHORTENED).astype(np.int64), minlength=len(known))
+    begins = np.cumsum(sizes) - sizes
+    x = np.fromiter((known[k] for k in xs), np.int64, len(xs))
+    y = np.fromiter((known[k] for k in ys), np.int64, len(ys))
+    # What is left has sides of like sizes, so that a long line is not held for each short one.
+    least, most = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
+    may = 100 * (least + SLACK) >= percent * most
+    at = np.flatnonzero(may)
+    sides = []
+    for side in (x[at], y[at]):
+        own = sizes[side]
+        place = np.arange(own.sum()) + np.repeat(begins[side] - (np.cumsum(own) - own), own)
+        pair = np.repeat(np.arange(len(at), dtype=np.uint64), own)
+        sides.append((pair << SHORTENED) | (held[place] & np.uint64(2**40 - 1)))
+    both = np.sort(np.concatenate(sides))
+    twice = both[1:][both[1:] == both[:-1]] >> SHORTENED
+    common = np.bincount(twice.astype(np.int64), minlength=len(at))
+    may[at] = 100 * (common + SLACK) >= percent * (sizes[x[at]] + sizes[y[at]] - common)
+    return may
 
 
 def _similar(percent: int):
     def run(batches):
         for a, b, xs, ys in pieces(batches, COMPARED):
             kept = []
-            sets = {x: shingle_set(x) for x in {*xs, *ys}}
-            for at, (x, y) in enumerate(zip(xs, ys)):
-                x, y = sets[x], sets[y]
+            may = np.flatnonzero(_may_be_similar(xs, ys, percent)).tolist()
+            sets = {x: shingle_set(x) for x in {side[k] for side in (xs, ys) for k in may}}
+            for at in may:
+                x, y = sets[xs[at]], sets[ys[at]]
                 common = len(x & y)
                 if 100 * common >= percent * (len(x) + len(y) - common):
                     kept.append(at)
@@ -284,7 +344,7 @@ def line_verdicts(
     posted = posted.repartition("key").sortWithinPartitions("key", "id")
     posted = run.write(posted.mapInArrow(_shared, "key long, id long"), "posted")
 
-    def lines_of(ids: DataFrame, name: str) -> DataFrame:
+    def lines_of(ids: DataFrame, name: str, keyed: bool) -> DataFrame:
         firsts = classes.select(F.col("h1").alias("id"), "doc_id", "line_no")
         wanted = (
             firsts.join(ids.toDF("id").distinct().hint("merge"), "id", "left_semi")
@@ -293,13 +353,11 @@ def line_verdicts(
         )
         found = texts.where("text is not null").join(wanted.hint("merge"), "doc_id")
         found = found.select("wanted", "text")
-        return run.write(
-            found.mapInArrow(_take_lines, "id long, line string, keys array<long>"),
-            f"{name}-lines",
-        )
+        schema = "id long, line string" + (", keys array<long>" if keyed else "")
+        return run.write(found.mapInArrow(_take_lines(keyed), schema), f"{name}-lines")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        own = lines_of(pairs.select("a").union(pairs.select("b")), name)
+        own = lines_of(pairs.select("a").union(pairs.select("b")), name, keyed=False)
         x = own.select(F.col("id").alias("a"), F.col("line").alias("x"))
         y = own.select(F.col("id").alias("b"), F.col("line").alias("y"))
         both = pairs.hint("merge").join(x, "a").hint("merge").join(y, "b")
@@ -309,7 +367,7 @@ def line_verdicts(
         return edges
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
-        items = ids.join(lines_of(ids.select("id"), name).hint("merge"), "id").select(
+        items = ids.join(lines_of(ids.select("id"), name, keyed=True).hint("merge"), "id").select(
             "id", "part", F.col("keys").alias("coords"), F.col("line").alias("payload")
         )
         items = run.write(items, f"{name}-items")

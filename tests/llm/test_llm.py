@@ -1,5 +1,6 @@
 """The corpus operators against short plain models, and on odd rows."""
 
+import random
 import zlib
 from itertools import combinations
 
@@ -410,6 +411,45 @@ def test_sets_go_only_where_briefs_agree(spark, tmp_path):
     assert {frozenset(r) for r in found.collect()} == {frozenset((2000, 2001))}
 
 
+def test_dissimilar_lines_are_told_apart_without_their_sets(monkeypatch):
+    """Pairs that can't be similar build no sets of texts; no similar pair is left out."""
+    rng = random.Random(5)
+    base = ["".join(rng.choices("abcdefg hi", k=rng.randint(1, 300))) for _ in range(400)]
+    near = []
+    for x in base:
+        chars = list(x)
+        for _ in range(rng.randint(0, len(x) // 50 + 1)):
+            chars[rng.randrange(len(x))] = rng.choice("xyz")
+        near.append("".join(chars))
+    xs, ys = base + base + ["a" * 20, "a" * 4000], near + near[1:] + near[:1] + ["a" * 9, "b" * 20]
+
+    def exact(x, y):
+        x, y = lines.shingle_set(x), lines.shingle_set(y)
+        return 100 * len(x & y) >= 80 * len(x | y)
+
+    def linked(xs, ys):
+        columns = [list(range(len(xs))), list(range(len(xs))), xs, ys]
+        batch = pa.record_batch([pa.array(c) for c in columns], ["a", "b", "x", "y"])
+        return [at for found in lines._similar(80)([batch]) for at in found["a"].to_pylist()]
+
+    expected = [at for at, pair in enumerate(zip(xs, ys)) if exact(*pair)]
+    assert linked(xs, ys) == expected and 100 < len(expected) < 700
+    made = []
+    whole = lines.shingle_set
+    monkeypatch.setattr(lines, "shingle_set", lambda x: made.append(x) or whole(x))
+    far = [x for x in base if len(x) > 100]
+    assert linked(far[:-1], far[1:]) == [] and not made
+
+
+def test_keys_do_not_depend_on_parts(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdefg hi", k=rng.randint(1, 400))) for _ in range(200)]
+    whole = lines.line_keys(texts)
+    monkeypatch.setattr(lines, "CACHED", 1000)
+    parted = lines.line_keys(texts)
+    assert all((a == b).all() for a, b in zip(whole, parted))
+
+
 def test_shared_keys_are_kept_over_batch_ends():
     """Rows of keys with more than one id, each once, however the batches fall."""
     random = np.random.default_rng(11)
