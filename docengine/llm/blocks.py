@@ -235,6 +235,33 @@ def _promising(least: int):
     return run
 
 
+def lists_of(narrow: DataFrame) -> DataFrame:
+    """(v, n, main) of the lists `v` of `narrow` (id, part, v) that hold several parts.
+
+    Of lists of the same members, one is given. `main` is the most frequent part with its number.
+    """
+    return (
+        narrow.groupBy("v", "part")
+        .agg(
+            F.count("*").alias("own"),
+            F.expr("bit_xor(xxhash64(id))").alias("x"),
+            F.expr("bit_xor(xxhash64(id, 1))").alias("y"),
+        )
+        .groupBy("v")
+        .agg(
+            F.sum("own").alias("n"),
+            F.count("*").alias("parts"),
+            F.max(F.struct("own", "part")).alias("main"),
+            F.expr("bit_xor(x)").alias("x"),
+            F.expr("bit_xor(y)").alias("y"),
+        )
+        .where("parts > 1")
+        .groupBy("n", "x", "y")
+        .agg(F.min(F.struct("v", "main")).alias("one"))
+        .select("one.v", "n", "one.main")
+    )
+
+
 def links_between(
     items: DataFrame,
     percent: int,
@@ -257,26 +284,7 @@ def links_between(
     may be far larger, go only where there is something to compare.
     """
     narrow = items.select("id", "part", F.explode("coords").alias("v"))
-    lists = (
-        narrow.groupBy("v", "part")
-        .agg(
-            F.count("*").alias("own"),
-            F.expr("bit_xor(xxhash64(id))").alias("x"),
-            F.expr("bit_xor(xxhash64(id, 1))").alias("y"),
-        )
-        .groupBy("v")
-        .agg(
-            F.sum("own").alias("n"),
-            F.count("*").alias("parts"),
-            F.max(F.struct("own", "part")).alias("main"),
-            F.expr("bit_xor(x)").alias("x"),
-            F.expr("bit_xor(y)").alias("y"),
-        )
-        .where("parts > 1")
-        .groupBy("n", "x", "y")
-        .agg(F.min(F.struct("v", "main")).alias("one"))
-        .select("one.v", "n", "one.main")
-    )
+    lists = lists_of(narrow)
     keys = ["v", "i", "j"]
     work = halves(narrow, lists)
     if least is not None:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docengine.llm.batches import pieces
-from docengine.llm.blocks import links_between, plain
+from docengine.llm.blocks import links_between, lists_of, plain
 from docengine.llm.components import bucket_components
 from docengine.sources.workspace import RunFolder
 
@@ -33,6 +33,9 @@ BINS = BANDS * ROWS
 PASSES = 2
 SHORT = BINS - 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
+# Odd factors: of the order of each pass, and of the rows of a band.
+ORDERS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77)]
+ROW_FACTORS = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 CACHED = 100_000
 
 
@@ -87,33 +90,38 @@ def shingle_set(line: str) -> set[str]:
 
 
 def _minima(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """`BINS` minima per line, and whether all its bins were filled."""
-    empty = np.uint32(0xFFFFFFFF)
-    out = np.full((len(starts) - 1) * BINS, empty)
-    at = ((values >> np.uint64(32)) * np.uint64(BINS)) >> np.uint64(32)
-    at = at.astype(np.int64) + np.repeat(np.arange(len(starts) - 1) * BINS, np.diff(starts))
-    np.minimum.at(out, at, values.astype(np.uint32))
-    out = out.reshape(-1, BINS)
-    full = (out != empty).all(axis=1)
-    while (gap := out == empty).any():
-        out = np.where(gap, np.roll(out, -1, axis=1), out)
-        if (out == empty).all(axis=1).any():
-            break
-    return out, full
+    """`BINS` minima per pass and line, and whether the first pass fills all the line's bins."""
+    empty, lines = np.uint32(0xFFFFFFFF), len(starts) - 1
+    low, high = values.astype(np.uint32), (values >> np.uint64(32)).astype(np.uint32)
+    first = np.repeat(np.arange(lines) * BINS, np.diff(starts))
+    found = np.full((PASSES, lines * BINS), empty)
+    for out, factor in zip(found, ORDERS):
+        order = low * factor + high
+        order ^= order >> np.uint32(16)
+        order *= np.uint32(0x7FEB352D)
+        at = ((order >> np.uint32(16)) * np.uint32(BINS)) >> np.uint32(16)
+        np.minimum.at(out, first + at, order)
+    found = found.reshape(-1, BINS)
+    gaps = found == empty
+    full = ~gaps.any(axis=1)
+    some = np.flatnonzero(~full)
+    # Of two rounds of a line's bins, the place of the next filled one.
+    places = np.where(np.tile(gaps[some], 2), 2 * BINS - 1, np.arange(2 * BINS))
+    places = np.minimum.accumulate(places[:, ::-1], axis=1)[:, ::-1][:, :BINS] % BINS
+    found[some] = np.take_along_axis(found[some], places, axis=1)
+    return found.reshape(PASSES, lines, BINS), full[:lines]
 
 
 def bin_minima(lines: list[str]) -> np.ndarray:
-    return _minima(*shingle_hashes(lines))[0]
+    return _minima(*shingle_hashes(lines))[0][0]
 
 
 def band_keys(minima: np.ndarray, salt: int = 0) -> np.ndarray:
-    keys = np.empty((len(minima), BANDS), np.uint64)
-    for band in range(BANDS):
-        key = np.full(len(minima), np.uint64(salt * BANDS + band + 1))
-        for row in range(ROWS):
-            key = _mixed(key * MIX + minima[:, band * ROWS + row])
-        keys[:, band] = key
-    return keys.view(np.int64)
+    keys = np.arange(salt * BANDS + 1, (salt + 1) * BANDS + 1, dtype=np.uint64) * MIX
+    bands = minima.reshape(-1, BANDS, ROWS)
+    for row, factor in enumerate(ROW_FACTORS):
+        keys = keys + bands[:, :, row] * factor
+    return _mixed(keys).view(np.int64)
 
 
 def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -131,10 +139,7 @@ def line_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 def _part_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     values, starts = shingle_hashes(lines)
     minima, full = _minima(values, starts)
-    bands = [band_keys(minima)]
-    for salt in range(1, PASSES):
-        again = _mixed(values * MIX + np.uint64(salt))
-        bands.append(band_keys(_minima(again, starts)[0], salt))
+    bands = [band_keys(own, salt) for salt, own in enumerate(minima)]
     # A line of fewer than BINS different shingles leaves a bin empty.
     few = np.flatnonzero(~full)
     chosen = np.repeat(~full, np.diff(starts))
@@ -148,7 +153,7 @@ def _part_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     # Similar sets share one of so many least hashes of either.
     least = np.where(small, counts - (counts * 80 + 99) // 100 + 1, 0)
     taken = rank < least[owner]
-    prefix = (held[taken] & np.uint64(2**40 - 1)).view(np.int64)
+    prefix = _mixed(held[taken] & np.uint64(2**40 - 1)).view(np.int64)
     banded = np.ones(len(lines), bool)
     banded[few[100 * counts < 80 * (SHORT + 1)]] = False
     keys = np.concatenate([prefix, np.concatenate(bands, axis=1)[banded].ravel()])
@@ -159,7 +164,12 @@ def _part_keys(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 LINES = "doc_id long, line_no int, h1 long, h2 long"
+POSTED_ROWS = "key long, id long, head long, size long"
 CHARACTERS = 1_000_000
+POSTED = 1_000_000  # rows of keys that are held at once
+PACKED = 256  # keys that go in one row at most
+BUCKET = 250_000  # different keys of a bucket, about
+PAIRED = 128  # members of a list whose pairs become rows
 COMPARED = 200_000  # characters whose shingles are held as texts
 
 
@@ -192,20 +202,114 @@ def _read_lines(batches):
         )
 
 
-def _post_lines(batches):
-    """(key, id): the keys of a piece's different lines."""
-    for ids, texts in pieces(batches, CHARACTERS):
-        lines = {
-            line: None
-            for doc, text in zip(ids, texts)
-            if doc is not None and text is not None
-            for raw in text.split("\n")
-            if (line := comparable(raw))
-        }
-        if lines:
-            keys, starts = line_keys(list(lines))
-            own = np.repeat(_digests(lines)[:, 0], np.diff(starts))
-            yield pa.record_batch([pa.array(keys), pa.array(own)], ["key", "id"])
+def _dealt(keys: np.ndarray, ids: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Rows (bucket, keys, ids): a bucket's keys, without what the bucket says, and their ids."""
+    keys = keys.view(np.uint64)
+    bucket = ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    if buckets <= 2**16:  # sorted by digits then
+        bucket = bucket.astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cut = np.arange(len(keys)) % PACKED == 0
+    cut[1:] |= bucket[1:] != bucket[:-1]
+    starts = np.append(np.flatnonzero(cut), len(keys))
+    columns = [pa.array(bucket[starts[:-1]].astype(np.int32))]
+    for values in (keys.astype(np.uint32)[order], ids[order]):
+        ends = pa.py_buffer((starts * values.itemsize).astype(np.int32))
+        parts = [None, ends, pa.py_buffer(values)]
+        columns.append(pa.Array.from_buffers(pa.binary(), len(starts) - 1, parts))
+    return pa.record_batch(columns, ["bucket", "keys", "ids"])
+
+
+def _post_lines(buckets: int):
+    """The keys of a piece's different lines with the lines' ids, dealt to buckets."""
+
+    def run(batches):
+        keys, ids, held = [], [], 0
+        for numbers, texts in pieces(batches, CHARACTERS):
+            lines = {
+                line: None
+                for doc, text in zip(numbers, texts)
+                if doc is not None and text is not None
+                for raw in text.split("\n")
+                if (line := comparable(raw))
+            }
+            if not lines:
+                continue
+            own, starts = line_keys(list(lines))
+            keys.append(own)
+            ids.append(np.repeat(_digests(lines)[:, 0], np.diff(starts)))
+            held += len(own)
+            if held >= POSTED:
+                yield _dealt(np.concatenate(keys), np.concatenate(ids), buckets)
+                keys, ids, held = [], [], 0
+        if held:
+            yield _dealt(np.concatenate(keys), np.concatenate(ids), buckets)
+
+    return run
+
+
+def _of_buckets(batches):
+    """(bucket, keys, ids) of each stretch of rows (bucket, keys, ids) of one bucket."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket, packed, owners = batch.columns
+        ends = np.cumsum(pa.compute.binary_length(owners).to_numpy() // 8)
+        keys = np.frombuffer(b"".join(packed.to_pylist()), np.uint32)
+        ids = np.frombuffer(b"".join(owners.to_pylist()), np.int64)
+        bucket, start = plain(bucket), 0
+        for last in [*np.flatnonzero(bucket[1:] != bucket[:-1]).tolist(), len(bucket) - 1]:
+            yield int(bucket[last]), keys[start : ends[last]], ids[start : ends[last]]
+            start = ends[last]
+
+
+def _meeting(batches):
+    """`POSTED_ROWS` of keys with more than one id, of rows (bucket, keys, ids) that come by bucket.
+
+    Of a large bucket, a part is looked at at a time. One row of each key goes on to the
+    next part, so that what is held follows the bucket's different keys, however many ids
+    one of them has; that row may come again then, and sizes are those of parts, but 3 at least.
+    """
+    now, keys, ids, held, whole = None, [], [], 0, True
+
+    def settle():
+        low, own = np.concatenate(keys), np.concatenate(ids)
+        number = np.arange(len(low), dtype=np.uint64)
+        packed = np.sort((low.astype(np.uint64) << np.uint64(32)) | number)
+        low, own = packed >> np.uint64(32), own[(packed & np.uint64(2**32 - 1)).astype(np.int64)]
+        fresh = np.ones(len(low), bool)
+        fresh[1:] = low[1:] != low[:-1]
+        at = np.flatnonzero(~(fresh & np.append(fresh[1:], True)))
+        key = ((np.uint64(now) << np.uint64(32)) | low[at]).view(np.int64)
+        by = np.lexsort((own[at], key))
+        rows = pa.record_batch([pa.array(key[by]), pa.array(own[at][by])], ["key", "id"])
+        return _headed(_shared([rows]), whole), ([low[fresh].astype(np.uint32)], [own[fresh]])
+
+    for bucket, more, owners in _of_buckets(batches):
+        if held and (bucket != now or held >= POSTED):
+            whole = whole and bucket != now
+            found, rest = settle()
+            yield from found
+            keys, ids = rest if bucket == now else ([], [])
+            held, whole = 0, bucket != now
+        now = bucket
+        keys.append(more)
+        ids.append(owners)
+        held += len(more)
+    if held:
+        yield from settle()[0]
+
+
+def _headed(batches, whole: bool):
+    """Rows (key, id), which come sorted, with their key's smallest id and number of rows."""
+    for batch in batches:
+        key, id = plain(batch.column(0)), plain(batch.column(1))
+        begins = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        sizes = np.diff(np.append(begins, len(key)))
+        size = np.repeat(sizes if whole else np.maximum(sizes, 3), sizes)
+        head = np.repeat(id[begins], sizes)
+        yield pa.record_batch([pa.array(c) for c in (key, id, head, size)], ["key", "id", "head", "size"])
 
 
 def _shared(batches):
@@ -241,41 +345,39 @@ def _shared(batches):
         yield pa.record_batch([pa.array(rows[0]), pa.array(rows[1])], ["key", "id"])
 
 
-def _take_lines(keyed: bool):
-    """(id, line) of the lines asked for, with their keys if `keyed`."""
-
-    def run(batches):
-        for wanted, texts in pieces(batches, CHARACTERS):
-            rows = [
-                (id, comparable(lines[number]))
-                for marks, text in zip(wanted, texts)
-                for lines in [text.split("\n")]
-                for id, number in ((m["id"], m["line_no"]) for m in marks)
-                if number < len(lines)  # rows may share a doc_id
-            ]
-            if not rows:
-                continue
-            out = {
-                "id": pa.array([r[0] for r in rows], pa.int64()),
-                "line": pa.array([r[1] for r in rows], pa.string()),
-            }
-            if keyed:
-                keys, starts = line_keys([r[1] for r in rows])
-                out["keys"] = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(keys))
-            yield pa.record_batch(list(out.values()), list(out))
-
-    return run
+def _take_lines(batches):
+    """(id, size, line) of the lines asked for; the size counts different shingles."""
+    for wanted, texts in pieces(batches, CHARACTERS):
+        rows = [
+            (id, comparable(lines[number]))
+            for marks, text in zip(wanted, texts)
+            for lines in [text.split("\n")]
+            for id, number in ((m["id"], m["line_no"]) for m in marks)
+            if number < len(lines)  # rows may share a doc_id
+        ]
+        if not rows:
+            continue
+        sizes = np.diff(line_sets([line for _, line in rows])[1])
+        out = {
+            "id": pa.array([id for id, _ in rows], pa.int64()),
+            "size": pa.array(sizes, pa.int64()),
+            "line": pa.array([line for _, line in rows], pa.string()),
+        }
+        yield pa.record_batch(list(out.values()), list(out))
 
 
 SHORTENED = np.uint64(40)  # bits that are left of a hash beside the number of its line
 SLACK = 2
+CLASSES = 128  # a power of 2
 
 
-def _may_be_similar(xs: list[str], ys: list[str], percent: int) -> np.ndarray:
-    """Whether each pair can be similar, by shortened hashes of its shingles.
+def _by_hashes(xs: list[str], ys: list[str], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each pair can be similar, and whether it must be, by shortened hashes of its shingles.
 
-    Different shingles of a pair of 1000 fall together in one of a million pairs, which takes
-    one off what it has in common; a pair is left out only if it lacks more than `SLACK`.
+    Different shingles of a pair of 1000 fall together in one of a million pairs, which changes
+    a size or what the pair has in common by one; it is judged only if `SLACK` of them
+    change nothing. Most pairs that can't be similar are told by the numbers of their hashes in
+    each of `CLASSES` classes: two lines share no more than the smaller number.
     """
     known = {x: at for at, x in enumerate(dict.fromkeys([*xs, *ys]))}
     values, starts = shingle_hashes(list(known))
@@ -285,9 +387,16 @@ def _may_be_similar(xs: list[str], ys: list[str], percent: int) -> np.ndarray:
     begins = np.cumsum(sizes) - sizes
     x = np.fromiter((known[k] for k in xs), np.int64, len(xs))
     y = np.fromiter((known[k] for k in ys), np.int64, len(ys))
+    may = np.ones(len(xs), bool)
+    place = (held >> SHORTENED) * np.uint64(CLASSES) + (held & np.uint64(CLASSES - 1))
+    counts = np.bincount(place.astype(np.int64), minlength=len(known) * CLASSES)
+    counts = np.minimum(counts, 2**32 - 1).astype(np.uint32).reshape(-1, CLASSES)
+    for low in range(0, len(xs), 512):
+        part = slice(low, low + 512)
+        most = np.minimum(counts[x[part]], counts[y[part]]).sum(axis=1, dtype=np.int64)
+        either = sizes[x[part]] + sizes[y[part]] - most
+        may[part] = 100 * (most + SLACK) >= percent * either
     # What is left has sides of like sizes, so that a long line is not held for each short one.
-    least, most = np.minimum(sizes[x], sizes[y]), np.maximum(sizes[x], sizes[y])
-    may = 100 * (least + SLACK) >= percent * most
     at = np.flatnonzero(may)
     sides = []
     for side in (x[at], y[at]):
@@ -298,21 +407,31 @@ def _may_be_similar(xs: list[str], ys: list[str], percent: int) -> np.ndarray:
     both = np.sort(np.concatenate(sides))
     twice = both[1:][both[1:] == both[:-1]] >> SHORTENED
     common = np.bincount(twice.astype(np.int64), minlength=len(at))
-    may[at] = 100 * (common + SLACK) >= percent * (sizes[x[at]] + sizes[y[at]] - common)
-    return may
+    either = sizes[x[at]] + sizes[y[at]] - common
+    must = np.zeros(len(xs), bool)
+    may[at] = 100 * (common + SLACK) >= percent * either
+    must[at] = 100 * (common - SLACK) >= percent * (either + 3 * SLACK)
+    return may, must
+
+
+def like_sizes(percent: int) -> str:
+    """Whether sets of sizes m and n can be similar; hashes may fall together."""
+    return f"100 * (least(m, n) + {SLACK}) >= {percent} * greatest(m, n)"
 
 
 def _similar(percent: int):
     def run(batches):
         for a, b, xs, ys in pieces(batches, COMPARED):
-            kept = []
-            may = np.flatnonzero(_may_be_similar(xs, ys, percent)).tolist()
-            sets = {x: shingle_set(x) for x in {side[k] for side in (xs, ys) for k in may}}
-            for at in may:
+            may, must = _by_hashes(xs, ys, percent)
+            kept = np.flatnonzero(must).tolist()
+            close = np.flatnonzero(may & ~must).tolist()
+            sets = {x: shingle_set(x) for x in {side[k] for side in (xs, ys) for k in close}}
+            for at in close:
                 x, y = sets[xs[at]], sets[ys[at]]
                 common = len(x & y)
                 if 100 * common >= percent * (len(x) + len(y) - common):
                     kept.append(at)
+            kept.sort()
             yield pa.record_batch(
                 [pa.array([a[k] for k in kept], pa.int64()), pa.array([b[k] for k in kept], pa.int64())],
                 ["a", "b"],
@@ -335,49 +454,61 @@ def line_verdicts(
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines = run.write(texts.mapInArrow(_read_lines, LINES), "lines")
     classes = run.write(
-        lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"))
-        .select("h1", "h2", "first.doc_id", "first.line_no"),
+        lines.groupBy("h1", "h2")
+        .agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("lines"))
+        .select("h1", "h2", "first.doc_id", "first.line_no", "lines"),
         "classes",
     )
     # Keys go straight into the one exchange that brings equal ones together.
-    posted = texts.mapInArrow(_post_lines, "key long, id long")
-    posted = posted.repartition("key").sortWithinPartitions("key", "id")
-    posted = run.write(posted.mapInArrow(_shared, "key long, id long"), "posted")
-
-    def lines_of(ids: DataFrame, name: str, keyed: bool) -> DataFrame:
-        firsts = classes.select(F.col("h1").alias("id"), "doc_id", "line_no")
-        wanted = (
-            firsts.join(ids.toDF("id").distinct().hint("merge"), "id", "left_semi")
-            .groupBy("doc_id")
-            .agg(F.collect_list(F.struct("id", "line_no")).alias("wanted"))
-        )
-        found = texts.where("text is not null").join(wanted.hint("merge"), "doc_id")
-        found = found.select("wanted", "text")
-        schema = "id long, line string" + (", keys array<long>" if keyed else "")
-        return run.write(found.mapInArrow(_take_lines(keyed), schema), f"{name}-lines")
+    buckets = 1 + classes.count() * BANDS * PASSES // BUCKET
+    posted = texts.mapInArrow(_post_lines(buckets), "bucket int, keys binary, ids binary")
+    posted = posted.repartition("bucket").sortWithinPartitions("bucket")
+    posted = run.write(posted.mapInArrow(_meeting, POSTED_ROWS), "posted")
+    asked = posted.select(F.col("id").alias("h1")).distinct().hint("merge")
+    asked = run.write(classes.join(asked, "h1", "left_semi"), "asked")
+    wanted = asked.groupBy("doc_id").agg(
+        F.collect_list(F.struct(F.col("h1").alias("id"), "line_no")).alias("wanted")
+    )
+    found = texts.where("text is not null").join(wanted.hint("merge"), "doc_id")
+    found = found.select("wanted", "text").mapInArrow(_take_lines, "id long, size long, line string")
+    own = run.write(found, "own")
 
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        own = lines_of(pairs.select("a").union(pairs.select("b")), name, keyed=False)
-        x = own.select(F.col("id").alias("a"), F.col("line").alias("x"))
-        y = own.select(F.col("id").alias("b"), F.col("line").alias("y"))
-        both = pairs.hint("merge").join(x, "a").hint("merge").join(y, "b")
+        x = own.select(F.col("id").alias("a"), F.col("size").alias("m"), F.col("line").alias("x"))
+        y = own.select(F.col("id").alias("b"), F.col("size").alias("n"), F.col("line").alias("y"))
+        both = pairs.hint("merge").join(x, "a").hint("merge").join(y, "b").where(like_sizes(percent))
         linked = both.select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
-        edges = run.write(linked.distinct(), f"{name}-edges")
-        run.drop(f"{name}-lines")
-        return edges
+        return run.write(linked.distinct(), f"{name}-edges")
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
-        items = ids.join(lines_of(ids.select("id"), name, keyed=True).hint("merge"), "id").select(
-            "id", "part", F.col("keys").alias("coords"), F.col("line").alias("payload")
-        )
-        items = run.write(items, f"{name}-items")
-        edges = links_between(items, percent, run, f"{name}-edges", shingle_set, line_sets)
-        run.drop(f"{name}-lines", f"{name}-items")
+        sized = ids.join(own.select("id", "size").hint("merge"), "id")
+        narrow = posted.select("key", "id").join(sized.hint("merge"), "id")
+        narrow = narrow.select("id", "part", "size", F.col("key").alias("v")).distinct()
+        narrow = run.write(narrow, f"{name}-narrow")
+        lists = run.write(lists_of(narrow), f"{name}-lists")
+        few = narrow.join(lists.where(F.col("n") <= PAIRED).select("v"), "v")
+        sides = [
+            few.select("v", *[F.col(c).alias(to) for c, to in zip(("id", "part", "size"), names)])
+            for names in (("a", "p", "m"), ("b", "q", "n"))
+        ]
+        pairs = sides[0].join(sides[1], "v").where("a < b and p <> q").where(like_sizes(percent))
+        edges = confirm(pairs.select("a", "b").distinct(), name)
+        large = lists.where(F.col("n") > PAIRED)
+        if large.take(1):
+            items = narrow.join(large.select("v"), "v").groupBy("id", "part")
+            items = items.agg(F.collect_set("v").alias("coords")).join(
+                own.select("id", F.col("line").alias("payload")).hint("merge"), "id"
+            )
+            items = run.write(items, f"{name}-items")
+            more = links_between(items, percent, run, f"{name}-large", shingle_set, line_sets)
+            edges = edges.union(more).distinct()
         return edges
 
     parts = bucket_components(posted, confirm, finish, run, "like")
-    run.drop("posted")
-    grouped = classes.join(parts, classes["h1"] == parts["id"], "left").select(
+    run.drop("posted", "own")
+    # A line that comes once and was not asked for stands alone.
+    several = classes.where("lines > 1").union(asked.where("lines = 1"))
+    grouped = several.join(parts, several["h1"] == parts["id"], "left").select(
         "h1",
         "h2",
         F.struct("doc_id", "line_no").alias("first"),
@@ -385,12 +516,13 @@ def line_verdicts(
     )
     heads = grouped.groupBy("component").agg(F.min("first").alias("head"))
     stays = grouped.join(heads, "component").select("h1", "h2", "head")
-    return lines.join(stays, ["h1", "h2"]).select(
+    head = F.coalesce("head", F.struct("doc_id", "line_no"))
+    return lines.join(stays, ["h1", "h2"], "left").select(
         "doc_id",
         "line_no",
-        F.col("head.doc_id").alias("group_doc_id"),
-        F.col("head.line_no").alias("group_line_no"),
-        F.struct("doc_id", "line_no").eqNullSafe(F.col("head")).alias("kept"),
+        head["doc_id"].alias("group_doc_id"),
+        head["line_no"].alias("group_line_no"),
+        F.struct("doc_id", "line_no").eqNullSafe(head).alias("kept"),
     )
 
 

@@ -478,6 +478,74 @@ def test_shared_keys_are_kept_over_batch_ends():
         assert got == expected
 
 
+def test_keys_meet_in_buckets(monkeypatch):
+    """Rows of keys with more than one id, however they are packed, parted and batched."""
+    random = np.random.default_rng(14)
+    monkeypatch.setattr(lines, "PACKED", 3)
+    for posted in (5, 40, 10_000):
+        monkeypatch.setattr(lines, "POSTED", posted)
+        low = random.integers(0, 2, 400).astype(np.uint64)
+        low[:150] = 2  # one key of many rows
+        high = random.integers(0, 2**32, 12).astype(np.uint64)[random.integers(0, 12, 400)]
+        high[:150] = high[0]
+        keys = ((high << np.uint64(32)) | low).view(np.int64)
+        ids = random.integers(-9, 9, 400)
+        rows = pa.concat_tables(
+            pa.Table.from_batches([lines._dealt(keys[a : a + 90], ids[a : a + 90], 4)])
+            for a in range(0, 400, 90)
+        ).sort_by("bucket")
+        assert max(len(x) for x in rows["ids"].to_pylist()) <= 3 * 8
+        got = [r for b in lines._meeting(rows.to_batches(7)) for r in b.to_pylist()]
+        found, expected = {}, {}
+        for r in got:
+            found.setdefault(r["key"], set()).add(r["id"])
+            assert r["head"] <= r["id"]
+        # A bucket tells its keys apart by their lower halves.
+        for h, k, i in zip(high, low, ids):
+            key = (int(h) * 4 >> 32) << 32 | int(k)
+            expected.setdefault(key, set()).add(int(i))
+        expected = {k: v for k, v in expected.items() if len(v) > 1}
+        assert found == expected
+        assert all(r["size"] >= min(3, len(expected[r["key"]])) for r in got)
+        if posted == 10_000:
+            assert len({(r["key"], r["id"]) for r in got}) == len(got)
+            assert all(r["size"] == len(expected[r["key"]]) for r in got)
+
+
+def test_clear_pairs_are_told_without_their_sets(monkeypatch):
+    """Sets of texts are built for pairs close to the limit only."""
+    rng = random.Random(7)
+    xs = ["".join(rng.choices("abcdefghijklmnopq", k=300)) for _ in range(50)]
+    ys = [x[:-3] + "xyz" for x in xs]
+    halves = [x[:220] + y[220:] for x, y in zip(xs, xs[1:] + xs[:1])]  # similar at about 0.57
+    made = []
+    whole = lines.shingle_set
+    monkeypatch.setattr(lines, "shingle_set", lambda x: made.append(x) or whole(x))
+    columns = [list(range(100)), list(range(100)), xs + xs, ys + halves]
+    batch = pa.record_batch([pa.array(c) for c in columns], ["a", "b", "x", "y"])
+    got = [at for found in lines._similar(80)([batch]) for at in found["a"].to_pylist()]
+    assert got == list(range(50)) and not made
+
+
+@pytest.mark.parametrize("paired", [2, 128])
+def test_leftover_lines_match_all_pairs_by_rows_and_in_blocks(spark, monkeypatch, paired):
+    """Chains of copies, whose ends are dissimilar, among many buckets."""
+    random = np.random.default_rng(15)
+    letters = list("abcdefghijklmnop ")
+    given = []
+    for _ in range(12):
+        y = list("x" + "".join(random.choice(letters, 120)) + "y")
+        for at in range(1, 121, 3):
+            y[at] = "z"
+            given.append("".join(y))
+    expected = united(range(len(given)), line_links(given))
+    monkeypatch.setattr(lines, "PAIRED", paired)
+    monkeypatch.setattr(lines, "BUCKET", 500)
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r["doc_id"]: r["group_doc_id"] for r in lines.line_verdicts(df).collect()}
+    assert got == expected
+
+
 def test_long_lines_match_all_pairs(spark):
     """Lines of 60 to 300 characters, edited so that similarities lie around the limit."""
     random = np.random.default_rng(12)
