@@ -73,8 +73,8 @@ def bucket_components(
     """(id, component) of ids that share a bucket and are linked.
 
     `members` (key, id) is a written table without repeated rows; it may have the `head` of
-    each key, one of its ids, and its `size`, 3 or more if it has more than two. First every id is tried
-    with its bucket's smallest id, a row per member: `confirm(pairs, name)` turns distinct
+    each key, one of its ids, and its `size`, 3 or more if it has more than two, and rows may
+    come again then. First every id is tried with its bucket's head, a row per member: `confirm(pairs, name)` turns distinct
     pairs (a, b) into written links, which joins a group of copies without its pairs. What
     can still be linked are ids of one bucket in different components: `finish(ids, name)`
     gets these ids with their component so far (id, part) and writes the links that join
