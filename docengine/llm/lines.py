@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docengine.llm.batches import pieces
-from docengine.llm.blocks import links_between, lists_of, plain
+from docengine.llm.blocks import links_between, lists_of, plain, spread
 from docengine.llm.components import bucket_components
 from docengine.sources.workspace import RunFolder
 
@@ -33,10 +33,14 @@ BINS = BANDS * ROWS
 PASSES = 2
 SHORT = BINS - 1
 MIX = np.uint64(0x9E3779B97F4A7C15)
-# Odd factors: of the order of each pass, and of the rows of a band.
-ORDERS = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77)]
+# Where each pass finds its order in a hash, whose halves are independent.
+ORDERS = [np.uint64(0), np.uint64(32)]
+# Odd factors of the rows of a band.
 ROW_FACTORS = [np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 CACHED = 100_000
+MARK = 512
+WORDS = MARK // 64
+MARKS = [f"s{k}" for k in range(WORDS)]
 
 
 def comparable(line: str) -> str:
@@ -64,12 +68,20 @@ def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all shingles, with repeats, and the lines' start offsets."""
     padded = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
     sizes = np.fromiter(map(len, padded), np.int64, len(padded))
-    raw = "".join(padded).encode("utf-32-le", "surrogatepass")
-    codes = np.frombuffer(raw, np.uint32).astype(np.uint64)
-    factor, width = int(MIX), 1
-    while width < SHINGLE:  # runs of 1, 2, 4, 8
-        codes = codes[:-width] + codes[width:] * np.uint64(factor)
-        factor, width = factor * factor % 2**64, width * 2
+    text = "".join(padded)
+    try:
+        raw, above = np.frombuffer(text.encode("latin-1"), np.uint8), None
+    except UnicodeEncodeError:
+        above = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        raw = above.astype(np.uint8)
+    # Below U+0100 a shingle is its eight bytes; what characters have above is added.
+    codes = np.ndarray(len(raw) - SHINGLE + 1, "<u8", raw, strides=(1,)).astype(np.uint64)
+    if above is not None:
+        at = np.flatnonzero(above > 0xFF)
+        above = (above[at] >> np.uint32(8)).astype(np.uint64)
+        for back in range(SHINGLE):
+            first, last = np.searchsorted(at, [back, back + len(codes)])
+            codes[at[first:last] - back] += above[first:last] * np.uint64(pow(int(MIX), back + 1, 2**64))
     ends = np.cumsum(sizes)
     inside = np.ones(len(codes), bool)
     for back in range(1, SHINGLE):  # runs that reach into the next line
@@ -85,6 +97,36 @@ def line_sets(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(sets), np.concatenate([[0], np.cumsum([len(s) for s in sets])])
 
 
+def line_marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The number of different shingles of each line, and its mark of `MARK` bits as `WORDS` numbers.
+
+    A bit tells whether the number of hashes that fall on it is odd. Two marks differ in no more
+    bits than the two lines have shingles that the other one lacks. Hashes are shortened by the
+    bits that tell the lines of a part from each other.
+    """
+    upto = np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines)))
+    cuts = np.flatnonzero(np.diff(upto // CACHED)) + 1
+    parts = [_part_marks(lines[a:b]) for a, b in zip([0, *cuts], [*cuts, len(lines)])]
+    return tuple(np.concatenate(side) for side in zip(*parts))
+
+
+def _part_marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    values, starts = shingle_hashes(lines)
+    bits = max(1, (len(lines) - 1).bit_length())
+    owner = np.repeat(np.arange(len(lines), dtype=np.uint64), np.diff(starts))
+    held = _distinct((owner << np.uint64(64 - bits)) | (values >> np.uint64(bits)))
+    sizes = np.bincount((held >> np.uint64(64 - bits)).astype(np.int64), minlength=len(lines))
+    place = held >> np.uint64(64 - bits - MARK.bit_length() + 1)
+    begins = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+    place = place[begins[np.diff(np.append(begins, len(place))) % 2 == 1]]
+    marks = np.zeros(len(lines) * WORDS, np.uint64)
+    if len(place):
+        word = (place >> np.uint64(6)).astype(np.int64)
+        begins = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        marks[word[begins]] = np.add.reduceat(np.uint64(1) << (place & np.uint64(63)), begins)
+    return sizes, marks.view(np.int64).reshape(-1, WORDS)
+
+
 def shingle_set(line: str) -> set[str]:
     return {line[k : k + SHINGLE] for k in range(max(1, len(line) - SHINGLE + 1))}
 
@@ -92,13 +134,10 @@ def shingle_set(line: str) -> set[str]:
 def _minima(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """`BINS` minima per pass and line, and whether the first pass fills all the line's bins."""
     empty, lines = np.uint32(0xFFFFFFFF), len(starts) - 1
-    low, high = values.astype(np.uint32), (values >> np.uint64(32)).astype(np.uint32)
     first = np.repeat(np.arange(lines) * BINS, np.diff(starts))
     found = np.full((PASSES, lines * BINS), empty)
-    for out, factor in zip(found, ORDERS):
-        order = low * factor + high
-        order ^= order >> np.uint32(16)
-        order *= np.uint32(0x7FEB352D)
+    for out, shift in zip(found, ORDERS):
+        order = (values >> shift).astype(np.uint32)
         at = ((order >> np.uint32(16)) * np.uint32(BINS)) >> np.uint32(16)
         np.minimum.at(out, first + at, order)
     found = found.reshape(-1, BINS)
@@ -169,7 +208,7 @@ CHARACTERS = 1_000_000
 POSTED = 1_000_000  # rows of keys that are held at once
 PACKED = 256  # keys that go in one row at most
 BUCKET = 250_000  # different keys of a bucket, about
-PAIRED = 128  # members of a list whose pairs become rows
+PAIRED = 128  # members of a list whose pairs are told apart by marks at once
 COMPARED = 200_000  # characters whose shingles are held as texts
 
 
@@ -269,7 +308,8 @@ def _meeting(batches):
 
     Of a large bucket, a part is looked at at a time. One row of each key goes on to the
     next part, so that what is held follows the bucket's different keys, however many ids
-    one of them has; that row may come again then, and sizes are those of parts, but 3 at least.
+    one of them has; that row may come again then, and sizes are those of parts, but more than
+    `PAIRED` at least, as the whole list is not known.
     """
     now, keys, ids, held, whole = None, [], [], 0, True
 
@@ -307,7 +347,7 @@ def _headed(batches, whole: bool):
         key, id = plain(batch.column(0)), plain(batch.column(1))
         begins = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
         sizes = np.diff(np.append(begins, len(key)))
-        size = np.repeat(sizes if whole else np.maximum(sizes, 3), sizes)
+        size = np.repeat(sizes if whole else np.maximum(sizes, PAIRED + 1), sizes)
         head = np.repeat(id[begins], sizes)
         yield pa.record_batch([pa.array(c) for c in (key, id, head, size)], ["key", "id", "head", "size"])
 
@@ -346,7 +386,7 @@ def _shared(batches):
 
 
 def _take_lines(batches):
-    """(id, size, line) of the lines asked for; the size counts different shingles."""
+    """(id, size, marks, line) of the lines asked for; the size counts different shingles."""
     for wanted, texts in pieces(batches, CHARACTERS):
         rows = [
             (id, comparable(lines[number]))
@@ -357,15 +397,17 @@ def _take_lines(batches):
         ]
         if not rows:
             continue
-        sizes = np.diff(line_sets([line for _, line in rows])[1])
+        sizes, marks = line_marks([line for _, line in rows])
         out = {
             "id": pa.array([id for id, _ in rows], pa.int64()),
             "size": pa.array(sizes, pa.int64()),
+            **{name: pa.array(own) for name, own in zip(MARKS, marks.T)},
             "line": pa.array([line for _, line in rows], pa.string()),
         }
         yield pa.record_batch(list(out.values()), list(out))
 
 
+OWN_ROWS = f"id long, size long, {', '.join(f'{name} long' for name in MARKS)}, line string"
 SHORTENED = np.uint64(40)  # bits that are left of a hash beside the number of its line
 SLACK = 2
 CLASSES = 128  # a power of 2
@@ -419,6 +461,57 @@ def like_sizes(percent: int) -> str:
     return f"100 * (least(m, n) + {SLACK}) >= {percent} * greatest(m, n)"
 
 
+def like_marks(percent: int) -> str:
+    """Whether sets of sizes m and n with marks x and y can be similar.
+
+    They have to differ in no more than (100 - percent) / (100 + percent) of m + n shingles.
+    """
+    apart = " + ".join(f"bit_count(x{k} ^ y{k})" for k in range(WORDS))
+    return f"{100 + percent} * ({apart}) <= {100 - percent} * (m + n + {SLACK})"
+
+
+def _meant(percent: int):
+    """Pairs (a, b) of rows (key, id, part, size, marks) of one key, which come sorted, that can be similar.
+
+    What `like_sizes` and `like_marks` say, for pairs of different parts. Rows of a key are held together.
+    """
+
+    def pairs(rows):
+        key, id, part, size, *marks = rows
+        marks = np.stack(marks, axis=1).view(np.uint64)
+        at, step, found = np.arange(len(key)), 0, []
+        while len(at):
+            step += 1
+            at = at[: np.searchsorted(at, len(key) - step)]
+            at = at[key[at] == key[at + step]]
+            m, n = size[at], size[at + step]
+            may = part[at] != part[at + step]
+            may &= 100 * (np.minimum(m, n) + SLACK) >= percent * np.maximum(m, n)
+            x, most = at[may], (100 - percent) * (m + n + SLACK)[may]
+            apart = np.bitwise_count(marks[x] ^ marks[x + step]).sum(axis=1, dtype=np.int64)
+            x = x[(100 + percent) * apart <= most]
+            found.append((id[x], id[x + step]))
+        a, b = (np.concatenate(side) for side in zip(*found))
+        return pa.record_batch([np.minimum(a, b), np.maximum(a, b)], ["a", "b"])
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [plain(c) for c in batch.columns]
+            if held:
+                rows = [np.concatenate(both) for both in zip(held, rows)]
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            if cut:
+                yield pairs([c[:cut] for c in rows])
+            held = [c[cut:] for c in rows]
+        if held:
+            yield pairs(held)
+
+    return run
+
+
 def _similar(percent: int):
     def run(batches):
         for a, b, xs, ys in pieces(batches, COMPARED):
@@ -470,29 +563,37 @@ def line_verdicts(
         F.collect_list(F.struct(F.col("h1").alias("id"), "line_no")).alias("wanted")
     )
     found = texts.where("text is not null").join(wanted.hint("merge"), "doc_id")
-    found = found.select("wanted", "text").mapInArrow(_take_lines, "id long, size long, line string")
+    found = found.select("wanted", "text").mapInArrow(_take_lines, OWN_ROWS)
     own = run.write(found, "own")
 
+    def side(id: str, size: str, mark: str) -> DataFrame:
+        marks = [F.col(c).alias(f"{mark}{k}") for k, c in enumerate(MARKS)]
+        return own.select(F.col("id").alias(id), F.col("size").alias(size), *marks)
+
     def confirm(pairs: DataFrame, name: str) -> DataFrame:
-        x = own.select(F.col("id").alias("a"), F.col("size").alias("m"), F.col("line").alias("x"))
-        y = own.select(F.col("id").alias("b"), F.col("size").alias("n"), F.col("line").alias("y"))
-        both = pairs.hint("merge").join(x, "a").hint("merge").join(y, "b").where(like_sizes(percent))
+        both = pairs.hint("merge").join(side("a", "m", "x"), "a").hint("merge")
+        both = both.join(side("b", "n", "y"), "b").where(like_sizes(percent)).where(like_marks(percent))
+        return compared(both.select("a", "b"), name)
+
+    def compared(pairs: DataFrame, name: str) -> DataFrame:
+        """Texts go only to pairs that can be similar."""
+        x = own.select(F.col("id").alias("a"), F.col("line").alias("x"))
+        y = own.select(F.col("id").alias("b"), F.col("line").alias("y"))
+        both = pairs.hint("merge").join(y, "b").hint("merge").join(x, "a")
         linked = both.select("a", "b", "x", "y").mapInArrow(_similar(percent), "a long, b long")
         return run.write(linked.distinct(), f"{name}-edges")
 
     def finish(ids: DataFrame, name: str) -> DataFrame:
-        sized = ids.join(own.select("id", "size").hint("merge"), "id")
-        narrow = posted.select("key", "id").join(sized.hint("merge"), "id")
-        narrow = narrow.select("id", "part", "size", F.col("key").alias("v")).distinct()
-        narrow = run.write(narrow, f"{name}-narrow")
+        listed = posted.select(F.col("key").alias("v"), "id", F.col("size").alias("n"))
+        narrow = listed.where(F.col("n") > PAIRED).join(ids.hint("merge"), "id")
+        narrow = run.write(narrow.select("id", "part", "v").distinct(), f"{name}-narrow")
         lists = run.write(lists_of(narrow), f"{name}-lists")
-        few = narrow.join(lists.where(F.col("n") <= PAIRED).select("v"), "v")
-        sides = [
-            few.select("v", *[F.col(c).alias(to) for c, to in zip(("id", "part", "size"), names)])
-            for names in (("a", "p", "m"), ("b", "q", "n"))
-        ]
-        pairs = sides[0].join(sides[1], "v").where("a < b and p <> q").where(like_sizes(percent))
-        edges = confirm(pairs.select("a", "b").distinct(), name)
+        few = narrow.join(lists.where(F.col("n") <= PAIRED).select("v"), "v").select("v", "id")
+        few = listed.where(F.col("n") <= PAIRED).select("v", "id").union(few)
+        marked = ids.join(own.select("id", "size", *MARKS).hint("merge"), "id")
+        few = few.join(marked.hint("merge"), "id").select("v", "id", "part", "size", *MARKS)
+        pairs = spread(few, ["v"]).mapInArrow(_meant(percent), "a long, b long")
+        edges = compared(pairs.distinct(), name)
         large = lists.where(F.col("n") > PAIRED)
         if large.take(1):
             items = narrow.join(large.select("v"), "v").groupBy("id", "part")

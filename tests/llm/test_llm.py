@@ -546,6 +546,85 @@ def test_leftover_lines_match_all_pairs_by_rows_and_in_blocks(spark, monkeypatch
     assert got == expected
 
 
+def test_leftover_lines_of_parted_buckets_match_all_pairs(spark, monkeypatch):
+    """Lists whose number is not known, as their bucket was looked at in parts."""
+    random = np.random.default_rng(16)
+    given = []
+    for _ in range(6):
+        y = list("x" + "".join(random.choice(list("abcdefghijklmnop "), 120)) + "y")
+        for at in range(1, 121, 3):
+            y[at] = "z"
+            given.append("".join(y))
+    expected = united(range(len(given)), line_links(given))
+    whole, least = lines._meeting, lines.PAIRED + 1
+
+    def parted(batches):
+        for batch in whole(batches):
+            size = np.maximum(batch["size"].to_numpy(), least)
+            yield pa.record_batch([*batch.columns[:3], pa.array(size)], batch.schema.names)
+
+    monkeypatch.setattr(lines, "_meeting", parted)
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r["doc_id"]: r["group_doc_id"] for r in lines.line_verdicts(df).collect()}
+    assert got == expected
+
+
+def test_texts_of_dissimilar_lines_are_not_moved(spark, monkeypatch):
+    """Lines that share keys, each with half of its text in common with the others of its group."""
+    random = np.random.default_rng(17)
+    letters = list("abcdefghijklmnopqrstuvwxyz ")
+    given = []
+    for _ in range(25):
+        common = "x" + "".join(random.choice(letters, 150))
+        for _ in range(6):
+            given.append(common + "".join(random.choice(letters, 150)) + "y")
+        given.append(given[-1] + "zz")
+    expected = united(range(len(given)), line_links(given))
+    keys = [set(lines.line_keys([x])[0].tolist()) for x in given]
+    tried = sum(bool(x & y) for x, y in combinations(keys, 2))
+    seen, whole = spark.sparkContext.accumulator(0), lines._similar
+
+    def counted(percent):
+        run = whole(percent)
+
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield from run([batch])
+
+        return count
+
+    monkeypatch.setattr(lines, "_similar", counted)
+    df = spark.createDataFrame(list(enumerate(given)), "doc_id long, text string")
+    got = {r["doc_id"]: r["group_doc_id"] for r in lines.line_verdicts(df).collect()}
+    assert got == expected and tried >= 200 and 25 <= seen.value <= 30
+
+
+def test_marks_tell_no_similar_lines_apart():
+    """Marks differ in no more bits than the lines' sets in shingles; pairs of a key meet over batch ends."""
+    rng = random.Random(18)
+    given = ["".join(rng.choices("abcdé 漢", k=rng.choice([1, 7, 9, 40, 300, 2000]))) for _ in range(60)]
+    given = [y for x in given for y in (x, x + "ab")] + ["a" * 500, "ab" * 300]
+    sets = [lines.shingle_set(x) for x in given]
+    sizes, marks = lines.line_marks(given)
+    assert sizes.tolist() == [len(x) for x in sets]
+    for a, b in combinations(range(len(given)), 2):
+        apart = np.bitwise_count(marks[a].view(np.uint64) ^ marks[b].view(np.uint64)).sum()
+        assert apart <= len(sets[a] ^ sets[b])
+    key, part = np.arange(len(given)) // 7, np.arange(len(given)) % 3
+    columns = [key, np.arange(len(given)), part, sizes, *marks.T]
+    table = pa.record_batch([pa.array(c) for c in columns], ["v", "id", "part", "size", *lines.MARKS])
+    cuts = [0, 1, 1, 5, 40, 41, 90, len(given)]
+    batches = [table.slice(a, b - a) for a, b in zip(cuts, cuts[1:])]
+    got = [tuple(r.values()) for b in lines._meant(80)(batches) for r in b.to_pylist()]
+    like = {
+        (a, b) for a, b in combinations(range(len(given)), 2)
+        if key[a] == key[b] and part[a] != part[b]
+        and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    }
+    assert like and like <= set(got) and len(set(got)) == len(got) < len(given)
+
+
 def test_long_lines_match_all_pairs(spark):
     """Lines of 60 to 300 characters, edited so that similarities lie around the limit."""
     random = np.random.default_rng(12)
