@@ -92,9 +92,10 @@ def dqds(diagonal: np.ndarray, upper: np.ndarray) -> np.ndarray:
                 if done:
                     moved += shift if attempt < 3 else 0.0
                     break
-                # With all pivots but the last positive, the sum bounds the least value below.
-                late = failed[0] == len(e)
-                shift = max(0.0, shift + failed[1]) * (1 - 4 * EPS) if late else shift / 4
+                # With all pivots but the last positive, the sum bounds the least value below; it
+                # may be negative among values that are all but equal, which no shift of 0 parts.
+                late = failed[0] == len(e) and shift + failed[1] > 0
+                shift = (shift + failed[1]) * (1 - 4 * EPS) if late else shift / 4
             q, e = done
             budget -= 1
             if budget < 0:
